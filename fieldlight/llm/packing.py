@@ -13,7 +13,10 @@ but the offsets are fixed once the first pass is written, so reruns of a task ag
 
 from __future__ import annotations
 
-import zlib
+import itertools
+import os
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,41 +25,85 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldlight.llm.common import cut, documents
+from fieldlight.llm.common import cut, documents, slices
+from fieldlight.llm.words import words_of
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a Python worker keeps; beyond it starts afresh, so memory is bounded.
-CACHED_WORDS = 400_000
+#: Words whose ids a Python worker keeps; half as many pieces of words.
+CACHED = 1_000_000
+#: Words of these characters are cut into the tokenizer's pieces here; it gets all others whole.
+_PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+_PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+#: Byte-level vocabularies write the bytes without a printable Latin-1 character as U+0100 onwards.
+_BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
-class _WordIds(dict):
-    """Word (UTF-8) to its ids as little-endian uint32 bytes. White space only separates in this
-    tokenizer, so the ids of a text are those of its words, one after another."""
+class _Ids:
+    """Ids of words as little-endian uint32 bytes. White space only separates in this tokenizer and
+    its pieces are coded each for itself, so the ids of a text are those of its words, and those of
+    a word are those of its pieces; each distinct one is coded once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        out = np.array(ids, dtype="<u4").tobytes()
-        if len(word) <= 64:
-            self[word] = out
-        return out
-
-
-_word_ids: dict[str, _WordIds] = {}
-
-
-def token_bytes(text: bytes, path: str) -> bytes:
-    """All ids of a text as little-endian uint32, without the end id."""
-    if path not in _word_ids:
-        _word_ids[path] = _WordIds(path)
-    return b"".join(map(_word_ids[path].__getitem__, text.split()))
+        self.model = self.tokenizer.model
+        self.words: dict[int, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
+
+    def _code(self, piece: str) -> bytes:
+        """Ids of one piece, its bytes written as the vocabulary writes them."""
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        return array("I", [x.id for x in self.model.tokenize(piece)]).tobytes()
+
+    def _add(self, words: list[tuple[int, bytes]]) -> None:
+        """Code words, each with its hash."""
+        whole, parts = [], []
+        for key, word in words:
+            text = word.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text) and "<|" not in text:
+                parts.append((key, _PIECE.findall(text.lower())))
+            else:
+                whole.append((key, text))
+        for piece in set(itertools.chain.from_iterable(p for _, p in parts)).difference(self.pieces):
+            self.pieces[piece] = self._code(piece)
+        coded = self.tokenizer.encode_batch_fast([t for _, t in whole], add_special_tokens=False)
+        self.words.update((k, array("I", x.ids).tobytes()) for (k, _), x in zip(whole, coded, strict=True))
+        ids = self.pieces.__getitem__
+        self.words.update((k, b"".join(map(ids, p))) for k, p in parts)
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts, and how many each text has. Each distinct word is looked up once."""
+        w = words_of(texts)
+        keys, where, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        if len(self.words) > CACHED:
+            self.words = {k: self.words[k] for k in keys.tolist() if k in self.words}
+        if len(self.pieces) > CACHED // 2:
+            self.pieces = {}
+        data = w.data.tobytes()
+        bounds = zip(keys.tolist(), w.starts[where].tolist(), w.ends[where].tolist(), strict=True)
+        self._add([(k, data[a:b]) for k, a, b in bounds if k not in self.words])
+        coded = list(map(self.words.__getitem__, keys.tolist()))
+        ids = np.frombuffer(b"".join(coded), "<u4")
+        n = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        first = np.cumsum(n) - n
+        each = n[which]
+        after = np.concatenate([[0], np.cumsum(each)])
+        picked = ids[np.repeat(first[which] - after[:-1], each) + np.arange(after[-1])]
+        return picked, np.diff(after[w.first])
+
+
+_ids: dict[str, _Ids] = {}
+
+
+def token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of the texts, without end ids, and how many each text has."""
+    if path not in _ids:
+        _ids[path] = _Ids(path)
+    return _ids[path].of(texts)
 
 
 def tokenizer_path() -> str:
@@ -71,33 +118,17 @@ def tokenize(docs: DataFrame, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, at = TaskContext.get().partitionId(), 0
-        end = np.array([END_ID], "<u4").tobytes()
-        for batch in batches:
-            starts, counts, wide, ids = [], [], [], []
-            done = 0
-
-            def flush(upto: int) -> pa.RecordBatch:
-                return pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(done, upto - done), pa.array([part] * len(ids), pa.int64()), pa.array(starts, pa.int64()), pa.array(counts, pa.int64()), pa.array(wide, pa.bool_()), pa.array(ids, pa.binary())],
-                    names=["doc_id", "part", "part_start", "doc_tokens", "wide", "ids"],
-                )
-
-            held = 0
-            for i in range(batch.num_rows):
-                text = batch.column(1)[i].as_py() or b""
-                x = np.frombuffer(token_bytes(text, path) + end, "<u4")
-                big = bool(x.max() > 0xFFFF)
-                starts.append(at)
-                counts.append(len(x))
-                wide.append(big)
-                ids.append(x.tobytes() if big else x.astype("<u2").tobytes())
-                at += len(x)
-                held += len(ids[-1])
-                if held > 8 << 20:
-                    yield flush(i + 1)
-                    done, held, starts, counts, wide, ids = i + 1, 0, [], [], [], []
-            if ids:
-                yield flush(batch.num_rows)
+        for batch in slices(batches, "text"):
+            all_ids, n = token_ids(batch.column(1), path)
+            ends = np.cumsum(n)
+            with_end = np.insert(all_ids, ends, np.uint32(END_ID))
+            counts = n + 1
+            coded = np.split(with_end, np.cumsum(counts)[:-1])
+            wide = [bool(x.max() > 0xFFFF) for x in coded]
+            ids = [(x if big else x.astype("<u2")).tobytes() for x, big in zip(coded, wide, strict=True)]
+            starts = at + np.cumsum(counts) - counts
+            at += int(counts.sum())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([part] * len(ids), pa.int64()), pa.array(starts), pa.array(counts), pa.array(wide), pa.array(ids, pa.binary())], names=["doc_id", "part", "part_start", "doc_tokens", "wide", "ids"])
 
     schema = "doc_id {}, part long, part_start long, doc_tokens long, wide boolean, ids binary".format(docs.schema["doc_id"].dataType.simpleString())
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(run, schema)
