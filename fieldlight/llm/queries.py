@@ -5,8 +5,10 @@ from __future__ import annotations
 import importlib
 
 _NAMES = {
+    "op3_quality": "quality",
     "op5_mixing": "mixing",
     "op7_packing": "packing",
+    "op8_toxicity": "toxicity",
 }
 
 
