@@ -140,7 +140,8 @@ def pack(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> Data
     totals = tokens.groupBy("part").agg(F.sum("doc_tokens").alias("total"))  # a row per partition
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
-    placed = tokens.join(bases, "part").select("doc_id", (F.col("base") + F.col("part_start")).alias("at"), "doc_tokens", "wide", "ids")
+    # One row of two numbers per partition of the first pass: some MB for a million partitions.
+    placed = tokens.join(F.broadcast(bases), "part").select("doc_id", (F.col("base") + F.col("part_start")).alias("at"), "doc_tokens", "wide", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
