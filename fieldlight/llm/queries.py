@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _NAMES = {
+    "op2_secrets": "secrets",
     "op3_quality": "quality",
     "op5_mixing": "mixing",
     "op7_packing": "packing",
