@@ -8,6 +8,7 @@ _NAMES = {
     "op2_secrets": "secrets",
     "op3_quality": "quality",
     "op5_mixing": "mixing",
+    "op6_media": "media",
     "op7_packing": "packing",
     "op8_toxicity": "toxicity",
 }
