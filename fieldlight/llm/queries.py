@@ -10,6 +10,7 @@ _NAMES = {
     "op5_mixing": "mixing",
     "op6_media": "media",
     "op7_packing": "packing",
+    "op9_neardup": "neardup",
     "op10_fingerprints": "fingerprints",
     "op8_toxicity": "toxicity",
 }
