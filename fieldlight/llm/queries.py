@@ -5,6 +5,7 @@ from __future__ import annotations
 import importlib
 
 _NAMES = {
+    "op1_substring": "substring",
     "op2_secrets": "secrets",
     "op3_quality": "quality",
     "op5_mixing": "mixing",
