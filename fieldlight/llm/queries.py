@@ -8,6 +8,7 @@ _NAMES = {
     "op1_substring": "substring",
     "op2_secrets": "secrets",
     "op3_quality": "quality",
+    "op4_licenses": "licenses",
     "op5_mixing": "mixing",
     "op6_media": "media",
     "op7_packing": "packing",
