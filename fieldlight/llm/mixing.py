@@ -152,6 +152,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     return out.select("doc_id", "source", "row", "text_hash", "size", "source_size", "target", (F.col("whole") + F.round("p").cast("long")).alias("copies"))
 
 
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The rows of docs, each as often as the mix takes it, with docs' columns."""
+    mixed = mix(docs, **how)
+    key = lambda h: F.struct("doc_id", "source", h)  # noqa: E731  nulls in a struct are equal
+    # Equal rows of one id are few; each gets the copies of one of them.
+    counts = mixed.select(key("text_hash").alias("_key"), "row", "copies").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("row", "copies"))).alias("_copies"))
+    keyed = docs.withColumn("_key", key(F.xxhash64("text").alias("text_hash"))).join(counts, "_key")
+    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
+    times = keyed.withColumn("_nth", nth).withColumn("_times", F.get("_copies", F.col("_nth") - 1)["copies"].cast("int")).where("_times > 0")
+    return times.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix(documents(spark, sf_dir))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
