@@ -23,6 +23,11 @@ from fieldlight.llm.common import cut, documents, held_out, labels
 SIMILARITY = 0.8
 
 
+def packed(docs: DataFrame):
+    """All columns as one, so that no name of theirs can clash with a stage's own."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d")
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score under the threshold."""
     marks = labels(spark, sf_dir).select("doc_id", "toxic").where(~held_out("doc_id", toxicity.FOLDS, toxicity.FOLD))
@@ -37,20 +42,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of linked documents, the one of least doc_id."""
     kept = neardup.classes(docs.select("doc_id", "text"), SIMILARITY).where("kept and doc_id is not null").select(F.col("doc_id").alias("_id")).distinct()
-    stays = docs.join(kept, docs["doc_id"] == kept["_id"], "left_semi")
-    same = Window.partitionBy("doc_id").orderBy(F.length("text").desc_nulls_last(), F.xxhash64(*docs.columns))
-    stays = stays.withColumn("_nth", F.row_number().over(same)).where("_nth = 1").drop("_nth")
-    return stays.unionByName(docs.where("doc_id is null"))
+    rows = docs.select(packed(docs), F.col("doc_id").alias("_id"))
+    same = Window.partitionBy("_id").orderBy(F.length("d.text").desc_nulls_last(), F.xxhash64("d"))
+    stays = rows.join(kept, "_id", "left_semi").withColumn("_nth", F.row_number().over(same)).where("_nth = 1")
+    return stays.select("d.*").unionByName(docs.where("doc_id is null"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span that the scan finds becomes a mark; n_chars follows."""
-    needed = secrets.evidence_needed(docs)
-    found = docs.withColumn("_spans", secrets.spans(F.col("text"), needed))
-    hit = F.size("_spans") > 0
-    masked = found.withColumn("_new", F.when(hit, secrets.redact(F.col("text"), F.col("_spans"))).otherwise(F.col("text"))).withColumn("_hit", hit)
-    new = {"text": F.col("_new"), "n_chars": F.when(F.col("_hit"), F.length("_new")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)}
-    return masked.select(*[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns])
+    rows = docs.select(packed(docs))
+    found = rows.select("d", secrets.spans(F.col("d.text"), secrets.evidence_needed(docs)).alias("spans"))
+    masked = found.select("d", F.when(F.size("spans") > 0, secrets.redact(F.col("d.text"), F.col("spans"))).alias("masked"))
+    new = {"text": F.coalesce("masked", "d.text"), "n_chars": F.coalesce(F.length("masked").cast("long"), F.col("d.n_chars"))} if "n_chars" in docs.columns else {"text": F.coalesce("masked", "d.text")}
+    return masked.select(*[new.get(c, F.col(f"d.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -158,10 +158,12 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     key = lambda h: F.struct("doc_id", "source", h)  # noqa: E731  nulls in a struct are equal
     # Equal rows of one id are few; each gets the copies of one of them.
     counts = mixed.select(key("text_hash").alias("_key"), "row", "copies").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("row", "copies"))).alias("_copies"))
-    keyed = docs.withColumn("_key", key(F.xxhash64("text").alias("text_hash"))).join(counts, "_key")
+    # The rows travel whole in one column, so that no name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), key(F.xxhash64("text").alias("text_hash")).alias("_key"))
     nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    times = keyed.withColumn("_nth", nth).withColumn("_times", F.get("_copies", F.col("_nth") - 1)["copies"].cast("int")).where("_times > 0")
-    return times.select(*docs.columns, F.explode(F.sequence(F.lit(1), "_times")).alias("_copy")).drop("_copy")
+    numbered_rows = rows.join(counts, "_key").withColumn("_nth", nth)
+    times = numbered_rows.select("d", F.get("_copies", F.col("_nth") - 1)["copies"].cast("int").alias("_times")).where("_times > 0")
+    return times.select("d", F.explode(F.sequence(F.lit(1), "_times"))).select("d.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
