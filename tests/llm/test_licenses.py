@@ -1,0 +1,84 @@
+import math
+import random
+
+from llm.helpers import empty, messy
+from pyspark.sql import functions as F
+
+from fieldlight.llm import licenses as L
+
+
+def brute(files):
+    n = len(files)
+    held = {w: sum(w in L.words(t or "") for _, t in files) for w in L.VOCABULARY}
+    idf = {w: math.log((1 + n) / (1 + held[w])) + 1 for w in L.VOCABULARY}
+    vectors = L.template_vectors(idf)
+
+    def own(text):
+        import re
+
+        lines = [x for x in (text or "").split("\n") if re.search(L.NOTICE, x)]
+        best = (0.0, 0, None)
+        for part in [*lines, "\n".join(lines)] if lines else []:
+            ws = L.words(part)
+            norm = math.sqrt(sum((ws.count(w) * idf.get(w, 1.0)) ** 2 for w in set(ws)))
+            for i, (name, v) in enumerate(vectors):
+                score = round(sum(idf[w] * v.get(w, 0.0) for w in ws if w in idf) / norm, 9) if norm else 0.0
+                if (score, -i) > best[:2]:
+                    best = (score, -i, name)
+        body = (text or "").strip(" \t\n\x0b\f\r").split("\n")
+        return (best[2], best[0]) if best[0] >= L.LEAST else None, bool(lines) and bool(re.search(L.NOTICE, body[0]) or re.search(L.NOTICE, body[-1]))
+
+    found = {}
+    for path, text in files:
+        got, edge = own(text)
+        found[path] = (got, edge or bool(__import__("re").search(L.FILE_NAME, path)))
+    licensed = {}
+    for path in sorted(found, key=str.encode):
+        got, speaks = found[path]
+        if got and speaks:
+            licensed.setdefault(path.rpartition("/")[0], got)
+    out = {}
+    for path, (got, _) in found.items():
+        if got:
+            out[path] = (*got, "own", None)
+            continue
+        up = path.rpartition("/")[0]
+        while up not in licensed and up:
+            up = up.rpartition("/")[0]
+        out[path] = (*licensed[up], "directory", up) if up in licensed else (None, None, "none", None)
+    return out
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(0)
+    notices = [t for _, t in L.TEMPLATES] + ["See the LICENSE for license terms", "copyright 1999 someone"]
+    files = {}
+    for i in range(150):
+        path = "/".join(rng.choice("abc") for _ in range(rng.randint(0, 4))) + f"/f{i}"
+        body = [" ".join(rng.choices(["the", "free", "work", "x", "y", "software"], k=8)) for _ in range(3)]
+        if rng.random() < 0.25:
+            body.insert(rng.choice([0, 1, 3]), rng.choice(notices))
+        files[path.lstrip("/") if rng.random() < 0.5 else path] = "\n".join(body)
+    files["a/LICENSE"] = "\n".join(["intro", dict(L.TEMPLATES)["MIT"], "end"])
+    files["top/COPYING.txt"], files["top/deep/er/x.c"] = "Licensed under CC BY-SA 4.0.", "int x;"
+    df = spark.createDataFrame(list(files.items()), "path string, text string")
+    got = {r.path: (r.licence, r.score, r.origin, r.licence_dir) for r in L.scan(df).collect()}
+    want = brute(list(files.items()))
+    assert got.keys() == want.keys()
+    for p in want:
+        assert got[p][0] == want[p][0] and got[p][2:] == want[p][2:], (p, got[p], want[p])
+        assert got[p][1] is None if want[p][1] is None else abs(got[p][1] - want[p][1]) < 1e-6
+    assert got["top/deep/er/x.c"] == ("CC-BY-SA-4.0", got["top/COPYING.txt"][1], "directory", "top")
+
+
+def test_each_template_finds_its_licence(spark):
+    df = spark.createDataFrame([(f"d{i}/f", t) for i, (_, t) in enumerate(L.TEMPLATES)], "path string, text string")
+    got = {r.path: r.licence for r in L.scan(df).collect()}
+    assert all(got[f"d{i}/f"] == name for i, (name, _) in enumerate(L.TEMPLATES))
+
+
+def test_messy(spark):
+    df = messy(spark).withColumn("path", F.concat_ws("/", "source", F.col("doc_id").cast("string"))).withColumn("licence", F.lit("x")).withColumn("path", F.when(F.col("doc_id").isNotNull(), F.col("path")))
+    out = L.scan(df).collect()
+    assert len(out) == df.count() and all(r.origin == "none" and r.licence is None and r.score is None for r in out)
+    assert L.scan(empty(spark).withColumn("path", F.lit("a/b"))).collect() == []
