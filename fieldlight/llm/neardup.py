@@ -228,12 +228,15 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, hashes: int = HASHES)
     described = cut(describe(docs, n_bands, rows, hashes), "described")
     # A row per doc_id, then per set its least doc_id, which is a node from here on.
     known = described.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "set_a", "set_b")).alias("s")).select("doc_id", "s.*")
-    by_set = known.groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("node"))
+    known = cut(known, "known")
+    # Written tables on both sides of a join let Spark split the partition of a hot set or bucket.
+    by_set = cut(known.groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("node")), "by_set")
     member = cut(known.join(by_set, ["n", "set_a", "set_b"]), "members")
     nodes = member.where("doc_id = node").select("doc_id", "set_a", "set_b")
     entries = described.join(nodes, ["doc_id", "set_a", "set_b"], "left_semi").select(F.explode("keys").alias("key"), F.col("doc_id").alias("node"))
     entries = cut(entries, "entries")
     first = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key", "first")
+    first = cut(first, "first")
     shared = cut(entries.join(first, "key"), "buckets")
     groups = components(shared.select(F.col("first").alias("a"), F.col("node").alias("b"))).withColumnRenamed("component", "group")
     placed = groups.join(nodes.withColumnRenamed("doc_id", "node"), "node")
