@@ -4,7 +4,8 @@ Every document of a source has the same expected number of copies, target / sour
 whole part is certain; the fractional part is rounded by pivots: two documents exchange word
 mass (probability times size) until one's probability is 0 or 1, with chances that keep both
 expectations. The mass of a source is thereby kept exactly, and only the last document of a
-source is rounded alone, so a source misses its target by less than one document.
+source is rounded alone, so a source misses its target by less than one document. Large documents
+go first, so that the many small ones after them settle them, and a small one is mostly left.
 
 The exchanges form a reduction tree. Leaves are groups of documents of one source by the hash of
 their ids; each leaves at most one document open. The open ones meet in groups of FAN on the next
@@ -131,7 +132,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     n_open = None
 
     def round_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("key", kind="stable", ignore_index=True)
+        pdf = pdf.sort_values(["size", "key"], ascending=[False, True], kind="stable", ignore_index=True)
         p, open_at = pivot(pdf["size"].to_numpy(np.float64), pdf["p"].to_numpy(), _draws(pdf["key"].to_numpy(), level))
         pdf["p"], pdf["open"] = p, np.arange(len(p)) == open_at
         return pdf
