@@ -199,6 +199,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int
     all_anchors = cut(anchors(rows.select("text", "doc", "tid"), window, anchor), "anchors")
     # Anchors that stand in two documents at least; combined before the shuffle.
     repeated = all_anchors.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
+    repeated = cut(repeated, "repeated")  # as a table, so that Spark can split a hot anchor's partition in the join
     shared = cut(all_anchors.join(repeated, "key"), "shared")
     distinct = cut(shared.groupBy("key", "seg").agg(F.min(F.struct("doc", "tid", "start", "n")).alias("r")), "distinct")
     hot_keys = cut(distinct.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("key"), "hot")
