@@ -64,7 +64,9 @@ class _Ids:
         whole, parts = [], []
         for key, word in words:
             text = word.decode("utf-8", "replace")
-            if _PLAIN.fullmatch(text) and "<|" not in text:
+            if text.isascii() and text.isalpha():
+                parts.append((key, (text.lower(),)))
+            elif _PLAIN.fullmatch(text) and "<|" not in text:
                 parts.append((key, _PIECE.findall(text.lower())))
             else:
                 whole.append((key, text))
