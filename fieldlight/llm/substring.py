@@ -22,7 +22,7 @@ all their words instead, each window for itself, which needs no meeting of segme
 
 Words are compared by 64-bit hashes. Cases: a null or empty text has no words; texts shorter than the
 window stay whole; windows within one document, or in rows of equal doc_id, repeat nothing; a null
-doc_id counts as the largest; repeated rows get equal results; an empty table gives no row.
+doc_id counts as the largest, 2**63 - 1; repeated rows get equal results; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -195,8 +195,9 @@ def without(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int = HOT, shard: int = SHARD) -> DataFrame:
     """doc_id, n_words, n_removed, kept (the words that stay, joined by a space), spans (word ranges removed)."""
-    rows = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64("text").alias("tid"))
-    all_anchors = cut(anchors(rows.select("text", "doc", "tid"), window, anchor), "anchors")
+    kind = docs.schema["doc_id"].dataType
+    rows = docs.select("text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc"), F.xxhash64("text").alias("tid"))
+    all_anchors = cut(anchors(rows, window, anchor), "anchors")
     # Anchors that stand in two documents at least; combined before the shuffle.
     repeated = all_anchors.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
     repeated = cut(repeated, "repeated")  # as a table, so that Spark can split a hot anchor's partition in the join
@@ -207,20 +208,21 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int
     plain = distinct.join(hot_keys, "key", "left_anti") if any_hot else distinct
     wanted = lambda t: t.groupBy("doc", "tid").agg(F.collect_list(F.struct("key", "seg", "start", "n")).alias("wanted"))  # noqa: E731  bounded by the document
     reps = wanted(plain.select("key", "seg", "r.*"))
-    cut_out = cut_segments(rows.select("text", "doc", "tid").join(reps, ["doc", "tid"]).dropDuplicates(["doc", "tid"]).select("text", "doc", "wanted"), window)
-    found = search_shards(cut_out, shards_for(plain.count(), shard), window)
-    runs = cut(found, "runs")
+    # From here on one plan: the texts are shuffled by (doc, tid) once, for all joins with them.
+    cut_out = cut_segments(rows.join(reps, ["doc", "tid"]).dropDuplicates(["doc", "tid"]).select("text", "doc", "wanted"), window)
+    runs = search_shards(cut_out, shards_for(plain.count(), shard), window)
     again = shared.join(runs, ["key", "seg"])
     covered: Column = F.transform(F.filter("runs", lambda x: x["least"] < F.col("doc")), lambda x: F.struct((F.col("start") + x["first"]).alias("a"), (F.col("start") + x["last"] + window).alias("b")))
     gone = again.select("doc", "tid", covered.alias("gone")).where(F.size("gone") > 0)
     if any_hot:
-        texts = rows.select("text", "doc", "tid").join(wanted(shared.join(hot_keys, "key", "left_semi")), ["doc", "tid"]).dropDuplicates(["doc", "tid"])
+        texts = rows.join(wanted(shared.join(hot_keys, "key", "left_semi")), ["doc", "tid"]).dropDuplicates(["doc", "tid"])
         windows = cut(hot_windows(texts, window), "windows")
         least = windows.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("hash", "least")
         more = windows.join(least, "hash").where("least < doc").select("doc", "tid", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + window).alias("b"))).alias("gone"))
         gone = gone.unionByName(more)
     per_doc = gone.groupBy("doc", "tid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
-    return without(rows.join(per_doc, ["doc", "tid"], "left").select("doc_id", "text", "gone"))
+    ids = F.when(F.col("doc") != _NO_ID, F.col("doc")).cast(kind).alias("doc_id")
+    return without(rows.join(per_doc, ["doc", "tid"], "left").select(ids, "text", "gone"))
 
 
 def op1_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
