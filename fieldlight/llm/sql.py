@@ -1,3 +1,25 @@
-"""DuckDB SQL for the queries of this subpackage that SQL can express."""
+"""DuckDB SQL for the queries of this subpackage that SQL can express. The others depend on trained scores,
+tokenizers, drawn numbers or hash functions that SQL lacks; their tests hold them against brute force."""
 
-ORACLE_SQL: dict[str, str] = {}
+#: Plain windows of words, compared as text.
+SUBSTRING = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(ws[i : i + 49], ' ')) AS h FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+firsts AS (SELECT h, min(doc_id) AS low FROM windows GROUP BY h),
+gone AS (SELECT DISTINCT doc_id, i + k AS p FROM windows JOIN firsts USING (h), (SELECT unnest(range(50)) AS k) WHERE low < doc_id),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS rest, count(*) AS n FROM (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w) ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT w.doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)"""
+
+#: All pairs that share a shingle, and the closure of the links.
+NEARDUP = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS s FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * n_both >= 85 * (x.n + y.n - n_both)),
+ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, ways.b FROM reached r JOIN ways ON r.b = ways.a)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id, doc_id = least_id AS kept
+FROM (SELECT a AS doc_id, min(b) AS least_id FROM reached GROUP BY 1) LEFT JOIN sizes USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op1_substring": SUBSTRING, "op9_neardup": NEARDUP}
