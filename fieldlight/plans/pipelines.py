@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fieldlight.functions.metadata import crop_box
 from fieldlight.operators import raster, scenes, summary
+from fieldlight.sources.staging import cut
 
 STATUSES = ("bad_date", "bad_crop", "bad_cloud_cap", "no_items", "no_candidates", "no_bands", "bad_epsg", "no_epsg", "no_href", "grid_mismatch", "no_valid_pixels", "ok")
 
@@ -32,16 +33,20 @@ def window_values(todo: DataFrame, pixels: DataFrame) -> DataFrame:
 
 def report(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataFrame) -> DataFrame:
     """One row per request whose scene has valid pixels in its window: counts, extremes, mean, percentiles."""
-    todo = work(manifest(requests, items), grid)
-    stats = summary.full_summary(window_values(todo, pixels), "crop").where("n_valid > 0")
+    todo = cut(work(manifest(requests, items), grid), "work")
+    # The cropped values are read by every statistic; pixels outside the windows are read once.
+    values = cut(window_values(todo, pixels).select("crop", "ndvi"), "values")
+    stats = summary.full_summary(values, "crop").where("n_valid > 0")
     return todo.withColumn("crop", F.struct("raster_id", "window")).join(stats, "crop").drop("crop", "window")
 
 
 def status(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataFrame) -> DataFrame:
     """request_id and the first check that fails, in the order a single run would meet them."""
-    found = scenes.found_items(requests, items)
+    needed = ["request_id", "scene_id", "raster_id", "properties", "assets", "cloud_cover", "max_cloud_cover", "preferred_scene_id", "crop_fraction"]
+    found = cut(scenes.found_items(requests, items).select(*needed), "found")
     chosen = scenes.resolved(scenes.pick(found)).withColumn("scene_error", scenes.scene_error())
-    todo = work(chosen, grid)
+    chosen = cut(chosen.select("request_id", "raster_id", "crop_fraction", "scene_error"), "chosen")
+    todo = cut(work(chosen, grid), "work")
     # Only counts of the pixels are needed, of distinct crops.
     valid = window_values(todo, pixels).where("ndvi is not null").select("crop").distinct()
     with_pixels = todo.select("request_id", F.struct("raster_id", "window").alias("crop")).join(valid, "crop", "left_semi").select("request_id", F.lit(True).alias("has_pixels"))
