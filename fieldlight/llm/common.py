@@ -2,10 +2,6 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,32 +9,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlight.sources.staging import cut, shared_dir  # noqa: F401
+
 #: A word is a maximal run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as spark.checkpoint.dir names it. Only where that is unset
-    (tests, one machine) a temporary folder is made and removed at the end of the process."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    named = named or spark.sparkContext.getCheckpointDir()
-    if not named:
-        local = tempfile.mkdtemp(prefix="spark-shared-")
-        atexit.register(shutil.rmtree, local, ignore_errors=True)
-        spark.sparkContext.setCheckpointDir(named := f"file://{local}")
-    return named
-
-
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there, and a lost
-    executor costs no recomputation of what lies before."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
