@@ -13,7 +13,6 @@ but the offsets are fixed once the first pass is written, so reruns of a task ag
 
 from __future__ import annotations
 
-import itertools
 import os
 import re
 from array import array
@@ -30,8 +29,8 @@ from fieldlight.llm.words import words_of
 
 WINDOW = 2048
 END_ID = 1
-#: Words whose ids a Python worker keeps; half as many pieces of words.
-CACHED = 1_000_000
+#: Pieces of words whose ids a Python worker keeps, about 0.2 kB each.
+CACHED = 400_000
 #: Words of these characters are cut into the tokenizer's pieces here; it gets all others whole.
 _PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
@@ -42,7 +41,8 @@ _BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161),
 class _Ids:
     """Ids of words as little-endian uint32 bytes. White space only separates in this tokenizer and
     its pieces are coded each for itself, so the ids of a text are those of its words, and those of
-    a word are those of its pieces; each distinct one is coded once."""
+    a word are those of its pieces. Each distinct word of a batch is put together once, and each piece
+    is coded once for as long as it is kept."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -50,7 +50,6 @@ class _Ids:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[int, bytes] = {}
         self.pieces: dict[str, bytes] = {}
 
     def _code(self, piece: str) -> bytes:
@@ -59,36 +58,30 @@ class _Ids:
             piece = piece.encode().decode("latin-1").translate(_BYTE_LETTERS)
         return array("I", [x.id for x in self.model.tokenize(piece)]).tobytes()
 
-    def _add(self, words: list[tuple[int, bytes]]) -> None:
-        """Code words, each with its hash."""
-        whole, parts = [], []
-        for key, word in words:
-            text = word.decode("utf-8", "replace")
-            if text.isascii() and text.isalpha():
-                parts.append((key, (text.lower(),)))
-            elif _PLAIN.fullmatch(text) and "<|" not in text:
-                parts.append((key, _PIECE.findall(text.lower())))
-            else:
-                whole.append((key, text))
-        for piece in set(itertools.chain.from_iterable(p for _, p in parts)).difference(self.pieces):
-            self.pieces[piece] = self._code(piece)
-        coded = self.tokenizer.encode_batch_fast([t for _, t in whole], add_special_tokens=False)
-        self.words.update((k, array("I", x.ids).tobytes()) for (k, _), x in zip(whole, coded, strict=True))
-        ids = self.pieces.__getitem__
-        self.words.update((k, b"".join(map(ids, p))) for k, p in parts)
+    def _word(self, word: bytes) -> bytes:
+        text = word.decode("utf-8", "replace")
+        if text.isascii() and text.isalpha():
+            pieces = (text.lower(),)
+        elif _PLAIN.fullmatch(text) and "<|" not in text:
+            pieces = _PIECE.findall(text.lower())
+        else:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        out = []
+        for piece in pieces:
+            ids = self.pieces.get(piece)
+            if ids is None:
+                ids = self.pieces[piece] = self._code(piece)
+            out.append(ids)
+        return out[0] if len(out) == 1 else b"".join(out)
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts, and how many each text has. Each distinct word is looked up once."""
         w = words_of(texts)
-        keys, where, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
-        if len(self.words) > CACHED:
-            self.words = {k: self.words[k] for k in keys.tolist() if k in self.words}
-        if len(self.pieces) > CACHED // 2:
+        _, where, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
+        if len(self.pieces) > CACHED:
             self.pieces = {}
         data = w.data.tobytes()
-        bounds = zip(keys.tolist(), w.starts[where].tolist(), w.ends[where].tolist(), strict=True)
-        self._add([(k, data[a:b]) for k, a, b in bounds if k not in self.words])
-        coded = list(map(self.words.__getitem__, keys.tolist()))
+        coded = [self._word(data[a:b]) for a, b in zip(w.starts[where].tolist(), w.ends[where].tolist(), strict=True)]
         ids = np.frombuffer(b"".join(coded), "<u4")
         n = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
         first = np.cumsum(n) - n
