@@ -216,7 +216,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int
     gone = again.select("doc", "tid", covered.alias("gone")).where(F.size("gone") > 0)
     if any_hot:
         texts = rows.join(wanted(shared.join(hot_keys, "key", "left_semi")), ["doc", "tid"]).dropDuplicates(["doc", "tid"])
-        windows = cut(hot_windows(texts, window), "windows")
+        windows = hot_windows(texts, window)
         least = windows.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("hash", "least")
         more = windows.join(least, "hash").where("least < doc").select("doc", "tid", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + window).alias("b"))).alias("gone"))
         gone = gone.unionByName(more)
