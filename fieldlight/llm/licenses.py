@@ -1,9 +1,14 @@
 """License scans in DataFrame functions only: TF-IDF cosine to templates, then directory inheritance.
 
-Notices are the lines of a text that hold a word of licensing (NOTICE). Each such line, and all of a
-text's such lines together, is a sparse TF-IDF vector over words; weights are inverse document
-frequencies counted over the whole corpus for the templates' words, and the least weight for all other
-words. The template of largest cosine, LEAST at least, is the text's own licence.
+Compared with every template are, each as one sparse TF-IDF vector over words: runs of up to LINES lines
+within a paragraph, runs of up to PARAGRAPHS paragraphs, a text's notices (lines that hold a word of
+licensing, NOTICE) together, and the whole text. Paragraphs are parted by lines without letter or digit, so
+wrapped headers and comments stay together. Weights are inverse document frequencies counted over the
+whole corpus for the templates' words, and the least weight for all other words. The template of largest
+cosine, LEAST at least, is the text's own licence; a reservation of rights gives way to any licence.
+
+Nothing that could reach LEAST is left out: a cosine is at most the root of the template's squared weight
+that falls on shared words, so what shares less than LEAST squared of every template is skipped (may_match).
 
 A licence file speaks for its directory: it has a name such as LICENSE or COPYING, or its first or
 last line is a notice. Of several in one directory the least path counts. Files without a licence of their own take
@@ -27,6 +32,10 @@ from fieldlight.llm.common import cut, documents
 from fieldlight.llm.secrets import let
 
 LEAST = 0.6
+#: Runs of neighbouring lines and paragraphs that are compared as one; the longest template has 270 characters.
+LINES, PARAGRAPHS = 8, 4
+#: Reserves rights, so that it names no licence where another one stands.
+RESERVED = "proprietary"
 NOTICE = r"(?i)licen[sc]|copyright|copyleft|spdx|rights reserved|public domain|creative commons|warrant"
 FILE_NAME = r"(?i)(^|/)(licen[sc]es?|copying|copyright|notice|unlicense)([.-][a-z0-9.-]+)?$"
 #: Notices by which licences are known (fixed texts).
@@ -57,6 +66,7 @@ TEMPLATES = (
 )
 
 _SPLIT = r"[^a-z0-9]+"
+_BETWEEN = r"\n(?:[^A-Za-z0-9\n]*\n)+"
 
 
 def words(text: str) -> list[str]:
@@ -95,35 +105,73 @@ def notices(text: Column) -> Column:
     return F.when(text.rlike(NOTICE), lines).otherwise(F.array().cast("array<string>"))
 
 
-def cosines(token_array: Column, idf: dict[str, float]) -> Column:
-    """(score, licence) of the best template; score rounded to 9 digits, so that sums in another order agree."""
+def may_match(text: Column, idf: dict[str, float]) -> Column:
+    """Whether the text's words hold enough of a template for a cosine of LEAST, whatever else the text holds."""
+    shares = F.array(*[F.array(*[F.struct(F.lit(w).alias("word"), F.lit(x * x).alias("share")) for w, x in v.items()]) for _, v in template_vectors(idf)])
+    share = lambda held: lambda t: F.aggregate(t, F.lit(0.0), lambda s, x: s + F.when(F.array_contains(held, x["word"]), x["share"]).otherwise(0.0))
+    held = F.array_intersect(F.array(*map(F.lit, VOCABULARY)), tokens(text))
+    return let(held, lambda h: (F.size(h) > 0) & F.exists(shares, lambda t: share(h)(t) >= LEAST**2 - 1e-9))
+
+
+def runs(pieces: Column, most: int, idf: dict[str, float]) -> Column:
+    """Runs of up to `most` neighbouring pieces that may match a template."""
+    from_ = lambda p, i: F.transform(F.sequence(F.lit(1), F.least(F.lit(most), F.size(p) - i)), lambda k: F.array_join(F.slice(p, i + 1, k), "\n"))
+    each = lambda p: F.flatten(F.transform(p, lambda _, i: F.filter(from_(p, i), lambda x: may_match(x, idf))))
+    return let(pieces, each)
+
+
+def parts(text: Column, idf: dict[str, float]) -> Column:
+    """What of the text is compared with the templates."""
+    paragraphs = F.split(text, _BETWEEN)
+    lines = F.flatten(F.transform(F.filter(paragraphs, lambda p: may_match(p, idf)), lambda p: runs(F.split(p, "\n"), LINES, idf)))
+    found = F.array_distinct(F.concat(lines, runs(paragraphs, PARAGRAPHS, idf), F.array(F.array_join(notices(text), "\n"), text)))
+    return F.when(may_match(text, idf), found).otherwise(F.array().cast("array<string>"))
+
+
+def measured(token_array: Column, idf: dict[str, float]) -> Column:
+    """(dots, known, others): products with the templates, squared weights of their words, and counts of all other words."""
     vectors = template_vectors(idf)
     table = F.create_map(*[x for w in VOCABULARY for x in (F.lit(w), F.struct(F.lit(idf[w]).alias("idf"), F.array(*[F.lit(v.get(w, 0.0)) for _, v in vectors]).alias("t")))])
-    weight = lambda w: F.coalesce(F.try_element_at(table, w)["idf"], F.lit(1.0))
+    total = lambda a, f: F.aggregate(a, F.lit(0.0), lambda s, x: s + f(x))
 
-    def best(t: Column) -> Column:
-        norm = F.sqrt(F.aggregate(F.array_distinct(t), F.lit(0.0), lambda s, w: s + F.pow(F.size(F.filter(t, lambda x: x == w)) * weight(w), F.lit(2.0))))
-        held = F.filter(F.transform(t, lambda w: F.try_element_at(table, w)), lambda x: x.isNotNull())
+    def counted(s: Column) -> Column:
+        first = F.filter(F.transform(s, lambda w, i: F.when((i == 0) | (w != F.get(s, i - 1)), i)), lambda i: i.isNotNull())
+        return let(first, lambda a: F.transform(a, lambda at, j: F.struct(F.get(s, at).alias("word"), (F.coalesce(F.get(a, j + 1), F.size(s)) - at).alias("n"), F.try_element_at(table, F.get(s, at)).alias("e"))))
 
-        def scored(h: Column) -> Column:
-            each = [F.struct(F.round(F.aggregate(h, F.lit(0.0), lambda s, x: s + x["idf"] * x["t"][i]) / norm, 9).alias("score"), F.lit(-i).alias("order"), F.lit(name).alias("licence")) for i, (name, _) in enumerate(vectors)]
-            return F.array_max(F.array(*each))
+    def sums(c: Column) -> Column:
+        held = F.filter(c, lambda x: x["e"].isNotNull())
+        dots = let(held, lambda h: F.transform(F.sequence(F.lit(0), F.lit(len(vectors) - 1)), lambda i: total(h, lambda x: x["n"] * x["e"]["idf"] * F.get(x["e"]["t"], i))))
+        others = F.transform(F.filter(c, lambda x: x["e"].isNull()), lambda x: F.struct(x["word"].alias("word"), x["n"].alias("n")))
+        return F.struct(dots.alias("dots"), total(held, lambda x: F.pow(x["n"] * x["e"]["idf"], F.lit(2.0))).alias("known"), others.alias("others"))
 
-        return F.when(F.size(t) > 0, let(held, scored))
+    return let(F.array_sort(token_array), lambda s: let(counted(s), sums))
 
-    return let(token_array, best)
 
+def best(m: Column, others: Column) -> Column:
+    """(firm, score, order, licence) of the best template; others: squared weights of the words that no template
+    has. The score is rounded to 9 digits, so that sums in another order agree."""
+    names = F.array(*[F.lit(name) for name, _ in TEMPLATES])
 
-def own_licence(files: DataFrame, idf: dict[str, float]) -> DataFrame:
-    """files with own (score, order, licence; null below LEAST) and speaks (stands for its directory)."""
-    lines = notices(F.coalesce("text", F.lit("")))
-    noted = files.withColumn("_lines", lines)
-    parts = F.when(F.size("_lines") > 0, F.transform(F.array_distinct(F.concat("_lines", F.array(F.array_join("_lines", "\n")))), lambda x: cosines(tokens(x), idf)))
-    scored = noted.withColumn("_best", F.array_max(parts))
-    body = F.btrim(F.coalesce("text", F.lit("")), F.lit(" \t\n\x0b\f\r"))
+    def scored(dot: Column, i: Column) -> Column:
+        score = F.round(dot / F.sqrt(F.greatest(m["known"] + others, F.lit(1e-9))), 9)
+        return F.struct(((score >= LEAST) & (F.get(names, i) != RESERVED)).alias("firm"), score.alias("score"), (-i).alias("order"), F.get(names, i).alias("licence"))
+
+    return F.array_max(F.transform(m["dots"], scored))
+
+
+def speaks(path: Column, text: Column) -> Column:
+    body = F.btrim(text, F.lit(" \t\n\x0b\f\r"))
     edge = F.substring_index(body, "\n", 1).rlike(NOTICE) | F.substring_index(body, "\n", -1).rlike(NOTICE)
-    speaks = F.coalesce(F.col("path").rlike(FILE_NAME), F.lit(False)) | ((F.size("_lines") > 0) & edge)
-    return scored.withColumn("own", F.when(F.col("_best.score") >= LEAST, F.col("_best"))).withColumn("speaks", speaks).drop("_lines", "_best")
+    return F.coalesce(path.rlike(FILE_NAME), F.lit(False)) | edge
+
+
+def own_licence(files: DataFrame, idf: dict[str, float]) -> DataFrame:
+    """files with own (firm, score, order, licence; null below LEAST) and speaks (stands for its directory)."""
+    text = F.coalesce("text", F.lit(""))
+    least = lambda m: F.aggregate(m["others"], F.lit(0.0), lambda s, x: s + F.pow(x["n"].cast("double"), F.lit(2.0)))
+    each = F.transform(parts(text, idf), lambda x: let(measured(tokens(x), idf), lambda m: best(m, least(m))))
+    scored = files.withColumn("_best", F.array_max(each)).withColumn("speaks", speaks(F.col("path"), text))
+    return scored.withColumn("own", F.when(F.col("_best.score") >= LEAST, F.col("_best"))).drop("_best")
 
 
 def scan(files: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 import math
 import random
+import textwrap
 
 from llm.helpers import empty, messy
 from pyspark.sql import functions as F
@@ -82,3 +83,19 @@ def test_messy(spark):
     out = L.scan(df).collect()
     assert len(out) == df.count() and all(r.origin == "none" and r.licence is None and r.score is None for r in out)
     assert L.scan(empty(spark).withColumn("path", F.lit("a/b"))).collect() == []
+
+
+def test_wrapped_and_whole_texts(spark):
+    code = "\n".join(f"call_{i}(alpha, beta, gamma)" for i in range(40))
+    wrap = lambda t, width, mark: "\n".join(mark + x for x in textwrap.wrap(t, width))
+    cases = {}
+    for i, (name, t) in enumerate(L.TEMPLATES):
+        for width, mark, after in ((60, "", ""), (48, " * ", ""), (60, "# ", "\n" + code)):
+            cases[f"w{i}-{width}-{len(mark)}-{len(after)}/f"] = (name, wrap(t, width, mark) + after)
+    bsd = L.TEMPLATES[11][1]
+    cases["bsd/f"] = ("BSD-3-Clause", "Copyright 2001 Some Body\nAll rights reserved.\n\n" + wrap(bsd, 60, ""))
+    cases["mute/f"] = ("MIT", L.TEMPLATES[4][1].split(" The software is")[0])
+    cases["code/f"] = (None, code)
+    df = spark.createDataFrame([(p, t) for p, (_, t) in cases.items()], "path string, text string")
+    got = {r.path: r.licence for r in L.scan(df).collect()}
+    assert got == {p: name for p, (name, _) in cases.items()}
