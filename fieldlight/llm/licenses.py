@@ -4,11 +4,12 @@ Compared with every template are, each as one sparse TF-IDF vector over words: r
 within a paragraph, runs of up to PARAGRAPHS paragraphs, a text's notices (lines that hold a word of
 licensing, NOTICE) together, and the whole text. Paragraphs are parted by lines without letter or digit, so
 wrapped headers and comments stay together. Weights are inverse document frequencies counted over the
-whole corpus for the templates' words, and the least weight for all other words. The template of largest
-cosine, LEAST at least, is the text's own licence; a reservation of rights gives way to any licence.
+whole corpus. The template of largest cosine, LEAST at least, is the text's own licence; a reservation of
+rights gives way to any licence.
 
 Nothing that could reach LEAST is left out: a cosine is at most the root of the template's squared weight
-that falls on shared words, so what shares less than LEAST squared of every template is skipped (may_match).
+that falls on shared words, so what shares less than LEAST squared of every template is skipped (may_match). What stays below LEAST even where all words outside
+the templates have the least weight, 1, is skipped next; frequencies of such words are counted for the rest only.
 
 A licence file speaks for its directory: it has a name such as LICENSE or COPYING, or its first or
 last line is a notice. Of several in one directory the least path counts. Files without a licence of their own take
@@ -80,9 +81,8 @@ def tokens(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), _SPLIT), "")
 
 
-def weights(files: DataFrame) -> dict[str, float]:
-    """Inverse document frequency of each word of the vocabulary, over all files; at most a row per word."""
-    n = files.count()
+def weights(files: DataFrame, n: int) -> dict[str, float]:
+    """Inverse document frequency of each word of the vocabulary, over all n files; at most a row per word."""
     known = F.array(*map(F.lit, VOCABULARY))
     held = files.select(F.explode(F.array_intersect(known, tokens(F.coalesce("text", F.lit(""))))).alias("word"))
     counts = {r["word"]: r["n"] for r in held.groupBy("word").agg(F.count("*").alias("n")).collect()}
@@ -165,21 +165,36 @@ def speaks(path: Column, text: Column) -> Column:
     return F.coalesce(path.rlike(FILE_NAME), F.lit(False)) | edge
 
 
-def own_licence(files: DataFrame, idf: dict[str, float]) -> DataFrame:
-    """files with own (firm, score, order, licence; null below LEAST) and speaks (stands for its directory)."""
+def likely(files: DataFrame, idf: dict[str, float]) -> DataFrame:
+    """files with _parts (measured, of those parts that reach LEAST if all other words weigh 1) and speaks (stands
+    for its directory)."""
     text = F.coalesce("text", F.lit(""))
     least = lambda m: F.aggregate(m["others"], F.lit(0.0), lambda s, x: s + F.pow(x["n"].cast("double"), F.lit(2.0)))
-    each = F.transform(parts(text, idf), lambda x: let(measured(tokens(x), idf), lambda m: best(m, least(m))))
-    scored = files.withColumn("_best", F.array_max(each)).withColumn("speaks", speaks(F.col("path"), text))
-    return scored.withColumn("own", F.when(F.col("_best.score") >= LEAST, F.col("_best"))).drop("_best")
+    each = F.transform(parts(text, idf), lambda x: measured(tokens(x), idf))
+    return files.withColumn("_parts", F.filter(each, lambda m: best(m, least(m))["score"] >= LEAST)).withColumn("speaks", speaks(F.col("path"), text))
+
+
+def own_licence(files: DataFrame, found: DataFrame, n: int) -> DataFrame:
+    """_id and own (firm, score, order, licence) of the found files that reach LEAST; n: number of files."""
+    each = found.select("_id", F.posexplode("_parts").alias("_at", "m"))
+    others = each.select("_id", "_at", F.explode("m.others").alias("o")).select("_id", "_at", "o.word", "o.n")
+    counts = files.select(F.explode(F.array_distinct(tokens(F.col("text")))).alias("word")).groupBy("word").agg(F.count("*").alias("held"))
+    counts = counts.join(others.select("word").distinct(), "word")
+    weight = F.log((F.lit(1.0) + n) / (F.lit(1.0) + F.col("held"))) + 1
+    squares = others.join(counts, "word").groupBy("_id", "_at").agg(F.sum(F.pow(F.col("n") * weight, F.lit(2.0))).alias("squares"))
+    scored = each.join(squares, ["_id", "_at"], "left").select("_id", best(F.col("m"), F.coalesce("squares", F.lit(0.0))).alias("own"))
+    return scored.where(F.col("own.score") >= LEAST).groupBy("_id").agg(F.max("own").alias("own"))
 
 
 def scan(files: DataFrame) -> DataFrame:
     """files: path, text and other columns (those named licence, score, origin or _dir are replaced). Adds licence,
     score, origin (own, directory or none) and licence_dir (the directory it came from)."""
-    files = files.drop("licence", "score", "origin", "licence_dir", "_dir", "own", "speaks")
-    found = own_licence(files, weights(files)).drop("text")
-    found = cut(found.withColumn("_dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)), "own")
+    files = files.drop("licence", "score", "origin", "licence_dir", "_dir", "own", "speaks", "_id", "_parts")
+    n = files.count()
+    found = likely(files, weights(files, n)).drop("text").withColumn("_id", F.monotonically_increasing_id())
+    found = cut(found.withColumn("_dir", F.regexp_extract("path", r"^(.*)/[^/]*$", 1)), "likely")
+    own = cut(own_licence(files, found.where(F.size("_parts") > 0), n), "own")
+    found = found.drop("_parts").join(own, "_id", "left").drop("_id")
     licensed = found.where("speaks and own is not null and path is not null").groupBy(F.col("_dir").alias("up")).agg(F.min(F.struct("path", "own")).alias("file"))
     dirs = found.where("path is not null").select("_dir").distinct()
     parts = F.split("_dir", "/")

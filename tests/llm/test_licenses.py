@@ -99,3 +99,19 @@ def test_wrapped_and_whole_texts(spark):
     df = spark.createDataFrame([(p, t) for p, (_, t) in cases.items()], "path string, text string")
     got = {r.path: r.licence for r in L.scan(df).collect()}
     assert got == {p: name for p, (name, _) in cases.items()}
+
+
+def test_rare_words_weigh(spark):
+    rng = random.Random(2)
+    common = ["copyright", "all", "rights", "reserved", "by", "licensed", "under", "version", "2", "of"]
+    texts = {f"x{i}/f": "\n".join([" ".join(rng.choices([f"w{j}" for j in range(90)], k=30)), rng.choice(common)]) for i in range(400)}
+    texts["a/f"] = "Copyright 2019 Wanda Kowalski Zielinska. All rights reserved by Foobar Quuxington"
+    texts["b/f"] = "Zorblat quux licensed under frobnic widget version 2 of vexed acme"
+    texts["c/f"] = "Copyright Wanda. All rights reserved."
+    df = spark.createDataFrame(list(texts.items()), "path string, text string")
+    got = {r.path: (r.licence, r.score) for r in L.scan(df).where("path not like 'x%'").collect()}
+    n = len(texts)
+    idf = lambda w: math.log((1 + n) / (1 + sum(w in L.words(t) for t in texts.values()))) + 1
+    known = sum(idf(w) ** 2 for w in ("copyright", "all", "rights", "reserved"))
+    assert got["a/f"] == got["b/f"] == (None, None)
+    assert got["c/f"][0] == "proprietary" and abs(got["c/f"][1] - math.sqrt(known / (known + idf("wanda") ** 2))) < 1e-6
