@@ -9,7 +9,9 @@ that holds it (digits, hex, base 32, one case, one case with digits, both cases
   the alphabet and the lag-1 serial correlation give three z-scores; their squares' sum must not be
   improbable (chi-squared, 3 degrees).
 - Does it look unlike language? The index of coincidence against that of language, and the number of
-  changes between small letters, capitals, digits and signs, give a p-value under "ordinary text".
+  changes between small letters, capitals, digits and signs, give a p-value under "ordinary text". Letters of
+  one case cannot change kind; for them the frequencies of the letters give it. Digits alone have neither, so
+  they are never reported.
 
 The p-values of the whole corpus are tested at once with a false-discovery rate of FDR; longer
 candidates, where the tests have more power, get more weight (weighted Benjamini-Hochberg). Only a
@@ -40,6 +42,10 @@ FDR = 0.01
 REJECT_RANDOM = 1e-3
 #: Language, as fixed values: index of coincidence, sum of cubed letter frequencies, changes of kind per character.
 COINCIDENCE, CUBES, CHANGES = 0.065, 0.0055, 0.1
+#: Letters a to z per 10,000 in language (about the mean of English, French, German and Spanish).
+LETTERS = (831, 140, 330, 410, 1500, 120, 150, 320, 730, 40, 60, 460, 250, 770, 640, 210, 60, 660, 740, 710, 390, 110, 90, 20, 80, 60)
+#: Mean and spread, per letter, of the natural logarithm of those in ordinary text; a mean low enough for one language.
+LIKELY, SPREAD = -3.0, 0.95
 #: Lengths count up to this in weights and histogram; minus log10 p is counted in steps of 0.1 up to 40.
 LONGEST, STEP, TOP = 64, 0.1, 40.0
 _ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/-_"
@@ -103,6 +109,7 @@ def battery(token: Column) -> Column:
         F.when(has("^[0-9]+$"), code(0, 0, 10)).when(has("^[0-9a-f]+$"), code(0, 0, 16)).when(has("^[0-9A-F]+$"), code(1, 0, 16)).when(has("^[a-z]+$"), code(0, 10, 26)).when(has("^[A-Z]+$"), code(0, 36, 26))
         .when(has("^[A-Z2-7]+$"), code(2, 0, 32)).when(has("^[a-z0-9]+$"), code(0, 0, 36)).when(has("^[A-Z0-9]+$"), code(1, 0, 36)).when(has("^[A-Za-z0-9]+$"), code(0, 0, 62)).otherwise(code(0, 0, 64))
     )
+    logs = F.array(*[F.lit(float(np.log(x / sum(LETTERS)))) for x in LETTERS])
     sort_of = lambda p: F.when(p < 10, 0).when(p < 36, 1).when(p < 62, 2).otherwise(3)
 
     def value(p: Column, e: Column) -> Column:
@@ -132,14 +139,15 @@ def battery(token: Column) -> Column:
             sd = F.sqrt(2 / (n * (n - 1)) * (2 * (n - 2) * (CUBES - COINCIDENCE**2) + COINCIDENCE * (1 - COINCIDENCE)))
             changes = _sum(kinds, lambda y, i: F.when((i > 0) & (y != F.get(kinds, i - 1)), 1.0).otherwise(0.0))
             z_changes = (changes - CHANGES * (n - 1)) / F.sqrt(CHANGES * (1 - CHANGES) * (n - 1))
-            z = (z_changes - (same - COINCIDENCE) / sd) / np.sqrt(2)
+            likely = _sum(v, lambda y: F.get(logs, y)) / n
+            z = F.when(x["letters"], (LIKELY - likely) * F.sqrt(n) / SPREAD).otherwise((z_changes - (same - COINCIDENCE) / sd) / np.sqrt(2))
             evidence = F.when(z > 37, F.lit(300.0)).otherwise(-F.log10(F.greatest(_upper_tail(z), F.lit(1e-300))))
             return F.struct(F.size(v).alias("size"), (fit >= REJECT_RANDOM).alias("fits"), evidence.alias("evidence"))
 
         return let(mean, rest)
 
     places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
-    coded = lambda p, e: F.struct(F.transform(p, lambda y: value(y, e)).alias("v"), F.transform(p, sort_of).alias("kinds"), e["span"].alias("k"))
+    coded = lambda p, e: F.struct(F.transform(p, lambda y: value(y, e)).alias("v"), F.transform(p, sort_of).alias("kinds"), e["span"].alias("k"), (e["span"] == 26).alias("letters"))
     return let(encoding, lambda e: let(places, lambda p: let(coded(p, e), tests)))
 
 

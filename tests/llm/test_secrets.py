@@ -51,6 +51,17 @@ def test_random_strings_are_found_and_words_are_not(spark):
     assert sum(hit[i] for i in range(300, 380)) >= 72
 
 
+def test_random_letters_of_one_case_are_found(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    natural = ["".join(rng.choices(letters, weights=[8, 1.5, 3, 4, 12, 2, 2, 6, 7, 0.2, 0.8, 4, 2.4, 7, 7.5, 2, 0.1, 6, 6.3, 9, 2.8, 1, 2.4, 0.2, 2, 0.1], k=rng.randint(20, 64))) for _ in range(200)]
+    drawn = ["".join(rng.choices(a, k=n)) for a in (letters, letters.upper()) for n in (32, 64, 128) for _ in range(20)]
+    df = spark.createDataFrame(rows(natural + drawn), SCHEMA)
+    hit = {r.doc_id: any(x.rank == 3 for x in r.secret_spans) for r in secrets.find_secrets(df).collect()}
+    assert sum(hit[i] for i in range(200)) <= 3
+    assert sum(hit[i] for i in range(200, 320)) >= 96
+
+
 def test_redact(spark):
     df = spark.createDataFrame(rows(["é token=abcdef12 x AKIA" + "A1" * 10, "nothing", None]), SCHEMA)
     got = [r[0] for r in secrets.find_secrets(df).orderBy("doc_id").select(secrets.redact(F.col("text"), F.col("secret_spans"))).collect()]
