@@ -35,6 +35,11 @@ def like_tile(scene_id: Column, tile: Column) -> Column:
     return F.like(scene_id, F.concat(F.lit("S2%_T"), F.upper(tile), F.lit("_%")))
 
 
+def is_plain_tile(tile: Column) -> Column:
+    """Whether tile_keys() finds all that the pattern does: five characters without a wildcard or escape."""
+    return F.coalesce(tile.rlike(r"^[^_%\\]{5}$"), F.lit(False))
+
+
 def tile_keys(scene_id: Column) -> Column:
     """What can match a tile of five characters in the id pattern: the characters after each T. An equi-join on
     these keys finds all that the pattern finds; the pattern is tested again afterwards."""

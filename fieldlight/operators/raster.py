@@ -15,10 +15,24 @@ def pair_pixels(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("raster_id", "row", "col").agg(of("red"), of("nir")).where("red is not null and nir is not null")
 
 
+def block_pixels(blocks: DataFrame) -> DataFrame:
+    """Pixel rows of blocks of one band: raster_id, band, row, col, value."""
+    flat = blocks.select("raster_id", "band", "row0", "col0", "w", F.posexplode("values").alias("pos", "value"))
+    return flat.select("raster_id", "band", (F.col("row0") + F.expr("pos div w")).cast("int").alias("row"), (F.col("col0") + F.expr("pos % w")).cast("int").alias("col"), "value")
+
+
 def pair_blocks(blocks: DataFrame) -> DataFrame:
-    """blocks: raster_id, band, row0, col0, h, w, values. Whole blocks meet, not pixels."""
+    """blocks: raster_id, band, row0, col0, h, w, values. Whole blocks meet where both bands are cut alike. Blocks that
+    have no twin, since their bands are cut into other tiles, meet pixel by pixel and come as blocks of 1 by 1. Pixels
+    that only one band covers have no pair."""
     of = lambda b: F.max(F.when(F.col("band") == b, F.col("values"))).alias(b)
-    return blocks.groupBy("raster_id", "row0", "col0", "h", "w").agg(of("red"), of("nir")).where("red is not null and nir is not null")
+    place = ["raster_id", "row0", "col0", "h", "w"]
+    met = blocks.groupBy(*place).agg(of("red"), of("nir"))
+    whole = met.where("red is not null and nir is not null")
+    single = met.where("red is null or nir is null").withColumn("band", F.when(F.col("red").isNull(), "nir").otherwise("red")).withColumn("values", F.coalesce("red", "nir"))
+    one = F.lit(1)
+    cells = pair_pixels(block_pixels(single)).select("raster_id", F.col("row").alias("row0"), F.col("col").alias("col0"), one.alias("h"), one.alias("w"), F.array("red").alias("red"), F.array("nir").alias("nir"))
+    return whole.unionByName(cells)
 
 
 def explode_blocks(pairs: DataFrame) -> DataFrame:
@@ -28,11 +42,23 @@ def explode_blocks(pairs: DataFrame) -> DataFrame:
     return flat.select("raster_id", (F.col("row0") + F.expr("pos div w")).cast("int").alias("row"), (F.col("col0") + F.expr("pos % w")).cast("int").alias("col"), F.col("v.red").alias("red"), F.col("v.nir").alias("nir"))
 
 
-def mismatched_grids(grid: DataFrame) -> DataFrame:
-    """grid: raster_id, band, width, height. Rasters whose bands differ in width or height."""
+def grids(grid: DataFrame) -> DataFrame:
+    """grid: raster_id, band, width, height. A row per raster with both bands' sides."""
     of = lambda b, c: F.max(F.when(F.col("band") == b, F.col(c)))
-    both = grid.groupBy("raster_id").agg(*[of(b, c).alias(f"{b}_{c}") for b in ("red", "nir") for c in ("width", "height")])
-    return both.where("red_width <> nir_width or red_height <> nir_height")
+    return grid.groupBy("raster_id").agg(*[of(b, c).alias(f"{b}_{c}") for b in ("red", "nir") for c in ("width", "height")])
+
+
+_ALIKE = "red_width = nir_width and red_height = nir_height"
+
+
+def mismatched_grids(grid: DataFrame) -> DataFrame:
+    """Rasters whose bands differ in width or height; a band that the grid lacks differs from any."""
+    return grids(grid).where(f"not coalesce({_ALIKE}, false)")
+
+
+def matched_grids(grid: DataFrame) -> DataFrame:
+    """raster_id, width, height of all other rasters."""
+    return grids(grid).where(_ALIKE).select("raster_id", F.col("red_width").alias("width"), F.col("red_height").alias("height"))
 
 
 def windows(frames: DataFrame) -> DataFrame:
@@ -48,12 +74,13 @@ def crop(pixels: DataFrame, work: DataFrame, on: str = "raster_id") -> DataFrame
     return pixels.join(work, on).where(inside)
 
 
-def crop_blocks(pairs: DataFrame, work: DataFrame, on: str = "raster_id") -> DataFrame:
-    """Pixels of paired blocks inside the window: blocks beside it go before anything is exploded."""
-    win = F.col("window")
+def crop_blocks(blocks: DataFrame, work: DataFrame, on: str = "raster_id") -> DataFrame:
+    """Pixels of both bands inside the window, from unpaired blocks: blocks beside every window of their raster go by a
+    semi-join before anything is paired or exploded, so only what is cropped is shuffled."""
+    win = F.col("_w.window")
     over = (F.col("row0") < win["row_off"] + win["height"]) & (F.col("row0") + F.col("h") > win["row_off"]) & (F.col("col0") < win["col_off"] + win["width"]) & (F.col("col0") + F.col("w") > win["col_off"])
-    near = pairs.join(work, on).where(over).select(on, "row0", "col0", "h", "w", "red", "nir")
-    return crop(explode_blocks(near), work, on)
+    near = blocks.alias("_b").join(work.alias("_w"), (F.col(f"_b.{on}") == F.col(f"_w.{on}")) & over, "left_semi")
+    return crop(explode_blocks(pair_blocks(near)), work, on)
 
 
 def ndvi(pixels: DataFrame, clip: bool = True) -> DataFrame:

@@ -29,13 +29,47 @@ def checked(requests: DataFrame) -> DataFrame:
     return requests.withColumns({"error": error, "start_day": M.day(F.col("start_date")), "end_day": M.day(F.col("end_date"))})
 
 
+#: What a request keeps on its way through the search, and what a scene keeps.
+REQUEST_FIELDS = ("request_id", "crop_fraction", "max_cloud_cover", "preferred_scene_id")
+SCENE_FIELDS = ("scene_id", "datetime", "cloud_cover")
+#: Requests of up to so many months are looked up by month, longer ones by year.
+MOST_MONTHS = 24
+
+
+def periods(start: Column, end: Column) -> Column:
+    """The months that a request touches, or its years if it is long. NULL days and reversed ones have none."""
+    first, last = F.trunc(start, "month"), F.trunc(end, "month")
+    months = F.transform(F.sequence(first, last, F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyy-MM"))
+    years = F.transform(F.sequence(F.year(start), F.year(end)), lambda y: F.lpad(y.cast("string"), 4, "0"))
+    return F.when(start <= end, F.when(F.months_between(last, first) < MOST_MONTHS, months).otherwise(years))
+
+
 def found_items(requests: DataFrame, items: DataFrame) -> DataFrame:
-    """Valid requests with their scenes of the collections, tile and days. The tile is an equi-join key, taken from
-    the id; Spark broadcasts the requests where they are small and shuffles by tile where they are not."""
-    wanted = checked(requests).where("error is null").withColumn("_key", F.upper("tile")).withColumnRenamed("tile", "request_tile")
-    keyed = in_collections(items).withColumn("cloud_cover", M.cloud_cover(F.col("properties"))).withColumn("_key", F.explode(M.tile_keys(F.col("scene_id"))))
-    near = in_days(F.col("datetime"), F.col("start_day"), F.col("end_day"))
-    return keyed.join(wanted, "_key").where(near & M.like_tile(F.col("scene_id"), F.col("request_tile"))).drop("_key")
+    """Valid requests with their scenes of the collections, tile and days: REQUEST_FIELDS and SCENE_FIELDS only; the
+    scene's wide columns are joined back where they are needed, see described().
+
+    The join is on (tile, month), the tile taken from the id, so a scene meets the requests of its month, not all of its
+    tile's; days and id pattern are tested afterwards. A tile that is not five plain characters (shorter, longer, or with a
+    wildcard) cannot be taken from an id: such requests meet the scenes of their months by the id pattern alone."""
+    wanted = checked(requests).where("error is null")
+    wanted = wanted.select(*REQUEST_FIELDS, F.upper("tile").alias("_tile"), "start_day", "end_day", F.explode(periods(F.col("start_day"), F.col("end_day"))).alias("_period"))
+    scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"))
+    at = F.col("datetime")
+    dated = scenes.withColumn("_period", F.explode(F.array(F.date_format(at, "yyyy-MM"), F.date_format(at, "yyyy"))))
+    keyed = dated.withColumn("_tile", F.explode(M.tile_keys(F.col("scene_id"))))
+    plain = M.is_plain_tile(F.col("_tile"))
+    by_tile = keyed.join(wanted.where(plain), ["_tile", "_period"])
+    by_month = dated.join(wanted.where(~plain), "_period")
+    near = in_days(at, F.col("start_day"), F.col("end_day")) & M.like_tile(F.col("scene_id"), F.col("_tile"))
+    return by_tile.where(near).select(*REQUEST_FIELDS, *SCENE_FIELDS).unionByName(by_month.where(near).select(*REQUEST_FIELDS, *SCENE_FIELDS))
+
+
+def described(found: DataFrame, items: DataFrame) -> DataFrame:
+    """found with the scenes' other columns. A scene listed several times under one id and time counts once per request."""
+    wide = in_collections(items).withColumnsRenamed({"scene_id": "_scene", "datetime": "_at"})
+    joined = found.join(wide, (F.col("scene_id") == F.col("_scene")) & (F.col("datetime") == F.col("_at"))).drop("_scene", "_at")
+    one = Window.partitionBy("request_id", "scene_id", "datetime").orderBy("raster_id", "collection")
+    return joined.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
 
 
 def candidates(found: DataFrame) -> DataFrame:
@@ -51,15 +85,13 @@ def counts(requests: DataFrame, found: DataFrame) -> DataFrame:
 
 def pick(found: DataFrame) -> DataFrame:
     """One row per request that has candidates: the preferred scene if it is among them, else the one of least
-    cloud cover (NaN last), else of least id. A grouped minimum, combined before the shuffle; no sort."""
+    cloud cover (NaN last), else of least id. A grouped minimum over narrow rows, combined before the shuffle."""
     preferred = F.coalesce(F.col("scene_id") == F.col("preferred_scene_id"), F.lit(False))
-    order = F.struct((~preferred).alias("other"), "cloud_cover", "scene_id")
-    row = F.struct(*[c for c in found.columns if c != "request_id"])
-    best = candidates(found).groupBy("request_id").agg(F.min_by(row, order).alias("s"), F.max(preferred).alias("_has"))
-    wanted = F.col("s.preferred_scene_id")
+    order = F.struct((~preferred).alias("other"), "cloud_cover", "scene_id", "datetime", "crop_fraction", "max_cloud_cover", "preferred_scene_id")
+    best = candidates(found).select("request_id", order.alias("s")).groupBy("request_id").agg(F.min("s").alias("s"))
     # An empty preferred id is none.
-    reason = F.when(F.col("_has"), "preferred").when(F.coalesce(wanted, F.lit("")) != "", "fallback").otherwise("lowest_cloud")
-    return best.select("request_id", "s.*", reason.alias("reason"))
+    reason = F.when(~F.col("s.other"), "preferred").when(F.coalesce("s.preferred_scene_id", F.lit("")) != "", "fallback").otherwise("lowest_cloud")
+    return best.select("request_id", "s.*", reason.alias("reason")).drop("other")
 
 
 def capped(found: DataFrame, most: int = 500) -> DataFrame:

@@ -25,25 +25,46 @@ def name(point: float) -> str:
     return f"p{round(point * 100)}"
 
 
-def scaled_percentiles(values: DataFrame, by: str = "raster_id", points: tuple[float, ...] = PERCENTILES) -> DataFrame:
-    """The same numbers without a large state: a histogram over the index' fixed range tells in which bins the
-    wanted ranks lie (two for a rank between two values), and only those bins' values are counted and ranked. A
-    value that fills a bin is one row with a count."""
+def binned(values: DataFrame, by: str) -> DataFrame:
+    """by, v, bin of the index' fixed range; holes have no bin."""
     v = F.col("ndvi").cast("double")
-    bins = values.where("ndvi is not null").select(by, v.alias("v"), F.least(F.lit(BINS - 1), F.floor((v + 1) / 2 * BINS)).cast("int").alias("bin"))
-    counts = bins.groupBy(by, "bin").agg(F.count("*").alias("n"))  # BINS rows a scene at most
+    return values.select(by, v.alias("v"), F.when(v.isNotNull(), F.least(F.lit(BINS - 1), F.floor((v + 1) / 2 * BINS))).cast("int").alias("bin"))
+
+
+def histogram(values: DataFrame, by: str) -> DataFrame:
+    """Counts, extremes and sums by bin, BINS + 1 rows a scene at most; one pass serves summary and percentiles."""
+    return binned(values, by).groupBy(by, "bin").agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"), F.sum("v").alias("sum"))
+
+
+def ranked_values(values: DataFrame, counts: DataFrame, by: str, points: tuple[float, ...]) -> DataFrame:
+    """by, and a column per point. The histogram tells in which bins the wanted ranks lie (two for a rank between two
+    values), and only those bins' values are counted and ranked. A value that fills a bin is one row with a count."""
+    counts = counts.where("bin is not null")
     run = Window.partitionBy(by).orderBy("bin")
-    ranked = counts.select(by, "bin", "n", (F.sum("n").over(run) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy(by)).alias("total"))
+    whole = run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ranked = counts.select(by, "bin", "n", (F.sum("n").over(run) - F.col("n")).alias("before"), F.sum("n").over(whole).alias("total"))
     ranks = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(side).alias("side"), getattr(F, side)((F.col("total") - 1) * F.lit(p)).alias("rank"), ((F.col("total") - 1) * F.lit(p) - F.floor((F.col("total") - 1) * F.lit(p))).alias("part")) for i, p in enumerate(points) for side in ("floor", "ceil")])
-    wanted = ranked.select(by, "bin", "before", "n", F.explode(ranks).alias("r")).where("r.rank >= before and r.rank < before + n").select(by, "bin", "before", "r.*")
-    own = bins.join(wanted.select(by, "bin", "before").distinct(), [by, "bin"]).groupBy(by, "bin", "before", "v").agg(F.count("*").alias("n"))
-    inside = Window.partitionBy(by, "bin").orderBy("v")
-    placed = own.select(by, "bin", "v", "n", (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("from"))
-    hit = placed.join(wanted.drop("before"), [by, "bin"]).where(F.col("rank").between(F.col("from"), F.col("from") + F.col("n") - 1))
+    inside = F.filter(ranks, lambda r: (r["rank"] >= F.col("before")) & (r["rank"] < F.col("before") + F.col("n")))
+    wanted = ranked.select(by, "bin", "before", inside.alias("ranks")).where(F.size("ranks") > 0)
+    own = binned(values, by).join(wanted, [by, "bin"]).groupBy(by, "bin", "before", "ranks", "v").agg(F.count("*").alias("n"))
+    placed = own.withColumn("from", F.col("before") + F.sum("n").over(Window.partitionBy(by, "bin").orderBy("v")) - F.col("n"))
+    hit = placed.select(by, "v", F.explode(F.filter("ranks", lambda r: (r["rank"] >= F.col("from")) & (r["rank"] < F.col("from") + F.col("n")))).alias("r")).select(by, "v", "r.*")
     side = lambda i, s: F.max(F.when((F.col("i") == i) & (F.col("side") == s), F.col("v")))
     part = lambda i: F.max(F.when(F.col("i") == i, F.col("part")))
     return hit.groupBy(by).agg(*[(side(i, "floor") + (side(i, "ceil") - side(i, "floor")) * part(i)).alias(name(p)) for i, p in enumerate(points)])
 
 
+def scaled_percentiles(values: DataFrame, by: str = "raster_id", points: tuple[float, ...] = PERCENTILES) -> DataFrame:
+    """The same numbers as percentiles(), without a large state."""
+    return ranked_values(values, histogram(values, by), by, points)
+
+
 def full_summary(values: DataFrame, by: str = "raster_id") -> DataFrame:
-    return summary(values, by).join(scaled_percentiles(values, by), by, "left")
+    """What summary() and scaled_percentiles() give together. The histogram is folded for the first and ranked for the
+    second; Spark computes it once."""
+    counts = histogram(values, by)
+    whole = counts.groupBy(by).agg(
+        F.sum("n").alias("n_pixels"), F.coalesce(F.sum(F.when(F.col("bin").isNotNull(), F.col("n"))), F.lit(0)).alias("n_valid"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("sum").alias("sum"),
+    )
+    whole = whole.withColumn("mean", F.col("sum") / F.nullif("n_valid", F.lit(0))).drop("sum")
+    return whole.join(ranked_values(values, counts, by, PERCENTILES), by, "left")

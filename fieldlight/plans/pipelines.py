@@ -14,15 +14,15 @@ STATUSES = ("bad_date", "bad_crop", "bad_cloud_cap", "no_items", "no_candidates"
 
 def manifest(requests: DataFrame, items: DataFrame) -> DataFrame:
     """The picked scene of each request with bands, projection, links and crop box, and its error if any."""
-    chosen = scenes.resolved(scenes.pick(scenes.found_items(requests, items)))
+    chosen = scenes.resolved(scenes.described(scenes.pick(scenes.found_items(requests, items)), items))
     return chosen.withColumns({"box": crop_box(F.col("bbox"), F.col("crop_fraction")), "scene_error": scenes.scene_error()})
 
 
 def work(chosen: DataFrame, grid: DataFrame) -> DataFrame:
-    """request_id, raster_id, window of manifest rows without an error, on rasters whose bands agree."""
-    ready = chosen.where("scene_error is null").select("request_id", "raster_id", F.col("crop_fraction").alias("fraction"))
-    agree = grid.where("band = 'red'").select("raster_id", "width", "height").join(raster.mismatched_grids(grid), "raster_id", "left_anti")
-    return raster.windows(ready.join(agree, "raster_id")).select("request_id", "raster_id", "window")
+    """request_id, raster_id, scene_id, tile, datetime, window of manifest rows without an error, on rasters whose bands agree."""
+    ready = chosen.where("scene_error is null").select("request_id", "raster_id", "scene_id", "tile", "datetime", F.col("crop_fraction").alias("fraction"))
+    agree = raster.matched_grids(grid)
+    return raster.windows(ready.join(agree, "raster_id")).select("request_id", "raster_id", "scene_id", "tile", "datetime", "window")
 
 
 def window_values(todo: DataFrame, pixels: DataFrame) -> DataFrame:
@@ -31,9 +31,17 @@ def window_values(todo: DataFrame, pixels: DataFrame) -> DataFrame:
     return raster.ndvi(raster.crop(pixels, crops)).withColumn("crop", F.struct("raster_id", "window"))
 
 
+def rasters(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataFrame) -> DataFrame:
+    """label (named from the scene's id), tile, month, row, col, ndvi: the rasters of the picked scenes, a scene and
+    window once; what sources.tables.write_raster stores."""
+    todo = work(manifest(requests, items), grid).select("scene_id", "raster_id", "tile", F.date_format("datetime", "yyyy-MM").alias("month"), "window").distinct()
+    values = raster.ndvi(raster.crop(pixels, todo)).select("scene_id", "tile", "month", "row", "col", "ndvi")
+    return raster.labelled(values.distinct(), "scene_id").drop("scene_id")
+
+
 def report(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataFrame) -> DataFrame:
     """One row per request whose scene has valid pixels in its window: counts, extremes, mean, percentiles."""
-    todo = cut(work(manifest(requests, items), grid), "work")
+    todo = cut(work(manifest(requests, items), grid).select("request_id", "raster_id", "window"), "work")
     # The cropped values are read by every statistic; pixels outside the windows are read once.
     values = cut(window_values(todo, pixels).select("crop", "ndvi"), "values")
     stats = summary.full_summary(values, "crop").where("n_valid > 0")
@@ -42,11 +50,10 @@ def report(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataF
 
 def status(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataFrame) -> DataFrame:
     """request_id and the first check that fails, in the order a single run would meet them."""
-    needed = ["request_id", "scene_id", "raster_id", "properties", "assets", "cloud_cover", "max_cloud_cover", "preferred_scene_id", "crop_fraction"]
-    found = cut(scenes.found_items(requests, items).select(*needed), "found")
-    chosen = scenes.resolved(scenes.pick(found)).withColumn("scene_error", scenes.scene_error())
-    chosen = cut(chosen.select("request_id", "raster_id", "crop_fraction", "scene_error"), "chosen")
-    todo = cut(work(chosen, grid), "work")
+    found = cut(scenes.found_items(requests, items), "found")
+    chosen = scenes.resolved(scenes.described(scenes.pick(found), items)).withColumn("scene_error", scenes.scene_error())
+    chosen = cut(chosen.select("request_id", "raster_id", "scene_id", "tile", "datetime", "crop_fraction", "scene_error"), "chosen")
+    todo = cut(work(chosen, grid).select("request_id", "raster_id", "window"), "work")
     # Only counts of the pixels are needed, of distinct crops.
     valid = window_values(todo, pixels).where("ndvi is not null").select("crop").distinct()
     with_pixels = todo.select("request_id", F.struct("raster_id", "window").alias("crop")).join(valid, "crop", "left_semi").select("request_id", F.lit(True).alias("has_pixels"))

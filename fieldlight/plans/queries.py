@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from fieldlight.functions import metadata as M
 from fieldlight.operators import raster, scenes, summary
 from fieldlight.plans import pipelines
-from fieldlight.sources import derived, tables
+from fieldlight.sources import derived, staging, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 CELL = 8
 WINDOW = (3, 2, 9, 11)
+DAYS = ("1996-02-01", "1996-03-15")
 
 
 def query(f: Query) -> Query:
@@ -47,6 +48,14 @@ def catalog_scan(spark, d):
     return it.select("scene_id", "collection", "tile", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("seen"), "properties", "assets", "raster_id")
 
 
+@query
+def catalog_search(spark, d):
+    """Through files: written as a catalogue, read with the filters on collection and days."""
+    path = staging.scratch(spark, "catalogue")
+    tables.write_catalog(derived.items(spark, d), path)
+    return tables.search_catalog(spark, path, *DAYS).select("scene_id", "collection", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("seen"), "raster_id")
+
+
 @query
 def band_window_read(spark, d):
     near = tables.read_window(derived.blocks(spark, d), *WINDOW)
@@ -62,6 +71,14 @@ def ndvi_raster(spark, d):
     return values.select("label", "row", "col", _r("ndvi"))
 
 
+@query
+def raster_files(spark, d):
+    """Through files: the picked scenes' rasters, written by tile and month and read back."""
+    path = staging.scratch(spark, "rasters")
+    tables.write_raster(pipelines.rasters(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d)), path)
+    return tables.read_raster(spark, path).select("label", "tile", "month", "row", "col", _r("ndvi"))
+
+
 @query
 def ndvi_summary(spark, d):
     s = summary.full_summary(raster.ndvi(derived.pixels(spark, d)))
@@ -87,7 +104,7 @@ def filter_collection(spark, d):
 @query
 def filter_dates(spark, d):
     day = lambda s: F.lit(s).cast("date")
-    return derived.items(spark, d).where(scenes.in_days(F.col("datetime"), day("1996-02-01"), day("1996-03-15"))).select("scene_id")
+    return derived.items(spark, d).where(scenes.in_days(F.col("datetime"), *map(day, DAYS))).select("scene_id")
 
 
 @query
@@ -132,6 +149,12 @@ def pair_bands(spark, d):
     return px.select("raster_id", "row", "col", _r("red"), _r("nir"))
 
 
+@query
+def pair_tilings(spark, d):
+    px = raster.explode_blocks(raster.pair_blocks(derived.tiled_blocks(spark, d)))
+    return px.select("raster_id", "row", "col", _r("red"), _r("nir"))
+
+
 @query
 def grid_mismatch(spark, d):
     return raster.mismatched_grids(derived.grid(spark, d)).select("raster_id", "red_width", "nir_width", "red_height", "nir_height")
@@ -142,12 +165,21 @@ def crop_pixels(spark, d):
     return raster.crop(derived.pixels(spark, d), _default_work(spark, d)).select("raster_id", "row", "col", "red", "nir")
 
 
+def _block_work(blocks: DataFrame) -> DataFrame:
+    frame = blocks.select("raster_id").distinct().select("raster_id", F.lit(16).alias("width"), F.lit(16).alias("height"), F.lit(0.3).alias("fraction"))
+    return raster.windows(frame).select("raster_id", "window")
+
+
 @query
 def crop_blocks(spark, d):
-    pairs = raster.pair_blocks(derived.blocks(spark, d))
-    frame = pairs.select("raster_id").distinct().select("raster_id", F.lit(16).alias("width"), F.lit(16).alias("height"), F.lit(0.3).alias("fraction"))
-    px = raster.crop_blocks(pairs, raster.windows(frame).select("raster_id", "window"))
-    return px.select("raster_id", "row", "col", _r("red"), _r("nir"))
+    blocks = derived.blocks(spark, d)
+    return raster.crop_blocks(blocks, _block_work(blocks)).select("raster_id", "row", "col", _r("red"), _r("nir"))
+
+
+@query
+def crop_tilings(spark, d):
+    blocks = derived.tiled_blocks(spark, d)
+    return raster.crop_blocks(blocks, _block_work(blocks)).select("raster_id", "row", "col", _r("red"), _r("nir"))
 
 
 @query

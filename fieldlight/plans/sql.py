@@ -6,7 +6,7 @@ from __future__ import annotations
 def _asset(key: str, band: str) -> str:
     own = """CASE WHEN k % 6 = 3 THEN ',"proj:epsg":' || z ELSE '' END""" if band == "nir" else """CASE WHEN k % 6 = 5 THEN ',"proj:code":"EPSG:' || z || '"' ELSE '' END"""
     alternate = f"""CASE WHEN k % 7 = 5 THEN ',"alternate":{{"https":{{"href":"https://example.org/' || scene_id || '/{key}.jp2"}}}}' WHEN k % 7 = 6 THEN ',"alternate":{{"https":{{"href":""}}}}' ELSE '' END"""
-    return f"""('"{key}":{{"href":"s3://eodata/' || scene_id || '/{key}.jp2"' || {alternate} || {own} || '}}')"""
+    return f"""('"{key}":{{"href":"s3://example-scenes/' || scene_id || '/{key}.jp2"' || {alternate} || {own} || '}}')"""
 
 
 _P1, _P2, _P3, _P4 = (f"{_asset(r, 'red')} || ',' || {_asset(n, 'nir')}" for r, n in (("B04", "B08"), ("red", "nir"), ("B04_10m", "B08_10m"), ("B04", "nir")))
@@ -44,11 +44,16 @@ cells AS (SELECT raster_id, band, row0 + i // 8 AS "row", col0 + i % 8 AS col, v
 pairs AS (SELECT raster_id, "row", col, max(value) FILTER (band = 'red') AS red, max(value) FILTER (band = 'nir') AS nir FROM cells GROUP BY 1, 2, 3
   HAVING count(*) FILTER (band = 'red') > 0 AND count(*) FILTER (band = 'nir') > 0)"""
 
+TILED = """
+blocks AS (SELECT vec_id // 8 AS raster_id, vec_id // 2 % 4 AS part, vec_id % 2 = 1 AND vec_id // 8 % 3 = 1 AS other, CASE WHEN vec_id % 2 = 0 THEN 'red' ELSE 'nir' END AS band, embedding AS vals FROM embeddings),
+cells AS (SELECT raster_id, band, (CASE WHEN other THEN part * 4 + i // 16 ELSE part // 2 * 8 + i // 8 END)::INT AS "row", (CASE WHEN other THEN i % 16 ELSE part % 2 * 8 + i % 8 END)::INT AS col, vals[i + 1] AS value FROM blocks, (SELECT unnest(range(64)) AS i)),
+pairs AS (SELECT raster_id, "row", col, max(value) FILTER (band = 'red') AS red, max(value) FILTER (band = 'nir') AS nir FROM cells GROUP BY 1, 2, 3
+  HAVING count(*) FILTER (band = 'red') > 0 AND count(*) FILTER (band = 'nir') > 0)"""
+
 REQUESTS = """
-months AS (SELECT (n_nationkey * 80 + m)::BIGINT AS request_id, n_nationkey AS n, (10 + n_nationkey)::VARCHAR || 'STJ' AS own, (1995 + m // 12)::VARCHAR || '-' || lpad((m % 12 + 1)::VARCHAR, 2, '0') AS mon
-  FROM nation, (SELECT unnest(range(80)) AS m)),
+months AS (SELECT c_custkey AS request_id, c_nationkey AS n, (10 + c_nationkey)::VARCHAR || 'STJ' AS own, strftime(DATE '1995-01-01' + to_months((c_custkey % 80)::INT), '%Y-%m') AS mon FROM customer),
 last_of AS (SELECT tile, strftime(ts, '%Y-%m') AS mon, max(scene_id) AS last_id FROM items GROUP BY 1, 2),
-requests AS (SELECT request_id, CASE WHEN n = 24 THEN '99ZZZ' WHEN request_id % 4 = 0 THEN lower(own) ELSE own END AS tile, months.mon || '-01' AS start_date,
+requests AS (SELECT request_id, CASE WHEN n = 24 THEN '99ZZZ' WHEN request_id % 41 = 0 THEN left(own, 4) WHEN request_id % 43 = 0 THEN left(own, 1) || '_' || own[3:] WHEN request_id % 4 = 0 THEN lower(own) ELSE own END AS tile, months.mon || '-01' AS start_date,
     CASE WHEN request_id % 101 = 0 THEN 'bad' ELSE months.mon || '-28' END AS end_date, CASE WHEN request_id % 89 = 0 THEN 0.0 WHEN request_id % 5 = 0 THEN 0.5 ELSE 0.12 END::DOUBLE AS crop_fraction,
     CASE WHEN request_id % 97 = 0 THEN 150.0 WHEN request_id % 7 = 0 THEN NULL ELSE 10.0 END::DOUBLE AS cap,
     CASE WHEN request_id % 3 = 0 THEN last_id WHEN request_id % 3 = 1 THEN 'none' END AS preferred
@@ -95,12 +100,15 @@ _BOX = lambda f: f"""CASE WHEN len(bbox) = 4 THEN round((bbox[1] + bbox[3]) / 2
 _PERCENTILES = f"WITH {NDVI} SELECT raster_id, round(quantile_cont(v, 0.1), 6) AS p10, round(quantile_cont(v, 0.5), 6) AS p50, round(quantile_cont(v, 0.9), 6) AS p90 FROM ndvi WHERE v IS NOT NULL GROUP BY 1"
 _WORK = f"""
 grids AS (SELECT s_suppkey AS raster_id, 64 AS width, 64 AS height FROM supplier WHERE s_suppkey % 9 <> 4),
-todo AS (SELECT request_id, raster_id, {_window('width', 'height', 'crop_fraction')} FROM judged JOIN grids USING (raster_id) WHERE scene_error IS NULL)"""
+todo AS (SELECT request_id, raster_id, scene_id, tile, ts, {_window('width', 'height', 'crop_fraction')} FROM judged JOIN grids USING (raster_id) WHERE scene_error IS NULL)"""
 
 ORACLE_SQL: dict[str, str] = {
     "catalog_scan": f"WITH {ITEMS} SELECT scene_id, collection, tile, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen, properties, assets, raster_id FROM items",
+    "catalog_search": f"WITH {ITEMS} SELECT scene_id, collection, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen, raster_id FROM items WHERE ts >= DATE '1996-02-01' AND ts < DATE '1996-03-16' AND collection = 'sentinel-2-l2a'",
     "band_window_read": f"""WITH {BLOCKS} SELECT raster_id, band, "row", col, round(value::DOUBLE, 6) AS value FROM cells WHERE "row" BETWEEN 3 AND 11 AND col BETWEEN 2 AND 12""",
     "ndvi_raster": f"""WITH {NDVI}, {_DEFAULT} SELECT 'ndvi_' || raster_id AS label, "row", col, round(v, 6) AS ndvi FROM ndvi JOIN wins USING (raster_id) WHERE {_INSIDE}""",
+    "raster_files": f"""WITH {ITEMS}, {REQUESTS}, {FOUND}, {NDVI}, {_resolved('picked')}, {_WORK}
+SELECT DISTINCT 'ndvi_' || scene_id AS label, tile, strftime(ts, '%Y-%m') AS month, "row", col, round(v, 6) AS ndvi FROM todo JOIN ndvi USING (raster_id) WHERE {_INSIDE}""",
     "ndvi_summary": f"WITH {NDVI} SELECT raster_id, {_STATS} FROM ndvi GROUP BY 1",
     "validate_dates": f"WITH {ITEMS}, {REQUESTS} SELECT request_id, strftime(s, '%Y%m%d') AS start_day, strftime(e, '%Y%m%d') AS end_day FROM checked",
     "validate_requests": f"WITH {ITEMS}, {REQUESTS} SELECT request_id, error FROM checked",
@@ -113,9 +121,11 @@ ORACLE_SQL: dict[str, str] = {
     "request_candidates": f"WITH {ITEMS}, {REQUESTS}, {FOUND} SELECT request_id, scene_id, round(cloud, 6) AS cloud_cover FROM cands",
     "requests_unmatched": f"WITH {ITEMS}, {REQUESTS}, {FOUND} SELECT request_id, CASE WHEN n_items = 0 THEN 'no_items' ELSE 'no_candidates' END AS status FROM counts JOIN checked USING (request_id) WHERE error IS NULL AND n_candidates = 0",
     "pair_bands": f"""WITH {BLOCKS} SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs""",
+    "pair_tilings": f"""WITH {TILED} SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs""",
     "grid_mismatch": "SELECT s_suppkey AS raster_id, 64 AS red_width, 32 AS nir_width, 64 AS red_height, 64 AS nir_height FROM supplier WHERE s_suppkey % 9 = 4",
     "crop_pixels": f"""WITH {PIXELS}, {_DEFAULT} SELECT raster_id, "row", col, red, nir FROM pixels JOIN wins USING (raster_id) WHERE {_INSIDE}""",
     "crop_blocks": f"""WITH {BLOCKS}, wins AS (SELECT {_window("16", "16", "0.3::DOUBLE")}) SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs, wins WHERE {_INSIDE}""",
+    "crop_tilings": f"""WITH {TILED}, wins AS (SELECT {_window("16", "16", "0.3::DOUBLE")}) SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs, wins WHERE {_INSIDE}""",
     "candidate_counts": f"WITH {ITEMS}, {REQUESTS}, {FOUND} SELECT request_id, n_items, n_candidates FROM counts",
     "ndvi_percentiles": _PERCENTILES,
     "ndvi_percentiles_scaled": _PERCENTILES,

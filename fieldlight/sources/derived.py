@@ -22,7 +22,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A scene catalogue: an order is a scene, its customer's nation the tile."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     rows = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), orders["o_custkey"] == F.col("c_custkey"))
-    rasters = table(spark, sf_dir, "supplier").count()
+    rasters = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
     k, n, d = F.col("o_orderkey"), F.col("c_nationkey"), F.col("o_orderdate")
     tile = F.concat((n + 10).cast("string"), F.lit("STJ"))
     scene = F.concat(
@@ -45,7 +45,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     def asset(key: str, band: str) -> Column:
         other = F.when(k % 7 == 5, F.concat(alternate, scene, F.lit(f'/{key}.jp2"}}}}'))).when(k % 7 == 6, F.concat(alternate, F.lit('"}}'))).otherwise("")
         own = F.when(k % 6 == 3, F.concat(F.lit(',"proj:epsg":'), z)).otherwise("") if band == "nir" else F.when(k % 6 == 5, F.concat(F.lit(',"proj:code":"EPSG:'), z, F.lit('"'))).otherwise("")
-        return F.concat(F.lit(f'"{key}":{{"href":"s3://eodata/'), scene, F.lit(f'/{key}.jp2"'), other, own, F.lit("}"))
+        return F.concat(F.lit(f'"{key}":{{"href":"s3://example-scenes/'), scene, F.lit(f'/{key}.jp2"'), other, own, F.lit("}"))
 
     pairs = {p: F.concat_ws(",", asset(p[0], "red"), asset(p[1], "nir")) for p in (("B04", "B08"), ("red", "nir"), ("B04_10m", "B08_10m"), ("B04", "nir"))}
     first, second, third, half = pairs.values()
@@ -79,17 +79,30 @@ def blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tiled_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """blocks() with the NIR band of every third raster cut into four bands of 4 by 16 instead."""
+    part = F.expr("vec_id div 2 % 4").cast("int")
+    other = (F.col("vec_id") % 2 == 1) & (F.expr("vec_id div 8") % 3 == 1)
+    v = table(spark, sf_dir, "embeddings")
+    return v.select(
+        F.expr("vec_id div 8").alias("raster_id"), F.when(F.col("vec_id") % 2 == 0, "red").otherwise("nir").alias("band"), F.when(other, part * 4).otherwise((F.expr("vec_id div 4 % 2") * 8).cast("int")).alias("row0"),
+        F.when(other, 0).otherwise(part % 2 * 8).alias("col0"), F.when(other, 4).otherwise(8).alias("h"), F.when(other, 16).otherwise(8).alias("w"), F.col("embedding").alias("values"),
+    )
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A request per nation and month."""
-    n, m = F.col("n_nationkey"), F.col("m")
-    months = table(spark, sf_dir, "nation").select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(79))).alias("m"))
-    ident = (n * 80 + m).cast("long")
-    tile = F.concat((n + 10).cast("string"), F.lit("STJ"))
-    month = F.concat((F.lit(1995) + F.expr("m div 12")).cast("string"), F.lit("-"), F.lpad((m % 12 + 1).cast("string"), 2, "0"))
-    base = months.select(
-        ident.alias("request_id"), F.when(n == 24, "99ZZZ").when(ident % 4 == 0, F.lower(tile)).otherwise(tile).alias("tile"), F.concat(month, F.lit("-01")).alias("start_date"),
+    """A request per customer, for its nation's tile and one of 80 months. Some name a tile by a wildcard or by its first
+    four characters, for which the id pattern stands as well."""
+    ident, n = F.col("c_custkey"), F.col("c_nationkey")
+    m = (ident % 80).cast("int")
+    own = F.concat((n + 10).cast("string"), F.lit("STJ"))
+    month = F.date_format(F.add_months(F.lit("1995-01-01").cast("date"), m), "yyyy-MM")
+    wild = F.concat(F.substring(own, 1, 1), F.lit("_"), F.substring(own, 3, 3))
+    tile = F.when(n == 24, "99ZZZ").when(ident % 41 == 0, F.substring(own, 1, 4)).when(ident % 43 == 0, wild).when(ident % 4 == 0, F.lower(own)).otherwise(own)
+    base = table(spark, sf_dir, "customer").select(
+        ident.alias("request_id"), tile.alias("tile"), F.concat(month, F.lit("-01")).alias("start_date"),
         F.when(ident % 101 == 0, "bad").otherwise(F.concat(month, F.lit("-28"))).alias("end_date"), F.when(ident % 89 == 0, 0.0).when(ident % 5 == 0, 0.5).otherwise(0.12).alias("crop_fraction"),
-        F.when(ident % 97 == 0, 150.0).when(ident % 7 == 0, None).otherwise(10.0).alias("max_cloud_cover"), tile.alias("_tile"), month.alias("_month"),
+        F.when(ident % 97 == 0, 150.0).when(ident % 7 == 0, None).otherwise(10.0).alias("max_cloud_cover"), own.alias("_tile"), month.alias("_month"),
     )
     best = items(spark, sf_dir).groupBy(F.col("tile").alias("_tile"), F.date_format("datetime", "yyyy-MM").alias("_month")).agg(F.max("scene_id").alias("_last"))
     preferred = F.when(F.col("request_id") % 3 == 0, F.col("_last")).when(F.col("request_id") % 3 == 1, "none")

@@ -1,4 +1,7 @@
-"""Tables between the steps of a job, in the folder that all executors share."""
+"""Tables between the steps of a job, in the folder that all executors share.
+
+They lie in a folder per application there. A table may be read for as long as any result of the application is, so
+nothing is removed while it runs; once it has ended, whoever runs the cluster removes its folder."""
 
 from __future__ import annotations
 
@@ -11,21 +14,28 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share, as spark.checkpoint.dir names it. Only where that is unset
-    (tests, one machine) a temporary folder is made and removed at the end of the process."""
+    """The folder all executors share, as spark.checkpoint.dir names it. Where that is unset and everything runs on this
+    machine (tests), a temporary folder is made and removed at the end of the process; on a cluster it must be set."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     named = named or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         local = tempfile.mkdtemp(prefix="spark-shared-")
         atexit.register(shutil.rmtree, local, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(named := f"file://{local}")
     return named
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there, what follows may read it often,
     and a lost executor costs no recomputation of what lies before."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

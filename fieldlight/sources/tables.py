@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldlight.operators.scenes import COLLECTIONS, in_collections
+
 #: One row per scene; properties and assets stay JSON text until an operator asks for a field.
 ITEMS = T.StructType(
     [
@@ -26,11 +28,30 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.schema(ITEMS).format(fmt).load(path)
 
 
+def write_catalog(items: DataFrame, path: str) -> None:
+    """Sorted by time within its files, so that filters on days skip row groups."""
+    items.select(*ITEMS.fieldNames()).repartitionByRange("datetime").sortWithinPartitions("datetime", "scene_id").write.mode("overwrite").parquet(path)
+
+
+def search_catalog(spark: SparkSession, path: str, start: str, end: str, names: tuple[str, ...] = COLLECTIONS, fmt: str = "parquet") -> DataFrame:
+    """Scenes of the collections between two days, the last one whole; both filters are on plain columns and reach
+    the files."""
+    at = F.col("datetime")
+    # The day's end is a constant of the column's own type, so that the comparison is pushed down.
+    after = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
+    return in_collections(read_catalog(spark, path, fmt), names).where((at >= F.lit(start).cast("timestamp_ntz")) & (at < after))
+
+
 def write_raster(ndvi: DataFrame, path: str) -> None:
-    """NDVI pixels, a folder per scene label; pixels of a scene are brought together before, so that no folder gets
-    a file from every task, and large scenes are split by row bands."""
-    dealt = ndvi.repartition("label", F.floor(F.col("row") / 1024))
-    dealt.sortWithinPartitions("label", "row", "col").write.mode("overwrite").partitionBy("label").parquet(path)
+    """NDVI pixels (label, tile, month, row, col, ndvi) in folders by tile and month, not by scene, which would be too
+    many; a scene's pixels lie together, and large scenes are split by row bands."""
+    dealt = ndvi.repartition("tile", "month", "label", F.floor(F.col("row") / 1024))
+    dealt.sortWithinPartitions("tile", "month", "label", "row", "col").write.mode("overwrite").partitionBy("tile", "month").parquet(path)
+
+
+def read_raster(spark: SparkSession, path: str) -> DataFrame:
+    """What write_raster stored; filters on tile and month skip folders."""
+    return spark.read.schema("label string, row int, col int, ndvi float, tile string, month string").parquet(path)
 
 
 def write_summary(summary: DataFrame, path: str) -> None:

@@ -1,6 +1,7 @@
 """Edge cases that the tables do not show."""
 
 import math
+import re
 
 import numpy as np
 import pytest
@@ -104,3 +105,24 @@ def test_like_needs_no_underscores(spark):
     req = spark.createDataFrame([(1, "30stj", "2025-07-01", "2025-07-31", 0.12, None, None)], "request_id long, tile string, start_date string, end_date string, crop_fraction double, max_cloud_cover double, preferred_scene_id string")
     assert [r.scene_id for r in scenes.found_items(req, items).collect()] == ["S2AxT30STJy"]
     assert [r.reason for r in scenes.pick(scenes.found_items(req, items)).collect()] == ["lowest_cloud"]
+
+
+def test_any_tile_that_the_pattern_finds(spark):
+    kind = "scene_id string, collection string, tile string, properties string, assets string, bbox array<double>, raster_id long"
+    ids = ["S2A_T30STJ_x", "S2A_T31STJ_x", "S2B_TTTTTT_x", "S2A_T30ST_x", "S2A_T30STJK_x", "S1A_T30STJ_x", "S2A_T30%TJ_x"]
+    items = spark.createDataFrame([(i, "sentinel-2-l2a", "", "{}", "{}", None, 1) for i in ids], kind).withColumn("datetime", F.lit("2025-07-31 23:00:00").cast("timestamp_ntz"))
+    tiles = ["30STJ", "30st", "30_TJ", "3_STJ", "30STJK", "STJ", "TTTTT", "_____", "30%TJ", "", "30", None]
+    rows = [(k, t, "2025-07-01" if k % 2 else "1995-01-01", "2025-07-31", 0.12, None, None) for k, t in enumerate(tiles)]
+    req = spark.createDataFrame(rows, "request_id long, tile string, start_date string, end_date string, crop_fraction double, max_cloud_cover double, preferred_scene_id string")
+    got = {(r.request_id, r.scene_id) for r in scenes.found_items(req, items).collect()}
+    pattern = lambda t: "S2.*.T" + "".join("." if c == "_" else ".*" if c == "%" else c for c in t.upper()) + "..*"
+    assert got == {(k, i) for k, t in enumerate(tiles) if t is not None for i in ids if re.fullmatch(pattern(t), i)}
+    assert scenes.found_items(req, items).count() == len(got)
+
+
+def test_described_counts_a_scene_once(spark):
+    kind = "scene_id string, collection string, tile string, properties string, assets string, bbox array<double>, raster_id long"
+    items = spark.createDataFrame([("S2A_T30STJ_x", "sentinel-2-l2a", "30STJ", "{}", "{}", None, k) for k in (2, 1)], kind).withColumn("datetime", F.lit("2025-07-31 23:00:00").cast("timestamp_ntz"))
+    req = spark.createDataFrame([(1, "30STJ", "2025-07-01", "2025-08-31", 0.12, None, "")], "request_id long, tile string, start_date string, end_date string, crop_fraction double, max_cloud_cover double, preferred_scene_id string")
+    out = scenes.described(scenes.pick(scenes.found_items(req, items)), items).collect()
+    assert [(r.scene_id, r.raster_id, r.reason) for r in out] == [("S2A_T30STJ_x", 1, "lowest_cloud")]
