@@ -41,9 +41,10 @@ def is_plain_tile(tile: Column) -> Column:
 
 
 def tile_keys(scene_id: Column) -> Column:
-    """What can match a tile of five characters in the id pattern: the characters after each T. An equi-join on
-    these keys finds all that the pattern finds; the pattern is tested again afterwards."""
-    return F.array_distinct(F.regexp_extract_all(scene_id, F.lit("(?=T(.{5}))"), F.lit(1)))
+    """The tiles of five characters for which the id pattern holds: what follows a T, with one character at least between
+    it and S2 and one behind it. For plain tiles an equi-join on these keys is the pattern, which need not be tested again."""
+    found = F.array_distinct(F.regexp_extract_all(F.substring(scene_id, 4, 1 << 30), F.lit("(?s)(?=T(.{5}).)"), F.lit(1)))
+    return F.when(scene_id.startswith("S2"), found).otherwise(F.array().cast("array<string>"))
 
 
 def asset_map(assets: Column) -> Column:

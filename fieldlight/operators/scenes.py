@@ -32,16 +32,11 @@ def checked(requests: DataFrame) -> DataFrame:
 #: What a request keeps on its way through the search, and what a scene keeps.
 REQUEST_FIELDS = ("request_id", "crop_fraction", "max_cloud_cover", "preferred_scene_id")
 SCENE_FIELDS = ("scene_id", "datetime", "cloud_cover")
-#: Requests of up to so many months are looked up by month, longer ones by year.
-MOST_MONTHS = 24
 
 
-def periods(start: Column, end: Column) -> Column:
-    """The months that a request touches, or its years if it is long. NULL days and reversed ones have none."""
-    first, last = F.trunc(start, "month"), F.trunc(end, "month")
-    months = F.transform(F.sequence(first, last, F.expr("interval 1 month")), lambda d: F.date_format(d, "yyyy-MM"))
-    years = F.transform(F.sequence(F.year(start), F.year(end)), lambda y: F.lpad(y.cast("string"), 4, "0"))
-    return F.when(start <= end, F.when(F.months_between(last, first) < MOST_MONTHS, months).otherwise(years))
+def months(start: Column, end: Column) -> Column:
+    """First days of the months from one day to another; none if they are reversed."""
+    return F.when(start <= end, F.sequence(F.trunc(start, "month"), F.trunc(end, "month"), F.expr("interval 1 month")))
 
 
 def found_items(requests: DataFrame, items: DataFrame) -> DataFrame:
@@ -49,19 +44,21 @@ def found_items(requests: DataFrame, items: DataFrame) -> DataFrame:
     scene's wide columns are joined back where they are needed, see described().
 
     The join is on (tile, month), the tile taken from the id, so a scene meets the requests of its month, not all of its
-    tile's; days and id pattern are tested afterwards. A tile that is not five plain characters (shorter, longer, or with a
-    wildcard) cannot be taken from an id: such requests meet the scenes of their months by the id pattern alone."""
-    wanted = checked(requests).where("error is null")
-    wanted = wanted.select(*REQUEST_FIELDS, F.upper("tile").alias("_tile"), "start_day", "end_day", F.explode(periods(F.col("start_day"), F.col("end_day"))).alias("_period"))
+    tile's; days are tested afterwards. A tile that is not five plain characters (shorter, longer, or with a wildcard)
+    cannot be taken from an id: such requests meet the scenes of their months, under an empty tile, and the id pattern is
+    tested. Requests are looked up in the months that the catalogue has, however long they are."""
     scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"))
     at = F.col("datetime")
-    dated = scenes.withColumn("_period", F.explode(F.array(F.date_format(at, "yyyy-MM"), F.date_format(at, "yyyy"))))
-    keyed = dated.withColumn("_tile", F.explode(M.tile_keys(F.col("scene_id"))))
-    plain = M.is_plain_tile(F.col("_tile"))
-    by_tile = keyed.join(wanted.where(plain), ["_tile", "_period"])
-    by_month = dated.join(wanted.where(~plain), "_period")
-    near = in_days(at, F.col("start_day"), F.col("end_day")) & M.like_tile(F.col("scene_id"), F.col("_tile"))
-    return by_tile.where(near).select(*REQUEST_FIELDS, *SCENE_FIELDS).unionByName(by_month.where(near).select(*REQUEST_FIELDS, *SCENE_FIELDS))
+    first, last = (scenes.agg(f(at.cast("date"))).scalar() for f in (F.min, F.max))
+    pattern = F.upper("tile")
+    wanted = checked(requests).where("error is null")
+    wanted = wanted.select(
+        *REQUEST_FIELDS, pattern.alias("_pattern"), "start_day", "end_day", F.when(M.is_plain_tile(pattern), pattern).otherwise("").alias("_tile"),
+        F.explode(months(F.greatest("start_day", first), F.least("end_day", last))).alias("_month"),
+    )
+    keyed = scenes.select("*", F.trunc(at, "month").alias("_month"), F.explode(F.array_append(M.tile_keys(F.col("scene_id")), "")).alias("_tile"))
+    named = (F.col("_tile") != "") | M.like_tile(F.col("scene_id"), F.col("_pattern"))
+    return keyed.join(wanted, ["_tile", "_month"]).where(in_days(at, F.col("start_day"), F.col("end_day")) & named).select(*REQUEST_FIELDS, *SCENE_FIELDS)
 
 
 def described(found: DataFrame, items: DataFrame) -> DataFrame:
