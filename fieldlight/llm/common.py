@@ -8,6 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fieldlight.sources.staging import cut, shared_dir  # noqa: F401
 
@@ -47,3 +48,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
 def held_out(column: str, folds: int, fold: int):
     """crc32 of the id's text, modulo folds, equals fold."""
     return F.crc32(F.col(column).cast("string")) % folds == fold
+
+
+def with_fields(df: DataFrame, more: str) -> StructType:
+    """The schema of df with more fields at its end, whatever the types and names of its own."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])

@@ -2,27 +2,23 @@
 
 from __future__ import annotations
 
-import importlib
-
-_NAMES = {
-    "op1_substring": "substring",
-    "op2_secrets": "secrets",
-    "op3_quality": "quality",
-    "op4_licenses": "licenses",
-    "op5_mixing": "mixing",
-    "op6_media": "media",
-    "op7_packing": "packing",
-    "op9_neardup": "neardup",
-    "op10_fingerprints": "fingerprints",
-    "op8_toxicity": "toxicity",
-}
+from fieldlight.llm import fingerprints, licenses, media, mixing, neardup, packing, quality, secrets, sql, substring, toxicity
 
 
 def queries() -> dict:
-    return {name: getattr(importlib.import_module(f"fieldlight.llm.{module}"), name) for name, module in _NAMES.items()}
+    return {
+        "op1_substring": substring.op1_substring,
+        "op2_secrets": secrets.op2_secrets,
+        "op3_quality": quality.op3_quality,
+        "op4_licenses": licenses.op4_licenses,
+        "op5_mixing": mixing.op5_mixing,
+        "op6_media": media.op6_media,
+        "op7_packing": packing.op7_packing,
+        "op8_toxicity": toxicity.op8_toxicity,
+        "op9_neardup": neardup.op9_neardup,
+        "op10_fingerprints": fingerprints.op10_fingerprints,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    from fieldlight.llm import sql
-
     return dict(sql.ORACLE_SQL)
