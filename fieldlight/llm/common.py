@@ -53,3 +53,13 @@ def held_out(column: str, folds: int, fold: int):
 def with_fields(df: DataFrame, more: str) -> StructType:
     """The schema of df with more fields at its end, whatever the types and names of its own."""
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
+def one_labelled(docs: DataFrame, marks: DataFrame, label: str, sample: int) -> DataFrame:
+    """y, text of `sample` labelled documents at most, picked by a hash of the id. Of several labels of an id the larger
+    counts, of several texts the one of least hash, so there is never more than a row per id."""
+    rows = marks.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    # At most `sample` rows of two numbers, so a broadcast is safe.
+    marked = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id")
+    return marked.groupBy("doc_id", "y").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text")).select("y", "text")

@@ -8,8 +8,8 @@ walks all of a batch's rows down a tree level by level with numpy.
 
 Cases: a null or empty text has all statistics 0 and gets a score like any other; repeated rows
 score alike; a null doc_id is scored; null, repeated (the larger counts) or unknown labels do no
-harm; with one class only, all score that class's share (0.5 without labels); an empty table gives
-no row; very long texts count whole.
+harm; of several texts of a labelled id one is learned from; with one class only, all score that class's share
+(0.5 without labels); an empty table gives no row; very long texts count whole; a column named quality_score is replaced.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlight.llm.common import documents, held_out, labels, slices
+from fieldlight.llm.common import documents, held_out, labels, one_labelled, slices, with_fields
 from fieldlight.llm.words import _GOLD, U, mix, ngrams, text_bytes, words_of
 
 #: Labelled rows that the fit uses at most.
@@ -78,8 +78,10 @@ def statistics(column: pa.Array) -> np.ndarray:
     h = w.hashes()
     distinct, top = _distinct(h, w.first)
     out["distinct_words"], out["top_word"] = distinct * per_word, top * per_word
-    grams = np.append(ngrams(h, 3), np.zeros(min(2, len(h)), U)) if len(h) else h
-    out["distinct_trigrams"] = _distinct(grams, w.first)[0] * per_word
+    # Trigrams within a text only, so that a score does not depend on the text behind it.
+    left = np.repeat(w.first[1:], w.counts)[: max(0, len(h) - 2)] - np.arange(max(0, len(h) - 2))
+    grams = ngrams(h, 3)[left >= 3]
+    out["distinct_trigrams"] = _distinct(grams, np.concatenate([[0], np.cumsum(np.maximum(w.counts - 2, 0))]))[0] * per_word
     same = np.zeros(len(h), np.int8)
     if len(h):
         same[1:] = h[1:] == h[:-1]
@@ -175,17 +177,15 @@ def grow(x: np.ndarray, y: np.ndarray, rounds: int = ROUNDS, depth: int = DEPTH,
 
 def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Trees:
     """marks: doc_id, quality, of the rows that may be learned from."""
-    rows = marks.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("y"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
+    marked = one_labelled(docs, marks, "quality", sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             x = statistics(batch.column("text"))
             yield pa.RecordBatch.from_arrays([batch.column("y"), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))], names=["y", "x"])
 
-    # At most `sample` rows of two numbers, so a broadcast is safe; as many rows of statistics come back.
-    marked = docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id").select("y", "text")
-    got = marked.mapInArrow(run, f"y {marked.schema['y'].dataType.simpleString()}, x array<double>").toArrow()
+    # At most `sample` rows of statistics come back.
+    got = marked.mapInArrow(run, "y int, x array<double>").toArrow()
     x = np.array(got.column("x").combine_chunks().flatten()).reshape(-1, len(STATISTICS))
     y = np.array(got.column("y"), np.float64)
     order = np.lexsort((y, *x.T))  # the fit doesn't depend on the order of arrival
@@ -193,15 +193,14 @@ def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Trees:
 
 
 def score(docs: DataFrame, trees: Trees) -> DataFrame:
-    """All columns of docs, with quality_score."""
+    """All columns of docs, with quality_score; a column of docs by that name is replaced."""
     docs = docs.drop("quality_score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(trees.scores(statistics(batch.column("text"))))], names=[*batch.schema.names, "quality_score"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, quality_score double")
+    return docs.mapInArrow(run, with_fields(docs, "quality_score double"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

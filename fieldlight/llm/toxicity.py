@@ -11,8 +11,9 @@ picked by a hash of the id; scoring is one pass without a shuffle.
 
 Cases: a null or empty text has no sentence and scores as one without features; repeated rows
 score alike; a null doc_id is scored; labels that are null, repeated (the larger counts) or of
-unknown documents do no harm; without a toxic label nothing is known and all score 0; an empty
-table gives no row; very long texts are scored whole.
+unknown documents do no harm; of several texts of a labelled id one is learned from; with one class only, all score
+that class's share: 0 without a toxic label, 1 without a clean one (0 without labels); an empty table gives no row; very
+long texts are scored whole; columns named toxicity or toxic_sentences are replaced.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlight.llm.common import cut, documents, held_out, labels, slices
+from fieldlight.llm.common import cut, documents, held_out, labels, one_labelled, slices, with_fields
 from fieldlight.llm.words import U, _MASK, Words, mix, text_bytes
 
 #: Labelled documents that the fit uses at most, and features it keeps at most.
@@ -102,11 +103,12 @@ def features_of(s: Sentences) -> list[np.ndarray]:
 
 @dataclass
 class Model:
-    """keys: sorted; weights: theirs; bias: of a sentence with features."""
+    """keys: sorted; weights: theirs; bias: of a sentence with features; least: what any document scores at least."""
 
     keys: np.ndarray
     weights: np.ndarray
     bias: float
+    least: float = 0.0
 
     def __post_init__(self) -> None:
         self.quick = np.zeros(1 << 20, bool)
@@ -158,13 +160,12 @@ def fit_weights(doc: np.ndarray, sentence: np.ndarray, feature: np.ndarray, y: n
 def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE, features: int = FEATURES) -> Model:
     """marks: doc_id, toxic, of the rows that may be learned from."""
     nothing = Model(np.zeros(0, U), np.zeros(0), -30.0)
-    rows = marks.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("y"))
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    # At most `sample` rows of two numbers, so a broadcast is safe.
-    marked = cut(docs.select("doc_id", "text").join(F.broadcast(rows), "doc_id"), "marked")
+    marked = cut(one_labelled(docs, marks, "toxic", sample), "marked")
     n, n_toxic = marked.agg(F.count("*"), F.sum("y")).first()
-    if not n or not n_toxic or n_toxic == n:
+    if not n or not n_toxic:
         return nothing
+    if n_toxic == n:
+        return Model(np.zeros(0, U), np.zeros(0), -30.0, least=1.0)
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
@@ -203,8 +204,7 @@ def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE, features: int =
             lists = [pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x)) for x in (sentence.astype(np.int64), feature.astype(np.int32))]
             yield pa.RecordBatch.from_arrays([batch.column("y"), *lists], names=["y", "sentence", "feature"])
 
-    kind = marked.schema["y"].dataType.simpleString()
-    got = marked.select("text", "y").mapInArrow(hits, f"y {kind}, sentence array<long>, feature array<int>").collect()  # `sample` rows, hits only
+    got = marked.select("text", "y").mapInArrow(hits, "y int, sentence array<long>, feature array<int>").collect()  # `sample` rows, hits only
     y = np.array([r["y"] for r in got], np.int64)
     doc = np.repeat(np.arange(len(got)), [len(r["sentence"]) for r in got])
     raw = np.concatenate([np.array(r["sentence"], np.int64) for r in got])
@@ -216,17 +216,15 @@ def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE, features: int =
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """All columns of docs, with toxicity (0 to 1) and toxic_sentences, an array of (sentence, score) of
-    those that score over a half."""
-    names = docs.columns
-    extra = [c for c in ("toxicity", "toxic_sentences") if c in names]
-    docs = docs.drop(*extra)
+    those that score over a half; columns of docs by these names are replaced."""
+    docs = docs.drop("toxicity", "toxic_sentences")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
             s = sentences_of(batch.column("text"))
             ids, p = noisy_or(model.weights, model.bias, *model.hits(s)) if len(model.keys) else (np.zeros(0, np.int64), np.zeros(0))
             doc = np.searchsorted(s.first, ids, "right") - 1
-            total = 1 - np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), batch.num_rows))
+            total = np.maximum(model.least, 1 - np.exp(np.bincount(doc, np.log1p(-np.minimum(p, 1 - 1e-12)), batch.num_rows)))
             raw, _ = text_bytes(batch.column("text"))
             shown: list[list] = [[] for _ in range(batch.num_rows)]
             for i in np.flatnonzero(p > 0.5):
@@ -235,8 +233,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             kind = pa.list_(pa.struct([("sentence", pa.string()), ("score", pa.float64())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(total, pa.float64()), pa.array(shown, kind)], names=[*batch.schema.names, "toxicity", "toxic_sentences"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, toxicity double, toxic_sentences array<struct<sentence:string,score:double>>")
+    return docs.mapInArrow(run, with_fields(docs, "toxicity double, toxic_sentences array<struct<sentence:string,score:double>>"))
 
 
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
