@@ -1,25 +1,35 @@
 """MinHash near-duplicates with sequential Bayesian verification.
 
 1. Each text becomes its set of five-word shingles (64-bit hashes) in a vectorised pass, with HASHES
-   MinHash values of it. Texts of equal sets are one class from here on: its least doc_id stands for
-   all, so thousands of exact copies are one row.
+   MinHash values of it. Texts of equal sets are one node from here on, so thousands of exact copies are one row.
 2. Bands of the signature make buckets. The bucket graph (each member with the bucket's least member)
-   is closed into candidate groups.
-3. A group is verified in units of bounded size. A small group is one unit. A larger one is dealt into
-   blocks, and each pair of blocks is a unit; of a very large one, each bucket is dealt so. Within a
-   unit the signatures are compared batch by batch: after each batch a pair is given up once the
+   is closed into candidate groups; a group of more than GIANT members is taken bucket by bucket.
+3. Groups are verified in units of bounded size, in two rounds.
+   - A small group is one unit. A larger one is dealt into blocks by size class (sets of similar texts are of the
+     same class or of neighbouring ones); each block is a unit together with the first block of its class, the pilot, and
+     each pilot with that of the class below. So near copies of one text, however many, are linked through pilots in
+     linear work.
+   - Only large groups go on. What the first round has linked with a group's largest component needs no more
+     comparison with it; every other member is compared with all members of near classes that it is not yet
+     linked with, block by block.
+   Within a unit the signatures are compared batch by batch: after each batch a pair is given up once the
    posterior probability of its similarity reaching the threshold is below MISS; survivors are
    verified exactly on their full sets, best estimates first, unless they are already connected by
    verified links. A unit returns the links of a spanning forest, so never more rows than members.
 4. Components of the verified links are the classes.
 
+Cost: a member is copied into its own unit and, if it is of a pilot, into its class' units; in the second round
+members are copied once per block of unlinked ones. So the work grows with members x unlinked members of a
+group; it is quadratic only where very many texts share buckets of one size class without being linked.
+
 Chosen miss probabilities: banding misses a pair at the threshold with at most MISS_BANDS, pruning with
 at most MISS a batch. Survivors are verified exactly, so no false link is made.
 
 Cases: a null text, or one without words, has an empty set and is linked with nothing; with fewer words
-than a shingle, the whole sequence is one shingle; repeated rows are alike
-Of different texts under one doc_id the one of the largest set stands for the id; a null doc_id is returned with null component and is kept,
-linked with nothing; an empty table gives no row; texts count whole.
+than a shingle, the whole sequence is one shingle; repeated rows are alike. Rows of one doc_id with different texts
+are one document with several sets: it is linked by any of them, and all its rows have one component. A null doc_id is
+returned with null component and is kept, linked with nothing; an empty table gives no row; texts count whole; columns
+other than doc_id and text play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -42,8 +52,10 @@ WORDS, THRESHOLD, HASHES = 5, 0.85, 128
 MISS_BANDS, MISS = 1e-6, 1e-4
 #: Signature values compared in one batch.
 BATCH = 16
-#: Members, and shingles, of a block; blocks of a group up to which all pairs of blocks are units.
-BLOCK, BLOCK_SHINGLES, MOST_BLOCKS = 512, 400_000, 32
+#: Members, and shingles, of a block of the first round; so many times more of one of the second.
+BLOCK, BLOCK_SHINGLES, MORE = 128, 200_000, 4
+#: Members of a group beyond which it is taken bucket by bucket.
+GIANT = 16_384
 
 
 def bands(threshold: float, hashes: int = HASHES, miss: float = MISS_BANDS) -> tuple[int, int]:
@@ -152,7 +164,7 @@ def describe(docs: DataFrame, n_bands: int, rows: int, hashes: int = HASHES) ->
 
 def with_sets(candidates: DataFrame, hashes: int = HASHES) -> DataFrame:
     """candidates: text, node, group, set_a, set_b. Returns node, group, n, sig (uint32 bytes), shingles (uint64
-    bytes) of the rows whose text has that set."""
+    bytes) of the rows whose text has that set. Repeated rows give it again."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 << 20):
@@ -164,35 +176,79 @@ def with_sets(candidates: DataFrame, hashes: int = HASHES) -> DataFrame:
     return candidates.select("text", "node", "group", "set_a", "set_b").mapInArrow(run, "node long, group long, n long, sig binary, shingles binary")
 
 
-def units(members: DataFrame) -> DataFrame:
-    """members: group, node, n. Returns unit, side, node, blocks: blocks of bounded size by a hash of the node,
-    and a unit for each pair of blocks; side tells the two apart."""
-    sizes = members.groupBy("group").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-    # Only groups of several blocks need their number; most groups are one block.
-    n_blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
-    dealt = members.join(sizes.select("group", n_blocks.alias("blocks")), "group").withColumn("block", F.pmod(F.xxhash64("node", F.lit(1)), "blocks").cast("int"))
-    others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, F.col("block")).alias("i"), F.greatest(o, F.col("block")).alias("j")))
-    return dealt.select("group", "node", "block", F.explode(others).alias("p")).select(F.xxhash64("group", "p.i", "p.j").alias("unit"), "group", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "node", "block")
+def in_classes(places: DataFrame, threshold: float) -> DataFrame:
+    """places: group, node, n. Adds class: a pair at the threshold is of one class or of neighbouring ones, since its sizes
+    differ by the threshold at most."""
+    return places.withColumn("class", F.floor(F.log("n") / -math.log(threshold) + 1e-9).cast("int"))
+
+
+def _blocks(counted: DataFrame, times: int = 1) -> DataFrame:
+    """counted: m, total. blocks of `times` the usual size in their place."""
+    return counted.withColumn("blocks", F.greatest(F.ceil(F.col("m") / (times * BLOCK)), F.ceil(F.col("total") / (times * BLOCK_SHINGLES))).cast("int")).drop("m", "total")
+
+
+def sizes(places: DataFrame, *by: str) -> DataFrame:
+    return places.groupBy(*by).agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+
+
+def dealt(places: DataFrame, blocks: DataFrame, salt: int) -> DataFrame:
+    """places with blocks (of their group and class) and block, by a hash of the node."""
+    return places.join(blocks, ["group", "class"]).withColumn("block", F.pmod(F.xxhash64("node", F.lit(salt)), "blocks").cast("int"))
+
 
+def first_units(small: DataFrame, large: DataFrame, blocks: DataFrame) -> DataFrame:
+    """unit (four numbers), side, node, component. small: group, node. Pairs count within side 0 and across sides."""
+    whole = small.select(F.struct("group", F.lit(-1).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c")).alias("unit"), F.lit(0).alias("side"), "node", F.col("node").alias("component"))
+    rows = dealt(large, blocks, 1)
+    unit = lambda b: F.struct("group", F.col("class").alias("a"), b.alias("b"), F.lit(0).alias("c")).alias("unit")
+    own = rows.select(unit(F.col("block")), F.lit(0).alias("side"), "node", F.col("node").alias("component"))
+    place = lambda k, b: F.struct(k.alias("class"), b.alias("block"))
+    others = F.when(F.col("blocks") > 1, F.transform(F.sequence(F.lit(1), F.col("blocks") - 1), lambda b: place(F.col("class"), b))).otherwise(F.array().cast("array<struct<class:int,block:int>>"))
+    pilots = rows.where("block = 0").select("group", "node", F.explode(F.array_append(others, place(F.col("class") + 1, F.lit(0)))).alias("to"))
+    to = F.struct("group", F.col("to.class").alias("a"), F.col("to.block").alias("b"), F.lit(0).alias("c")).alias("unit")
+    return whole.unionByName(own).unionByName(pilots.select(to, F.lit(1).alias("side"), "node", F.col("node").alias("component")))
 
-def verify_unit(block: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], threshold: float) -> tuple[list[int], int, int]:
+
+def second_units(large: DataFrame) -> DataFrame:
+    """large: group, class, node, n, component (as far as it is known). The same columns as first_units; pairs count
+    across sides. Side 0: members outside their group's largest component; sides 1 and 2: all members of near classes,
+    inside and outside it."""
+    members = large.groupBy("group", "component").agg(F.count("*").alias("m"))
+    giant = members.groupBy("group").agg(F.max_by("component", F.struct("m", "component")).alias("giant"))
+    marked = large.join(giant, "group").withColumn("outside", F.col("component") != F.col("giant"))
+    marked = cut(marked.drop("giant"), "marked")
+    outside = marked.where("outside")
+    of = lambda t: _blocks(sizes(t, "group", "class"), MORE)  # noqa: E731  a row per group and class
+    all_blocks, out_blocks = cut(of(marked), "blocks"), cut(of(outside), "blocks")
+    here = lambda t: t.select("group", F.col("class").alias("near"), F.col("blocks").alias("others"))
+    near = F.abs(F.col("near") - F.col("class")) <= 1
+    unit = lambda *k: F.struct("group", *(F.col(c).alias(a) for c, a in zip(k, "abc", strict=True)), F.col("d")).alias("unit")
+    first = dealt(outside, out_blocks, 2).join(here(all_blocks), "group").where(near).withColumn("d", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    second = dealt(marked, all_blocks, 3).join(here(out_blocks), "group").where(near).withColumn("d", F.explode(F.sequence(F.lit(0), F.col("others") - 1)))
+    return first.select(unit("class", "block", "near"), F.lit(0).alias("side"), "node", "component").unionByName(
+        second.select(F.struct("group", F.col("near").alias("a"), F.col("d").alias("b"), F.col("class").alias("c"), F.col("block").alias("d")).alias("unit"), F.when(F.col("outside"), 2).otherwise(1).alias("side"), "node", "component")
+    )
+
+
+def verify_unit(side: np.ndarray, component: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], threshold: float, within: bool = True) -> tuple[list[int], int, int]:
     """Links of a spanning forest of the verified pairs, as places (a, b, a, b, ...); pairs that survived; pairs
-    verified. Pairs within a block count unless the unit has two blocks: then those are another unit's work."""
+    verified. Pairs count between side 0 and the others, and within side 0 if `within`; not those of one component.
+    Those with side 2 stand in two units, so only the one counts whose first place is the lower."""
     n = np.array([len(s) for s in sets])
     need = least_matches(threshold, sig.shape[1])
     pairs, agree = [], []
-    two = block.min() != block.max() if len(block) else False
-    for i in range(len(block) - 1):
-        j = np.arange(i + 1, len(block))
-        if two:
-            j = j[block[j] != block[i]]
+    order = np.argsort(side, kind="stable")  # side 0 first
+    first = int((side == 0).sum())
+    for k in range(first):
+        i = order[k]
+        j = order[k + 1 if within else first :]
         small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        j = j[small >= threshold * large - 1e-9]
+        j = j[(small >= threshold * large - 1e-9) & (component[j] != component[i]) & ((side[j] < 2) | (j > i))]
         m = np.zeros(len(j), np.int64)
-        for k, least in enumerate(need):
+        for b, least in enumerate(need):
             if not len(j):
                 break
-            part = slice(k * BATCH, (k + 1) * BATCH)
+            part = slice(b * BATCH, (b + 1) * BATCH)
             m = m + (sig[j, part] == sig[i, part]).sum(axis=1)
             j, m = j[m >= least], m[m >= least]
         if len(j):
@@ -201,7 +257,8 @@ def verify_unit(block: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], thre
     if not pairs:
         return [], 0, 0
     ij, m = np.concatenate(pairs, axis=1), np.concatenate(agree)
-    root, out, verified = list(range(len(block))), [], 0
+    at = np.unique(component, return_inverse=True)[1].tolist()
+    root, out, verified = list(range(len(at))), [], 0
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -210,7 +267,7 @@ def verify_unit(block: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], thre
         return x
 
     for a, b in ij[:, np.argsort(-m, kind="stable")].T.tolist():
-        ra, rb = find(a), find(b)
+        ra, rb = find(at[a]), find(at[b])
         if ra == rb:
             continue
         verified += 1
@@ -222,47 +279,85 @@ def verify_unit(block: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], thre
     return out, len(m), verified
 
 
+def verified(units: DataFrame, held: DataFrame, threshold: float, within: bool) -> DataFrame:
+    """Links (a, b) of all units."""
+
+    def run(table: pa.Table) -> pa.Table:
+        # A node stands once on a side; on side 0 if it is on both, as the unit is then its own.
+        side, node = np.array(table.column("side")), np.array(table.column("node"))
+        order = np.lexsort((side, node))
+        at = order[np.concatenate([[True], (node[order][1:] != node[order][:-1]) | (side[order][1:] != side[order][:-1])])]
+        node, side, component = node[at], side[at], np.array(table.column("component"))[at]
+        raw, packed = table.column("shingles").to_pylist(), table.column("sig").to_pylist()
+        sig = np.frombuffer(b"".join(packed[i] for i in at), np.uint32).reshape(len(node), -1)
+        pairs, _, _ = verify_unit(side, component, sig, [np.frombuffer(raw[i], U) for i in at], threshold, within)
+        return pa.table({"a": pa.array(node[pairs[::2]], pa.int64()), "b": pa.array(node[pairs[1::2]], pa.int64())})
+
+    rows = units.join(held.select("node", "sig", "shingles"), "node").select("unit.*", "side", "node", "component", "sig", "shingles")
+    return rows.groupBy(*units.schema["unit"].dataType.names).applyInArrow(run, "a long, b long")
+
+
+def nodes_of(described: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
+    """(member: doc_id, node, a row per document and set; nodes: node, doc_id (one that has the set), set_a, set_b;
+    links between the nodes of one document, if any has several). A set's node is the least doc_id whose largest set it
+    is; a set that is nobody's largest has a number made of its hash."""
+    key = ["n", "set_a", "set_b"]
+    known = cut(described.where("n > 0 and doc_id is not null").select("doc_id", *key).distinct(), "known")
+    largest = cut(known.groupBy("doc_id").agg(F.max(F.struct(*key)).alias("s")).select("doc_id", "s.*"), "largest")
+    # Written tables on both sides of a join let Spark split the partition of a hot set or bucket.
+    by_set = cut(largest.groupBy(*key).agg(F.min("doc_id").alias("node")), "by_set")
+    member = cut(largest.join(by_set, key).select("doc_id", "node", "set_a", "set_b"), "members")
+    nodes = member.where("doc_id = node").select("node", "doc_id", "set_a", "set_b")
+    others = known.join(largest, ["doc_id", *key], "left_anti")
+    if others.isEmpty():
+        return member.select("doc_id", "node"), nodes, None
+    others = cut(others.join(by_set, key, "left").withColumn("own", F.col("node").isNull()).withColumn("node", F.coalesce("node", F.xxhash64(*key))), "others")
+    more = others.where("own").groupBy("node", "set_a", "set_b").agg(F.min("doc_id").alias("doc_id"))
+    main = member.select("doc_id", F.col("node").alias("a"))
+    within = others.select("doc_id", F.col("node").alias("b")).join(main, "doc_id").select("a", "b")
+    return member.select("doc_id", "node"), nodes.unionByName(more), within
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD, hashes: int = HASHES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, a row per row of docs."""
     n_bands, rows = bands(threshold, hashes)
     described = cut(describe(docs, n_bands, rows, hashes), "described")
-    # A row per doc_id, then per set its least doc_id, which is a node from here on.
-    known = described.where("n > 0 and doc_id is not null").groupBy("doc_id").agg(F.max(F.struct("n", "set_a", "set_b")).alias("s")).select("doc_id", "s.*")
-    known = cut(known, "known")
-    # Written tables on both sides of a join let Spark split the partition of a hot set or bucket.
-    by_set = cut(known.groupBy("n", "set_a", "set_b").agg(F.min("doc_id").alias("node")), "by_set")
-    member = cut(known.join(by_set, ["n", "set_a", "set_b"]), "members")
-    nodes = member.where("doc_id = node").select("doc_id", "set_a", "set_b")
-    entries = described.join(nodes, ["doc_id", "set_a", "set_b"], "left_semi").select(F.explode("keys").alias("key"), F.col("doc_id").alias("node"))
+    member, nodes, within = nodes_of(described)
+    entries = described.join(nodes, ["doc_id", "set_a", "set_b"]).select(F.explode("keys").alias("key"), "node")
     entries = cut(entries, "entries")
     first = entries.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key", "first")
     first = cut(first, "first")
     shared = cut(entries.join(first, "key"), "buckets")
     groups = components(shared.select(F.col("first").alias("a"), F.col("node").alias("b"))).withColumnRenamed("component", "group")
-    placed = groups.join(nodes.withColumnRenamed("doc_id", "node"), "node")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(placed, "node")
+    placed = groups.join(nodes, "node")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(placed, "doc_id")
     held = cut(with_sets(texts, hashes), "candidates")
-    light = held.select("node", "group", "n").dropDuplicates(["node"])
-    per_group = light.groupBy("group").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
-    large = cut(per_group.where((F.col("m") > BLOCK * MOST_BLOCKS) | (F.col("total") > BLOCK_SHINGLES * MOST_BLOCKS)).select("group"), "large")
-    if large.isEmpty():
-        parts = units(light)
+    light = cut(held.select("node", "group", "n").distinct(), "light")
+    giants = cut(light.groupBy("group").agg(F.count("*").alias("m")).where(F.col("m") > GIANT).select("group"), "giants")
+    places = light
+    if not giants.isEmpty():
+        by_bucket = light.join(giants, "group", "left_semi").join(shared.select("node", "key").distinct(), "node").select("node", F.col("key").alias("group"), "n")
+        places = cut(light.join(giants, "group", "left_anti").unionByName(by_bucket), "places")
+    big = (F.col("m") > BLOCK) | (F.col("total") > BLOCK_SHINGLES)
+    large_groups = cut(sizes(places, "group").where(big).select("group"), "large")
+    if large_groups.isEmpty():
+        whole = places.select(F.struct("group").alias("unit"), F.lit(0).alias("side"), "node", F.col("node").alias("component"))
+        links = cut(verified(whole, held, threshold, True), "verified")
     else:
-        again = light.join(large, "group", "left_semi").join(shared.select("node", "key").distinct(), "node")
-        parts = units(light.join(large, "group", "left_anti")).unionByName(units(again.select(F.col("key").alias("group"), "node", "n")))
-    dealt = parts.join(held.select("node", "sig", "shingles"), "node")
-
-    def run(table: pa.Table) -> pa.Table:
-        node, at = np.unique(np.array(table.column("node")), return_index=True)  # repeated rows count once
-        raw, packed = table.column("shingles").to_pylist(), table.column("sig").to_pylist()
-        sig = np.frombuffer(b"".join(packed[i] for i in at), np.uint32).reshape(len(node), -1)
-        pairs, _, _ = verify_unit(np.array(table.column("block"))[at], sig, [np.frombuffer(raw[i], U) for i in at], threshold)
-        return pa.table({"a": pa.array(node[pairs[::2]], pa.int64()), "b": pa.array(node[pairs[1::2]], pa.int64())})
-
-    links = cut(dealt.groupBy("unit", "group", "i", "j").applyInArrow(run, "a long, b long"), "verified")
-    found = components(links).select("node", F.col("component").alias("least"))
-    resolved = member.select("doc_id", "node").join(found, "node", "left").select(F.col("doc_id").alias("_id"), F.coalesce("least", "node").alias("component"))
-    out = described.select("doc_id", F.col("n").alias("n_shingles")).join(resolved, F.col("doc_id") == F.col("_id"), "left")
+        large = cut(in_classes(places.join(large_groups, "group"), threshold), "large-places")
+        blocks = cut(_blocks(sizes(large, "group", "class")), "blocks")
+        links = cut(verified(first_units(places.join(large_groups, "group", "left_anti"), large, blocks), held, threshold, True), "verified")
+        so_far = components(links)
+        known = large.join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        links = cut(verified(second_units(known), held, threshold, False), "verified-rest").unionByName(links)
+    if within is not None:
+        links = links.unionByName(within)
+    found = components(links)
+    resolved = member.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
+    if within is not None:  # a set's number need not be a doc_id then
+        least = resolved.groupBy("component").agg(F.min("doc_id").alias("least"))
+        resolved = resolved.join(least, "component").select("doc_id", F.col("least").alias("component"))
+    out = described.select("doc_id", F.col("n").alias("n_shingles")).join(resolved.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

@@ -52,22 +52,37 @@ def test_against_brute_force(spark, seed, threshold):
     assert got == brute(list(enumerate(texts)), round(100 * threshold))
 
 
-def test_blocks_and_large_groups_agree(spark, monkeypatch):
-    monkeypatch.setattr(neardup, "BLOCK", 5)
+@pytest.mark.parametrize(("block", "giant"), [(5, 10**6), (5, 8), (1, 10**6), (40, 10**6)])
+def test_blocks_and_giant_groups_agree(spark, monkeypatch, block, giant):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "GIANT", giant)
     texts = corpus(4)
     df, want = spark.createDataFrame(rows(texts), SCHEMA), brute(list(enumerate(texts)), 85)
-    for most in (32, 1):
-        monkeypatch.setattr(neardup, "MOST_BLOCKS", most)
-        assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.classes(df).collect()} == want
-
-
-def test_messy(spark):
-    df = messy(spark)
-    docs = {r.doc_id: r.text for r in df.collect() if r.doc_id is not None}
-    out = neardup.classes(df).collect()
-    assert len(out) == df.count() and neardup.classes(empty(spark)).collect() == []
-    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out if r.doc_id is not None} == brute(list(docs.items()), 85)
-    assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in out)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.classes(df).collect()} == want
+
+
+def test_hot_group_of_linked_and_unlinked_copies(spark, monkeypatch):
+    """Copies of one text with one to many changed words: one large bucket, whose members are linked in chains or not at all."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    rng = random.Random(9)
+    base, texts = [f"w{i}" for i in range(120)], []
+    for i in range(150):
+        w = list(base[: rng.choice([120, 100])])
+        for p in rng.sample(range(len(w)), rng.choice([1, 1, 2, 3, 6])):
+            w[p] = f"x{rng.random()}"
+        texts.append(" ".join(w))
+    df, want = spark.createDataFrame(rows(texts), SCHEMA), brute(list(enumerate(texts)), 85)
+    assert len({c for _, c in want.values()}) > 5
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.classes(df).collect()} == want
+
+
+def test_several_texts_of_one_id(spark):
+    a, b, c = (" ".join(f"{k}{i}" for i in range(n)) for k, n in (("a", 40), ("b", 60), ("c", 30)))
+    texts = [(5, a), (5, b), (3, a), (7, b + " more"), (9, c), (5, None), (8, c), (8, a + " x"), (None, a), (11, "other words that are alone here")]
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in texts], SCHEMA)
+    out = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in neardup.classes(df).collect()}
+    assert {d: c for (d, _), (c, _) in out.items()} == {3: 3, 5: 3, 7: 3, 8: 3, 9: 3, 11: 11, None: None}
+    assert len(out) == 10 and all(kept == (d in (3, 11, None)) for (d, _), (_, kept) in out.items())
 
 
 def test_components(spark):
