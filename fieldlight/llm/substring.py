@@ -7,22 +7,26 @@ starts in a document of smaller id.
    equal anchors wherever they stand. Neighbouring windows with one anchor form a segment, some 20
    windows of 70 words; there is one segment for every 20 words of text. Anchors of a single document
    are dropped: their windows cannot repeat.
-2. Segments. Equal segments are one from here on (by a 64-bit hash of their words), with the least
-   id that holds them. Each distinct segment is cut from that document's text.
+2. Segments. Equal segments are one from here on (by a 64-bit hash of their words, among those of one
+   anchor, itself a 64-bit hash), with the least id that holds them. Each distinct segment is cut from that document's text.
 3. Shards. Segments meet by anchor. A shard builds an FM-index over its segments (a wavelet matrix
    over the Burrows-Wheeler transform), and streams its segments through it by backward search, whose
    matching statistics, cut off at WINDOW, report every place from which WINDOW words occur again, with
-   the least id of all occurrences.
+   the least id of all occurrences. A shard holds SHARD segments on average, some 70 words each, so an index
+   is built from a few MB; many shards share a task one after another, so tasks stay at MOST_TASKS.
 4. Each document gathers the intervals of its segments whose least id is smaller than its own, and loses
    the words they cover.
 
 Hot anchors: an anchor with more than HOT distinct segments (a passage that very many documents put in
-different surroundings) would make one shard too large. Its windows are told apart by the 64-bit hash of
-all their words instead, each window for itself, which needs no meeting of segments and is as exact.
+different surroundings) would make one shard too large. Its segments are cut into their windows, each a segment of its own
+with its hash as anchor, so that they spread over all shards. Windows of a single document are dropped as anchors are, and
+equal ones are one, so little is left of a passage however many hold it; the indexes decide on them as on all others.
 
+The bits beside the wavelet matrix (starts, least ids) are plain arrays, so the index is compressed only in part.
 Words are compared by 64-bit hashes. Cases: a null or empty text has no words; texts shorter than the
 window stay whole; windows within one document, or in rows of equal doc_id, repeat nothing; a null
-doc_id counts as the largest, 2**63 - 1; repeated rows get equal results; an empty table gives no row.
+doc_id counts as the largest, 2**63 - 1; repeated rows get equal results; an empty table gives no row; columns other than
+doc_id and text play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -40,8 +44,8 @@ from fieldlight.llm.fmindex import FMIndex
 from fieldlight.llm.words import _GOLD, _M1, U, Words, mix, ngrams, words_of
 
 WINDOW, ANCHOR = 50, 8
-#: Distinct segments of an anchor beyond which it is hot, and of a shard on average.
-HOT, SHARD = 10_000, 6_000
+#: Distinct segments of an anchor beyond which it is hot, and of a shard on average; tasks that shards are dealt to.
+HOT, SHARD, MOST_TASKS = 1_000, 6_000, 20_000
 _NO_ID = (1 << 63) - 1
 #: The inverse of _M1 modulo 2**64.
 _M1_INVERSE = U(pow(int(_M1), -1, 1 << 64))
@@ -122,49 +126,79 @@ def cut_segments(docs: DataFrame, window: int) -> DataFrame:
     return docs.mapInArrow(run, "key long, seg long, doc long, words binary")
 
 
+def by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """Rows that come sorted by their shard, a table per shard."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        shard = batch.column("shard").to_numpy()
+        cuts = [0, *(np.flatnonzero(shard[1:] != shard[:-1]) + 1).tolist(), len(shard)]
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            if a == b:
+                continue
+            if held and held[-1].column("shard")[0] != batch.column("shard")[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def searched(table: pa.Table, window: int) -> pa.RecordBatch:
+    """key, seg, runs of one shard."""
+    raw = table.column("words").to_pylist()
+    bounds = np.concatenate([[0], np.cumsum([len(x) // 8 for x in raw])])
+    symbols = np.unique(np.frombuffer(b"".join(raw), U), return_inverse=True)[1].astype(np.int64)
+    index = FMIndex(symbols, bounds, np.array(table.column("doc")), window)
+    text, offset, least = index.least_owners(symbols, bounds)
+    order = np.lexsort((offset, text))
+    text, offset, least = text[order], offset[order], least[order]
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (least[1:] != least[:-1]) | (offset[1:] != offset[:-1] + 1)
+    begin = np.flatnonzero(new)
+    last = np.append(begin, len(text))[1:] - 1
+    runs = pa.StructArray.from_arrays([pa.array(offset[begin].astype(np.int32)), pa.array(offset[last].astype(np.int32)), pa.array(least[begin])], names=["first", "last", "least"])
+    cuts = np.searchsorted(text[begin], np.arange(len(raw) + 1)) if len(begin) else np.zeros(len(raw) + 1, np.int64)
+    return pa.RecordBatch.from_arrays([table.column("key").combine_chunks(), table.column("seg").combine_chunks(), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), runs)], names=["key", "seg", "runs"])
+
+
 def search_shards(cut_out: DataFrame, shards: int, window: int) -> DataFrame:
     """key, seg, runs: array of (first, last, least), windows of the segment from first to last, and the least id
-    in whose text they occur. Each partition is a shard with an index of its own."""
+    in whose text they occur. Each shard has an index of its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        table = pa.Table.from_batches(got)
-        raw = table.column("words").to_pylist()
-        bounds = np.concatenate([[0], np.cumsum([len(x) // 8 for x in raw])])
-        symbols = np.unique(np.frombuffer(b"".join(raw), U), return_inverse=True)[1].astype(np.int64)
-        index = FMIndex(symbols, bounds, np.array(table.column("doc")), window)
-        text, offset, least = index.least_owners(symbols, bounds)
-        order = np.lexsort((offset, text))
-        text, offset, least = text[order], offset[order], least[order]
-        new = np.ones(len(text), bool)
-        new[1:] = (text[1:] != text[:-1]) | (least[1:] != least[:-1]) | (offset[1:] != offset[:-1] + 1)
-        begin = np.flatnonzero(new)
-        last = np.append(begin, len(text))[1:] - 1
-        runs = pa.StructArray.from_arrays([pa.array(offset[begin].astype(np.int32)), pa.array(offset[last].astype(np.int32)), pa.array(least[begin])], names=["first", "last", "least"])
-        cuts = np.searchsorted(text[begin], np.arange(len(raw) + 1)) if len(begin) else np.zeros(len(raw) + 1, np.int64)
-        yield pa.RecordBatch.from_arrays([table.column("key").combine_chunks(), table.column("seg").combine_chunks(), pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), runs)], names=["key", "seg", "runs"])
-
-    return cut_out.repartition(shards, "key").mapInArrow(run, "key long, seg long, runs array<struct<first:int,last:int,least:long>>")
-
-
-def hot_windows(docs: DataFrame, window: int) -> DataFrame:
-    """docs: text, doc, tid, wanted (segments of hot anchors). Returns hash, doc, tid, start of their windows."""
+        for table in by_shard(batches):
+            yield searched(table, window)
+
+    tasks = min(shards, MOST_TASKS)
+    dealt = cut_out.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int")).repartitionById(tasks, (F.col("shard") % tasks).cast("int")).sortWithinPartitions("shard")
+    return dealt.mapInArrow(run, "key long, seg long, runs array<struct<first:int,last:int,least:long>>")
+
+
+def anchor_windows(docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """anchor, doc, tid, start, keys, segs: the rows of anchors() with two hashes of each of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 << 20):
+        for batch in slices(batches, "text", 1 << 20):
             w = words_of(batch.column("text"))
-            lists = batch.column("wanted")
-            rows = np.repeat(np.arange(batch.num_rows), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
-            start, n = (np.array(lists.flatten().field(k), np.int64) for k in ("start", "n"))
-            rows, start = np.repeat(rows, n), np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
-            begin = w.first[rows] + start
-            hashes = range_hashes(w.hashes(), begin, begin + window)
-            take = pa.array(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), batch.column("doc").take(take), batch.column("tid").take(take), pa.array(start.astype(np.int32))], names=["hash", "doc", "tid", "start"])
+            h = w.hashes()
+            text, start, n, key = segments(w, h, window, anchor)
+            begin = np.repeat(start - np.cumsum(n) + n, n) + np.arange(n.sum())
+            lists = pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
+            hashes = [pa.ListArray.from_arrays(lists, pa.array(range_hashes(x, begin, begin + window).view(np.int64))) for x in (mix(h + _M1), h)]
+            rows, local = pa.array(text), pa.array((start - w.first[text]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), batch.column("doc").take(rows), batch.column("tid").take(rows), local, *hashes], names=["anchor", "doc", "tid", "start", "keys", "segs"])
+
+    return docs.mapInArrow(run, "anchor long, doc long, tid long, start int, keys array<long>, segs array<long>")
+
 
-    return docs.mapInArrow(run, "hash long, doc long, tid long, start int")
+def hot_windows(docs: DataFrame, hot_keys: DataFrame, window: int, anchor: int) -> DataFrame:
+    """The windows of hot anchors that two documents hold at least, as rows of segments of one window. Texts are read
+    again, not shuffled: the hot anchors are few, so Spark broadcasts them by the size of their table."""
+    hot = anchor_windows(docs, window, anchor).join(hot_keys.withColumnRenamed("key", "anchor"), "anchor", "left_semi")
+    each = hot.select("doc", "tid", "start", F.posexplode(F.arrays_zip("keys", "segs")).alias("at", "h"))
+    each = cut(each.select(F.col("h.keys").alias("key"), F.col("h.segs").alias("seg"), "doc", "tid", (F.col("start") + F.col("at")).alias("start"), F.lit(1).alias("n")), "hot-windows")
+    again = each.groupBy("key", "seg").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key", "seg")
+    return each.join(cut(again, "hot-repeated"), ["key", "seg"])
 
 
 def without(docs: DataFrame) -> DataFrame:
@@ -202,25 +236,22 @@ def dedup(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: int
     repeated = all_anchors.groupBy("key").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("key")
     repeated = cut(repeated, "repeated")  # as a table, so that Spark can split a hot anchor's partition in the join
     shared = cut(all_anchors.join(repeated, "key"), "shared")
-    distinct = cut(shared.groupBy("key", "seg").agg(F.min(F.struct("doc", "tid", "start", "n")).alias("r")), "distinct")
+    first = lambda t: t.groupBy("key", "seg").agg(F.min(F.struct("doc", "tid", "start", "n")).alias("r"))
+    distinct = cut(first(shared), "distinct")
     hot_keys = cut(distinct.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot).select("key"), "hot")
-    any_hot = not hot_keys.isEmpty()
-    plain = distinct.join(hot_keys, "key", "left_anti") if any_hot else distinct
-    wanted = lambda t: t.groupBy("doc", "tid").agg(F.collect_list(F.struct("key", "seg", "start", "n")).alias("wanted"))  # noqa: E731  bounded by the document
-    reps = wanted(plain.select("key", "seg", "r.*"))
+    if not hot_keys.isEmpty():
+        windows = cut(hot_windows(rows, hot_keys, window, anchor), "hot")
+        shared = shared.join(hot_keys, "key", "left_anti").unionByName(windows)
+        distinct = distinct.join(hot_keys, "key", "left_anti").unionByName(first(windows))
+    reps = distinct.select("key", "seg", "r.*").groupBy("doc", "tid").agg(F.collect_list(F.struct("key", "seg", "start", "n")).alias("wanted"))  # bounded by the document
     # From here on one plan: the texts are shuffled by (doc, tid) once, for all joins with them.
     cut_out = cut_segments(rows.join(reps, ["doc", "tid"]).dropDuplicates(["doc", "tid"]).select("text", "doc", "wanted"), window)
-    runs = search_shards(cut_out, shards_for(plain.count(), shard), window)
+    runs = search_shards(cut_out, shards_for(distinct.count(), shard), window)
     again = shared.join(runs, ["key", "seg"])
     covered: Column = F.transform(F.filter("runs", lambda x: x["least"] < F.col("doc")), lambda x: F.struct((F.col("start") + x["first"]).alias("a"), (F.col("start") + x["last"] + window).alias("b")))
     gone = again.select("doc", "tid", covered.alias("gone")).where(F.size("gone") > 0)
-    if any_hot:
-        texts = rows.join(wanted(shared.join(hot_keys, "key", "left_semi")), ["doc", "tid"]).dropDuplicates(["doc", "tid"])
-        windows = hot_windows(texts, window)
-        least = windows.groupBy("hash").agg(F.min("doc").alias("least"), F.max("doc").alias("most")).where("least < most").select("hash", "least")
-        more = windows.join(least, "hash").where("least < doc").select("doc", "tid", F.array(F.struct(F.col("start").alias("a"), (F.col("start") + window).alias("b"))).alias("gone"))
-        gone = gone.unionByName(more)
-    per_doc = gone.groupBy("doc", "tid").agg(F.flatten(F.collect_list("gone")).alias("gone"))
+    # As a set, so that rows of one id and text, however many, give each interval once.
+    per_doc = gone.groupBy("doc", "tid").agg(F.flatten(F.collect_set("gone")).alias("gone"))
     ids = F.when(F.col("doc") != _NO_ID, F.col("doc")).cast(kind).alias("doc_id")
     return without(rows.join(per_doc, ["doc", "tid"], "left").select(ids, "text", "gone"))
 

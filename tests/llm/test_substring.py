@@ -62,6 +62,20 @@ def test_hot_anchors_are_exact(spark):
     assert ours(df, hot=3) == want == ours(df)
 
 
+def test_many_shards_in_a_task(spark, monkeypatch):
+    monkeypatch.setattr(substring, "MOST_TASKS", 3)
+    texts = corpus(8)
+    df = spark.createDataFrame(rows(texts), "doc_id long, text string, lang string, source string, n_chars long")
+    assert ours(df, shard=4) == brute(list(enumerate(texts)), 50) == ours(df, shard=4, hot=2)
+
+
+def test_repeated_rows_give_each_interval_once(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    df = spark.createDataFrame([(1, passage)] + [(2, "x " + passage + " y")] * 50, "doc_id long, text string")
+    out = substring.dedup(df).collect()
+    assert [(r.n_removed, len(r.spans), r.kept) for r in out if r.doc_id == 2] == [(60, 1, "x y")] * 50
+
+
 def test_messy(spark):
     df = messy(spark)
     assert ours(df) == brute([(r.doc_id, r.text) for r in df.collect()], 50)
