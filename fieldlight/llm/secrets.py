@@ -2,33 +2,35 @@
 
 Base kinds are regular expressions. The method adds kind `random`: every maximal run of 20 or more
 characters of [A-Za-z0-9+/_-] is a candidate. Its encoding is inferred as the smallest alphabet
-that holds it (digits, hex, base 32, one case, one case with digits, both cases with digits, base
-64). The battery then asks two things.
+that holds it (see ENCODINGS). In that encoding the battery takes three z-scores: chi-squared of uniformity, the runs test
+about the middle of the alphabet, and the lag-1 serial correlation. Their squares' sum S is small for random strings.
 
-- Does it look random in that encoding? Chi-squared of uniformity, the runs test about the middle of
-  the alphabet and the lag-1 serial correlation give three z-scores; their squares' sum must not be
-  improbable (chi-squared, 3 degrees).
-- Does it look unlike language? The index of coincidence against that of language, and the number of
-  changes between small letters, capitals, digits and signs, give a p-value under "ordinary text". Letters of
-  one case cannot change kind; for them the frequencies of the letters give it. Digits alone have neither, so
-  they are never reported.
+The hypothesis tested is "ordinary text": words, identifiers, paths and numbers. Its p-value is the chance that ordinary
+text of the encoding and length gives an S as small as the candidate's, and also passes two conditions: that S is not improbable
+for random strings (REJECT_RANDOM), and that its letters (or, with several kinds of characters, their changes and the index
+of coincidence) are as unlike language as all but a share MISSED of random strings. That chance is calibrated, not assumed:
+null_table() writes ordinary and random strings of each encoding and length by fixed rules and takes quantiles of the
+battery (beyond the last ones by a power law).
 
 The p-values of the whole corpus are tested at once with a false-discovery rate of FDR; longer
 candidates, where the tests have more power, get more weight (weighted Benjamini-Hochberg). Only a
-histogram of p-values by length, of bounded size, goes to the driver.
+histogram of p-values by length, of bounded size, goes to the driver. Digits alone have no p-value under 1; see README for
+what is found by encoding and length.
 
 Offsets are code points, ends exclusive. Cases: a null or empty text has no span; repeated rows have
 equal spans; overlapping spans of different kinds stay side by side; an empty table gives no row;
-texts are scanned whole. A text with very many matches costs a little more than linear time.
+texts are scanned whole, in about linear time; columns named secret_base, secret_random or secret_spans are replaced.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldlight.llm.common import documents
+from fieldlight.llm.common import cut, documents
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -38,17 +40,34 @@ HEX = r"[0-9a-f]{24,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{20,}"
 LEAST_ASSIGN = 6
 FDR = 0.01
-#: Random strings pass the first question with all but this probability.
+#: Random strings pass the battery's own test of randomness with all but this probability.
 REJECT_RANDOM = 1e-3
+#: Share of random strings that are more like language than a candidate may be.
+MISSED = 0.02
 #: Language, as fixed values: index of coincidence, sum of cubed letter frequencies, changes of kind per character.
 COINCIDENCE, CUBES, CHANGES = 0.065, 0.0055, 0.1
 #: Letters a to z per 10,000 in language (about the mean of English, French, German and Spanish).
 LETTERS = (831, 140, 330, 410, 1500, 120, 150, 320, 730, 40, 60, 460, 250, 770, 640, 210, 60, 660, 740, 710, 390, 110, 90, 20, 80, 60)
 #: Mean and spread, per letter, of the natural logarithm of those in ordinary text; a mean low enough for one language.
 LIKELY, SPREAD = -3.0, 0.95
-#: Lengths count up to this in weights and histogram; minus log10 p is counted in steps of 0.1 up to 40.
-LONGEST, STEP, TOP = 64, 0.1, 40.0
+#: Lengths count up to this in weights and histogram; minus log10 p is counted in steps up to TOP.
+LONGEST, STEP, TOP = 64, 0.25, 6.0
 _ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/-_"
+#: Encodings, smallest first: pattern, and its characters in order (- and _ stand for + and / in base 64).
+ENCODINGS = (
+    ("^[0-9]+$", _ALPHABET[:10]),
+    ("^[0-9a-f]+$", _ALPHABET[:16]),
+    ("^[0-9A-F]+$", _ALPHABET[:10] + "ABCDEF"),
+    ("^[a-z]+$", _ALPHABET[10:36]),
+    ("^[A-Z]+$", _ALPHABET[36:62]),
+    ("^[A-Z2-7]+$", _ALPHABET[36:62] + "234567"),
+    ("^[a-z0-9]+$", _ALPHABET[:36]),
+    ("^[A-Z0-9]+$", _ALPHABET[:10] + _ALPHABET[36:62]),
+    ("^[A-Za-z0-9]+$", _ALPHABET[:62]),
+    ("", _ALPHABET[:64]),
+)
+#: Lengths at which the battery is calibrated, and strings that are written for each.
+LENGTHS, WRITTEN = (20, 22, 24, 28, 32, 40, 48, 64), 4000
 MASK = "[SECRET]"
 
 
@@ -57,19 +76,24 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def prefix_sums(numbers: Column) -> Column:
-    """Sums of what stands before each element. In blocks, so that long arrays cost little more than linear time."""
+def prefix(numbers: Column, merge) -> Column:
+    """What merge (a sum or maximum, from 0) gives of all that stands before each element. In blocks, so that long arrays
+    cost little more than linear time."""
     block = 64
-    total = lambda a: F.aggregate(a, F.lit(0), lambda s, x: s + x)
+    fold = lambda a: F.aggregate(a, F.lit(0), merge)
 
     def with_blocks(a: Column) -> Column:
-        blocks = F.transform(F.sequence(F.lit(0), F.expr("0") + F.floor((F.size(a) - 1) / block).cast("int")), lambda b: total(F.slice(a, b * block + 1, F.lit(block))))
-        bases = let(blocks, lambda s: F.transform(s, lambda _, i: total(F.slice(s, F.lit(1), i))))
-        return let(bases, lambda s: F.transform(a, lambda _, i: F.get(s, F.floor(i / block).cast("int")) + total(F.slice(a, F.floor(i / block).cast("int") * block + 1, F.pmod(i, F.lit(block))))))
+        blocks = F.transform(F.sequence(F.lit(0), F.expr("0") + F.floor((F.size(a) - 1) / block).cast("int")), lambda b: fold(F.slice(a, b * block + 1, F.lit(block))))
+        bases = let(blocks, lambda s: F.transform(s, lambda _, i: fold(F.slice(s, F.lit(1), i))))
+        return let(bases, lambda s: F.transform(a, lambda _, i: merge(F.get(s, F.floor(i / block).cast("int")), fold(F.slice(a, F.floor(i / block).cast("int") * block + 1, F.pmod(i, F.lit(block)))))))
 
     return let(numbers, lambda a: F.when(F.size(a) > 0, with_blocks(a)).otherwise(F.array().cast("array<int>")))
 
 
+def prefix_sums(numbers: Column) -> Column:
+    return prefix(numbers, lambda s, x: s + x)
+
+
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Array of (start, end, value) of the leftmost non-overlapping matches; value is the group's text.
     The pieces between matches, as split() gives them, place the matches."""
@@ -88,34 +112,21 @@ def matches(text: Column, pattern: str, group: int = 0) -> Column:
     return F.when(text.rlike(pattern), let(whole, placed)).otherwise(none)
 
 
-def _upper_tail(z: Column) -> Column:
-    """Chance that a standard normal exceeds z; relative error under some hundredths."""
-    a = F.abs(z)
-    tail = F.exp(-a * a / 2) / (1.64 * a + F.sqrt(0.76 * a * a + 4))
-    return F.when(z >= 0, tail).otherwise(1 - tail)
-
-
 def _sum(a: Column, f) -> Column:
     return F.aggregate(F.transform(a, f), F.lit(0.0), lambda s, x: s + x)
 
 
 def battery(token: Column) -> Column:
-    """(size, fits, evidence): its length; whether it passes as random in its encoding; minus log10 of
-    the p-value under "ordinary text"."""
-    has = lambda p: token.rlike(p)
-    # (form, first, span): how characters map to the alphabet's places, where it begins in _ALPHABET, its size
-    code = lambda form, first, span: F.struct(F.lit(form).alias("form"), F.lit(first).alias("first"), F.lit(span).alias("span"))
-    encoding = (
-        F.when(has("^[0-9]+$"), code(0, 0, 10)).when(has("^[0-9a-f]+$"), code(0, 0, 16)).when(has("^[0-9A-F]+$"), code(1, 0, 16)).when(has("^[a-z]+$"), code(0, 10, 26)).when(has("^[A-Z]+$"), code(0, 36, 26))
-        .when(has("^[A-Z2-7]+$"), code(2, 0, 32)).when(has("^[a-z0-9]+$"), code(0, 0, 36)).when(has("^[A-Z0-9]+$"), code(1, 0, 36)).when(has("^[A-Za-z0-9]+$"), code(0, 0, 62)).otherwise(code(0, 0, 64))
-    )
-    logs = F.array(*[F.lit(float(np.log(x / sum(LETTERS)))) for x in LETTERS])
-    sort_of = lambda p: F.when(p < 10, 0).when(p < 36, 1).when(p < 62, 2).otherwise(3)
+    """(size, code, s, unlike): its length; its encoding's place; the three z-scores' sum of squares; how unlike language it
+    is."""
+    code = F.lit(len(ENCODINGS) - 1)
+    for i, (pattern, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
+        code = F.when(token.rlike(pattern), F.lit(i)).otherwise(code)
+    alphabet = lambda c: F.get(F.array(*[F.lit(a) for _, a in ENCODINGS]), c)
+    logs = F.array(*[F.lit(float(x)) for x in _LOGS])
 
-    def value(p: Column, e: Column) -> Column:
-        capital = p >= 36
-        by_form = F.when((e["form"] == 1) & capital, p - 26).when(e["form"] == 2, F.when(capital, p - 36).otherwise(p + 24)).when(p >= 64, p - 2).otherwise(p)
-        return by_form - e["first"]
+    def kind(p: Column) -> Column:
+        return F.when(p < 10, 0).when(p < 36, 1).when(p < 62, 2).otherwise(3)
 
     def tests(x: Column) -> Column:
         v, kinds, k = x["v"], x["kinds"], x["k"].cast("double")
@@ -134,26 +145,139 @@ def battery(token: Column) -> Column:
             lag = _sum(v, lambda y, i: F.when(i > 0, (y - m) * (F.get(v, i - 1) - m)).otherwise(0.0))
             z_lag = F.when(square > 0, (lag / F.greatest(square, F.lit(1e-9)) + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
             s = F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0)) + z_runs * z_runs + z_lag * z_lag
-            fit = _upper_tail((F.pow(s / 3, F.lit(1 / 3)) - (1 - 2 / 27)) / np.sqrt(2 / 27))
             same = (pairs - n) / (n * (n - 1))
             sd = F.sqrt(2 / (n * (n - 1)) * (2 * (n - 2) * (CUBES - COINCIDENCE**2) + COINCIDENCE * (1 - COINCIDENCE)))
             changes = _sum(kinds, lambda y, i: F.when((i > 0) & (y != F.get(kinds, i - 1)), 1.0).otherwise(0.0))
             z_changes = (changes - CHANGES * (n - 1)) / F.sqrt(CHANGES * (1 - CHANGES) * (n - 1))
             likely = _sum(v, lambda y: F.get(logs, y)) / n
-            z = F.when(x["letters"], (LIKELY - likely) * F.sqrt(n) / SPREAD).otherwise((z_changes - (same - COINCIDENCE) / sd) / np.sqrt(2))
-            evidence = F.when(z > 37, F.lit(300.0)).otherwise(-F.log10(F.greatest(_upper_tail(z), F.lit(1e-300))))
-            return F.struct(F.size(v).alias("size"), (fit >= REJECT_RANDOM).alias("fits"), evidence.alias("evidence"))
+            z = F.when(k == 26, (LIKELY - likely) * F.sqrt(n) / SPREAD).otherwise((z_changes - (same - COINCIDENCE) / sd) / np.sqrt(2))
+            return F.struct(F.size(v).alias("size"), x["code"].alias("code"), s.alias("s"), z.alias("unlike"))
 
         return let(mean, rest)
 
-    places = F.transform(F.split(token, ""), lambda c: F.instr(F.lit(_ALPHABET), c) - 1)
-    coded = lambda p, e: F.struct(F.transform(p, lambda y: value(y, e)).alias("v"), F.transform(p, sort_of).alias("kinds"), e["span"].alias("k"), (e["span"] == 26).alias("letters"))
-    return let(encoding, lambda e: let(places, lambda p: let(coded(p, e), tests)))
+    def coded(c: Column) -> Column:
+        chars = F.split(F.when(c == len(ENCODINGS) - 1, F.translate(token, "-_", "+/")).otherwise(token), "")
+        v = let(alphabet(c), lambda a: F.transform(chars, lambda x: F.instr(a, x) - 1))
+        kinds = F.transform(F.split(token, ""), lambda x: kind(F.instr(F.lit(_ALPHABET), x) - 1))
+        return F.struct(v.alias("v"), kinds.alias("kinds"), F.length(alphabet(c)).alias("k"), c.alias("code"))
+
+    return let(code, lambda c: let(coded(c), tests))
+
+
+_LOGS = np.log(np.array(LETTERS) / sum(LETTERS))
+#: S of a random string is chi-squared with three degrees; its quantile by the cube-root rule at REJECT_RANDOM, 3.09 spreads up.
+MOST_S = 3 * (1 - 2 / 27 + 3.0902 * (2 / 27) ** 0.5) ** 3
+
+
+def battery_of(places: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
+    """battery()'s s and unlike of many strings of one length and encoding; places: a row of places in _ALPHABET each."""
+    alphabet = ENCODINGS[code][1]
+    value = np.array([alphabet.find({"-": "+", "_": "/"}.get(c, c) if len(alphabet) == 64 else c) for c in _ALPHABET])
+    v, (rows, n), k = value[places], places.shape, len(alphabet)
+    pairs = (np.bincount((np.arange(rows)[:, None] * k + v).ravel(), minlength=rows * k).reshape(rows, k).astype(float) ** 2).sum(axis=1)
+    z_chi = (k / n * pairs - n - (k - 1)) / np.sqrt(2 * (k - 1) * (n - 1) / n)
+    up = v * 2 > k - 1
+    high = up.sum(axis=1)
+    both = 2.0 * high * (n - high)
+    spread = both * (both - n) / (n * n * (n - 1))
+    z_runs = np.where(spread > 0, ((up[:, 1:] != up[:, :-1]).sum(axis=1) - both / n) / np.sqrt(np.maximum(spread, 1e-9)), 9.0)
+    away = v - v.mean(axis=1, keepdims=True)
+    square = (away**2).sum(axis=1)
+    z_lag = np.where(square > 0, ((away[:, 1:] * away[:, :-1]).sum(axis=1) / np.maximum(square, 1e-9) + 1 / n) * np.sqrt(n), 9.0)
+    s = np.maximum(z_chi, 0) ** 2 + z_runs**2 + z_lag**2
+    if k == 26:
+        z = (LIKELY - _LOGS[v].mean(axis=1)) * np.sqrt(n) / SPREAD
+    else:
+        sd = np.sqrt(2 / (n * (n - 1)) * (2 * (n - 2) * (CUBES - COINCIDENCE**2) + COINCIDENCE * (1 - COINCIDENCE)))
+        kinds = np.digitize(places, [10, 36, 62])
+        changes = (kinds[:, 1:] != kinds[:, :-1]).sum(axis=1)
+        z = ((changes - CHANGES * (n - 1)) / np.sqrt(CHANGES * (1 - CHANGES) * (n - 1)) - ((pairs - n) / (n * (n - 1)) - COINCIDENCE) / sd) / np.sqrt(2)
+    return s, z
+
+
+def ordinary(code: int, rows: int, n: int, rng: np.random.Generator) -> np.ndarray:
+    """rows x n places in _ALPHABET of ordinary text in an encoding: words, in which vowels and consonants mostly take turns and
+    whose letters' frequencies differ from row to row as between languages, joined as identifiers, paths and constants
+    are; numbers of one to four digits in some places."""
+    shape, a_row = (rows, n), (rows, 1)
+    freq = np.array(LETTERS) * np.exp(0.5 * rng.normal(size=(rows, 26)))
+    vowel = np.isin(np.arange(26), [0, 4, 8, 14, 20])
+    turn = rng.uniform(size=shape)
+    is_vowel = np.zeros(shape, bool)
+    for i in range(1, n):
+        is_vowel[:, i] = turn[:, i] < np.where(is_vowel[:, i - 1], 0.12, 0.6)
+
+    def draw(mask: np.ndarray) -> np.ndarray:
+        up = np.cumsum(np.where(mask, freq, 0), axis=1)
+        x = rng.uniform(size=shape) * up[:, -1:]
+        return np.minimum((x[:, :, None] >= up[:, None, :]).sum(axis=2), 25)
+
+    letters = np.where(is_vowel, draw(vowel), draw(~vowel))
+    begins = np.zeros(shape, bool)
+    at = np.cumsum(2 + rng.poisson(4, (rows, n // 2)), axis=1)
+    which = np.broadcast_to(np.arange(rows)[:, None], at.shape)
+    begins[which[at < n], at[at < n]] = True
+    word = np.cumsum(begins, axis=1)
+    per_word = lambda x: np.take_along_axis(x, word, axis=1)
+    of_word = lambda share: per_word(rng.uniform(size=shape) < share)
+    low, capital, digits = letters + 10, letters + 36, rng.integers(0, 10, shape)
+    in_word = np.arange(n) - np.maximum.accumulate(np.where(begins, np.arange(n), 0), axis=1)
+    number = of_word(0.15) & (in_word < per_word(rng.integers(1, 5, shape)))
+    if code in (1, 2):  # numbers, rarely with a letter
+        return np.where(rng.uniform(size=shape) < 0.85, digits, letters % 6 + (10 if code == 1 else 36))
+    if code in (3, 4):
+        return low if code == 3 else capital
+    if code in (5, 6, 7):
+        return np.where(number, 2 + digits % 6 if code == 5 else digits, low if code == 6 else capital)
+    camel = np.where(of_word(0.1) | (begins & (rng.uniform(size=a_row) < 0.8)), capital, low)
+    if code == 8:
+        return np.where(number, digits, camel)
+    style, joint = rng.uniform(size=a_row), rng.choice([62, 63, 64, 65], a_row, p=[0.03, 0.27, 0.3, 0.4])
+    return np.where(begins, joint, np.where(number, digits, np.where(style < 0.25, capital, np.where(style < 0.75, low, camel))))
+
+
+@lru_cache(1)
+def null_table() -> list[list[tuple[float, list[float]]]]:
+    """By encoding and length: the least unlike, and the largest s at which the chance under ordinary text is at most
+    10 ** -(STEP * j), for j from 0. Digits alone are never random enough."""
+    rng = np.random.default_rng(7)
+    levels = np.arange(int(TOP / STEP) + 1) * STEP
+    never = (1e300, [1e300] + [-1.0] * (len(levels) - 1))
+    table = [[never] * len(LENGTHS)]
+    for code in range(1, len(ENCODINGS)):
+        text, row = ordinary(code, 1000, 200, rng), []
+        own = np.array([_ALPHABET.index(c) for c in ENCODINGS[code][1]])
+        for n in LENGTHS:
+            unlike = float(np.quantile(battery_of(own[rng.integers(0, len(own), (WRITTEN, n))], code)[1], MISSED))
+            # Strings begin anywhere in the text, so also within words.
+            places = text[rng.integers(0, len(text), WRITTEN)[:, None], rng.integers(0, text.shape[1] - n, WRITTEN)[:, None] + np.arange(n)]
+            s, z = battery_of(places, code)
+            s = np.sort(s[(s <= MOST_S) & (z >= unlike)])
+            known = min(len(s), 20)
+            # The chance near 0 goes as the volume of three z-scores: s ** 1.5.
+            least, share = (s[known - 1], known / WRITTEN) if known == 20 else (MOST_S, (known + 3) / WRITTEN)
+            beyond = least * (10.0**-levels / share) ** (1 / 1.5)
+            ranks = np.floor(10.0**-levels * WRITTEN).astype(int)
+            bound = [1e300 if r > len(s) or p >= share and known < 20 else s[r - 1] if r > known else b for b, r, p in zip(beyond, ranks, 10.0**-levels, strict=True)]
+            row.append((unlike, [float(x) for x in np.minimum.accumulate(bound)]))
+        table.append(row)
+    return table
 
 
 def candidates(text: Column) -> Column:
-    """Array of (start, end, size, fits, evidence)."""
-    return F.transform(matches(text, CANDIDATE), lambda m: let(battery(m["value"]), lambda b: F.struct(m["start"].alias("start"), m["end"].alias("end"), b["size"].alias("size"), b["fits"].alias("fits"), b["evidence"].alias("evidence"))))
+    """Array of (start, end, size, level): level steps of minus log10 of the p-value."""
+    number = lambda x: f"{float(x)!r}D"
+    array = lambda parts: f"array({','.join(parts)})"
+    bounds = F.expr(array(array(array(map(number, row)) for _, row in rows) for rows in null_table()))
+    least = F.expr(array(array(number(u) for u, _ in rows) for rows in null_table()))
+
+    def levelled(m: Column, b: Column) -> Column:
+        bucket = F.size(F.filter(F.array(*map(F.lit, LENGTHS)), lambda n: n <= b["size"])) - 1
+        good = (b["s"] <= MOST_S) & (b["unlike"] >= F.get(F.get(least, b["code"]), bucket))
+        reached = F.size(F.filter(F.get(F.get(bounds, b["code"]), bucket), lambda t: b["s"] <= t)) - 1
+        return F.struct(m["start"].alias("start"), m["end"].alias("end"), b["size"].alias("size"), F.when(good, F.greatest(reached, F.lit(0))).otherwise(0).alias("level"))
+
+    return F.transform(matches(text, CANDIDATE), lambda m: let(battery(m["value"]), lambda b: levelled(m, b)))
 
 
 def weight(size):
@@ -161,12 +285,20 @@ def weight(size):
     return np.minimum(size, LONGEST) / LONGEST
 
 
-def evidence_needed(docs: DataFrame, fdr: float = FDR) -> tuple[float, float]:
-    """(t, m): a candidate is random text if evidence + log10(weight / m) >= t; weighted Benjamini-Hochberg
-    over all candidates of the corpus. The histogram has at most 45 x 401 rows."""
-    found = docs.select(F.explode(candidates(F.coalesce(F.col("text"), F.lit("")))).alias("c"))
-    level = F.least(F.floor(F.col("c.evidence") / STEP), F.lit(int(TOP / STEP))).cast("int")
-    rows = found.groupBy(F.least("c.size", F.lit(LONGEST)).alias("size"), level.alias("level")).agg(F.count("*").alias("n")).collect()
+def scanned(docs: DataFrame, text: Column) -> DataFrame:
+    """docs with secret_base (array of (start, rank, end)) and secret_random (candidates)."""
+    text = F.coalesce(text, F.lit(""))
+    span = lambda rank: lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"))
+    assign = F.transform(F.filter(matches(text, ASSIGN, 2), lambda m: F.length(m["value"]) >= LEAST_ASSIGN), span(0))
+    access, hexes = F.transform(matches(text, ACCESS), span(1)), F.transform(matches(text, HEX), span(2))
+    return docs.withColumns({"secret_base": F.concat(assign, access, hexes), "secret_random": candidates(text)})
+
+
+def evidence_needed(scan: DataFrame, fdr: float = FDR) -> tuple[float, float]:
+    """scan: secret_random. (t, m): a candidate is random text if its evidence, minus log10 p, plus log10(weight / m) is t at
+    least; weighted Benjamini-Hochberg over all candidates of the corpus. The histogram has at most 45 x 25 rows."""
+    found = scan.select(F.explode("secret_random").alias("c"))
+    rows = found.groupBy(F.least("c.size", F.lit(LONGEST)).alias("size"), "c.level").agg(F.count("*").alias("n")).collect()
     if not rows:
         return float("inf"), 1.0
     size, level, n = (np.array([r[k] for r in rows], float) for k in range(3))
@@ -177,38 +309,47 @@ def evidence_needed(docs: DataFrame, fdr: float = FDR) -> tuple[float, float]:
     return (float(reached[order][good].min()) if good.any() else float("inf")), mean
 
 
-def spans(text: Column, needed: tuple[float, float]) -> Column:
-    """Array of (start, rank, end) in order; rank: the kind's place in KINDS."""
+def spans(needed: tuple[float, float]) -> Column:
+    """Array of (start, rank, end) in order, from what scanned() added; rank: the kind's place in KINDS."""
     t, mean = needed
-    text = F.coalesce(text, F.lit(""))
-    span = lambda rank: lambda m: F.struct(m["start"].alias("start"), F.lit(rank).alias("rank"), m["end"].alias("end"))
-    assign = F.transform(F.filter(matches(text, ASSIGN, 2), lambda m: F.length(m["value"]) >= LEAST_ASSIGN), span(0))
-    access, hexes = F.transform(matches(text, ACCESS), span(1)), F.transform(matches(text, HEX), span(2))
-    enough = lambda m: m["fits"] & (F.floor(m["evidence"] / STEP) * STEP + F.log10(F.least(m["size"], F.lit(LONGEST)) / (LONGEST * mean)) >= t - 1e-9)
-    parts = [assign, access, hexes] + ([F.transform(F.filter(candidates(text), enough), span(3))] if np.isfinite(t) else [])
-    return F.array_sort(F.concat(*parts))
+    enough = lambda m: (m["level"] > 0) & (m["level"] * STEP + F.log10(F.least(m["size"], F.lit(LONGEST)) / (LONGEST * mean)) >= t - 1e-9)
+    span = lambda m: F.struct(m["start"].alias("start"), F.lit(3).alias("rank"), m["end"].alias("end"))
+    more = [F.transform(F.filter("secret_random", enough), span)] if np.isfinite(t) else []
+    return F.array_sort(F.concat("secret_base", *more))
 
 
-def find_secrets(docs: DataFrame, fdr: float = FDR) -> DataFrame:
-    """All columns of docs, with secret_spans: array of (start, rank, end)."""
-    return docs.withColumn("secret_spans", spans(F.col("text"), evidence_needed(docs, fdr)))
+def find_secrets(docs: DataFrame, fdr: float = FDR, text: Column | None = None, drop_text: bool = False) -> DataFrame:
+    """All columns of docs (but text, if it is to be dropped), with secret_spans: array of (start, rank, end). The scan is
+    written once; the corpus-wide threshold is read from it."""
+    scan = scanned(docs, F.col("text") if text is None else text)
+    scan = cut(scan.drop("text") if drop_text else scan, "secrets")
+    return scan.withColumn("secret_spans", spans(evidence_needed(scan, fdr))).drop("secret_base", "secret_random")
 
 
 def redact(text: Column, found: Column) -> Column:
-    """The text with each span, or each chain of overlapping spans, replaced by MASK."""
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+    """The text with each span, or each chain of overlapping spans, replaced by MASK. What stays is put together from
+    blocks of the text, so that many spans in a long text cost linear time."""
+    size = 1024
+    text_blocks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), F.lit(0))
+    block = lambda at: F.floor(at / size).cast("int")
+
+    def piece(blocks: Column, a: Column, b: Column) -> Column:
+        of = lambda at: F.coalesce(F.get(blocks, block(at)), F.lit(""))
+        inner = F.array_join(F.slice(blocks, block(a) + 2, F.greatest(block(b) - block(a) - 1, F.lit(0))), "")
+        across = F.concat(F.substring(of(a), F.pmod(a, F.lit(size)) + 1, F.lit(size)), inner, F.substring(of(b), F.lit(1), F.pmod(b, F.lit(size))))
+        return F.when(block(a) == block(b), F.substring(of(a), F.pmod(a, F.lit(size)) + 1, b - a)).otherwise(across)
 
-    def step(s: Column, x: Column) -> Column:
-        fresh = x["start"] >= s["at"]
-        out = F.when(fresh, F.concat(s["out"], F.substring(text, s["at"] + 1, x["start"] - s["at"]), F.lit(MASK))).otherwise(s["out"])
-        return F.struct(F.greatest(s["at"], x["end"]).alias("at"), out.alias("out"))
+    def whole(blocks: Column) -> Column:
+        before = prefix(F.transform(found, lambda x: x["end"]), F.greatest)
+        masked = lambda m: F.flatten(F.transform(found, lambda x, i: F.when(x["start"] >= F.get(m, i), F.array(piece(blocks, F.get(m, i), x["start"]), F.lit(MASK))).otherwise(F.array().cast("array<string>"))))
+        last = F.aggregate(found, F.lit(0), lambda s, x: F.greatest(s, x["end"]))
+        return F.array_join(F.concat(let(before, masked), F.array(let(last, lambda a: piece(blocks, a, F.length(text))))), "")
 
-    whole = F.aggregate(found, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(found) > 0, whole).otherwise(text)
+    return F.when(F.size(found) > 0, let(text_blocks, whole)).otherwise(text)
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = find_secrets(documents(spark, sf_dir).select("doc_id", "text"))
+    found = find_secrets(documents(spark, sf_dir).select("doc_id", "text"), drop_text=True)
     names = F.array(*map(F.lit, KINDS))
     shown = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(":", F.get(names, x["rank"]), x["start"], x["end"])), ",")
     count = lambda rank: F.size(F.filter("secret_spans", lambda x: x["rank"] == rank)).cast("long")
