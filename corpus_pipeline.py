@@ -51,8 +51,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every span that the scan finds becomes a mark; n_chars follows."""
     rows = docs.select(packed(docs))
-    found = rows.select("d", secrets.spans(F.col("d.text"), secrets.evidence_needed(docs)).alias("spans"))
-    masked = found.select("d", F.when(F.size("spans") > 0, secrets.redact(F.col("d.text"), F.col("spans"))).alias("masked"))
+    found = secrets.find_secrets(rows, text=F.col("d.text"))
+    masked = found.select("d", F.when(F.size("secret_spans") > 0, secrets.redact(F.col("d.text"), F.col("secret_spans"))).alias("masked"))
     new = {"text": F.coalesce("masked", "d.text"), "n_chars": F.coalesce(F.length("masked").cast("long"), F.col("d.n_chars"))} if "n_chars" in docs.columns else {"text": F.coalesce("masked", "d.text")}
     return masked.select(*[new.get(c, F.col(f"d.`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
 
