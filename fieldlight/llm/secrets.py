@@ -340,7 +340,7 @@ def redact(text: Column, found: Column) -> Column:
         return F.when(block(a) == block(b), F.substring(of(a), F.pmod(a, F.lit(size)) + 1, b - a)).otherwise(across)
 
     def whole(blocks: Column) -> Column:
-        before = prefix(F.transform(found, lambda x: x["end"]), F.greatest)
+        before = prefix(F.transform(found, lambda x: x["end"]), lambda s, x: F.greatest(s, x))
         masked = lambda m: F.flatten(F.transform(found, lambda x, i: F.when(x["start"] >= F.get(m, i), F.array(piece(blocks, F.get(m, i), x["start"]), F.lit(MASK))).otherwise(F.array().cast("array<string>"))))
         last = F.aggregate(found, F.lit(0), lambda s, x: F.greatest(s, x["end"]))
         return F.array_join(F.concat(let(before, masked), F.array(let(last, lambda a: piece(blocks, a, F.length(text))))), "")
