@@ -14,8 +14,9 @@ some thousand documents of one group, and each level is one shuffle of the open
 
 Cases: a null text has size 0; a null source is a source of its own, last; documents of size 0
 and sources of size 0 get 0 words; repeated rows and repeated or null doc_ids are rounded each
-for itself; an empty table gives no row. Rows that are alike in all columns are told apart by a
-number within their group. The draws are hashes of ids and seed, so reruns agree.
+for itself; an empty table gives no row; columns other than doc_id, text and source are carried along, whatever their
+names. Rows alike in doc_id, source and text are told apart by a number within their group, counted by partition first, so
+that no task holds such a group, however large. The draws are hashes of ids and seed, so reruns agree.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldlight.llm.common import WORD, cut, documents, shards_for
+from fieldlight.llm.common import WORD, cut, documents, with_fields
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -107,12 +108,26 @@ def pivot(mass: np.ndarray, p: np.ndarray, u: np.ndarray) -> tuple[np.ndarray, i
     return p, open_at
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES, seed: int = 0) -> DataFrame:
-    """doc_id, source, row (tells equal rows apart), size, source_size, target, copies."""
-    same = Window.partitionBy("doc_id", "source", "text_hash").orderBy(F.lit(0))
-    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"))
-    sized = sized.withColumn("row", F.row_number().over(same).cast("long"))
-    sized = cut(sized, "sizes")
+def told_apart(rows: DataFrame, *key: str) -> DataFrame:
+    """rows with row, a number from 1 among the rows alike in the key columns (nulls are equal). Numbers run within each partition
+    that the rows were written in, and start after the counts of the partitions before."""
+    rows = cut(rows.withColumn("_part", F.spark_partition_id()), "rows")
+    own = F.row_number().over(Window.partitionBy(*key, "_part").orderBy(F.lit(0)))
+    counts = rows.groupBy(*key, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(*key).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # A row per key and partition; only keys in several partitions have any that start later.
+    later = counts.withColumn("_before", F.sum("_n").over(before)).where(F.col("_before").isNotNull())
+    later = cut(later.select(F.struct(*key).alias("_key"), F.col("_part").alias("_p"), "_before"), "later")
+    numbered_rows = rows.withColumn("_own", own)
+    joined = numbered_rows.join(later, F.struct(*key).eqNullSafe(F.col("_key")) & (F.col("_part") == F.col("_p")), "left")
+    return joined.withColumn("row", (F.col("_own") + F.coalesce("_before", F.lit(0))).cast("long")).drop("_key", "_p", "_before", "_own", "_part")
+
+
+def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES, seed: int = 0, label: Column | None = None) -> DataFrame:
+    """doc_id, source, row (tells equal rows apart), size, source_size, target, copies; label: a value of each row that is
+    to be returned too."""
+    sized = docs.select("doc_id", "source", n_words(F.col("text")).alias("size"), F.xxhash64("text").alias("text_hash"), (F.lit(0) if label is None else label).cast("long").alias("label"))
+    sized = cut(told_apart(sized, "doc_id", "source", "text_hash"), "sizes")
     per_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     per_source = cut(per_source, "per_source")
     goals = targets(per_source.select("source", "source_size"), weights, share, most)
@@ -125,9 +140,9 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     top = F.when(mean - whole > 1 - 1e-12, whole + 1).otherwise(whole)
     part = F.when(F.col("size") > 0, F.greatest(mean - top, F.lit(0.0))).otherwise(F.lit(0.0))
     leaves = F.ceil(F.col("n") / LEAF).cast("long")
-    state = joined.select("doc_id", "source", "row", "text_hash", "size", "source_size", "target", top.cast("long").alias("whole"), part.alias("p"), key.alias("key"), F.pmod(key, leaves).alias("group"))
-    kept = ["doc_id", "source", "row", "text_hash", "size", "source_size", "target", "whole", "key"]
-    schema = state.drop("group").schema.simpleString()[7:-1].replace(":", " ") + ", group long, open boolean"
+    state = joined.select("doc_id", "source", "row", "label", "size", "source_size", "target", top.cast("long").alias("whole"), part.alias("p"), key.alias("key"), F.pmod(key, leaves).alias("group"))
+    kept = ["doc_id", "source", "row", "label", "size", "source_size", "target", "whole", "key"]
+    schema = with_fields(state.drop("group"), "group long, open boolean")
     done, level = [], 0
     n_open = None
 
@@ -150,21 +165,18 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SH
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select("doc_id", "source", "row", "text_hash", "size", "source_size", "target", (F.col("whole") + F.round("p").cast("long")).alias("copies"))
+    return out.select("doc_id", "source", "row", "label", "size", "source_size", "target", (F.col("whole") + F.round("p").cast("long")).alias("copies"))
 
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The rows of docs, each as often as the mix takes it, with docs' columns."""
-    mixed = mix(docs, **how)
-    key = lambda h: F.struct("doc_id", "source", h)  # noqa: E731  nulls in a struct are equal
-    # Equal rows of one id are few; each gets the copies of one of them.
-    counts = mixed.select(key("text_hash").alias("_key"), "row", "copies").groupBy("_key").agg(F.sort_array(F.collect_list(F.struct("row", "copies"))).alias("_copies"))
-    # The rows travel whole in one column, so that no name of theirs can clash.
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), key(F.xxhash64("text").alias("text_hash")).alias("_key"))
-    nth = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(0)))
-    numbered_rows = rows.join(counts, "_key").withColumn("_nth", nth)
-    times = numbered_rows.select("d", F.get("_copies", F.col("_nth") - 1)["copies"].cast("int").alias("_times")).where("_times > 0")
-    return times.select("d", F.explode(F.sequence(F.lit(1), "_times"))).select("d.*")
+    # Rows are numbered and written once, so that their copies find them again; they travel whole in one column, so that no
+    # name of theirs can clash.
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("d"), F.monotonically_increasing_id().alias("_row"))
+    rows = cut(rows, "documents")
+    mixed = mix(rows.select("d.doc_id", "d.source", "d.text", "_row"), label=F.col("_row"), **how)
+    times = mixed.where("copies > 0").select(F.col("label").alias("_row"), F.col("copies").cast("int").alias("_times"))
+    return rows.join(times, "_row").select("d", F.explode(F.sequence(F.lit(1), "_times"))).select("d.*")
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,6 +73,22 @@ def test_mixed_documents(spark):
     assert got == {d: c for d, c in copies.items() if c}
 
 
+def test_rows_are_told_apart(spark):
+    df = spark.createDataFrame([(None, None, "t")] * 500 + [(1, "a", "x"), (1, "a", "x"), (1, None, "x")], SCHEMA.split(", lang")[0].replace("text string", "source string, text string")).repartition(7)
+    got = mixing.told_apart(df, "doc_id", "source", "text").groupBy("doc_id", "source", "text").agg(F.sort_array(F.collect_list("row")).alias("r")).collect()
+    assert sorted(len(r.r) for r in got) == [1, 2, 500] and all(r.r == list(range(1, len(r.r) + 1)) for r in got)
+
+
+def test_a_third_of_equal_rows(spark):
+    df = spark.createDataFrame(rows(["w w w"] * 300 + [f"a {i}" for i in range(600)], ["a"] * 300 + ["b"] * 600), SCHEMA)
+    df = df.withColumn("doc_id", F.when(F.col("source") == "b", F.col("doc_id")))
+    out = mixing.mix(df.repartition(6)).collect()
+    again = mixing.mix(df.repartition(3)).collect()
+    total = lambda t: sum(r.copies for r in t if r.source == "a")
+    assert len(out) == 900 and total(out) == total(again) and abs(3 * total(out) - out[0].target if out[0].source == "a" else 0) <= 3
+    assert mixing.mixed_documents(df).where("source = 'a'").count() == total(out)
+
+
 def test_messy(spark):
     df = messy(spark)
     out = mixing.mix(df).collect()
