@@ -1,6 +1,7 @@
 import math
 import random
 import textwrap
+import time
 
 from llm.helpers import empty, messy
 from pyspark.sql import functions as F
@@ -85,6 +86,15 @@ def test_messy(spark):
     assert L.scan(empty(spark).withColumn("path", F.lit("a/b"))).collect() == []
 
 
+def test_very_long_notices(spark):
+    words = [f"w{i % 30_000}" for i in range(100_000)]
+    texts = ["License: " + " ".join(words), "\n".join(f"license of {w}" for w in words[:20_000]), " ".join(words) + "\nSPDX-License-Identifier: MIT"]
+    df = spark.createDataFrame([(f"d{i}/f", t) for i, t in enumerate(texts)], "path string, text string")
+    start = time.perf_counter()
+    got = {r.path: r.licence for r in L.scan(df).collect()}
+    assert got == {"d0/f": None, "d1/f": None, "d2/f": "MIT"} and time.perf_counter() - start < 60
+
+
 def test_wrapped_and_whole_texts(spark):
     code = "\n".join(f"call_{i}(alpha, beta, gamma)" for i in range(40))
     wrap = lambda t, width, mark: "\n".join(mark + x for x in textwrap.wrap(t, width))
