@@ -38,11 +38,16 @@ _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-ö
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 
 
+#: Texts by which a loaded tokenizer is held against the shortcuts below.
+_PROBES = ("It's 12 o'clock, isn't it?", "  two  spaces\tand\nlines ", "ÜBER naïve Café élan", "a_b-c/d.e 3.14 #tag @x", "漢字 \U0001f600 emoji", "THE end...", "don't we'll they're I've I'm he'd", "x" * 40, "<|tag|> ½ ﬁ e\u0301")
+
+
 class _Ids:
-    """Ids of words as little-endian uint32 bytes. White space only separates in this tokenizer and
+    """Ids of words as little-endian uint32 bytes. White space only separates in the tokenizer these shortcuts are made for, and
     its pieces are coded each for itself, so the ids of a text are those of its words, and those of
     a word are those of its pieces. Each distinct word of a batch is put together once, and each piece
-    is coded once for as long as it is kept."""
+    is coded once for as long as it is kept. A tokenizer that gives other ids for the probes is used as it is, on whole
+    texts."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -51,6 +56,19 @@ class _Ids:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.pieces: dict[str, bytes] = {}
+        self.by_words = self._agrees()
+
+    def _agrees(self) -> bool:
+        whole = self._whole(list(_PROBES))
+        try:
+            ids, n = self._by_words(pa.array(_PROBES))
+        except Exception:  # a model that cannot code a piece alone  # noqa: BLE001
+            return False
+        cuts = np.cumsum(n)[:-1]
+        return all(np.array_equal(a, b) for a, b in zip(np.split(ids, cuts), whole, strict=True))
+
+    def _whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
     def _code(self, piece: str) -> bytes:
         """Ids of one piece, its bytes written as the vocabulary writes them."""
@@ -75,7 +93,14 @@ class _Ids:
         return out[0] if len(out) == 1 else b"".join(out)
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """All ids of the texts, and how many each text has. Each distinct word is looked up once."""
+        """All ids of the texts, and how many each text has."""
+        if self.by_words:
+            return self._by_words(texts)
+        ids = self._whole([x.decode("utf-8", "replace") if isinstance(x, bytes) else x or "" for x in texts.to_pylist()])
+        return np.concatenate([np.zeros(0, "<u4"), *ids]), np.array([len(x) for x in ids], np.int64)
+
+    def _by_words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Each distinct word is looked up once."""
         w = words_of(texts)
         _, where, which = np.unique(w.hashes(), return_index=True, return_inverse=True)
         if len(self.pieces) > CACHED:

@@ -24,6 +24,19 @@ def test_ids_are_the_tokenizers(tokenizer):
     assert [g.tolist() for g in got] == [tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_other_tokenizers_are_used_as_they_are():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    other, texts = Tokenizer.from_file(path), ["It's  I'LL\n\n they've", "ÜBER straße", "", None, " a b "]
+    for kind in (pa.string(), pa.binary()):
+        ids, n = packing.token_ids(pa.array([t if t is None or kind == pa.string() else t.encode() for t in texts], kind), path)
+        assert [g.tolist() for g in np.split(ids, np.cumsum(n)[:-1])] == [other.encode(t or "", add_special_tokens=False).ids for t in texts]
+    packing.token_ids(pa.array(texts), packing.tokenizer_path())
+    assert not packing._ids[path].by_words and packing._ids[packing.tokenizer_path()].by_words
+
+
 def check(docs, pieces, tokenizer, window):
     want = {}
     for d, t in docs:
