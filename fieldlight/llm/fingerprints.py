@@ -12,7 +12,8 @@ bin's largest hash makes every bin's first element its least hash, or the marker
 
 Cases: a text of one to four words is one shingle; a null text, or one without words, has no
 fingerprint (an empty string) and is like its equals (1) and nothing else (0); repeated rows have equal
-fingerprints; an empty table gives no row; texts count whole.
+fingerprints; null ids come last, ties by a hash of the text; an empty table gives no row; texts count whole; columns other
+than doc_id and text play no part, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,8 +33,9 @@ _PER_LONG = 64 // BITS
 _ONES = int("1" * 16, 16)
 #: Attempts of densification, in batches so that few are tried in vain.
 _ATTEMPTS = ((1, 8), (9, 64), (65, 256))
-#: Rows of a bucket of neighbouring ids, and buckets at most.
-BUCKET, BUCKETS = 2000, 10_000
+#: Rows of a bucket of neighbouring ids, and buckets at most: their first ids travel in the plan. From 200 million rows on
+#: buckets grow; a bucket is sorted by a window, which spills, so it need not fit in memory.
+BUCKET, BUCKETS = 2000, 100_000
 
 
 def shingles(text: Column, n: int = WORDS) -> Column:
@@ -103,7 +105,7 @@ def buckets(ids: DataFrame) -> list[int]:
     if not n:
         return []
     k = min(BUCKETS, -(-n // BUCKET))
-    row = ids.agg(F.min("_order"), F.percentile_approx("_order", [i / k for i in range(k)], 20 * k)).first()
+    row = ids.agg(F.min("_order"), F.percentile_approx("_order", [i / k for i in range(k)], min(20 * k, 400_000))).first()
     return sorted({row[0], *row[1]})
 
 
