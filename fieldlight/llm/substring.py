@@ -20,7 +20,8 @@ starts in a document of smaller id.
 Hot anchors: an anchor with more than HOT distinct segments (a passage that very many documents put in
 different surroundings) would make one shard too large. Its segments are cut into their windows, each a segment of its own
 with its hash as anchor, so that they spread over all shards. Windows of a single document are dropped as anchors are, and
-equal ones are one, so little is left of a passage however many hold it; the indexes decide on them as on all others.
+equal ones are one, so little is left of a passage however many hold it; the indexes decide on them as on all others. That
+costs a row per window before equal ones are one, so up to HOT segments, some 6 MB, an anchor stays in one shard.
 
 The bits beside the wavelet matrix (starts, least ids) are plain arrays, so the index is compressed only in part.
 Words are compared by 64-bit hashes. Cases: a null or empty text has no words; texts shorter than the
@@ -45,7 +46,7 @@ from fieldlight.llm.words import _GOLD, _M1, U, Words, mix, ngrams, words_of
 
 WINDOW, ANCHOR = 50, 8
 #: Distinct segments of an anchor beyond which it is hot, and of a shard on average; tasks that shards are dealt to.
-HOT, SHARD, MOST_TASKS = 1_000, 6_000, 20_000
+HOT, SHARD, MOST_TASKS = 10_000, 6_000, 20_000
 _NO_ID = (1 << 63) - 1
 #: The inverse of _M1 modulo 2**64.
 _M1_INVERSE = U(pow(int(_M1), -1, 1 << 64))
