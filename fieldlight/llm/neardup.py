@@ -12,10 +12,10 @@
    - Only large groups go on. What the first round has linked with a group's largest component needs no more
      comparison with it; every other member is compared with all members of near classes that it is not yet
      linked with, block by block.
-   Within a unit the signatures are compared batch by batch: after each batch a pair is given up once the
-   posterior probability of its similarity reaching the threshold is below MISS; survivors are
-   verified exactly on their full sets, best estimates first, unless they are already connected by
-   verified links. A unit returns the links of a spanning forest, so never more rows than members.
+   Within a unit a member at a time is compared with all that it is not yet connected with, signatures batch by batch:
+   after each batch a pair is given up once the posterior probability of its similarity reaching the threshold is
+   below MISS; survivors are verified exactly on their full sets. A unit returns the links of a spanning forest, so
+   never more rows than members.
 4. Components of the verified links are the classes.
 
 Cost: a member is copied into its own unit and, if it is of a pilot, into its class' units; in the second round
@@ -230,20 +230,41 @@ def second_units(large: DataFrame) -> DataFrame:
     )
 
 
+def shared_with(i: int, others: np.ndarray, ranks: np.ndarray, bounds: np.ndarray, seen: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of set i with others. Set k is ranks[bounds[k] : bounds[k + 1]]; seen: False for every rank."""
+    own = ranks[bounds[i] : bounds[i + 1]]
+    seen[own] = True
+    lengths = bounds[others + 1] - bounds[others]
+    ends, out, at = np.cumsum(lengths), np.zeros(len(others), np.int64), 0
+    while at < len(others):  # a bounded number of shingles at once, a set at least
+        end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 20), "right")))
+        n = lengths[at:end]
+        first = np.cumsum(n) - n
+        places = np.repeat(bounds[others[at:end]] - first, n) + np.arange(n.sum())
+        out[at:end] = np.add.reduceat(seen[ranks[places]].astype(np.int64), first)
+        at = end
+    seen[own] = False
+    return out
+
+
 def verify_unit(side: np.ndarray, component: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], threshold: float, within: bool = True) -> tuple[list[int], int, int]:
-    """Links of a spanning forest of the verified pairs, as places (a, b, a, b, ...); pairs that survived; pairs
-    verified. Pairs count between side 0 and the others, and within side 0 if `within`; not those of one component.
+    """Links of a spanning forest of the verified pairs, as places (a, b, a, b, ...); pairs whose signatures were compared;
+    pairs verified. Pairs count between side 0 and the others, and within side 0 if `within`; not those of one component,
+    as it is known by then: a member that is linked with many spares all comparisons among them.
     Those with side 2 stand in two units, so only the one counts whose first place is the lower."""
     n = np.array([len(s) for s in sets])
     need = least_matches(threshold, sig.shape[1])
-    pairs, agree = [], []
+    label = np.unique(component, return_inverse=True)[1]
+    ranks, bounds, seen = None, np.concatenate([[0], np.cumsum(n)]), None
+    out, compared, checked = [], 0, 0
     order = np.argsort(side, kind="stable")  # side 0 first
     first = int((side == 0).sum())
     for k in range(first):
         i = order[k]
         j = order[k + 1 if within else first :]
         small, large = np.minimum(n[i], n[j]), np.maximum(n[i], n[j])
-        j = j[(small >= threshold * large - 1e-9) & (component[j] != component[i]) & ((side[j] < 2) | (j > i))]
+        j = j[(small >= threshold * large - 1e-9) & (label[j] != label[i]) & ((side[j] < 2) | (j > i))]
+        compared += len(j)
         m = np.zeros(len(j), np.int64)
         for b, least in enumerate(need):
             if not len(j):
@@ -251,32 +272,18 @@ def verify_unit(side: np.ndarray, component: np.ndarray, sig: np.ndarray, sets:
             part = slice(b * BATCH, (b + 1) * BATCH)
             m = m + (sig[j, part] == sig[i, part]).sum(axis=1)
             j, m = j[m >= least], m[m >= least]
-        if len(j):
-            pairs.append(np.stack([np.full(len(j), i), j]))
-            agree.append(m)
-    if not pairs:
-        return [], 0, 0
-    ij, m = np.concatenate(pairs, axis=1), np.concatenate(agree)
-    at = np.unique(component, return_inverse=True)[1].tolist()
-    root, out, verified = list(range(len(at))), [], 0
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    for a, b in ij[:, np.argsort(-m, kind="stable")].T.tolist():
-        ra, rb = find(at[a]), find(at[b])
-        if ra == rb:
+        if not len(j):
             continue
-        verified += 1
-        both = len(sets[a]) + len(sets[b]) - len(np.unique(np.concatenate([sets[a], sets[b]])))
-        union = len(sets[a]) + len(sets[b]) - both
-        if both >= threshold * union - 1e-9:
-            root[max(ra, rb)] = min(ra, rb)
-            out += [a, b]
-    return out, len(m), verified
+        if ranks is None:
+            distinct, ranks = np.unique(np.concatenate(sets), return_inverse=True)
+            seen = np.zeros(len(distinct), bool)
+        both = shared_with(i, j, ranks, bounds, seen)
+        checked += len(j)
+        for x in j[both >= threshold * (n[i] + n[j] - both) - 1e-9].tolist():
+            if label[x] != label[i]:
+                label[label == label[x]] = label[i]
+                out += [int(i), x]
+    return out, compared, checked
 
 
 def verified(units: DataFrame, held: DataFrame, threshold: float, within: bool) -> DataFrame:
