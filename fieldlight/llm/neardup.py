@@ -3,7 +3,7 @@
 1. Each text becomes its set of five-word shingles (64-bit hashes) in a vectorised pass, with HASHES
    MinHash values of it. Texts of equal sets are one node from here on, so thousands of exact copies are one row.
 2. Bands of the signature make buckets. The bucket graph (each member with the bucket's least member)
-   is closed into candidate groups; a group of more than GIANT members is taken bucket by bucket.
+   is closed into candidate groups.
 3. Groups are verified in units of bounded size, in two rounds.
    - A small group is one unit. A larger one is dealt into blocks by size class (sets of similar texts are of the
      same class or of neighbouring ones); each block is a unit together with the first block of its class, the pilot, and
@@ -12,6 +12,8 @@
    - Only large groups go on. What the first round has linked with a group's largest component needs no more
      comparison with it; every other member is compared with all members of near classes that it is not yet
      linked with, block by block.
+   - A group of more than GIANT members is taken bucket by bucket after its first round, which links one family of near
+     copies whatever its size: of its buckets only those that hold several components go through both rounds.
    Within a unit a member at a time is compared with all that it is not yet connected with, signatures batch by batch:
    after each batch a pair is given up once the posterior probability of its similarity reaching the threshold is
    below MISS; survivors are verified exactly on their full sets. A unit returns the links of a spanning forest, so
@@ -54,8 +56,10 @@ MISS_BANDS, MISS = 1e-6, 1e-4
 BATCH = 16
 #: Members, and shingles, of a block of the first round; so many times more of one of the second.
 BLOCK, BLOCK_SHINGLES, MORE = 128, 200_000, 4
-#: Members of a group beyond which it is taken bucket by bucket.
+#: Members of a group beyond which it is taken bucket by bucket after the first round.
 GIANT = 16_384
+#: Blocks that a pilot is copied to in one step.
+SPAN = 4_096
 
 
 def bands(threshold: float, hashes: int = HASHES, miss: float = MISS_BANDS) -> tuple[int, int]:
@@ -197,16 +201,20 @@ def dealt(places: DataFrame, blocks: DataFrame, salt: int) -> DataFrame:
 
 
 def first_units(small: DataFrame, large: DataFrame, blocks: DataFrame) -> DataFrame:
-    """unit (four numbers), side, node, component. small: group, node. Pairs count within side 0 and across sides."""
-    whole = small.select(F.struct("group", F.lit(-1).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c")).alias("unit"), F.lit(0).alias("side"), "node", F.col("node").alias("component"))
+    """unit (four numbers), side, node, component. Both have group, node, component. Pairs count within side 0 and across
+    sides."""
+    whole = small.select(F.struct("group", F.lit(-1).alias("a"), F.lit(0).alias("b"), F.lit(0).alias("c")).alias("unit"), F.lit(0).alias("side"), "node", "component")
     rows = dealt(large, blocks, 1)
-    unit = lambda b: F.struct("group", F.col("class").alias("a"), b.alias("b"), F.lit(0).alias("c")).alias("unit")
-    own = rows.select(unit(F.col("block")), F.lit(0).alias("side"), "node", F.col("node").alias("component"))
-    place = lambda k, b: F.struct(k.alias("class"), b.alias("block"))
-    others = F.when(F.col("blocks") > 1, F.transform(F.sequence(F.lit(1), F.col("blocks") - 1), lambda b: place(F.col("class"), b))).otherwise(F.array().cast("array<struct<class:int,block:int>>"))
-    pilots = rows.where("block = 0").select("group", "node", F.explode(F.array_append(others, place(F.col("class") + 1, F.lit(0)))).alias("to"))
-    to = F.struct("group", F.col("to.class").alias("a"), F.col("to.block").alias("b"), F.lit(0).alias("c")).alias("unit")
-    return whole.unionByName(own).unionByName(pilots.select(to, F.lit(1).alias("side"), "node", F.col("node").alias("component")))
+    unit = lambda c, b: F.struct("group", c.alias("a"), b.alias("b"), F.lit(0).alias("c")).alias("unit")
+    own = rows.select(unit(F.col("class"), F.col("block")), F.lit(0).alias("side"), "node", "component")
+    pilots = rows.where("block = 0").select("group", "class", "node", "component", "blocks")
+    # A pilot goes to all blocks of its class; by two steps, so that no row holds an array of the size of a group.
+    spans = pilots.withColumn("span", F.explode(F.sequence(F.lit(0), F.expr(f"blocks div {SPAN}"))))
+    low, high = F.greatest(F.col("span") * SPAN, F.lit(1)), F.least(F.col("span") * SPAN + SPAN, F.col("blocks")) - 1
+    others = spans.where(low <= high).withColumn("block", F.explode(F.sequence(low, high)))
+    to = [others.select(unit(F.col("class"), F.col("block")), F.lit(1).alias("side"), "node", "component")]
+    to += [pilots.select(unit(F.col("class") + 1, F.lit(0)), F.lit(1).alias("side"), "node", "component")]
+    return whole.unionByName(own).unionByName(to[0]).unionByName(to[1])
 
 
 def second_units(large: DataFrame) -> DataFrame:
@@ -304,6 +312,46 @@ def verified(units: DataFrame, held: DataFrame, threshold: float, within: bool)
     return rows.groupBy(*units.schema["unit"].dataType.names).applyInArrow(run, "a long, b long")
 
 
+def with_components(places: DataFrame, known: DataFrame | None) -> DataFrame:
+    if known is None:
+        return places.withColumn("component", F.col("node"))
+    return places.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+
+def first_round(places: DataFrame, held: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+    """places: group, node, n, component. (links; the places of large groups with their class, if there are any)."""
+    big = (F.col("m") > BLOCK) | (F.col("total") > BLOCK_SHINGLES)
+    large_groups = cut(sizes(places, "group").where(big).select("group"), "large")
+    if large_groups.isEmpty():
+        whole = places.select(F.struct("group").alias("unit"), F.lit(0).alias("side"), "node", "component")
+        return cut(verified(whole, held, threshold, True), "verified"), None
+    large = cut(in_classes(places.join(large_groups, "group"), threshold), "large-places")
+    blocks = cut(_blocks(sizes(large, "group", "class")), "blocks")
+    units = first_units(places.join(large_groups, "group", "left_anti"), large, blocks)
+    return cut(verified(units, held, threshold, True), "verified"), large.drop("component")
+
+
+def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
+    """light: node, group, n; shared: node, key (of its buckets with others). Links a, b of all rounds."""
+    links, large = first_round(with_components(light, None), held, threshold)
+    if large is None:
+        return links
+    known = components(links)
+    giants = cut(light.groupBy("group").agg(F.count("*").alias("m")).where(F.col("m") > GIANT).select("group"), "giants")
+    if not giants.isEmpty():
+        members = with_components(light.join(giants, "group", "left_semi").select("node", "n"), known)
+        places = cut(shared.select("node", "key").distinct().join(members, "node").select("node", F.col("key").alias("group"), "n", "component"), "places")
+        # A bucket of one component needs no more comparison.
+        open_ones = cut(places.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("group"), "open")
+        more, by_bucket = first_round(places.join(open_ones, "group", "left_semi"), held, threshold)
+        links = links.unionByName(more)
+        large = large.join(giants, "group", "left_anti")
+        large = large if by_bucket is None else large.unionByName(by_bucket)
+        known = components(links)
+    rest = cut(verified(second_units(with_components(large, known)), held, threshold, False), "verified-rest")
+    return links.unionByName(rest)
+
+
 def nodes_of(described: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
     """(member: doc_id, node, a row per document and set; nodes: node, doc_id (one that has the set), set_a, set_b;
     links between the nodes of one document, if any has several). A set's node is the least doc_id whose largest set it
@@ -340,23 +388,7 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, hashes: int = HASHES)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(placed, "doc_id")
     held = cut(with_sets(texts, hashes), "candidates")
     light = cut(held.select("node", "group", "n").distinct(), "light")
-    giants = cut(light.groupBy("group").agg(F.count("*").alias("m")).where(F.col("m") > GIANT).select("group"), "giants")
-    places = light
-    if not giants.isEmpty():
-        by_bucket = light.join(giants, "group", "left_semi").join(shared.select("node", "key").distinct(), "node").select("node", F.col("key").alias("group"), "n")
-        places = cut(light.join(giants, "group", "left_anti").unionByName(by_bucket), "places")
-    big = (F.col("m") > BLOCK) | (F.col("total") > BLOCK_SHINGLES)
-    large_groups = cut(sizes(places, "group").where(big).select("group"), "large")
-    if large_groups.isEmpty():
-        whole = places.select(F.struct("group").alias("unit"), F.lit(0).alias("side"), "node", F.col("node").alias("component"))
-        links = cut(verified(whole, held, threshold, True), "verified")
-    else:
-        large = cut(in_classes(places.join(large_groups, "group"), threshold), "large-places")
-        blocks = cut(_blocks(sizes(large, "group", "class")), "blocks")
-        links = cut(verified(first_units(places.join(large_groups, "group", "left_anti"), large, blocks), held, threshold, True), "verified")
-        so_far = components(links)
-        known = large.join(so_far, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        links = cut(verified(second_units(known), held, threshold, False), "verified-rest").unionByName(links)
+    links = linked(light, shared, held, threshold)
     if within is not None:
         links = links.unionByName(within)
     found = components(links)
