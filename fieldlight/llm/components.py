@@ -3,7 +3,9 @@
 Each round every node picks the neighbour, or itself, of least random priority as its parent, one
 further step is taken along the parents, links are renamed to parents and those within a node go.
 A round leaves a fraction of the nodes that have links, so few rounds suffice whatever the shape of
-the graph. Hot nodes are harmless: parents come from a grouped minimum, which is combined before the
+the graph. The first round goes by the nodes themselves, since most links here lead to the least node of a bucket or
+unit; after that priorities hold for two rounds: in the first a star's hub goes to its least leaf, in the second all other
+leaves follow. Hot nodes are harmless: parents come from a grouped minimum, which is combined before the
 shuffle, and renaming is an equi-join whose skewed side Spark splits. Every round is written to the
 shared folder.
 """
@@ -22,7 +24,8 @@ def components(links: DataFrame) -> DataFrame:
     steps, level = [], 0
     while not edges.isEmpty():
         both = edges.select("a", "b").union(edges.select("b", "a"))
-        rank = lambda c: F.struct(F.xxhash64(F.lit(level), c).alias("p"), F.col(c).alias("n"))  # noqa: B023, E731
+        priority = lambda c: F.xxhash64(F.lit((level + 1) // 2), c) if level else F.col(c)  # noqa: B023, E731
+        rank = lambda c: F.struct(priority(c).alias("p"), F.col(c).alias("n"))  # noqa: B023, E731
         parents = both.groupBy("a").agg(F.min(rank("b")).alias("best"), F.first(rank("a")).alias("own"))
         parents = cut(parents.select(F.col("a").alias("node"), F.least("best", "own")["n"].alias("parent")), "parents")
         further = parents.select(F.col("node").alias("parent"), F.col("parent").alias("root"))
