@@ -331,11 +331,12 @@ def first_round(places: DataFrame, held: DataFrame, threshold: float) -> tuple[D
     return cut(verified(units, held, threshold, True), "verified"), large.drop("component")
 
 
-def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: float) -> DataFrame:
-    """light: node, group, n; shared: node, key (of its buckets with others). Links a, b of all rounds."""
+def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+    """light: node, group, n; shared: node, key (of its buckets with others). (links a, b of all rounds; their components,
+    if they are known)."""
     links, large = first_round(with_components(light, None), held, threshold)
     if large is None:
-        return links
+        return links, None
     known = components(links)
     giants = cut(light.groupBy("group").agg(F.count("*").alias("m")).where(F.col("m") > GIANT).select("group"), "giants")
     if not giants.isEmpty():
@@ -343,13 +344,14 @@ def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: floa
         places = cut(shared.select("node", "key").distinct().join(members, "node").select("node", F.col("key").alias("group"), "n", "component"), "places")
         # A bucket of one component needs no more comparison.
         open_ones = cut(places.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("group"), "open")
-        more, by_bucket = first_round(places.join(open_ones, "group", "left_semi"), held, threshold)
-        links = links.unionByName(more)
         large = large.join(giants, "group", "left_anti")
-        large = large if by_bucket is None else large.unionByName(by_bucket)
-        known = components(links)
+        if not open_ones.isEmpty():
+            more, by_bucket = first_round(places.join(open_ones, "group", "left_semi"), held, threshold)
+            links = links.unionByName(more)
+            large = large if by_bucket is None else large.unionByName(by_bucket)
+            known = components(links)
     rest = cut(verified(second_units(with_components(large, known)), held, threshold, False), "verified-rest")
-    return links.unionByName(rest)
+    return (links, known) if rest.isEmpty() else (links.unionByName(rest), None)
 
 
 def nodes_of(described: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | None]:
@@ -388,10 +390,10 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, hashes: int = HASHES)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(placed, "doc_id")
     held = cut(with_sets(texts, hashes), "candidates")
     light = cut(held.select("node", "group", "n").distinct(), "light")
-    links = linked(light, shared, held, threshold)
+    links, found = linked(light, shared, held, threshold)
     if within is not None:
-        links = links.unionByName(within)
-    found = components(links)
+        links, found = links.unionByName(within), None
+    found = components(links) if found is None else found
     resolved = member.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     if within is not None:  # a set's number need not be a doc_id then
         least = resolved.groupBy("component").agg(F.min("doc_id").alias("least"))
