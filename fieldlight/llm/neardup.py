@@ -37,7 +37,7 @@ other than doc_id and text play no part, whatever their names.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -294,8 +294,8 @@ def verify_unit(side: np.ndarray, component: np.ndarray, sig: np.ndarray, sets:
     return out, compared, checked
 
 
-def verified(units: DataFrame, held: DataFrame, threshold: float, within: bool) -> DataFrame:
-    """Links (a, b) of all units."""
+def verified(units: DataFrame, held: DataFrame, threshold: float, within: bool, verify: Callable = verify_unit) -> DataFrame:
+    """Links (a, b) of all units, as `verify` finds them."""
 
     def run(table: pa.Table) -> pa.Table:
         # A node stands once on a side; on side 0 if it is on both, as the unit is then its own.
@@ -305,7 +305,7 @@ def verified(units: DataFrame, held: DataFrame, threshold: float, within: bool)
         node, side, component = node[at], side[at], np.array(table.column("component"))[at]
         raw, packed = table.column("shingles").to_pylist(), table.column("sig").to_pylist()
         sig = np.frombuffer(b"".join(packed[i] for i in at), np.uint32).reshape(len(node), -1)
-        pairs, _, _ = verify_unit(side, component, sig, [np.frombuffer(raw[i], U) for i in at], threshold, within)
+        pairs, _, _ = verify(side, component, sig, [np.frombuffer(raw[i], U) for i in at], threshold, within)
         return pa.table({"a": pa.array(node[pairs[::2]], pa.int64()), "b": pa.array(node[pairs[1::2]], pa.int64())})
 
     rows = units.join(held.select("node", "sig", "shingles"), "node").select("unit.*", "side", "node", "component", "sig", "shingles")
@@ -318,23 +318,23 @@ def with_components(places: DataFrame, known: DataFrame | None) -> DataFrame:
     return places.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
-def first_round(places: DataFrame, held: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+def first_round(places: DataFrame, held: DataFrame, threshold: float, verify: Callable = verify_unit) -> tuple[DataFrame, DataFrame | None]:
     """places: group, node, n, component. (links; the places of large groups with their class, if there are any)."""
     big = (F.col("m") > BLOCK) | (F.col("total") > BLOCK_SHINGLES)
     large_groups = cut(sizes(places, "group").where(big).select("group"), "large")
     if large_groups.isEmpty():
         whole = places.select(F.struct("group").alias("unit"), F.lit(0).alias("side"), "node", "component")
-        return cut(verified(whole, held, threshold, True), "verified"), None
+        return cut(verified(whole, held, threshold, True, verify), "verified"), None
     large = cut(in_classes(places.join(large_groups, "group"), threshold), "large-places")
     blocks = cut(_blocks(sizes(large, "group", "class")), "blocks")
     units = first_units(places.join(large_groups, "group", "left_anti"), large, blocks)
-    return cut(verified(units, held, threshold, True), "verified"), large.drop("component")
+    return cut(verified(units, held, threshold, True, verify), "verified"), large.drop("component")
 
 
-def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame | None]:
+def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: float, verify: Callable = verify_unit) -> tuple[DataFrame, DataFrame | None]:
     """light: node, group, n; shared: node, key (of its buckets with others). (links a, b of all rounds; their components,
     if they are known)."""
-    links, large = first_round(with_components(light, None), held, threshold)
+    links, large = first_round(with_components(light, None), held, threshold, verify)
     if large is None:
         return links, None
     known = components(links)
@@ -346,11 +346,11 @@ def linked(light: DataFrame, shared: DataFrame, held: DataFrame, threshold: floa
         open_ones = cut(places.groupBy("group").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("group"), "open")
         large = large.join(giants, "group", "left_anti")
         if not open_ones.isEmpty():
-            more, by_bucket = first_round(places.join(open_ones, "group", "left_semi"), held, threshold)
+            more, by_bucket = first_round(places.join(open_ones, "group", "left_semi"), held, threshold, verify)
             links = links.unionByName(more)
             large = large if by_bucket is None else large.unionByName(by_bucket)
             known = components(links)
-    rest = cut(verified(second_units(with_components(large, known)), held, threshold, False), "verified-rest")
+    rest = cut(verified(second_units(with_components(large, known)), held, threshold, False, verify), "verified-rest")
     return (links, known) if rest.isEmpty() else (links.unionByName(rest), None)
 
 
@@ -378,7 +378,13 @@ def nodes_of(described: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame | No
 def classes(docs: DataFrame, threshold: float = THRESHOLD, hashes: int = HASHES) -> DataFrame:
     """doc_id, n_shingles, component_id, kept, a row per row of docs."""
     n_bands, rows = bands(threshold, hashes)
-    described = cut(describe(docs, n_bands, rows, hashes), "described")
+    return resolved(docs, describe(docs, n_bands, rows, hashes), lambda t: with_sets(t, hashes), threshold, verify_unit)
+
+
+def resolved(docs: DataFrame, described: DataFrame, sets_of: Callable, threshold: float, verify: Callable) -> DataFrame:
+    """The same for any description of docs (doc_id, n, set_a, set_b, keys) in which linked sets share a key; sets_of gives the
+    candidates' sets as with_sets() does."""
+    described = cut(described, "described")
     member, nodes, within = nodes_of(described)
     entries = described.join(nodes, ["doc_id", "set_a", "set_b"]).select(F.explode("keys").alias("key"), "node")
     entries = cut(entries, "entries")
@@ -388,17 +394,17 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, hashes: int = HASHES)
     groups = components(shared.select(F.col("first").alias("a"), F.col("node").alias("b"))).withColumnRenamed("component", "group")
     placed = groups.join(nodes, "node")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(placed, "doc_id")
-    held = cut(with_sets(texts, hashes), "candidates")
+    held = cut(sets_of(texts), "candidates")
     light = cut(held.select("node", "group", "n").distinct(), "light")
-    links, found = linked(light, shared, held, threshold)
+    links, found = linked(light, shared, held, threshold, verify)
     if within is not None:
         links, found = links.unionByName(within), None
     found = components(links) if found is None else found
-    resolved = member.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
+    placed = member.join(found, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component"))
     if within is not None:  # a set's number need not be a doc_id then
-        least = resolved.groupBy("component").agg(F.min("doc_id").alias("least"))
-        resolved = resolved.join(least, "component").select("doc_id", F.col("least").alias("component"))
-    out = described.select("doc_id", F.col("n").alias("n_shingles")).join(resolved.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
+        least = placed.groupBy("component").agg(F.min("doc_id").alias("least"))
+        placed = placed.join(least, "component").select("doc_id", F.col("least").alias("component"))
+    out = described.select("doc_id", F.col("n").alias("n_shingles")).join(placed.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left")
     component = F.coalesce("component", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 

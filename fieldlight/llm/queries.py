@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlight.llm import fingerprints, licenses, media, mixing, neardup, packing, quality, secrets, sql, substring, toxicity
+from fieldlight.llm import fingerprints, jaccard, licenses, manifest, media, mixing, neardup, packing, quality, secrets, sql, substring, toxicity
 
 
 def queries() -> dict:
@@ -17,6 +17,8 @@ def queries() -> dict:
         "op8_toxicity": toxicity.op8_toxicity,
         "op9_neardup": neardup.op9_neardup,
         "op10_fingerprints": fingerprints.op10_fingerprints,
+        "op11_manifest": manifest.op11_manifest,
+        "op12_jaccard": jaccard.op12_jaccard,
     }
 
 
