@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 #: Asset keys of (red, NIR), in order of preference (fixed values).
 BAND_PAIRS = (("B04", "B08"), ("red", "nir"), ("B04_10m", "B08_10m"))
 DEFAULT_CLOUD = 100.0
+#: Characters of a tile's name.
+TILE_LENGTH = 5
 
 
 def day(text: Column) -> Column:
@@ -35,15 +37,17 @@ def like_tile(scene_id: Column, tile: Column) -> Column:
     return F.like(scene_id, F.concat(F.lit("S2%_T"), F.upper(tile), F.lit("_%")))
 
 
-def is_plain_tile(tile: Column) -> Column:
-    """Whether tile_keys() finds all that the pattern does: five characters without a wildcard or escape."""
-    return F.coalesce(tile.rlike(r"^[^_%\\]{5}$"), F.lit(False))
+def tile_head(tile: Column) -> Column:
+    """The text of a tile before its first % or escape; _ may stand in it."""
+    return F.regexp_extract(tile, r"^[^%\\]*", 0)
 
 
-def tile_keys(scene_id: Column) -> Column:
-    """The tiles of five characters for which the id pattern holds: what follows a T, with one character at least between
-    it and S2 and one behind it. For plain tiles an equi-join on these keys is the pattern, which need not be tested again."""
-    found = F.array_distinct(F.regexp_extract_all(F.substring(scene_id, 4, 1 << 30), F.lit("(?s)(?=T(.{5}).)"), F.lit(1)))
+def tile_keys(scene_id: Column, length: Column) -> Column:
+    """The texts of so many characters that stand where the id pattern has the tile: behind a T, with one character at least between
+    it and S2 and one behind the text. For a tile of that length without wildcards, an equi-join on these keys is the pattern, which need not
+    be tested again."""
+    pattern = F.concat(F.lit("(?s)(?=T(.{"), length.cast("string"), F.lit("}).)"))
+    found = F.array_distinct(F.regexp_extract_all(F.substring(scene_id, 4, 1 << 30), pattern, F.lit(1)))
     return F.when(scene_id.startswith("S2"), found).otherwise(F.array().cast("array<string>"))
 
 

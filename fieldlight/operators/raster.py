@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fieldlight.functions.indices import block_difference, centre_window, color_index, normalized_difference
@@ -15,31 +15,39 @@ def pair_pixels(pixels: DataFrame) -> DataFrame:
     return pixels.groupBy("raster_id", "row", "col").agg(of("red"), of("nir")).where("red is not null and nir is not null")
 
 
-def block_pixels(blocks: DataFrame) -> DataFrame:
-    """Pixel rows of blocks of one band: raster_id, band, row, col, value."""
-    flat = blocks.select("raster_id", "band", "row0", "col0", "w", F.posexplode("values").alias("pos", "value"))
-    return flat.select("raster_id", "band", (F.col("row0") + F.expr("pos div w")).cast("int").alias("row"), (F.col("col0") + F.expr("pos % w")).cast("int").alias("col"), "value")
+def sliced(values: Column, w: Column, top: Column, left: Column, height: Column, width: Column) -> Column:
+    """The part of a block's values (rows of w) that begins at row top and column left, of height rows of width; whole blocks as they are."""
+    rows = F.transform(F.sequence(F.lit(0), height - 1), lambda i: F.slice(values, (top + i) * w + left + 1, width))
+    return F.when((width == w) & (top == 0) & (height * w == F.size(values)), values).otherwise(F.flatten(rows))
 
 
-def pair_blocks(blocks: DataFrame) -> DataFrame:
-    """blocks: raster_id, band, row0, col0, h, w, values. Whole blocks meet where both bands are cut alike. Blocks that
-    have no twin, since their bands are cut into other tiles, meet pixel by pixel and come as blocks of 1 by 1. Pixels
-    that only one band covers have no pair."""
-    of = lambda b: F.max(F.when(F.col("band") == b, F.col("values"))).alias(b)
-    place = ["raster_id", "row0", "col0", "h", "w"]
-    met = blocks.groupBy(*place).agg(of("red"), of("nir"))
-    whole = met.where("red is not null and nir is not null")
-    single = met.where("red is null or nir is null").withColumn("band", F.when(F.col("red").isNull(), "nir").otherwise("red")).withColumn("values", F.coalesce("red", "nir"))
-    one = F.lit(1)
-    cells = pair_pixels(block_pixels(single)).select("raster_id", F.col("row").alias("row0"), F.col("col").alias("col0"), one.alias("h"), one.alias("w"), F.array("red").alias("red"), F.array("nir").alias("nir"))
-    return whole.unionByName(cells)
+def _over(low: Column, size: Column, other: Column, length: Column) -> Column:
+    return (low < other + length) & (low + size > other)
 
 
-def explode_blocks(pairs: DataFrame) -> DataFrame:
-    """Pixel rows of paired blocks: raster_id, row, col, red, nir."""
+def pair_blocks(blocks: DataFrame, on: tuple[str, ...] = ("raster_id",), side: int | None = None) -> DataFrame:
+    """blocks: `on`, band, row0, col0, h, w, values. Where a red and a NIR block overlap, a block of both: red, nir. The bands may be cut
+    into any tiles. Blocks meet in the cells of a coarse grid, an equi-join; cells have the side of the largest block (unless one is
+    named), so that a block lies in four at most, in one where tiles are cut alike, and a pair counts in the cell of its first pixel. Pixels that
+    only one band covers have no pair."""
+    cell = F.lit(side) if side else blocks.agg(F.max(F.greatest("h", "w")).cast("int")).scalar()
+    cells = lambda low, n: F.explode(F.sequence(F.floor(low / cell), F.floor((low + n - 1) / cell)))
+    placed = blocks.select(*on, "band", F.struct("row0", "col0", "h", "w", "values").alias("b"), cells(F.col("row0"), F.col("h")).alias("_r")).select("*", cells(F.col("b.col0"), F.col("b.w")).alias("_c"))
+    of = lambda band: placed.where(F.col("band") == band).drop("band").withColumnRenamed("b", band)
+    r, n = (lambda c: F.col(f"red.{c}")), (lambda c: F.col(f"nir.{c}"))
+    met = of("red").join(of("nir"), [*on, "_r", "_c"]).where(_over(r("row0"), r("h"), n("row0"), n("h")) & _over(r("col0"), r("w"), n("col0"), n("w")))
+    top, left = F.greatest(r("row0"), n("row0")), F.greatest(r("col0"), n("col0"))
+    met = met.where((F.floor(top / cell) == F.col("_r")) & (F.floor(left / cell) == F.col("_c")))
+    height, width = F.least(r("row0") + r("h"), n("row0") + n("h")) - top, F.least(r("col0") + r("w"), n("col0") + n("w")) - left
+    part = lambda c: sliced(c("values"), c("w"), top - c("row0"), left - c("col0"), height, width)
+    return met.select(*on, top.alias("row0"), left.alias("col0"), height.alias("h"), width.alias("w"), part(r).alias("_red"), part(n).alias("_nir")).withColumnsRenamed({"_red": "red", "_nir": "nir"})
+
+
+def explode_blocks(pairs: DataFrame, on: tuple[str, ...] = ("raster_id",)) -> DataFrame:
+    """Pixel rows of paired blocks: `on`, row, col, red, nir."""
     both = F.posexplode(F.arrays_zip("red", "nir")).alias("pos", "v")
-    flat = pairs.select("raster_id", "row0", "col0", "w", both)
-    return flat.select("raster_id", (F.col("row0") + F.expr("pos div w")).cast("int").alias("row"), (F.col("col0") + F.expr("pos % w")).cast("int").alias("col"), F.col("v.red").alias("red"), F.col("v.nir").alias("nir"))
+    flat = pairs.select(*on, "row0", "col0", "w", both)
+    return flat.select(*on, (F.col("row0") + F.expr("pos div w")).cast("int").alias("row"), (F.col("col0") + F.expr("pos % w")).cast("int").alias("col"), F.col("v.red").alias("red"), F.col("v.nir").alias("nir"))
 
 
 def grids(grid: DataFrame) -> DataFrame:
@@ -74,13 +82,23 @@ def crop(pixels: DataFrame, work: DataFrame, on: str = "raster_id") -> DataFrame
     return pixels.join(work, on).where(inside)
 
 
+def cropped_blocks(blocks: DataFrame, work: DataFrame, on: str = "raster_id") -> DataFrame:
+    """`on`, window, band, row0, col0, h, w, values: the parts of unpaired blocks that lie in a window of their raster. Blocks beside all
+    windows go, and rows and columns beside the window are sliced off, before anything is shuffled to be paired."""
+    win, b = F.col("window"), F.col
+    near = blocks.join(work.select(on, "window").distinct(), on).where(_over(b("row0"), b("h"), win["row_off"], win["height"]) & _over(b("col0"), b("w"), win["col_off"], win["width"]))
+    top, left = F.greatest("row0", win["row_off"]), F.greatest("col0", win["col_off"])
+    height, width = F.least(b("row0") + b("h"), win["row_off"] + win["height"]) - top, F.least(b("col0") + b("w"), win["col_off"] + win["width"]) - left
+    part = sliced(b("values"), b("w"), top - b("row0"), left - b("col0"), height, width)
+    # Names inside the slices' lambda would mean the new columns if these had their names at once.
+    new = {"_row0": top, "_col0": left, "_h": height, "_w": width, "_values": part}
+    return near.select(on, "window", "band", *(c.alias(k) for k, c in new.items())).withColumnsRenamed({k: k[1:] for k in new})
+
+
 def crop_blocks(blocks: DataFrame, work: DataFrame, on: str = "raster_id") -> DataFrame:
-    """Pixels of both bands inside the window, from unpaired blocks: blocks beside every window of their raster go by a
-    semi-join before anything is paired or exploded, so only what is cropped is shuffled."""
-    win = F.col("_w.window")
-    over = (F.col("row0") < win["row_off"] + win["height"]) & (F.col("row0") + F.col("h") > win["row_off"]) & (F.col("col0") < win["col_off"] + win["width"]) & (F.col("col0") + F.col("w") > win["col_off"])
-    near = blocks.alias("_b").join(work.alias("_w"), (F.col(f"_b.{on}") == F.col(f"_w.{on}")) & over, "left_semi")
-    return crop(explode_blocks(pair_blocks(near)), work, on)
+    """Pixels of both bands inside the window, from unpaired blocks: `on`, window, row, col, red, nir. No other pixel gets a row."""
+    keys = (on, "window")
+    return explode_blocks(pair_blocks(cropped_blocks(blocks, work, on), keys), keys)
 
 
 def ndvi(pixels: DataFrame, clip: bool = True) -> DataFrame:

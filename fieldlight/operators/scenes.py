@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldlight.functions import metadata as M
+from fieldlight.sources.staging import cut
 
 COLLECTIONS = ("sentinel-2-l2a",)
 
@@ -43,28 +44,39 @@ def found_items(requests: DataFrame, items: DataFrame) -> DataFrame:
     """Valid requests with their scenes of the collections, tile and days: REQUEST_FIELDS and SCENE_FIELDS only; the
     scene's wide columns are joined back where they are needed, see described().
 
-    The join is on (tile, month), the tile taken from the id, so a scene meets the requests of its month, not all of its
-    tile's; days are tested afterwards. A tile that is not five plain characters (shorter, longer, or with a wildcard)
-    cannot be taken from an id: such requests meet the scenes of their months, under an empty tile, and the id pattern is
-    tested. Requests are looked up in the months that the catalogue has, however long they are."""
-    scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"))
+    An equi-join on (tile, month), the tile taken from the id, so a scene meets the requests of its tile and month; days are tested
+    afterwards. What is taken from ids has the lengths that requests name, mostly five characters alone. A tile with a wildcard _ is
+    first expanded against the dictionary of the catalogue's distinct tiles; one with % or an escape is looked up by the text before
+    it and compared by the id pattern afterwards. So no key holds more than the scenes of a tile and month, unless a request asks for
+    more. Requests are looked up in the months that the catalogue has, however long they are."""
     at = F.col("datetime")
-    first, last = (scenes.agg(f(at.cast("date"))).scalar() for f in (F.min, F.max))
-    pattern = F.upper("tile")
-    wanted = checked(requests).where("error is null")
-    wanted = wanted.select(
-        *REQUEST_FIELDS, pattern.alias("_pattern"), "start_day", "end_day", F.when(M.is_plain_tile(pattern), pattern).otherwise("").alias("_tile"),
-        F.explode(months(F.greatest("start_day", first), F.least("end_day", last))).alias("_month"),
-    )
-    keyed = scenes.select("*", F.trunc(at, "month").alias("_month"), F.explode(F.array_append(M.tile_keys(F.col("scene_id")), "")).alias("_tile"))
-    named = (F.col("_tile") != "") | M.like_tile(F.col("scene_id"), F.col("_pattern"))
-    return keyed.join(wanted, ["_tile", "_month"]).where(in_days(at, F.col("start_day"), F.col("end_day")) & named).select(*REQUEST_FIELDS, *SCENE_FIELDS)
-
-
-def described(found: DataFrame, items: DataFrame) -> DataFrame:
+    # Narrow tables that are read several times: three columns of the scenes, whose JSON is parsed once, and the valid requests.
+    scenes = cut(in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover")), "scenes")
+    tile = F.upper("tile")
+    head = M.tile_head(tile)
+    valid = checked(requests).where("error is null")
+    valid = cut(valid.select(*REQUEST_FIELDS, tile.alias("_pattern"), head.alias("_head"), F.length(head).alias("_length"), (head == tile).alias("_exact"), "start_day", "end_day"), "requests")
+    span = scenes.agg(F.struct(F.min(at.cast("date")).alias("first"), F.max(at.cast("date")).alias("last"))).scalar()  # one row
+    wanted = valid.withColumn("_month", F.explode(months(F.greatest("start_day", span["first"]), F.least("end_day", span["last"]))))
+    others = valid.where(F.col("_length") != M.TILE_LENGTH).agg(F.collect_set("_length")).scalar()
+    lengths = F.array_append(others, F.lit(M.TILE_LENGTH))
+    keys = F.flatten(F.transform("_lengths", lambda n: F.transform(M.tile_keys(F.col("scene_id"), n), lambda k: F.struct(n.alias("_length"), k.alias("_tile")))))
+    keyed = scenes.withColumn("_lengths", lengths).select(*SCENE_FIELDS, F.trunc(at, "month").alias("_month"), F.inline(keys))
+    wild = F.col("_head").contains("_")
+    dictionary = keyed.select("_length", F.col("_tile")).distinct()
+    meant = wanted.where(wild).select("_head", "_length").distinct().join(dictionary, "_length").where(F.like("_tile", F.col("_head"))).drop("_length")
+    named = wanted.where(~wild).withColumn("_tile", F.col("_head")).unionByName(wanted.join(meant, "_head"))
+    met = keyed.join(named, ["_length", "_tile", "_month"]).where(in_days(at, F.col("start_day"), F.col("end_day")))
+    # An id may hold several texts that a wildcard means; the scene counts by the first of them.
+    first = F.get(F.filter(M.tile_keys(F.col("scene_id"), F.col("_length")), lambda k: F.like(k, F.col("_head"))), F.lit(0))
+    once = (~wild | (F.col("_tile") == first)) & (F.col("_exact") | M.like_tile(F.col("scene_id"), F.col("_pattern")))
+    return met.where(once).select(*REQUEST_FIELDS, *SCENE_FIELDS)
+
+
+def described(found: DataFrame, items: DataFrame, how: str = "inner") -> DataFrame:
     """found with the scenes' other columns. A scene listed several times under one id and time counts once per request."""
     wide = in_collections(items).withColumnsRenamed({"scene_id": "_scene", "datetime": "_at"})
-    joined = found.join(wide, (F.col("scene_id") == F.col("_scene")) & (F.col("datetime") == F.col("_at"))).drop("_scene", "_at")
+    joined = found.join(wide, (F.col("scene_id") == F.col("_scene")) & (F.col("datetime") == F.col("_at")), how).drop("_scene", "_at")
     one = Window.partitionBy("request_id", "scene_id", "datetime").orderBy("raster_id", "collection")
     return joined.withColumn("_nth", F.row_number().over(one)).where("_nth = 1").drop("_nth")
 
@@ -73,22 +85,37 @@ def candidates(found: DataFrame) -> DataFrame:
     return found.where(under_cap(F.col("cloud_cover"), F.col("max_cloud_cover")))
 
 
+def tally(found: DataFrame) -> DataFrame:
+    """request_id, n_items, n_candidates and, as `best`, the scene to pick (NULL without candidates): one grouped aggregation over narrow
+    rows, combined before the shuffle. The preferred scene comes first, else the one of least cloud cover (NaN last), else of least id."""
+    inside = under_cap(F.col("cloud_cover"), F.col("max_cloud_cover"))
+    preferred = F.coalesce(F.col("scene_id") == F.col("preferred_scene_id"), F.lit(False))
+    order = F.struct((~preferred).alias("other"), "cloud_cover", "scene_id", "datetime", "crop_fraction", "max_cloud_cover", "preferred_scene_id")
+    return found.groupBy("request_id").agg(F.count("*").alias("n_items"), F.count_if(inside).alias("n_candidates"), F.min(F.when(inside, order)).alias("best"))
+
+
 def counts(requests: DataFrame, found: DataFrame) -> DataFrame:
     """request_id, n_items, n_candidates, for every request."""
-    inside = under_cap(F.col("cloud_cover"), F.col("max_cloud_cover"))
-    n = found.groupBy("request_id").agg(F.count("*").alias("n_items"), F.count_if(inside).alias("n_candidates"))
+    n = tally(found).drop("best")
     return requests.select("request_id").join(n, "request_id", "left").na.fill(0, ["n_items", "n_candidates"])
 
 
-def pick(found: DataFrame) -> DataFrame:
-    """One row per request that has candidates: the preferred scene if it is among them, else the one of least
-    cloud cover (NaN last), else of least id. A grouped minimum over narrow rows, combined before the shuffle."""
-    preferred = F.coalesce(F.col("scene_id") == F.col("preferred_scene_id"), F.lit(False))
-    order = F.struct((~preferred).alias("other"), "cloud_cover", "scene_id", "datetime", "crop_fraction", "max_cloud_cover", "preferred_scene_id")
-    best = candidates(found).select("request_id", order.alias("s")).groupBy("request_id").agg(F.min("s").alias("s"))
+def picked(tallied: DataFrame) -> DataFrame:
+    """The columns of `best` and why it was picked, in its place."""
     # An empty preferred id is none.
-    reason = F.when(~F.col("s.other"), "preferred").when(F.coalesce("s.preferred_scene_id", F.lit("")) != "", "fallback").otherwise("lowest_cloud")
-    return best.select("request_id", "s.*", reason.alias("reason")).drop("other")
+    reason = F.when(~F.col("best.other"), "preferred").when(F.coalesce("best.preferred_scene_id", F.lit("")) != "", "fallback").otherwise("lowest_cloud")
+    return tallied.select("*", "best.*", reason.alias("reason")).drop("other", "best")
+
+
+def pick(found: DataFrame) -> DataFrame:
+    """One row per request that has candidates."""
+    return picked(tally(found).where("best is not null").drop("n_items", "n_candidates"))
+
+
+def first_items(found: DataFrame, most: int = 500) -> DataFrame:
+    """The earliest `most` candidates of all requests together: each partition keeps its own first ones, no row beyond them is sorted or
+    shuffled."""
+    return candidates(found).orderBy("datetime", "scene_id", "request_id").limit(most)
 
 
 def capped(found: DataFrame, most: int = 500) -> DataFrame:

@@ -56,9 +56,46 @@ def catalog_search(spark, d):
     return tables.search_catalog(spark, path, *DAYS).select("scene_id", "collection", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("seen"), "raster_id")
 
 
+def _dump(spark: SparkSession, d: str, batch: int) -> str:
+    """A dump of item texts, a line each, some of them cut off."""
+    path, rows = staging.scratch(spark, "dump"), derived.item_versions(spark, d).where(F.col("batch") == batch)
+    whole = tables.dump_items(rows.where("not broken"))
+    cut_off = rows.where("broken").select(F.concat(F.lit('{"type":"Feature","id":"'), "scene_id", F.lit('","properties":{')).alias("value"))
+    whole.unionByName(cut_off).write.text(path)
+    return path
+
+
+@query
+def catalog_merge(spark, d):
+    """Through files: two dumps of items are merged into one catalogue, which keeps each scene's newest version."""
+    path = staging.scratch(spark, "catalogue")
+    for batch in (0, 1, 0):  # a batch that comes again changes nothing
+        tables.merge_catalog(tables.read_items(spark, _dump(spark, d, batch)), path)
+    it = scenes.resolved(tables.read_catalog(spark, path))
+    seen = lambda c, name: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(name)
+    return it.select("scene_id", "collection", "tile", seen("datetime", "seen"), seen("updated", "changed"), _r(M.cloud_cover(F.col("properties")), "cloud_cover"), F.col("projection.epsg").alias("epsg"), "red_href", F.size("bbox").alias("n_box"), "raster_id")
+
+
+@query
+def catalog_corrupt(spark, d):
+    """Through files: the lines of a dump that are no items."""
+    return tables.read_items(spark, _dump(spark, d, 1)).where("corrupt is not null").select("corrupt")
+
+
+@query
+def block_files(spark, d):
+    """Through files: blocks stored along a space-filling curve, of which a window's row groups are read."""
+    path = staging.scratch(spark, "blocks")
+    tables.write_blocks(derived.blocks(spark, d), path, cell=8)
+    return _window_pixels(tables.read_window(tables.read_blocks(spark, path), *WINDOW))
+
+
 @query
 def band_window_read(spark, d):
-    near = tables.read_window(derived.blocks(spark, d), *WINDOW)
+    return _window_pixels(tables.read_window(derived.blocks(spark, d), *WINDOW))
+
+
+def _window_pixels(near: DataFrame) -> DataFrame:
     flat = near.select("raster_id", "band", "row0", "col0", "w", F.posexplode("values").alias("pos", "value"))
     flat = flat.select("raster_id", "band", (F.col("row0") + F.expr("pos div w")).alias("row"), (F.col("col0") + F.expr("pos % w")).alias("col"), _r("value"))
     r, c, h, w = WINDOW
@@ -73,12 +110,48 @@ def ndvi_raster(spark, d):
 
 @query
 def raster_files(spark, d):
-    """Through files: the picked scenes' rasters, written by tile and month and read back."""
+    """Through files: the picked scenes' rasters, written by tile and month in several steps and read back."""
     path = staging.scratch(spark, "rasters")
-    tables.write_raster(pipelines.rasters(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d)), path)
+    values = staging.cut(_rasters(spark, d), "values")
+    odd = F.right("label", F.lit(1)) % 2 == 1
+    # Scenes of one folder come apart, later months leave earlier ones alone, and what comes again changes nothing.
+    for part in (odd & (F.col("month") < "1996"), ~odd, odd & (F.col("month") >= "1996"), odd):
+        tables.write_raster(values.where(part), path)
     return tables.read_raster(spark, path).select("label", "tile", "month", "row", "col", _r("ndvi"))
 
 
+def _rasters(spark: SparkSession, d: str) -> DataFrame:
+    return pipelines.rasters(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
+
+
+@query
+def summary_files(spark, d):
+    """Through files: summaries of the picked scenes' windows, written in two overlapping steps and read back."""
+    path = staging.scratch(spark, "summaries")
+    rows = staging.cut(pipelines.summaries(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d)), "summaries")
+    for part in (F.col("month") < "1996-07", F.col("month") > "1996-02"):
+        tables.write_summary(rows.where(part), path, tables.SUMMARY_KEYS, ("month",))
+    s = tables.read_summary(spark, path)
+    return s.select("scene_id", "month", "col_off", "row_off", "width", "height", "n_pixels", "n_valid", *[_r(c) for c in ("low", "p10", "p50", "p90", "high", "mean")])
+
+
+@query
+def percentile_sketches(spark, d):
+    """Percentiles of each tile and month from mergeable sketches of its scenes: whether their ranks among all values are as near as promised
+    (three times the error of 99 % confidence)."""
+    values = staging.cut(_rasters(spark, d).where("ndvi is not null"), "values")
+    group = ["tile", "month"]
+    merged = summary.merged_sketches(summary.sketches(values, [*group, "label"]), group)
+    found = summary.sketched_percentiles(merged, group)
+    names = [summary.name(p) for p in summary.PERCENTILES]
+    placed = values.select(*group, "ndvi").join(found, group)
+    counts = [F.count_if(F.col("ndvi") < F.col(c)).alias(f"{c}_under") for c in names] + [F.count_if(F.col("ndvi") <= F.col(c)).alias(f"{c}_upto") for c in names]
+    ranks = placed.groupBy(*group, "n_valid").agg(*counts)
+    most = 3 * summary.rank_error()
+    near = [((F.col(f"{c}_under") / F.col("n_valid") - most <= p) & (F.col(f"{c}_upto") / F.col("n_valid") + most >= p)).alias(c) for c, p in zip(names, summary.PERCENTILES, strict=True)]
+    return ranks.select(*group, "n_valid", *near)
+
+
 @query
 def ndvi_summary(spark, d):
     s = summary.full_summary(raster.ndvi(derived.pixels(spark, d)))
@@ -210,6 +283,12 @@ def capped_candidates(spark, d):
     return scenes.capped(_found(spark, d), 3).select("request_id", "scene_id", "place")
 
 
+@query
+def earliest_candidates(spark, d):
+    """The cap over all requests together."""
+    return scenes.first_items(_found(spark, d), 50).select("request_id", "scene_id", _r("cloud_cover"))
+
+
 @query
 def band_pair(spark, d):
     it = scenes.resolved(derived.items(spark, d))

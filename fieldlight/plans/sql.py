@@ -109,6 +109,20 @@ ORACLE_SQL: dict[str, str] = {
     "ndvi_raster": f"""WITH {NDVI}, {_DEFAULT} SELECT 'ndvi_' || raster_id AS label, "row", col, round(v, 6) AS ndvi FROM ndvi JOIN wins USING (raster_id) WHERE {_INSIDE}""",
     "raster_files": f"""WITH {ITEMS}, {REQUESTS}, {FOUND}, {NDVI}, {_resolved('picked')}, {_WORK}
 SELECT DISTINCT 'ndvi_' || scene_id AS label, tile, strftime(ts, '%Y-%m') AS month, "row", col, round(v, 6) AS ndvi FROM todo JOIN ndvi USING (raster_id) WHERE {_INSIDE}""",
+    "catalog_merge": f"""WITH {ITEMS}, keyed_items AS (SELECT *, right(scene_id, 10)::BIGINT AS k FROM items),
+versions AS (SELECT * EXCLUDE (k), ts + INTERVAL 2 DAY AS changed FROM keyed_items WHERE k % 17 <> 0
+  UNION ALL SELECT * EXCLUDE (k) REPLACE ('{{"cloudCover":77}}' AS properties), ts + INTERVAL 1 DAY FROM keyed_items WHERE k % 4 = 0),
+newest AS (SELECT * FROM versions QUALIFY row_number() OVER (PARTITION BY scene_id ORDER BY changed DESC) = 1), {_resolved('newest')}
+SELECT scene_id, collection, tile, strftime(ts, '%Y-%m-%d %H:%M:%S') AS seen, strftime(changed, '%Y-%m-%d %H:%M:%S') AS changed, round({CLOUD}, 6) AS cloud_cover, epsg, red_href, len(bbox)::INT AS n_box, raster_id FROM resolved""",
+    "catalog_corrupt": f"""WITH {ITEMS} SELECT '{{"type":"Feature","id":"' || scene_id || '","properties":{{' AS corrupt FROM items WHERE right(scene_id, 10)::BIGINT % 17 = 0 AND right(scene_id, 10)::BIGINT % 2 = 1""",
+    "block_files": f"""WITH {BLOCKS} SELECT raster_id, band, "row", col, round(value::DOUBLE, 6) AS value FROM cells WHERE "row" BETWEEN 3 AND 11 AND col BETWEEN 2 AND 12""",
+    "summary_files": f"""WITH {ITEMS}, {REQUESTS}, {FOUND}, {NDVI}, {_resolved('picked')}, {_WORK},
+wins AS (SELECT DISTINCT scene_id, raster_id, strftime(ts, '%Y-%m') AS month, col_off, row_off, out_width, out_height FROM todo)
+SELECT scene_id, month, col_off::INT AS col_off, row_off::INT AS row_off, out_width AS width, out_height AS height, {_STATS} FROM wins JOIN ndvi USING (raster_id) WHERE {_INSIDE} GROUP BY ALL HAVING count(v) > 0""",
+    "percentile_sketches": f"""WITH {ITEMS}, {REQUESTS}, {FOUND}, {NDVI}, {_resolved('picked')}, {_WORK},
+one AS (SELECT DISTINCT scene_id, tile, strftime(ts, '%Y-%m') AS month, "row", col, v FROM todo JOIN ndvi USING (raster_id) WHERE {_INSIDE} AND v IS NOT NULL)
+SELECT tile, month, count(*) AS n_valid, true AS p10, true AS p50, true AS p90 FROM one GROUP BY 1, 2""",
+    "earliest_candidates": f"WITH {ITEMS}, {REQUESTS}, {FOUND} SELECT request_id, scene_id, round(cloud, 6) AS cloud_cover FROM cands ORDER BY ts, scene_id, request_id LIMIT 50",
     "ndvi_summary": f"WITH {NDVI} SELECT raster_id, {_STATS} FROM ndvi GROUP BY 1",
     "validate_dates": f"WITH {ITEMS}, {REQUESTS} SELECT request_id, strftime(s, '%Y%m%d') AS start_day, strftime(e, '%Y%m%d') AS end_day FROM checked",
     "validate_requests": f"WITH {ITEMS}, {REQUESTS} SELECT request_id, error FROM checked",

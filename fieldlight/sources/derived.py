@@ -59,6 +59,15 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def item_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """items() as a catalogue changes: `batch` (0 or 1), and `broken`, which the last versions of some scenes are. Every fourth scene has an
+    earlier version too, which comes in the other batch."""
+    k = F.right("scene_id", F.lit(10)).cast("long")
+    last = items(spark, sf_dir).withColumns({"updated": F.col("datetime") + F.expr("interval 2 days"), "batch": k % 2, "broken": k % 17 == 0})
+    first = items(spark, sf_dir).where(k % 4 == 0).withColumns({"updated": F.col("datetime") + F.expr("interval 1 day"), "batch": 1 - k % 2, "broken": F.lit(False), "properties": F.lit('{"cloudCover":77}')})
+    return last.unionByName(first)
+
+
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse rasters of 64 by 64: raster_id, row, col, red, nir."""
     lines = table(spark, sf_dir, "lineitem")

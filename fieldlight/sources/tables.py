@@ -1,12 +1,17 @@
-"""Readers and writers: scene catalogues, band pixels and blocks, NDVI rasters and summaries."""
+"""Readers and writers: scene catalogues, band blocks, NDVI rasters and summaries.
+
+Tables that grow lie in folders (by month, or tile and month). upsert() rewrites the folders that its rows belong to and leaves all
+others alone: new rows take the place of old ones of the same key, so that a rerun changes nothing."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlight.operators.scenes import COLLECTIONS, in_collections
+from fieldlight.sources.staging import cut
 
 #: One row per scene; properties and assets stay JSON text until an operator asks for a field.
 ITEMS = T.StructType(
@@ -21,46 +26,209 @@ ITEMS = T.StructType(
         T.StructField("raster_id", T.LongType()),
     ]
 )
+#: The same as a stored catalogue has it: when the item was last changed, and the folder it lies in.
+CATALOG = T.StructType([*ITEMS.fields, T.StructField("updated", T.TimestampNTZType()), T.StructField("month", T.StringType())])
+RASTERS = "label string, row int, col int, ndvi float, tile string, month string"
+SUMMARIES = "scene_id string, col_off int, row_off int, width int, height int, n_pixels long, n_valid long, low double, p10 double, p50 double, p90 double, high double, mean double, month string"
+#: What tells summaries of picked scenes apart.
+SUMMARY_KEYS = ("scene_id", "col_off", "row_off", "width", "height")
+BUCKETS = 16
+BLOCKS = "raster_id long, band string, row0 int, col0 int, row1 int, col1 int, h int, w int, values array<float>, z long"
+
+
+def stored(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """The table at path; one without rows if there is none yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def replace_folders(rows: DataFrame, path: str, folders: list[str]) -> None:
+    """Writes the folders that rows belong to, whole, and no other."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+
+
+def upsert(rows: DataFrame, path: str, folders: list[str], keys: list[str], sort: list[str], split: Column | None = None) -> None:
+    """rows are added to the table at path, in the place of those with the same keys (within a folder). sort: order of a file's rows; split:
+    by which a folder's rows are dealt to files beside the keys' hash."""
+    rows = cut(rows, "new-rows")
+    there = stored(rows.sparkSession, path, rows.schema)
+    # Only the touched folders are read: their names prune the scan as the join runs.
+    touched = rows.select(*folders).distinct()
+    rest = there.join(touched, folders, "left_semi").join(rows.select(*folders, *keys).distinct(), [*folders, *keys], "left_anti")
+    # Written before the folders it is read from are replaced.
+    merged = cut(rows.unionByName(rest), "merged")
+    dealt = merged.repartition(*folders, *([F.col(keys[0])] if split is None else [split]))
+    replace_folders(dealt.sortWithinPartitions(*folders, *sort), path, folders)
+
+
+# --- scene catalogues
+
+
+def _field(item: Column, path: str, kind: str = "string") -> Column:
+    return F.try_variant_get(item, path, kind)
+
+
+def parse_items(dump: DataFrame, text: str = "value") -> DataFrame:
+    """CATALOG rows and `corrupt` from a column of JSON texts as a catalogue's search returns them: an item (a feature with id, properties,
+    nested assets, bbox), or a page of items under `features`. Texts that are no such thing have no scene_id and stand in
+    `corrupt`; an item without time takes its start's."""
+    parsed = dump.select(F.col(text).alias("_text"), F.try_parse_json(text).alias("_page"))
+    features = F.coalesce(_field(F.col("_page"), "$.features", "array<variant>"), F.array("_page"))
+    each = parsed.select("_text", F.explode(features).alias("i"))
+    i = F.col("i")
+    scene = F.when(F.schema_of_variant(_field(i, "$.id", "variant")) == "STRING", F.nullif(_field(i, "$.id"), F.lit("")))
+    # In UTC, whatever the session's time zone.
+    utc = lambda t: F.convert_timezone(F.current_timezone(), F.lit("UTC"), t.cast("timestamp_ntz"))
+    at = lambda *paths: utc(F.coalesce(*[F.try_to_timestamp(_field(i, p)) for p in paths]))
+    time = at("$.properties.datetime", "$.properties.start_datetime")
+    good = scene.isNotNull() & time.isNotNull()
+    return each.select(
+        F.when(good, scene).alias("scene_id"), _field(i, "$.collection").alias("collection"), F.upper(F.nullif(F.regexp_extract(scene, "_T([0-9]{2}[A-Za-z]{3})_", 1), F.lit(""))).alias("tile"), time.alias("datetime"),
+        F.to_json(_field(i, "$.properties", "variant")).alias("properties"), F.to_json(_field(i, "$.assets", "variant")).alias("assets"), _field(i, "$.bbox", "array<double>").alias("bbox"),
+        _field(i, "$.properties.raster_id", "bigint").alias("raster_id"), at("$.properties.updated", "$.properties.created").alias("updated"), F.date_format(time, "yyyy-MM").alias("month"), F.when(~good, F.col("_text")).alias("corrupt"),
+    )
+
+
+def read_items(spark: SparkSession, path: str) -> DataFrame:
+    """Items and broken lines of dumps with one JSON text a line; see parse_items(). Blank lines are skipped."""
+    return parse_items(spark.read.text(path).where(F.trim("value") != ""))
+
+
+def dump_items(items: DataFrame) -> DataFrame:
+    """value: each scene (CATALOG columns, month apart) as the JSON text of an item, as read_items() reads it."""
+    stamp = lambda c: F.concat(F.lit('"'), F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'"), F.lit('"'))
+    # What the properties hold already stays as it is.
+    has = lambda name: F.coalesce(F.array_contains(F.json_object_keys("properties"), name), F.lit(False))
+    fields = {"datetime": stamp("datetime"), "updated": stamp("updated"), "raster_id": F.col("raster_id").cast("string")}
+    more = [F.when(~has(name), F.concat(F.lit(f'"{name}":'), value)) for name, value in fields.items()]
+    own = F.nullif(F.expr("substring(properties, 2, length(properties) - 2)"), F.lit(""))
+    properties = F.concat(F.lit("{"), F.concat_ws(",", own, *more), F.lit("}"))
+    item = F.struct(F.lit("Feature").alias("type"), F.col("scene_id").alias("id"), "collection", "bbox", F.try_parse_json(properties).alias("properties"), F.try_parse_json("assets").alias("assets"))
+    return items.select(F.to_json(item).alias("value"))
+
+
+def newest(items: DataFrame) -> DataFrame:
+    """Of each scene_id the version that was changed last; of equally new ones the greatest as text. Versions without that time come before
+    all others."""
+    order = F.struct("updated", "datetime", "properties", "assets", "collection", "raster_id")
+    best = items.groupBy("scene_id").agg(F.max_by(F.struct(*CATALOG.fieldNames()), order).alias("s"))
+    return best.select("s.*")
+
+
+def by_days(rows: DataFrame) -> DataFrame:
+    """A month's scenes in files by day, so that filters on days skip files and row groups."""
+    return rows.repartition("month", F.to_date("datetime")).sortWithinPartitions("month", "datetime", "scene_id")
+
+
+def merge_catalog(items: DataFrame, path: str) -> None:
+    """Adds items (CATALOG columns) to the catalogue at path, of which it keeps the newest version of each scene. Of the old files only the
+    folders are read whole that hold one of the new scenes or are to hold it; the others stay as they are."""
+    rows = cut(newest(items.where("scene_id is not null").select(*CATALOG.fieldNames())), "new-items")
+    there = stored(rows.sparkSession, path, CATALOG)
+    # A scene whose time has changed moves to another folder.
+    moved = there.select("scene_id", "month").join(rows.select("scene_id"), "scene_id", "left_semi").select("month")
+    touched = cut(rows.select("month").union(moved).distinct(), "touched")
+    merged = cut(newest(rows.unionByName(there.join(touched, "month", "left_semi"))), "merged")
+    dealt = by_days(merged)
+    replace_folders(dealt, path, ["month"])
+    # A folder that has lost its last scene is not among the rows.
+    left = [r["month"] for r in touched.join(merged.select("month").distinct(), "month", "left_anti").collect()]
+    if left:
+        empty_folders(rows.sparkSession, path, left)
+
+
+def empty_folders(spark: SparkSession, path: str, months: list[str]) -> None:
+    """Removes folders of a catalogue by month; only those that scenes have left, a few names."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for month in months:
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
+        folder.getFileSystem(conf).delete(folder, True)
 
 
 def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Scene items with an explicit schema, so that filters reach the files."""
-    return spark.read.schema(ITEMS).format(fmt).load(path)
+    return spark.read.schema(CATALOG).format(fmt).load(path)
 
 
 def write_catalog(items: DataFrame, path: str) -> None:
-    """Sorted by time within its files, so that filters on days skip row groups."""
-    items.select(*ITEMS.fieldNames()).repartitionByRange("datetime").sortWithinPartitions("datetime", "scene_id").write.mode("overwrite").parquet(path)
+    """A catalogue of these items alone, in folders by month, sorted by time within its files."""
+    rows = items.select(*ITEMS.fieldNames(), F.lit(None).cast("timestamp_ntz").alias("updated"), F.date_format("datetime", "yyyy-MM").alias("month"))
+    by_days(rows).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def search_catalog(spark: SparkSession, path: str, start: str, end: str, names: tuple[str, ...] = COLLECTIONS, fmt: str = "parquet") -> DataFrame:
-    """Scenes of the collections between two days, the last one whole; both filters are on plain columns and reach
-    the files."""
+    """Scenes of the collections between two days, the last one whole. The months prune folders; both filters are on plain columns and reach the
+    files."""
     at = F.col("datetime")
     # The day's end is a constant of the column's own type, so that the comparison is pushed down.
     after = F.date_add(F.lit(end).cast("date"), 1).cast("timestamp_ntz")
-    return in_collections(read_catalog(spark, path, fmt), names).where((at >= F.lit(start).cast("timestamp_ntz")) & (at < after))
+    rows = in_collections(read_catalog(spark, path, fmt), names)
+    months = F.col("month").isNull() | F.col("month").between(start[:7], end[:7])  # plain files have no folders
+    return rows.where(months & (at >= F.lit(start).cast("timestamp_ntz")) & (at < after))
+
+
+# --- rasters and summaries
 
 
 def write_raster(ndvi: DataFrame, path: str) -> None:
-    """NDVI pixels (label, tile, month, row, col, ndvi) in folders by tile and month, not by scene, which would be too
-    many; a scene's pixels lie together, and large scenes are split by row bands."""
-    dealt = ndvi.repartition("tile", "month", "label", F.floor(F.col("row") / 1024))
-    dealt.sortWithinPartitions("tile", "month", "label", "row", "col").write.mode("overwrite").partitionBy("tile", "month").parquet(path)
+    """NDVI pixels (label, tile, month, row, col, ndvi) in folders by tile and month, not by scene, which would be too many. A scene's pixels
+    lie together, large scenes are split by row bands. Scenes that are there already are replaced, all others stay."""
+    upsert(ndvi.select("label", "row", "col", "ndvi", "tile", "month"), path, ["tile", "month"], ["label"], ["label", "row", "col"], F.xxhash64("label", F.floor(F.col("row") / 1024)))
 
 
 def read_raster(spark: SparkSession, path: str) -> DataFrame:
     """What write_raster stored; filters on tile and month skip folders."""
-    return spark.read.schema("label string, row int, col int, ndvi float, tile string, month string").parquet(path)
+    return spark.read.schema(RASTERS).parquet(path)
+
+
+def write_summary(summary: DataFrame, path: str, keys: tuple[str, ...] = ("raster_id",), folders: tuple[str, ...] = ()) -> None:
+    """Numbers, not text. A row whose keys are there already takes the old one's place, all others stay. Without folders, rows lie in BUCKETS
+    folders by a hash of their keys."""
+    if not folders:
+        summary, folders = summary.withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int")), ("bucket",)
+    upsert(summary, path, list(folders), list(keys), list(keys))
+
+
+def read_summary(spark: SparkSession, path: str, schema: str = SUMMARIES) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+# --- band blocks
+
+
+def z_order(row: Column, col: Column, bits: int = 20) -> Column:
+    """Place on the Z-shaped curve through a grid: the bits of row and column by turns."""
+    out = F.lit(0).cast("long")
+    for b in range(bits):
+        for c, shift in ((col, 2 * b), (row, 2 * b + 1)):
+            out = out.bitwiseOR(F.shiftleft(F.shiftright(c.cast("long"), b).bitwiseAND(F.lit(1)), shift))
+    return out
+
+
+def write_blocks(blocks: DataFrame, path: str, cell: int = 1, group_bytes: int = 8 << 20) -> None:
+    """blocks: raster_id, band, row0, col0, h, w, values. A raster's blocks lie along the Z-shaped curve, both bands of a place together, in small row
+    groups, so that a window's blocks are in few of them. cell: side of the curve's grid, at best the blocks' own."""
+    place = z_order(F.expr(f"row0 div {cell}"), F.expr(f"col0 div {cell}"))
+    rows = blocks.withColumns({"row1": F.col("row0") + F.col("h"), "col1": F.col("col0") + F.col("w"), "z": place, "values": F.col("values").cast("array<float>")})
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(BLOCKS)])
+    # Written out before it is sorted by range, which reads it twice.
+    dealt = cut(rows, "blocks").repartitionByRange("raster_id", "z").sortWithinPartitions("raster_id", "z", "band")
+    dealt.write.mode("overwrite").option("parquet.block.size", group_bytes).option("parquet.page.size", min(group_bytes, 64 << 10)).option("parquet.page.size.row.check.min", 10).parquet(path)
 
 
-def write_summary(summary: DataFrame, path: str) -> None:
-    """Numbers, not text."""
-    summary.write.mode("overwrite").parquet(path)
+def read_blocks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(BLOCKS).parquet(path)
 
 
 def read_window(blocks: DataFrame, row_off: int, col_off: int, height: int, width: int) -> DataFrame:
-    """Blocks that overlap a window; the predicates are on plain columns, so files sorted by them are skipped."""
-    return blocks.where(
-        (F.col("row0") < row_off + height) & (F.col("row0") + F.col("h") > row_off) & (F.col("col0") < col_off + width) & (F.col("col0") + F.col("w") > col_off)
-    ).withColumn("values", F.col("values").cast("array<float>"))
+    """Blocks that overlap a window. Stored blocks have their ends as columns, so all four predicates reach the files, where row groups beside the
+    window are skipped."""
+    if "row1" in blocks.columns:
+        ends = (F.col("row1") > row_off) & (F.col("col1") > col_off)
+    else:
+        ends = (F.col("row0") + F.col("h") > row_off) & (F.col("col0") + F.col("w") > col_off)
+    return blocks.where((F.col("row0") < row_off + height) & (F.col("col0") < col_off + width) & ends).withColumn("values", F.col("values").cast("array<float>"))
