@@ -1 +1 @@
-"""Training-data operators: ten operators over the corpus tables, each in a module of its own."""
+"""Training-data operators: thirteen operators over the corpus tables, each in a module of its own."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from fieldlight.llm import fingerprints, jaccard, licenses, manifest, media, mixing, neardup, packing, quality, secrets, sql, substring, toxicity
+from fieldlight.llm import alignment, fingerprints, jaccard, licenses, manifest, media, mixing, neardup, packing, quality, secrets, sql, substring, toxicity
 
 
 def queries() -> dict:
@@ -19,6 +19,7 @@ def queries() -> dict:
         "op10_fingerprints": fingerprints.op10_fingerprints,
         "op11_manifest": manifest.op11_manifest,
         "op12_jaccard": jaccard.op12_jaccard,
+        "op13_alignment": alignment.op13_alignment,
     }
 
 
