@@ -21,11 +21,13 @@ doc_id is kept; texts count whole; an empty table gives no row; other columns, w
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 import re
 from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +43,7 @@ SHARDS, FAN = 64, 16
 #: Bytes of keys, counts and marks that are sent to every executor, and to the driver, at most.
 MOST_SENT = 64 << 20
 #: Segments, and characters of them, that a Python worker keeps; pairs that a task counts before it hands them out.
-KEPT, CHARACTERS, COUNTED = 200_000, 8 << 20, 500_000
+KEPT, CHARACTERS, COUNTED = 400_000, 8 << 20, 500_000
 #: Slots per key of a bit level; levels; what is left then is kept in order.
 LOAD, LEVELS = 2, 24
 #: The piece tokenizer's mark for a space.
@@ -49,6 +51,8 @@ MARK = "▁"
 _SEGMENT = re.compile(" +[^ ]*")
 #: White space that could take the spaces behind it into its own token.
 _JOINS = re.compile(r"[^\S ] {2}")
+#: Segments that stay apart whatever stands beside them.
+_PLAIN = re.compile(r" [^ ]*\S")
 #: Byte-level vocabularies write the bytes without a printable Latin-1 character as U+0100 onwards.
 _BYTE_LETTERS = {b: 256 + i for i, b in enumerate([*range(33), *range(127, 161), 173])}
 _LETTER_BYTES = {chr(_BYTE_LETTERS.get(b, b)): b for b in range(256)}
@@ -57,9 +61,11 @@ _PROBES = ("It's 12 o'clock, isn't  it?", "  two   spaces\tand\nlines \n next",
 
 
 class Aligner:
-    """Ids and alignment of texts under the tokenizers A (byte-level) and B (pieces)."""
+    """Ids and alignment of texts under the tokenizers A (byte-level) and B (pieces). What is known of a segment has a place: ok (whether its tokens'
+    bytes are its own), sizes (n_a, n_b, n_groups), links (those of place p are links[first[p] : first[p + 1]]; A's id << 32 | B's id) and, if they
+    are asked for, its groups as text."""
 
-    def __init__(self, path_a: str, path_b: str):
+    def __init__(self, path_a: str, path_b: str, with_groups: bool = True):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -68,21 +74,44 @@ class Aligner:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         special = {t.content for t in self.a.get_added_tokens_decoder().values()}
-        self.bytes_a = {i: s.encode() if s in special else bytes(_LETTER_BYTES[c] for c in s) for s, i in self.a.get_vocab().items()}
+        known_a = {i: s.encode() if s in special else bytes(_LETTER_BYTES[c] for c in s) for s, i in self.a.get_vocab().items()}
+        self.bytes_a = [known_a.get(i, b"") for i in range(max(known_a) + 1)]
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace(MARK, " ").encode() for p in pieces]
+        self.length_a, self.length_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.with_groups = with_groups
+        self.fast_a = self._ranks(special, path_a)
         # Pieces that go on behind a mark would let B merge over segments.
         self.by_segment = not any(MARK in p.lstrip(MARK) for p in pieces) and self._agrees()
         self.known: dict[str, int] = {}
         self.forget()
 
+    def _ranks(self, special: set[str], path: str):
+        """The same vocabulary by ranks, many times as fast on long texts, if the ids are in order of the merges and both agree on the probes."""
+        import tiktoken
+
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"].get("merges", [])]
+        ids = [self.a.token_to_id(x + y) for x, y in merges]
+        if ids != sorted(ids) or len(set(ids)) != len(ids) or "ByteLevel" not in json.dumps(spec.get("pre_tokenizer")):
+            return None
+        ranks = {_bytes_of(s): i for s, i in self.a.get_vocab().items() if s not in special}
+        try:
+            import public_tokenizers
+
+            coder = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        except ImportError:
+            return None
+        texts = [" " + t for t in _PROBES]
+        return coder if all(coder.encode_ordinary(t) == ids for t, ids in zip(texts, self.ids_a(texts), strict=True)) else None
+
     def forget(self) -> None:
-        """known: the place of a segment; by place: its groups as text (None: its bytes are not the tokens'), n_a, n_b, n_groups, and its links."""
         self.known.clear()
         self.held = 0
-        self.groups: list[str | None] = []
-        self.sizes: list[tuple[int, int, int]] = []
-        self.links: list[np.ndarray] = []
+        self.ok: list[bool] = []
+        self.groups: list[str] = []
+        self.sizes, self.links, self.first = np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
 
     def ids_a(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
@@ -101,22 +130,61 @@ class Aligner:
                 return False
         return True
 
-    def align(self, text: str, a: list[int], b: list[int]) -> tuple[str | None, tuple[int, int, int], np.ndarray]:
-        """(groups, (n_a, n_b, n_groups), links) of a text that begins with a space. A link is A's id << 32 | B's id."""
-        own = text.encode()
-        bytes_a, bytes_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-        if b"".join(bytes_a) != own or b"".join(bytes_b) != own:
-            return None, (0, 0, 0), np.zeros(0, np.int64)
-        ends_a, ends_b = np.cumsum([len(x) for x in bytes_a]), np.cumsum([len(x) for x in bytes_b])
-        at_a = np.flatnonzero(np.isin(ends_a, ends_b))
-        at_b = np.searchsorted(ends_b, ends_a[at_a])
-        groups, i, j = [], 0, 0
-        for k, m in zip((at_a + 1).tolist(), (at_b + 1).tolist(), strict=True):
-            groups.append(f"{','.join(map(str, a[i:k]))}|{','.join(map(str, b[j:m]))}")
-            i, j = k, m
+    def _add(self, segments: list[str], ok: list[bool], a: np.ndarray, b: np.ndarray, bounds: np.ndarray) -> None:
+        """segments lie one after another in bounds, bytes' ends that are tokens' ends in both; a, b: the ids of all of them. Those that are not ok
+        have none and no bytes."""
+        ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
+        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
+        to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
         # No token is empty, so one pair of tokens ends at each cut.
-        links = (np.array(a, np.int64)[at_a] << 32) | np.array(b, np.int64)[at_b]
-        return ";".join(groups), (len(a), len(b), len(groups)), links
+        links = (a[to_a - 1] << 32) | b[to_b - 1]
+        at = np.searchsorted(cuts, bounds, "right")
+        each = lambda to: np.diff(np.concatenate([[0], to])[at], prepend=0)
+        place = len(self.ok)
+        self.known.update(zip(segments, range(place, place + len(segments)), strict=True))
+        self.held += sum(map(len, segments))
+        self.ok += ok
+        self.sizes = np.concatenate([self.sizes, np.column_stack([each(to_a), each(to_b), np.diff(at, prepend=0)])])
+        self.first = np.concatenate([self.first, self.first[-1] + at])
+        self.links = np.concatenate([self.links, links])
+        if self.with_groups:
+            text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
+            from_a, from_b = np.concatenate([[0], to_a[:-1]]), np.concatenate([[0], to_b[:-1]])
+            shown = [f"{','.join(text_a[i:k])}|{','.join(text_b[j:m])}" for i, k, j, m in zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist(), strict=True)]
+            self.groups += [";".join(shown[i:k]) for i, k in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)]
+
+    def _learn_apart(self, segments: list[str]) -> None:
+        """Each by itself."""
+        ok, ids_a, ids_b, bounds, end = [], [], [], [], 0
+        for s, a, b in zip(segments, self.ids_a(segments), self.ids_b(segments), strict=True):
+            own = s.encode()
+            ok.append(b"".join(map(self.bytes_a.__getitem__, a)) == own == b"".join(map(self.bytes_b.__getitem__, b)))
+            if ok[-1]:
+                ids_a += a
+                ids_b += b
+                end += len(own)
+            bounds.append(end)
+        self._add(segments, ok, np.array(ids_a, np.int64), np.array(ids_b, np.int64), np.array(bounds, np.int64))
+
+    def _learn_together(self, segments: list[str]) -> list[str]:
+        """Segments of one space and no white space at their end, tokenised as one text, in which they stay apart. Returns those that are left."""
+        chunks = [segments[i : i + 64] for i in range(0, len(segments), 64)]
+        joined = ["".join(c) for c in chunks]
+        good, ids_b, left = [], [], []
+        for c, text, b in zip(chunks, joined, self.ids_b(joined), strict=True):
+            if b"".join(map(self.bytes_b.__getitem__, b)) == text.encode():
+                good += c
+                ids_b += b
+            else:
+                left += c
+        text = "".join(good)
+        a, b = np.array(self.fast_a.encode_ordinary(text), np.int64), np.array(ids_b, np.int64)
+        bounds = np.cumsum([len(s.encode()) for s in good]) if good else np.zeros(0, np.int64)
+        apart = np.isin(bounds, np.cumsum(self.length_a[a])).all() and np.isin(bounds, np.cumsum(self.length_b[b])).all()
+        if not apart or b"".join(map(self.bytes_a.__getitem__, a.tolist())) != text.encode():
+            return segments
+        self._add(good, [True] * len(good), a, b, bounds)
+        return left
 
     def places(self, texts: list[str | None]) -> list[list[int]]:
         """Of each text the places of its segments; none for texts without tokens by rule. What was known may be forgotten before."""
@@ -131,26 +199,30 @@ class Aligner:
             else:
                 cuts.append(_SEGMENT.findall(whole))
         new = list({s for c in cuts for s in c if s not in self.known})
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for s, a, b in zip(part, self.ids_a(part), self.ids_b(part), strict=True):
-                groups, sizes, links = self.align(s, a, b)
-                self.known[s] = len(self.groups)
-                self.held += len(s)
-                self.groups.append(groups)
-                self.sizes.append(sizes)
-                self.links.append(links)
+        apart = new
+        if self.by_segment and self.fast_a:
+            plain, apart = [s for s in new if _PLAIN.fullmatch(s)], [s for s in new if not _PLAIN.fullmatch(s)]
+            for at in range(0, len(plain), 8192):
+                apart += self._learn_together(plain[at : at + 8192])
+        for at in range(0, len(apart), 4096):
+            self._learn_apart(apart[at : at + 4096])
         out = [list(map(self.known.__getitem__, c)) for c in cuts]
-        return [[] if any(self.groups[p] is None for p in set(places)) else places for places in out]
+        return out if all(self.ok) else [own if all(map(self.ok.__getitem__, own)) else [] for own in out]
+
+
+def _bytes_of(token: str) -> bytes:
+    return bytes(_LETTER_BYTES[c] for c in token)
 
 
-_aligners: dict[tuple[str, str], Aligner] = {}
+_aligners: dict[tuple, Aligner] = {}
 
 
-def aligner(paths: tuple[str, str]) -> Aligner:
-    if paths not in _aligners:
-        _aligners[paths] = Aligner(*paths)
-    return _aligners[paths]
+def aligner(paths: tuple[str, str], with_groups: bool) -> Aligner:
+    key = (*paths, with_groups)
+    if key not in _aligners:
+        _aligners.clear()  # one at a time
+        _aligners[key] = Aligner(*key)
+    return _aligners[key]
 
 
 def tokenizer_paths() -> tuple[str, str]:
@@ -175,7 +247,7 @@ def counted(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """part, shard, pairs, counts (int64 bytes): what a task has counted, by shard; some rows per task and shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, part = aligner(paths), TaskContext.get().partitionId()
+        tool, part = aligner(paths, False), TaskContext.get().partitionId()
         pairs, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
         def flush() -> pa.RecordBatch:
@@ -189,9 +261,10 @@ def counted(docs: DataFrame, paths: tuple[str, str]) -> DataFrame:
             times = Counter()
             for places in tool.places(batch.column(0).to_pylist()):
                 times.update(places)
-            links = [tool.links[p] for p in times]
-            each = np.repeat(np.fromiter(times.values(), np.int64, len(times)), [len(x) for x in links])
-            pairs, counts = summed(np.concatenate([pairs, *links]), np.concatenate([counts, each]))
+            weights = np.zeros(len(tool.ok), np.int64)
+            weights[list(times)] = list(times.values())
+            each = np.repeat(weights, np.diff(tool.first))
+            pairs, counts = summed(np.concatenate([pairs, tool.links[each > 0]]), np.concatenate([counts, each[each > 0]]))
             if len(pairs) > COUNTED:
                 yield flush()
                 pairs, counts = pairs[:0], counts[:0]
@@ -379,7 +452,7 @@ class Lookup:
 
 def _sums(tool: Aligner, places: list[list[int]], by_place: np.ndarray) -> np.ndarray:
     """Sums of the rows of by_place over each text's places."""
-    flat = array("q", [p for own in places for p in own])
+    flat = array("q", chain.from_iterable(places))
     each = np.repeat(np.arange(len(places)), [len(p) for p in places])
     out = np.zeros((len(places), by_place.shape[1]), np.int64)
     at = np.frombuffer(flat, np.int64)
@@ -398,21 +471,21 @@ def looked_up(docs: DataFrame, table: DataFrame, paths: tuple[str, str]) -> Data
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool, table = aligner(paths), Lookup(sent.value)
+        tool, table = aligner(paths, True), Lookup(sent.value)
         tool.forget()
         stats = np.zeros((0, 6), np.int64)
         for batch in slices(batches, "text"):
             places = tool.places(batch.column(1).to_pylist())
-            if len(tool.groups) < len(stats):
+            if len(tool.ok) < len(stats):
                 stats = stats[:0]
-            if new := tool.links[len(stats) :]:
-                pairs = np.concatenate(new)
+            done = len(stats)
+            if len(tool.ok) > done:
+                pairs, n = tool.links[tool.first[done] :], np.diff(tool.first[done:])
                 counts = table.counts_of(pairs)
-                each, best = np.repeat(np.arange(len(new)), [len(x) for x in new]), table.best(pairs, counts)
-                more = np.zeros((len(new), 6), np.int64)
-                more[:, :3] = tool.sizes[len(stats) :]
-                more[:, 3] = np.bincount(each, minlength=len(new))
-                more[:, 4] = np.bincount(each[best], minlength=len(new))
+                each, best = np.repeat(np.arange(len(n)), n), table.best(pairs, counts)
+                more = np.zeros((len(n), 6), np.int64)
+                more[:, :3], more[:, 3] = tool.sizes[done:], n
+                more[:, 4] = np.bincount(each[best], minlength=len(n))
                 np.add.at(more[:, 5], each, counts)
                 stats = np.concatenate([stats, more])
             sums = _sums(tool, places, stats)
@@ -426,15 +499,15 @@ def joined(docs: DataFrame, table: DataFrame, paths: tuple[str, str]) -> DataFra
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tool = aligner(paths)
+        tool = aligner(paths, True)
         part, row = TaskContext.get().partitionId() << 40, 0
         for batch in slices(batches, "text"):
             places = tool.places(batch.column(1).to_pylist())
-            sums = _sums(tool, places, np.array(tool.sizes, np.int64).reshape(-1, 3))
+            sums = _sums(tool, places, tool.sizes)
             pairs, times = [], []
             for own in places:
                 of = Counter(own)
-                links = [tool.links[p] for p in of]
+                links = [tool.links[tool.first[p] : tool.first[p + 1]] for p in of]
                 x, n = summed(np.concatenate([np.zeros(0, np.int64), *links]), np.repeat(np.fromiter(of.values(), np.int64, len(of)), [len(y) for y in links]))
                 pairs.append(x)
                 times.append(n)
