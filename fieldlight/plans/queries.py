@@ -90,6 +90,16 @@ def block_files(spark, d):
     return _window_pixels(tables.read_window(tables.read_blocks(spark, path), *WINDOW))
 
 
+@query
+def block_file_crops(spark, d):
+    """Through files: each raster's own window, of stored blocks that are cut into different tiles."""
+    path, blocks = staging.scratch(spark, "blocks"), derived.tiled_blocks(spark, d)
+    tables.write_blocks(blocks, path, cell=4)
+    work = _block_work(blocks).where("raster_id % 3 < 2")
+    near = tables.read_windows(tables.read_blocks(spark, path), work).drop("window").distinct()
+    return raster.crop_blocks(near, work).select("raster_id", "row", "col", _r("red"), _r("nir"))
+
+
 @query
 def band_window_read(spark, d):
     return _window_pixels(tables.read_window(derived.blocks(spark, d), *WINDOW))

@@ -140,6 +140,7 @@ SELECT tile, month, count(*) AS n_valid, true AS p10, true AS p50, true AS p90 F
     "crop_pixels": f"""WITH {PIXELS}, {_DEFAULT} SELECT raster_id, "row", col, red, nir FROM pixels JOIN wins USING (raster_id) WHERE {_INSIDE}""",
     "crop_blocks": f"""WITH {BLOCKS}, wins AS (SELECT {_window("16", "16", "0.3::DOUBLE")}) SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs, wins WHERE {_INSIDE}""",
     "crop_tilings": f"""WITH {TILED}, wins AS (SELECT {_window("16", "16", "0.3::DOUBLE")}) SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs, wins WHERE {_INSIDE}""",
+    "block_file_crops": f"""WITH {TILED}, wins AS (SELECT {_window("16", "16", "0.3::DOUBLE")}) SELECT raster_id, "row", col, {_ROUND("red", "nir")} FROM pairs, wins WHERE {_INSIDE} AND raster_id % 3 < 2""",
     "candidate_counts": f"WITH {ITEMS}, {REQUESTS}, {FOUND} SELECT request_id, n_items, n_candidates FROM counts",
     "ndvi_percentiles": _PERCENTILES,
     "ndvi_percentiles_scaled": _PERCENTILES,

@@ -93,9 +93,10 @@ def parse_items(dump: DataFrame, text: str = "value") -> DataFrame:
     )
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items and broken lines of dumps with one JSON text a line; see parse_items(). Blank lines are skipped."""
-    return parse_items(spark.read.text(path).where(F.trim("value") != ""))
+def read_items(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
+    """Items and broken texts of dumps with one JSON text a line, or a file, as saved pages of a search are; see parse_items(). Blank ones are
+    skipped."""
+    return parse_items(spark.read.text(path, wholetext=whole_files).where(F.trim("value") != ""))
 
 
 def dump_items(items: DataFrame) -> DataFrame:
@@ -224,6 +225,21 @@ def read_blocks(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(BLOCKS).parquet(path)
 
 
+def read_windows(blocks: DataFrame, work: DataFrame, most: int = 1_000) -> DataFrame:
+    """Stored blocks that overlap a window of their raster, with the window. work: raster_id, window. Of up to `most` windows the rasters and the
+    frame around them reach the files as plain predicates, so that row groups of other rasters and places are skipped; more
+    windows meet the blocks in the join alone."""
+    work = work.select("raster_id", "window").distinct()
+    few = work.limit(most + 1).collect()
+    if len(few) <= most:
+        ends = [(w["window"]["row_off"], w["window"]["col_off"], w["window"]["row_off"] + w["window"]["height"], w["window"]["col_off"] + w["window"]["width"]) for w in few]
+        top, left, bottom, right = (f(x) for f, x in zip((min, min, max, max), zip(*ends or [(0, 0, 0, 0)], strict=True), strict=True))
+        blocks = read_window(blocks.where(F.col("raster_id").isin([w["raster_id"] for w in few])), top, left, bottom - top, right - left)
+    win = F.col("window")
+    over = (F.col("row0") < win["row_off"] + win["height"]) & (F.col("row1") > win["row_off"]) & (F.col("col0") < win["col_off"] + win["width"]) & (F.col("col1") > win["col_off"])
+    return blocks.join(work, "raster_id").where(over)
+
+
 def read_window(blocks: DataFrame, row_off: int, col_off: int, height: int, width: int) -> DataFrame:
     """Blocks that overlap a window. Stored blocks have their ends as columns, so all four predicates reach the files, where row groups beside the
     window are skipped."""

@@ -137,6 +137,26 @@ def test_window_skips_row_groups(spark, tmp_path, capsys):
     assert all(f in pushed for f in ("LessThan(row0,504)", "LessThan(col0,32)", "GreaterThan(row1,480)", "GreaterThan(col1,8)"))
 
 
+def test_windows_of_many_rasters(spark, tmp_path, capsys):
+    path = str(tmp_path / "b")
+    rows = [(k, b, r, c, 4, 4, [float(k)] * 16) for k in range(30) for b in ("red", "nir") for r in (0, 4, 8) for c in (0, 4, 8)]
+    tables.write_blocks(spark.createDataFrame(rows, BLOCK), path, cell=4)
+    win = "raster_id long, window struct<col_off:int,row_off:int,width:int,height:int>"
+    work = spark.createDataFrame([(3, (0, 0, 5, 4)), (3, (9, 9, 1, 1)), (7, (4, 4, 4, 4)), (99, (0, 0, 9, 9))], win)
+    want = sorted([(3, 0, 0, 0), (3, 0, 4, 0), (3, 8, 8, 9), (7, 4, 4, 4)] * 2)
+    for most in (1_000, 2):
+        near = tables.read_windows(tables.read_blocks(spark, path), work, most)
+        assert sorted((r.raster_id, r.row0, r.col0, r.window.col_off) for r in near.collect()) == want
+        near.explain("formatted")
+        assert ("In(raster_id" in capsys.readouterr().out) == (most == 1_000)
+    assert tables.read_windows(tables.read_blocks(spark, path), work.limit(0)).collect() == []
+
+
+def test_pages_in_files(spark, tmp_path):
+    (tmp_path / "p.json").write_text(f'{{"type":"FeatureCollection",\n "features":[\n{ITEM},\n{ITEM.replace(ID, "other")}]\n}}')
+    assert [r.scene_id for r in tables.read_items(spark, str(tmp_path), whole_files=True).collect()] == [ID, "other"]
+
+
 def test_z_order(spark):
     z = lambda r, c: sum((r >> b & 1) << (2 * b + 1) | (c >> b & 1) << (2 * b) for b in range(20))
     places = [(0, 0), (1, 0), (0, 1), (5, 9), (1023, 77), (1 << 19, (1 << 20) - 1)]
