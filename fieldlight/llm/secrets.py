@@ -5,12 +5,13 @@ characters of [A-Za-z0-9+/_-] is a candidate. Its encoding is inferred as the sm
 that holds it (see ENCODINGS). In that encoding the battery takes three z-scores: chi-squared of uniformity, the runs test
 about the middle of the alphabet, and the lag-1 serial correlation. Their squares' sum S is small for random strings.
 
-The hypothesis tested is "ordinary text": words, identifiers, paths and numbers. Its p-value is the chance that ordinary
-text of the encoding and length gives an S as small as the candidate's, and also passes two conditions: that S is not improbable
-for random strings (REJECT_RANDOM), and that its letters (or, with several kinds of characters, their changes and the index
-of coincidence) are as unlike language as all but a share MISSED of random strings. That chance is calibrated, not assumed:
-null_table() writes ordinary and random strings of each encoding and length by fixed rules and takes quantiles of the
-battery (beyond the last ones by a power law).
+Only candidates that pass the battery go on: their S is not improbable for random strings (REJECT_RANDOM). The hypothesis tested
+is "ordinary text": words, identifiers, paths, constants and numbers. Its p-value is a likelihood ratio, which sees at once what the three
+tests see one by one, how far frequencies are from uniform, how kinds of characters take turns and how neighbours hang together:
+under ordinary text, the chance of a string that random choice favours R times or more is at most 1 / R. So the p-value 1 / R needs no
+calibration and holds however small it is, which a corpus with few secrets among many names needs. Ordinary text is a chain of six classes of
+characters (see TURNS) with the letters of language; a share STRAY of all characters may be any, so that rare letters weigh little.
+In hexadecimal, ordinary text is numbers with few letters.
 
 The p-values of the whole corpus are tested at once with a false-discovery rate of FDR; longer
 candidates, where the tests have more power, get more weight (weighted Benjamini-Hochberg). Only a
@@ -42,16 +43,24 @@ LEAST_ASSIGN = 6
 FDR = 0.01
 #: Random strings pass the battery's own test of randomness with all but this probability.
 REJECT_RANDOM = 1e-3
-#: Share of random strings that are more like language than a candidate may be.
-MISSED = 0.02
-#: Language, as fixed values: index of coincidence, sum of cubed letter frequencies, changes of kind per character.
-COINCIDENCE, CUBES, CHANGES = 0.065, 0.0055, 0.1
 #: Letters a to z per 10,000 in language (about the mean of English, French, German and Spanish).
 LETTERS = (831, 140, 330, 410, 1500, 120, 150, 320, 730, 40, 60, 460, 250, 770, 640, 210, 60, 660, 740, 710, 390, 110, 90, 20, 80, 60)
-#: Mean and spread, per letter, of the natural logarithm of those in ordinary text; a mean low enough for one language.
-LIKELY, SPREAD = -3.0, 0.95
+#: Chances of the next character's class, after each class: digit, small vowel and consonant, capital vowel and consonant, joint (the other
+#: characters of base 64). Language takes turns, names and paths join words.
+TURNS = (
+    (0.55, 0.04, 0.08, 0.04, 0.09, 0.20),
+    (0.03, 0.13, 0.62, 0.02, 0.04, 0.16),
+    (0.03, 0.50, 0.27, 0.02, 0.04, 0.14),
+    (0.03, 0.05, 0.35, 0.06, 0.38, 0.13),
+    (0.03, 0.30, 0.12, 0.25, 0.20, 0.10),
+    (0.10, 0.20, 0.40, 0.08, 0.17, 0.05),
+)
+#: The same in hexadecimal: numbers, in which few letters stand.
+HEX_TURNS = ((0.97, 0.01, 0.02, 0.01, 0.02, 0.0), *(((0.60, 0.20, 0.20, 0.20, 0.20, 0.0),) * 5))
+#: Share of characters of ordinary text that may be any.
+STRAY = 0.05
 #: Lengths count up to this in weights and histogram; minus log10 p is counted in steps up to TOP.
-LONGEST, STEP, TOP = 64, 0.25, 6.0
+LONGEST, STEP, TOP = 64, 0.25, 12.0
 _ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/-_"
 #: Encodings, smallest first: pattern, and its characters in order (- and _ stand for + and / in base 64).
 ENCODINGS = (
@@ -66,8 +75,6 @@ ENCODINGS = (
     ("^[A-Za-z0-9]+$", _ALPHABET[:62]),
     ("", _ALPHABET[:64]),
 )
-#: Lengths at which the battery is calibrated, and strings that are written for each.
-LENGTHS, WRITTEN = (20, 22, 24, 28, 32, 40, 48, 64), 4000
 MASK = "[SECRET]"
 
 
@@ -117,19 +124,18 @@ def _sum(a: Column, f) -> Column:
 
 
 def battery(token: Column) -> Column:
-    """(size, code, s, unlike): its length; its encoding's place; the three z-scores' sum of squares; how unlike language it
-    is."""
+    """(size, code, s, evidence): its length; its encoding's place; the three z-scores' sum of squares; the decimal logarithm of how many times
+    likelier it is by random choice than in ordinary text."""
     code = F.lit(len(ENCODINGS) - 1)
     for i, (pattern, _) in reversed(list(enumerate(ENCODINGS[:-1]))):
         code = F.when(token.rlike(pattern), F.lit(i)).otherwise(code)
     alphabet = lambda c: F.get(F.array(*[F.lit(a) for _, a in ENCODINGS]), c)
-    logs = F.array(*[F.lit(float(x)) for x in _LOGS])
-
-    def kind(p: Column) -> Column:
-        return F.when(p < 10, 0).when(p < 36, 1).when(p < 62, 2).otherwise(3)
+    number = lambda x: f"{float(x)!r}D"
+    array = lambda row: f"array({','.join(map(number, row))})"
+    tables = F.expr("array(" + ",".join(f"named_struct('classes', {array(c)}, 'shares', {array(w)}, 'turns', {array(t)})" for c, w, t in ordinary_text()) + ")")
 
     def tests(x: Column) -> Column:
-        v, kinds, k = x["v"], x["kinds"], x["k"].cast("double")
+        v, k = x["v"], x["k"].cast("double")
         n = F.size(v).cast("double")
         pairs = _sum(F.array_distinct(v), lambda c: F.pow(F.size(F.filter(v, lambda y: y == c)).cast("double"), F.lit(2.0)))
         mean = _sum(v, lambda y: y.cast("double")) / n
@@ -145,136 +151,46 @@ def battery(token: Column) -> Column:
             lag = _sum(v, lambda y, i: F.when(i > 0, (y - m) * (F.get(v, i - 1) - m)).otherwise(0.0))
             z_lag = F.when(square > 0, (lag / F.greatest(square, F.lit(1e-9)) + 1 / n) * F.sqrt(n)).otherwise(F.lit(9.0))
             s = F.pow(F.greatest(z_chi, F.lit(0.0)), F.lit(2.0)) + z_runs * z_runs + z_lag * z_lag
-            same = (pairs - n) / (n * (n - 1))
-            sd = F.sqrt(2 / (n * (n - 1)) * (2 * (n - 2) * (CUBES - COINCIDENCE**2) + COINCIDENCE * (1 - COINCIDENCE)))
-            changes = _sum(kinds, lambda y, i: F.when((i > 0) & (y != F.get(kinds, i - 1)), 1.0).otherwise(0.0))
-            z_changes = (changes - CHANGES * (n - 1)) / F.sqrt(CHANGES * (1 - CHANGES) * (n - 1))
-            likely = _sum(v, lambda y: F.get(logs, y)) / n
-            z = F.when(k == 26, (LIKELY - likely) * F.sqrt(n) / SPREAD).otherwise((z_changes - (same - COINCIDENCE) / sd) / np.sqrt(2))
-            return F.struct(F.size(v).alias("size"), x["code"].alias("code"), s.alias("s"), z.alias("unlike"))
+            return F.struct(F.size(v).alias("size"), x["code"].alias("code"), s.alias("s"), let(F.get(tables, x["code"]), ratio).alias("evidence"))
+
+        def ratio(t: Column) -> Column:
+            of = lambda i: F.get(t["classes"], F.get(v, i)).cast("int")
+            chance = lambda y, i: F.get(t["turns"], of(i - 1) * 6 + of(i)) * F.get(t["shares"], y)
+            return -_sum(v, lambda y, i: F.when(i > 0, F.log10(((1 - STRAY) * chance(y, i) + STRAY / k) * k)).otherwise(0.0))
 
         return let(mean, rest)
 
     def coded(c: Column) -> Column:
         chars = F.split(F.when(c == len(ENCODINGS) - 1, F.translate(token, "-_", "+/")).otherwise(token), "")
         v = let(alphabet(c), lambda a: F.transform(chars, lambda x: F.instr(a, x) - 1))
-        kinds = F.transform(F.split(token, ""), lambda x: kind(F.instr(F.lit(_ALPHABET), x) - 1))
-        return F.struct(v.alias("v"), kinds.alias("kinds"), F.length(alphabet(c)).alias("k"), c.alias("code"))
+        return F.struct(v.alias("v"), F.length(alphabet(c)).alias("k"), c.alias("code"))
 
     return let(code, lambda c: let(coded(c), tests))
 
 
-_LOGS = np.log(np.array(LETTERS) / sum(LETTERS))
 #: S of a random string is chi-squared with three degrees; its quantile by the cube-root rule at REJECT_RANDOM, 3.09 spreads up.
 MOST_S = 3 * (1 - 2 / 27 + 3.0902 * (2 / 27) ** 0.5) ** 3
 
 
-def battery_of(places: np.ndarray, code: int) -> tuple[np.ndarray, np.ndarray]:
-    """battery()'s s and unlike of many strings of one length and encoding; places: a row of places in _ALPHABET each."""
-    alphabet = ENCODINGS[code][1]
-    value = np.array([alphabet.find({"-": "+", "_": "/"}.get(c, c) if len(alphabet) == 64 else c) for c in _ALPHABET])
-    v, (rows, n), k = value[places], places.shape, len(alphabet)
-    pairs = (np.bincount((np.arange(rows)[:, None] * k + v).ravel(), minlength=rows * k).reshape(rows, k).astype(float) ** 2).sum(axis=1)
-    z_chi = (k / n * pairs - n - (k - 1)) / np.sqrt(2 * (k - 1) * (n - 1) / n)
-    up = v * 2 > k - 1
-    high = up.sum(axis=1)
-    both = 2.0 * high * (n - high)
-    spread = both * (both - n) / (n * n * (n - 1))
-    z_runs = np.where(spread > 0, ((up[:, 1:] != up[:, :-1]).sum(axis=1) - both / n) / np.sqrt(np.maximum(spread, 1e-9)), 9.0)
-    away = v - v.mean(axis=1, keepdims=True)
-    square = (away**2).sum(axis=1)
-    z_lag = np.where(square > 0, ((away[:, 1:] * away[:, :-1]).sum(axis=1) / np.maximum(square, 1e-9) + 1 / n) * np.sqrt(n), 9.0)
-    s = np.maximum(z_chi, 0) ** 2 + z_runs**2 + z_lag**2
-    if k == 26:
-        z = (LIKELY - _LOGS[v].mean(axis=1)) * np.sqrt(n) / SPREAD
-    else:
-        sd = np.sqrt(2 / (n * (n - 1)) * (2 * (n - 2) * (CUBES - COINCIDENCE**2) + COINCIDENCE * (1 - COINCIDENCE)))
-        kinds = np.digitize(places, [10, 36, 62])
-        changes = (kinds[:, 1:] != kinds[:, :-1]).sum(axis=1)
-        z = ((changes - CHANGES * (n - 1)) / np.sqrt(CHANGES * (1 - CHANGES) * (n - 1)) - ((pairs - n) / (n * (n - 1)) - COINCIDENCE) / sd) / np.sqrt(2)
-    return s, z
-
-
-def ordinary(code: int, rows: int, n: int, rng: np.random.Generator) -> np.ndarray:
-    """rows x n places in _ALPHABET of ordinary text in an encoding: words, in which vowels and consonants mostly take turns and
-    whose letters' frequencies differ from row to row as between languages, joined as identifiers, paths and constants
-    are; numbers of one to four digits in some places."""
-    shape, a_row = (rows, n), (rows, 1)
-    freq = np.array(LETTERS) * np.exp(0.5 * rng.normal(size=(rows, 26)))
-    vowel = np.isin(np.arange(26), [0, 4, 8, 14, 20])
-    turn = rng.uniform(size=shape)
-    is_vowel = np.zeros(shape, bool)
-    for i in range(1, n):
-        is_vowel[:, i] = turn[:, i] < np.where(is_vowel[:, i - 1], 0.12, 0.6)
-
-    def draw(mask: np.ndarray) -> np.ndarray:
-        up = np.cumsum(np.where(mask, freq, 0), axis=1)
-        x = rng.uniform(size=shape) * up[:, -1:]
-        return np.minimum((x[:, :, None] >= up[:, None, :]).sum(axis=2), 25)
-
-    letters = np.where(is_vowel, draw(vowel), draw(~vowel))
-    begins = np.zeros(shape, bool)
-    at = np.cumsum(2 + rng.poisson(4, (rows, n // 2)), axis=1)
-    which = np.broadcast_to(np.arange(rows)[:, None], at.shape)
-    begins[which[at < n], at[at < n]] = True
-    word = np.cumsum(begins, axis=1)
-    per_word = lambda x: np.take_along_axis(x, word, axis=1)
-    of_word = lambda share: per_word(rng.uniform(size=shape) < share)
-    low, capital, digits = letters + 10, letters + 36, rng.integers(0, 10, shape)
-    in_word = np.arange(n) - np.maximum.accumulate(np.where(begins, np.arange(n), 0), axis=1)
-    number = of_word(0.15) & (in_word < per_word(rng.integers(1, 5, shape)))
-    if code in (1, 2):  # numbers, rarely with a letter
-        return np.where(rng.uniform(size=shape) < 0.85, digits, letters % 6 + (10 if code == 1 else 36))
-    if code in (3, 4):
-        return low if code == 3 else capital
-    if code in (5, 6, 7):
-        return np.where(number, 2 + digits % 6 if code == 5 else digits, low if code == 6 else capital)
-    camel = np.where(of_word(0.1) | (begins & (rng.uniform(size=a_row) < 0.8)), capital, low)
-    if code == 8:
-        return np.where(number, digits, camel)
-    style, joint = rng.uniform(size=a_row), rng.choice([62, 63, 64, 65], a_row, p=[0.03, 0.27, 0.3, 0.4])
-    return np.where(begins, joint, np.where(number, digits, np.where(style < 0.25, capital, np.where(style < 0.75, low, camel))))
-
-
 @lru_cache(1)
-def null_table() -> list[list[tuple[float, list[float]]]]:
-    """By encoding and length: the least unlike, and the largest s at which the chance under ordinary text is at most
-    10 ** -(STEP * j), for j from 0. Digits alone are never random enough."""
-    rng = np.random.default_rng(7)
-    levels = np.arange(int(TOP / STEP) + 1) * STEP
-    never = (1e300, [1e300] + [-1.0] * (len(levels) - 1))
-    table = [[never] * len(LENGTHS)]
-    for code in range(1, len(ENCODINGS)):
-        text, row = ordinary(code, 1000, 200, rng), []
-        own = np.array([_ALPHABET.index(c) for c in ENCODINGS[code][1]])
-        for n in LENGTHS:
-            unlike = float(np.quantile(battery_of(own[rng.integers(0, len(own), (WRITTEN, n))], code)[1], MISSED))
-            # Strings begin anywhere in the text, so also within words.
-            places = text[rng.integers(0, len(text), WRITTEN)[:, None], rng.integers(0, text.shape[1] - n, WRITTEN)[:, None] + np.arange(n)]
-            s, z = battery_of(places, code)
-            s = np.sort(s[(s <= MOST_S) & (z >= unlike)])
-            known = min(len(s), 20)
-            # The chance near 0 goes as the volume of three z-scores: s ** 1.5.
-            least, share = (s[known - 1], known / WRITTEN) if known == 20 else (MOST_S, (known + 3) / WRITTEN)
-            beyond = least * (10.0**-levels / share) ** (1 / 1.5)
-            ranks = np.floor(10.0**-levels * WRITTEN).astype(int)
-            bound = [1e300 if r > len(s) or p >= share and known < 20 else s[r - 1] if r > known else b for b, r, p in zip(beyond, ranks, 10.0**-levels, strict=True)]
-            row.append((unlike, [float(x) for x in np.minimum.accumulate(bound)]))
-        table.append(row)
-    return table
+def ordinary_text() -> list[tuple[list[int], list[float], list[float]]]:
+    """By encoding: each character's class and its share of it, and the classes' turns, for classes that the encoding has."""
+    out = []
+    for _, chars in ENCODINGS:
+        of = [0 if c.isdigit() else 5 if not c.isalpha() else 1 + (c.lower() not in "aeiou") + 2 * c.isupper() for c in chars]
+        mass = [LETTERS[ord(c.lower()) - 97] if c.isalpha() else 1.0 for c in chars]
+        share = [m / sum(x for x, d in zip(mass, of, strict=True) if d == c) for m, c in zip(mass, of, strict=True)]
+        turns = HEX_TURNS if len(chars) == 16 else TURNS
+        rows = [[p if c in of else 0.0 for c, p in enumerate(row)] for row in turns]
+        out.append((of, share, [p / (sum(row) or 1.0) for row in rows for p in row]))
+    return out
 
 
 def candidates(text: Column) -> Column:
     """Array of (start, end, size, level): level steps of minus log10 of the p-value."""
-    number = lambda x: f"{float(x)!r}D"
-    array = lambda parts: f"array({','.join(parts)})"
-    bounds = F.expr(array(array(array(map(number, row)) for _, row in rows) for rows in null_table()))
-    least = F.expr(array(array(number(u) for u, _ in rows) for rows in null_table()))
-
     def levelled(m: Column, b: Column) -> Column:
-        bucket = F.size(F.filter(F.array(*map(F.lit, LENGTHS)), lambda n: n <= b["size"])) - 1
-        good = (b["s"] <= MOST_S) & (b["unlike"] >= F.get(F.get(least, b["code"]), bucket))
-        reached = F.size(F.filter(F.get(F.get(bounds, b["code"]), bucket), lambda t: b["s"] <= t)) - 1
+        good = (b["s"] <= MOST_S) & (b["code"] > 0)
+        reached = F.least(F.floor(b["evidence"] / STEP), F.lit(int(TOP / STEP))).cast("int")
         return F.struct(m["start"].alias("start"), m["end"].alias("end"), b["size"].alias("size"), F.when(good, F.greatest(reached, F.lit(0))).otherwise(0).alias("level"))
 
     return F.transform(matches(text, CANDIDATE), lambda m: let(battery(m["value"]), lambda b: levelled(m, b)))
@@ -296,7 +212,7 @@ def scanned(docs: DataFrame, text: Column) -> DataFrame:
 
 def evidence_needed(scan: DataFrame, fdr: float = FDR) -> tuple[float, float]:
     """scan: secret_random. (t, m): a candidate is random text if its evidence, minus log10 p, plus log10(weight / m) is t at
-    least; weighted Benjamini-Hochberg over all candidates of the corpus. The histogram has at most 45 x 25 rows."""
+    least; weighted Benjamini-Hochberg over all candidates of the corpus. The histogram has at most 45 x 49 rows."""
     found = scan.select(F.explode("secret_random").alias("c"))
     rows = found.groupBy(F.least("c.size", F.lit(LONGEST)).alias("size"), "c.level").agg(F.count("*").alias("n")).collect()
     if not rows:
