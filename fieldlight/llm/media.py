@@ -24,6 +24,7 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -58,6 +59,28 @@ def png(pixels: bytes, width: int = BLOCK) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + _chunk(b"IHDR", header) + _chunk(b"IDAT", zlib.compress(rows, 1)) + _chunk(b"IEND", b"")
 
 
+#: Bytes between running checksums; chunks of more than so many take theirs from two of those.
+RUNNING, DIRECT = 1 << 12, 1 << 16
+_ALL = 0xFFFFFFFF
+
+
+@lru_cache(64)
+def _zeros(k: int) -> tuple[int, ...]:
+    """What becomes of each bit of a checksum's register over 2 ** k zero bytes; all else follows from these, as the checksum is linear."""
+    if not k:
+        return tuple(zlib.crc32(b"\0", 1 << bit ^ _ALL) ^ _ALL for bit in range(32))
+    half = _zeros(k - 1)
+    return tuple(_through(half, x) for x in half)
+
+
+def _through(images: tuple[int, ...], register: int) -> int:
+    out = 0
+    for bit in range(register.bit_length()):
+        if register >> bit & 1:
+            out ^= images[bit]
+    return out
+
+
 class Places:
     """Where markers stand in a file, found once per file, so that many magic bytes do not search it again and again."""
 
@@ -65,6 +88,23 @@ class Places:
         self.b, self.found, self.zips = b, {}, None
         #: Where chains of pages or boxes lead to no file, so that none is walked twice.
         self.vain: set[int] = set()
+        #: Of a chain's segments, where the file ends to which they lead, or -1.
+        self.segments: dict[int, int] = {}
+        self.sums: list[int] = []
+
+    def checksum(self, i: int, j: int) -> int:
+        """crc32 of the bytes from i to j. Long ones come from running checksums, so that nested chunks do not read the file again and again."""
+        if j - i <= DIRECT:
+            return zlib.crc32(memoryview(self.b)[i:j])
+        if not self.sums:
+            self.sums = [0]
+            for at in range(0, len(self.b), RUNNING):
+                self.sums.append(zlib.crc32(memoryview(self.b)[at : at + RUNNING], self.sums[-1]))
+        before, upto = (zlib.crc32(memoryview(self.b)[k - k % RUNNING : k], self.sums[k // RUNNING]) for k in (i, j))
+        for k in range((j - i).bit_length()):
+            if j - i >> k & 1:
+                before = _through(_zeros(k), before)
+        return before ^ upto
 
     def of(self, marker: bytes) -> list[int]:
         if marker not in self.found:
@@ -117,13 +157,13 @@ def _png_rows(header: tuple[int, ...], packed: list[bytes]) -> bytes | None:
     return b"".join(out) if d.eof and (laced or held == size) else None
 
 
-def _png_parts(b: bytes, at: int) -> tuple[int, tuple[int, ...], list[bytes]] | None:
+def _png_parts(b: bytes, at: int, places: Places) -> tuple[int, tuple[int, ...], list[bytes]] | None:
     """(length, header, packed data) of a PNG with sound chunks."""
-    i, header, packed, whole = at + 8, None, [], memoryview(b)
+    i, header, packed = at + 8, None, []
     while i + 12 <= len(b):
         n, kind = struct.unpack_from(">I4s", b, i)
         end = i + 12 + n
-        if end > len(b) or (header is None) != (kind == b"IHDR") or zlib.crc32(whole[i + 4 : end - 4]) != struct.unpack_from(">I", b, end - 4)[0]:
+        if end > len(b) or (header is None) != (kind == b"IHDR") or places.checksum(i + 4, end - 4) != struct.unpack_from(">I", b, end - 4)[0]:
             return None
         if kind == b"IHDR":
             if n != 13:
@@ -138,7 +178,7 @@ def _png_parts(b: bytes, at: int) -> tuple[int, tuple[int, ...], list[bytes]] |
 
 
 def _png_end(b: bytes, at: int, places: Places) -> int:
-    parts = _png_parts(b, at)
+    parts = _png_parts(b, at, places)
     return parts[0] if parts and _png_rows(*parts[1:]) is not None else 0
 
 
@@ -178,16 +218,23 @@ def _gif_end(b: bytes, at: int, places: Places) -> int:
 
 
 def _jpeg_end(b: bytes, at: int, places: Places) -> int:
-    i = at + 2
-    while i + 4 <= len(b) and b[i] == 0xFF:
+    """Segments, one after another, up to the entropy-coded data and the end marker behind it. A segment is walked once, whatever
+    starts lead to it."""
+    i, seen, end = at + 2, [], -1
+    while i + 4 <= len(b) and b[i] == 0xFF and i not in places.segments:
         kind, n = b[i + 1], struct.unpack_from(">H", b, i + 2)[0]
+        seen.append(i)
         if n < 2:
-            return 0
+            break
         i += 2 + n
-        if kind == 0xDA:  # entropy-coded data up to the end marker
-            end = places.next(b"\xff\xd9", i)
-            return end + 2 - at if end >= 0 else 0
-    return 0
+        if kind == 0xDA:
+            last = places.next(b"\xff\xd9", i)
+            end = last + 2 if last >= 0 else -1
+            break
+    else:
+        end = places.segments.get(i, -1)
+    places.segments.update(dict.fromkeys(seen, end))
+    return end - at if end >= 0 else 0
 
 
 def _bmp_end(b: bytes, at: int, places: Places) -> int:
@@ -372,7 +419,7 @@ def read_back(b: bytes, kind: str) -> bytes | None:
             if b[i : i + 4] == b"data":
                 return b[i + 8 : i + 8 + n] if i + 8 + n <= len(b) else None
             i += 8 + n + n % 2
-    if kind == "image/png" and (parts := _png_parts(b, 0)):
+    if kind == "image/png" and (parts := _png_parts(b, 0, Places(b))):
         _, header, packed = parts
         rows = _png_rows(header, packed) if header[2:] == (8, 0, 0, 0, 0) else None
         if rows and not any(rows[:: header[0] + 1]):

@@ -80,6 +80,32 @@ def test_many_magic_bytes_cost_little():
         blob, start = piece * 8000, time.perf_counter()
         media.sniff(blob)
         assert time.perf_counter() - start < 1.5, piece
+    n, head = 16_000, struct.pack(">IIBBBBB", 1, 1, 8, 0, 0, 0, 0)
+    header = struct.pack(">I", 13) + b"IHDR" + head + struct.pack(">I", zlib.crc32(b"IHDR" + head))
+    nested = b"".join(b"\x89PNG\r\n\x1a\n" + header + struct.pack(">I", (n - k - 1) * 41) + b"IDAT" for k in range(n)) + b"abcd"
+    for blob in (b"\xff\xd8\xff\xe0\0\4" * n, b"\xff\xd8\xff\xe0\0\4" * n + b"\xff\xda\0\2", nested):
+        start = time.perf_counter()
+        media.sniff(blob)
+        assert time.perf_counter() - start < 1.5, blob[:4]
+
+
+def test_checksums_from_running_ones(monkeypatch):
+    monkeypatch.setattr(media, "DIRECT", 100)
+    monkeypatch.setattr(media, "RUNNING", 64)
+    rng = random.Random(8)
+    b = rng.randbytes(5000)
+    places = media.Places(b)
+    for _ in range(300):
+        i, j = sorted((rng.randrange(5001), rng.randrange(5001)))
+        assert places.checksum(i, j) == zlib.crc32(b[i:j])
+
+
+def test_jpeg_starts_that_share_segments():
+    inner = b"\xff\xd8" + b"\xff\xe0\0\4ab" + b"\xff\xda\0\2" + b"data\xff\xd9"
+    outer = b"\xff\xd8" + b"\xff\xe1" + struct.pack(">H", 2 + len(inner)) + inner + b"\xff\xda\0\2more\xff\xd9"
+    assert media.sniff(outer + b"--" + inner) == [(0, len(outer), "image/jpeg"), (len(outer) + 2, len(inner), "image/jpeg")]
+    broken = b"\xff\xd8\xff\xe0\0\1" + inner
+    assert media.sniff(broken) == [(6, len(inner), "image/jpeg")]
 
 
 def test_containers():
