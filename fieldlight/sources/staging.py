@@ -1,7 +1,8 @@
 """Tables between the steps of a job, in the folder that all executors share.
 
-They lie in a folder per application there. A table may be read for as long as any result of the application is, so
-nothing is removed while it runs; once it has ended, whoever runs the cluster removes its folder."""
+They lie in a folder per application there. A table may be read for as long as any result of the application is, so nothing is removed by
+itself; once it has ended, whoever runs the cluster removes its folder. In a long session, scope() removes what was made inside it, and
+the writers do so with what only they have read."""
 
 from __future__ import annotations
 
@@ -9,6 +10,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,9 +31,35 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Paths made in the innermost open scope.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder."""
-    return f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    if (paths := _made.get()) is not None:
+        paths.append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Removes a folder or file, on whatever store it lies; none is no error."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Scratch tables made inside are removed at its end, so results that read them must have been written by then."""
+    paths: list[str] = []
+    token = _made.set(paths)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in paths:
+            remove(spark, path)
 
 
 def cut(df: DataFrame, name: str) -> DataFrame:

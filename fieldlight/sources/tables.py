@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlight.operators.scenes import COLLECTIONS, in_collections
-from fieldlight.sources.staging import cut
+from fieldlight.sources.staging import cut, remove, scope
 
 #: One row per scene; properties and assets stay JSON text until an operator asks for a field.
 ITEMS = T.StructType(
@@ -54,15 +54,16 @@ def replace_folders(rows: DataFrame, path: str, folders: list[str]) -> None:
 def upsert(rows: DataFrame, path: str, folders: list[str], keys: list[str], sort: list[str], split: Column | None = None) -> None:
     """rows are added to the table at path, in the place of those with the same keys (within a folder). sort: order of a file's rows; split:
     by which a folder's rows are dealt to files beside the keys' hash."""
-    rows = cut(rows, "new-rows")
-    there = stored(rows.sparkSession, path, rows.schema)
-    # Only the touched folders are read: their names prune the scan as the join runs.
-    touched = rows.select(*folders).distinct()
-    rest = there.join(touched, folders, "left_semi").join(rows.select(*folders, *keys).distinct(), [*folders, *keys], "left_anti")
-    # Written before the folders it is read from are replaced.
-    merged = cut(rows.unionByName(rest), "merged")
-    dealt = merged.repartition(*folders, *([F.col(keys[0])] if split is None else [split]))
-    replace_folders(dealt.sortWithinPartitions(*folders, *sort), path, folders)
+    with scope(rows.sparkSession):
+        rows = cut(rows, "new-rows")
+        there = stored(rows.sparkSession, path, rows.schema)
+        # Only the touched folders are read: their names prune the scan as the join runs.
+        touched = rows.select(*folders).distinct()
+        rest = there.join(touched, folders, "left_semi").join(rows.select(*folders, *keys).distinct(), [*folders, *keys], "left_anti")
+        # Written before the folders it is read from are replaced.
+        merged = cut(rows.unionByName(rest), "merged")
+        dealt = merged.repartition(*folders, *([F.col(keys[0])] if split is None else [split]))
+        replace_folders(dealt.sortWithinPartitions(*folders, *sort), path, folders)
 
 
 # --- scene catalogues
@@ -128,26 +129,17 @@ def by_days(rows: DataFrame) -> DataFrame:
 def merge_catalog(items: DataFrame, path: str) -> None:
     """Adds items (CATALOG columns) to the catalogue at path, of which it keeps the newest version of each scene. Of the old files only the
     folders are read whole that hold one of the new scenes or are to hold it; the others stay as they are."""
-    rows = cut(newest(items.where("scene_id is not null").select(*CATALOG.fieldNames())), "new-items")
-    there = stored(rows.sparkSession, path, CATALOG)
-    # A scene whose time has changed moves to another folder.
-    moved = there.select("scene_id", "month").join(rows.select("scene_id"), "scene_id", "left_semi").select("month")
-    touched = cut(rows.select("month").union(moved).distinct(), "touched")
-    merged = cut(newest(rows.unionByName(there.join(touched, "month", "left_semi"))), "merged")
-    dealt = by_days(merged)
-    replace_folders(dealt, path, ["month"])
-    # A folder that has lost its last scene is not among the rows.
-    left = [r["month"] for r in touched.join(merged.select("month").distinct(), "month", "left_anti").collect()]
-    if left:
-        empty_folders(rows.sparkSession, path, left)
-
-
-def empty_folders(spark: SparkSession, path: str, months: list[str]) -> None:
-    """Removes folders of a catalogue by month; only those that scenes have left, a few names."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for month in months:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
-        folder.getFileSystem(conf).delete(folder, True)
+    with scope(items.sparkSession):
+        rows = cut(newest(items.where("scene_id is not null").select(*CATALOG.fieldNames())), "new-items")
+        there = stored(rows.sparkSession, path, CATALOG)
+        # A scene whose time has changed moves to another folder.
+        moved = there.select("scene_id", "month").join(rows.select("scene_id"), "scene_id", "left_semi").select("month")
+        touched = cut(rows.select("month").union(moved).distinct(), "touched")
+        merged = cut(newest(rows.unionByName(there.join(touched, "month", "left_semi"))), "merged")
+        replace_folders(by_days(merged), path, ["month"])
+        # A folder that has lost its last scene is not among the rows; there are few, if any.
+        for left in touched.join(merged.select("month").distinct(), "month", "left_anti").collect():
+            remove(rows.sparkSession, f"{path}/month={left['month']}")
 
 
 def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -216,9 +208,10 @@ def write_blocks(blocks: DataFrame, path: str, cell: int = 1, group_bytes: int =
     place = z_order(F.expr(f"row0 div {cell}"), F.expr(f"col0 div {cell}"))
     rows = blocks.withColumns({"row1": F.col("row0") + F.col("h"), "col1": F.col("col0") + F.col("w"), "z": place, "values": F.col("values").cast("array<float>")})
     rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in T.StructType.fromDDL(BLOCKS)])
-    # Written out before it is sorted by range, which reads it twice.
-    dealt = cut(rows, "blocks").repartitionByRange("raster_id", "z").sortWithinPartitions("raster_id", "z", "band")
-    dealt.write.mode("overwrite").option("parquet.block.size", group_bytes).option("parquet.page.size", min(group_bytes, 64 << 10)).option("parquet.page.size.row.check.min", 10).parquet(path)
+    with scope(rows.sparkSession):
+        # Written out before it is sorted by range, which reads it twice.
+        dealt = cut(rows, "blocks").repartitionByRange("raster_id", "z").sortWithinPartitions("raster_id", "z", "band")
+        dealt.write.mode("overwrite").option("parquet.block.size", group_bytes).option("parquet.page.size", min(group_bytes, 64 << 10)).option("parquet.page.size.row.check.min", 10).parquet(path)
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:

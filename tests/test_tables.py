@@ -2,6 +2,7 @@
 
 import datetime as dt
 import glob
+import os
 import random
 import re
 
@@ -10,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fieldlight.operators import raster, scenes, summary
-from fieldlight.sources import tables
+from fieldlight.sources import staging, tables
 
 ITEM = (
     '{"type":"Feature","id":"S2A_MSIL2A_20250731T110651_R137_T30STJ_20250731T163616","collection":"sentinel-2-l2a","bbox":[-5.1,36.9,-3.9,37.9],'
@@ -164,6 +165,26 @@ def test_z_order(spark):
     assert all(x.z == z(x.r, x.c) for x in got)
 
 
+def test_scopes_remove_what_they_made(spark):
+    here = lambda p: os.path.isdir(p.removeprefix("file://"))
+    outer = staging.scratch(spark, "outer")
+    spark.range(3).write.parquet(outer)
+    with staging.scope(spark):
+        first = staging.cut(spark.range(5), "first")
+        with staging.scope(spark):
+            inner = staging.scratch(spark, "inner")
+            spark.range(3).write.parquet(inner)
+        path = first.inputFiles()[0]
+        assert not here(inner) and os.path.exists(path.removeprefix("file://")) and first.count() == 5
+        staging.scratch(spark, "never written")
+    assert not os.path.exists(path.removeprefix("file://")) and here(outer)
+    with pytest.raises(ValueError), staging.scope(spark):
+        lost = staging.scratch(spark, "lost")
+        spark.range(1).write.parquet(lost)
+        raise ValueError
+    assert not here(lost)
+
+
 # --- pairing and crops of any tiling
 
 
