@@ -24,6 +24,7 @@ import hashlib
 import json
 import os
 import re
+import uuid
 from array import array
 from collections import Counter
 from collections.abc import Iterator
@@ -43,7 +44,7 @@ SHARDS, FAN = 64, 16
 #: Bytes of keys, counts and marks that are sent to every executor, and to the driver, at most.
 MOST_SENT = 64 << 20
 #: Segments, and characters of them, that a Python worker keeps; pairs that a task counts before it hands them out.
-KEPT, CHARACTERS, COUNTED = 400_000, 8 << 20, 500_000
+KEPT, CHARACTERS, COUNTED = 600_000, 10 << 20, 500_000
 #: Slots per key of a bit level; levels; what is left then is kept in order.
 LOAD, LEVELS = 2, 24
 #: The piece tokenizer's mark for a space.
@@ -79,6 +80,7 @@ class Aligner:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if re.fullmatch("<0x[0-9A-F]{2}>", p) else p.replace(MARK, " ").encode() for p in pieces]
         self.length_a, self.length_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
+        self.numbers = list(map(str, range(max(len(self.bytes_a), len(self.bytes_b)))))
         self.with_groups = with_groups
         self.fast_a = self._ranks(special, path_a)
         # Pieces that go on behind a mark would let B merge over segments.
@@ -112,6 +114,7 @@ class Aligner:
         self.ok: list[bool] = []
         self.groups: list[str] = []
         self.sizes, self.links, self.first = np.zeros((0, 3), np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
+        self.stats, self.stats_of = np.zeros((0, 6), np.int64), ""
 
     def ids_a(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.a.encode_batch(texts, add_special_tokens=False)]
@@ -134,8 +137,9 @@ class Aligner:
         """segments lie one after another in bounds, bytes' ends that are tokens' ends in both; a, b: the ids of all of them. Those that are not ok
         have none and no bytes."""
         ends_a, ends_b = np.cumsum(self.length_a[a]), np.cumsum(self.length_b[b])
-        cuts = np.intersect1d(ends_a, ends_b, assume_unique=True)
-        to_a, to_b = np.searchsorted(ends_a, cuts) + 1, np.searchsorted(ends_b, cuts) + 1
+        near = np.searchsorted(ends_b, ends_a)
+        met = np.flatnonzero(ends_b[np.minimum(near, len(b) - 1)] == ends_a) if len(b) else np.zeros(0, np.int64)
+        cuts, to_a, to_b = ends_a[met], met + 1, near[met] + 1
         # No token is empty, so one pair of tokens ends at each cut.
         links = (a[to_a - 1] << 32) | b[to_b - 1]
         at = np.searchsorted(cuts, bounds, "right")
@@ -148,10 +152,12 @@ class Aligner:
         self.first = np.concatenate([self.first, self.first[-1] + at])
         self.links = np.concatenate([self.links, links])
         if self.with_groups:
-            text_a, text_b = list(map(str, a.tolist())), list(map(str, b.tolist()))
-            from_a, from_b = np.concatenate([[0], to_a[:-1]]), np.concatenate([[0], to_b[:-1]])
-            shown = [f"{','.join(text_a[i:k])}|{','.join(text_b[j:m])}" for i, k, j, m in zip(from_a.tolist(), to_a.tolist(), from_b.tolist(), to_b.tolist(), strict=True)]
-            self.groups += [";".join(shown[i:k]) for i, k in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)]
+            text_a, text_b = (list(map(self.numbers.__getitem__, x.tolist())) for x in (a, b))
+            shown, i, j = [], 0, 0
+            for k, m in zip(to_a.tolist(), to_b.tolist(), strict=True):
+                shown.append(f"{text_a[i]}|{text_b[j]}" if k - i == m - j == 1 else f"{','.join(text_a[i:k])}|{','.join(text_b[j:m])}")
+                i, j = k, m
+            self.groups += [shown[i] if k - i == 1 else ";".join(shown[i:k]) for i, k in zip([0, *at[:-1].tolist()], at.tolist(), strict=True)]
 
     def _learn_apart(self, segments: list[str]) -> None:
         """Each by itself."""
@@ -179,8 +185,9 @@ class Aligner:
                 left += c
         text = "".join(good)
         a, b = np.array(self.fast_a.encode_ordinary(text), np.int64), np.array(ids_b, np.int64)
-        bounds = np.cumsum([len(s.encode()) for s in good]) if good else np.zeros(0, np.int64)
-        apart = np.isin(bounds, np.cumsum(self.length_a[a])).all() and np.isin(bounds, np.cumsum(self.length_b[b])).all()
+        bounds = np.cumsum(np.fromiter(map(len, map(str.encode, good)), np.int64, len(good)))
+        among = lambda ends: not len(bounds) or (len(ends) and (ends[np.minimum(np.searchsorted(ends, bounds), len(ends) - 1)] == bounds).all())
+        apart = among(np.cumsum(self.length_a[a])) and among(np.cumsum(self.length_b[b]))
         if not apart or b"".join(map(self.bytes_a.__getitem__, a.tolist())) != text.encode():
             return segments
         self._add(good, [True] * len(good), a, b, bounds)
@@ -468,17 +475,15 @@ def _digest(tool: Aligner, places: list[int]) -> str:
 def looked_up(docs: DataFrame, table: DataFrame, paths: tuple[str, str]) -> DataFrame:
     """doc_id and DIGEST by the table sent to all executors."""
     sent = docs.sparkSession.sparkContext.broadcast([r.asDict() for r in table.collect()])  # MOST_SENT bytes at most
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind, job = docs.schema["doc_id"].dataType.simpleString(), uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool, table = aligner(paths, True), Lookup(sent.value)
-        tool.forget()
-        stats = np.zeros((0, 6), np.int64)
         for batch in slices(batches, "text"):
             places = tool.places(batch.column(1).to_pylist())
-            if len(tool.ok) < len(stats):
-                stats = stats[:0]
-            done = len(stats)
+            if tool.stats_of != job:  # of other counts
+                tool.stats, tool.stats_of = tool.stats[:0], job
+            done = len(tool.stats)
             if len(tool.ok) > done:
                 pairs, n = tool.links[tool.first[done] :], np.diff(tool.first[done:])
                 counts = table.counts_of(pairs)
@@ -487,8 +492,8 @@ def looked_up(docs: DataFrame, table: DataFrame, paths: tuple[str, str]) -> Data
                 more[:, :3], more[:, 3] = tool.sizes[done:], n
                 more[:, 4] = np.bincount(each[best], minlength=len(n))
                 np.add.at(more[:, 5], each, counts)
-                stats = np.concatenate([stats, more])
-            sums = _sums(tool, places, stats)
+                tool.stats = np.concatenate([tool.stats, more])
+            sums = _sums(tool, places, tool.stats)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(sums[:, c]) for c in range(6)), pa.array([_digest(tool, p) for p in places], pa.string())], names=["doc_id", *(x.split()[0] for x in DIGEST.split(", "))])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {DIGEST}")
