@@ -46,6 +46,16 @@ def stored(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFr
         return spark.createDataFrame([], schema)
 
 
+def stored_columns(spark: SparkSession, path: str) -> list[str]:
+    """Columns of the table at path, none if there is none yet."""
+    try:
+        return spark.read.parquet(path).columns
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return []
+
+
 def replace_folders(rows: DataFrame, path: str, folders: list[str]) -> None:
     """Writes the folders that rows belong to, whole, and no other."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
@@ -57,6 +67,8 @@ def upsert(rows: DataFrame, path: str, folders: list[str], keys: list[str], sort
     with scope(rows.sparkSession):
         rows = cut(rows, "new-rows")
         there = stored(rows.sparkSession, path, rows.schema)
+        if lost := set(stored_columns(rows.sparkSession, path)) - set(rows.columns):
+            raise ValueError(f"the stored table has columns that the new rows lack: {sorted(lost)}")
         # Only the touched folders are read: their names prune the scan as the join runs.
         touched = rows.select(*folders).distinct()
         rest = there.join(touched, folders, "left_semi").join(rows.select(*folders, *keys).distinct(), [*folders, *keys], "left_anti")

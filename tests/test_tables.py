@@ -116,6 +116,8 @@ def test_summaries_by_scene_and_window(spark, tmp_path):
         tables.write_summary(spark.createDataFrame(part, "raster_id long, n_valid long"), plain)
     got = {r.raster_id: r.n_valid for r in tables.read_summary(spark, plain, "raster_id long, n_valid long").collect()}
     assert got == {k: k if k < 25 else -k for k in range(75)}
+    with pytest.raises(ValueError, match="n_valid"):
+        tables.write_summary(spark.createDataFrame([(1,)], "raster_id long"), plain)
 
 
 def test_window_skips_row_groups(spark, tmp_path, capsys):
