@@ -142,10 +142,10 @@ def merge_catalog(items: DataFrame, path: str) -> None:
     """Adds items (CATALOG columns) to the catalogue at path, of which it keeps the newest version of each scene. Of the old files only the
     folders are read whole that hold one of the new scenes or are to hold it; the others stay as they are."""
     with scope(items.sparkSession):
-        rows = cut(newest(items.where("scene_id is not null").select(*CATALOG.fieldNames())), "new-items")
+        rows = cut(items.where("scene_id is not null").select(*CATALOG.fieldNames()), "new-items")
         there = stored(rows.sparkSession, path, CATALOG)
         # A scene whose time has changed moves to another folder.
-        moved = there.select("scene_id", "month").join(rows.select("scene_id"), "scene_id", "left_semi").select("month")
+        moved = there.select("scene_id", "month").join(rows.select("scene_id").distinct(), "scene_id", "left_semi").select("month")
         touched = cut(rows.select("month").union(moved).distinct(), "touched")
         merged = cut(newest(rows.unionByName(there.join(touched, "month", "left_semi"))), "merged")
         replace_folders(by_days(merged), path, ["month"])
