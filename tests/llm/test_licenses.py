@@ -125,3 +125,62 @@ def test_rare_words_weigh(spark):
     known = sum(idf(w) ** 2 for w in ("copyright", "all", "rights", "reserved"))
     assert got["a/f"] == got["b/f"] == (None, None)
     assert got["c/f"][0] == "proprietary" and abs(got["c/f"][1] - math.sqrt(known / (known + idf("wanda") ** 2))) < 1e-6
+
+
+def gnu(what, name, version):
+    return f"{what}; you can redistribute it and/or modify it under the terms of the GNU {name}General Public License as published by the Free Software Foundation; either version {version} of the License, or (at your option) any later version."
+
+
+BSD_2 = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+BSD_3 = BSD_2 + "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+ISC = "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."
+PUBLIC = "This is free and unencumbered software released into the public domain."
+CC = "This work is licensed under a Creative Commons Attribution{} {} International License."
+
+
+def test_relatives_are_told_apart(spark):
+    cases = [
+        ("GPL-2.0", gnu("This program is free software", "", "2")),
+        ("GPL-3.0", gnu("This program is free software", "", "3")),
+        ("AGPL-3.0", gnu("This program is free software", "Affero ", "3")),
+        ("LGPL-2.1", gnu("This library is free software", "Lesser ", "2.1")),
+        ("LGPL-2.0", gnu("This library is free software", "Library ", "2")),
+        ("BSD-2-Clause", BSD_2),
+        ("BSD-3-Clause", BSD_3),
+        ("ISC", ISC),
+        ("Unlicense", PUBLIC),
+        ("CC-BY-ND-4.0", CC.format("-NoDerivatives", "4.0")),
+        ("CC-BY-3.0", CC.format("", "3.0")),
+        ("CC-BY-NC-SA-2.5", CC.format("-NonCommercial-ShareAlike", "2.5")),
+        ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+        (None, "This work is licensed under the GNU General Public License."),
+        ("BSD-2-Clause", "SPDX-License-Identifier: BSD-2-Clause"),
+        ("GPL-2.0", "// SPDX-License-Identifier: GPL-2.0-only\nint x;"),
+        ("AGPL-3.0", "/* SPDX-License-Identifier: AGPL-3.0 */"),
+        ("GPL-2.0 OR MIT", "x\n# SPDX-License-Identifier: (GPL-2.0+ OR MIT)\ny"),
+        ("GPL-2.0 WITH Classpath-exception-2.0", "SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0."),
+        ("MIT", "SPDX-License-Identifier:\nMIT or so"),
+        ("MIT", "spdx-license-identifier: mit"),
+    ]
+    texts = {}
+    for i, (want, t) in enumerate(cases):
+        texts[f"p{i}/f"] = (want, t)
+        if "SPDX" not in t:
+            texts[f"w{i}/f"] = (want, "\n".join(" * " + x for x in textwrap.wrap(t, 56)))
+    df = spark.createDataFrame([(p, t) for p, (_, t) in texts.items()], "path string, text string")
+    got = {r.path: r.licence for r in L.scan(df).collect()}
+    assert {p: (got[p], t) for p, (want, t) in texts.items() if got[p] != want} == {}
+
+
+def test_notices_in_overlong_lines(spark):
+    words = " ".join(f"w{i % 30_000}" for i in range(50_000))
+    apache = L.TEMPLATES[1][1]
+    texts = {"a/f": f"{words}. {apache} {words}", "b/f": f"var x=1;/*! Released under the MIT License. */ {words}", "c/f": f"{words} {words}", "d/f": f"{words}; {gnu('This program is free software', '', '2')} {words}"}
+    df = spark.createDataFrame(list(texts.items()), "path string, text string")
+    start = time.perf_counter()
+    got = {r.path: r.licence for r in L.scan(df).collect()}
+    assert got == {"a/f": "Apache-2.0", "b/f": "MIT", "c/f": None, "d/f": "GPL-2.0"} and time.perf_counter() - start < 60
