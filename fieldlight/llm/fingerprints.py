@@ -18,10 +18,12 @@ than doc_id and text play no part, whatever their names.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fieldlight.llm.common import SPACE, documents
+from fieldlight.llm.common import SPACE, cut, documents
 from fieldlight.llm.secrets import let
 
 WORDS, BINS, BITS = 5, 256, 4
@@ -36,6 +38,8 @@ _ATTEMPTS = ((1, 8), (9, 64), (65, 256))
 #: Rows of a bucket of neighbouring ids, and buckets at most: their first ids travel in the plan. From 200 million rows on
 #: buckets grow; a bucket is sorted by a window, which spills, so it need not fit in memory.
 BUCKET, BUCKETS = 2000, 100_000
+#: Where rows without id stand.
+_LAST = (1 << 63) - 1
 
 
 def shingles(text: Column, n: int = WORDS) -> Column:
@@ -99,14 +103,16 @@ def as_text(a: Column) -> Column:
     return F.array_join(F.transform(a, lambda x: F.lpad(F.hex(x), 16, "0")), "")
 
 
-def buckets(ids: DataFrame) -> list[int]:
-    """Ascending ids that begin buckets of about BUCKET rows; BUCKETS at most. The first is the least id."""
+def buckets(ids: DataFrame) -> tuple[list[int], dict[int, int]]:
+    """Ascending ids that begin buckets of about BUCKET rows, BUCKETS at most, of which the first is the least id; and the hot
+    ids, which fill several buckets alone, with how many. A hot id's successor begins a bucket too."""
     n = ids.count()
     if not n:
-        return []
+        return [], {}
     k = min(BUCKETS, -(-n // BUCKET))
     row = ids.agg(F.min("_order"), F.percentile_approx("_order", [i / k for i in range(k)], min(20 * k, 400_000))).first()
-    return sorted({row[0], *row[1]})
+    hot = {x: c for x, c in Counter(row[1]).items() if c > 2}
+    return sorted({row[0], *row[1], *(x + 1 for x in hot if x < _LAST)}), hot
 
 
 def bucket_of(order: Column, firsts: list[int]) -> Column:
@@ -122,10 +128,14 @@ def bucket_of(order: Column, firsts: list[int]) -> Column:
 def with_next(docs: DataFrame) -> DataFrame:
     """docs (doc_id, text) with next_text, the text after by ascending id (null ids last; after the last
     the first), and with what a window over neighbours needs: _bucket, _copy, _order, _tie. Rows are
-    dealt by ranges of ids; a range's first row also goes to the range before it, as a copy."""
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)).alias("_order"))
-    firsts = buckets(rows.select("_order")) or [0]
+    dealt by ranges of ids; a range's first row also goes to the range before it, as a copy. The rows of a hot id, or those without
+    id, are dealt by ranges of _tie as well, and equal ones of them in turn."""
+    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_order"))
+    firsts, hot = buckets(rows.select("_order"))
+    firsts = firsts or [0]
     own = bucket_of(F.col("_order"), firsts)
+    if hot:
+        return with_next_of_hot(rows.withColumn("_own", own), hot)
     begins = F.col("_order").isin(firsts) if len(firsts) < 100 else F.get(F.transform(F.array(own), lambda b: F.get(F.lit(firsts).cast("array<bigint>"), b)), F.lit(0)) == F.col("_order")
     place = lambda b, copy: F.struct(b.alias("bucket"), F.lit(copy).alias("copy"))
     places = F.when(begins, F.array(place(own, 0), place(F.pmod(own - 1, F.lit(len(firsts))), 1))).otherwise(F.array(place(own, 0)))
@@ -133,6 +143,34 @@ def with_next(docs: DataFrame) -> DataFrame:
     return dealt.withColumn("_tie", F.xxhash64("text")).withColumn("next_text", F.lead("text").over(neighbours()))
 
 
+def with_next_of_hot(rows: DataFrame, hot: dict[int, int]) -> DataFrame:
+    """with_next where ids are hot; rows: doc_id, text, _order, _own. A bucket is (place, turn): the place is a range of ids, or
+    of a hot id's ties. Rows of one id and text, if they are many, take turns; each is followed by its equal, but for the last of
+    turn 0, which is followed by the next place's first row."""
+    spark = rows.sparkSession
+    pieces = F.broadcast(spark.createDataFrame(list(hot.items()), "_order long, _pieces int"))  # BUCKETS / 3 rows at most
+    share = F.xxhash64("text") / F.lit(2.0**64) + 0.5
+    piece = F.coalesce(F.least(F.floor(share * F.col("_pieces")).cast("int"), F.col("_pieces") - 1), F.lit(0))
+    tied = rows.join(pieces, "_order", "left").select("doc_id", "text", "_order", "_own", "_pieces", piece.alias("_piece"), F.xxhash64("text").alias("_tie"))
+    # Rows outside the hot ids are alone in their ranges; only their ids tell which is first there.
+    key = F.struct("_order", F.when(F.col("_pieces").isNotNull(), F.col("_tie")).alias("_tie"))
+    edges = cut(tied.groupBy("_own", "_piece").agg(F.min(key).alias("_edge")), "edges")
+    # A row a bucket, so one task can number them.
+    edges = edges.select("*", F.row_number().over(Window.orderBy("_own", "_piece")).alias("_bucket"), F.count("*").over(Window.partitionBy(F.lit(1))).alias("_n"))
+    equal = tied.where("_pieces is not null").groupBy("_order", "_tie").agg(F.count("*").alias("_m")).where(F.col("_m") > 4 * BUCKET)
+    equal = cut(equal.select("_order", "_tie", F.ceil(F.col("_m") / BUCKET).cast("int").alias("_turns")), "equal")
+    dealt = tied.withColumn("_row", F.monotonically_increasing_id()).join(cut(edges, "buckets"), ["_own", "_piece"]).join(equal, ["_order", "_tie"], "left")
+    turn = F.coalesce(F.pmod("_row", "_turns").cast("int"), F.lit(0))
+    place = lambda b, copy, turn: F.struct(b.alias("bucket"), F.lit(copy).alias("copy"), turn.alias("turn"))
+    before = F.when(F.col("_bucket") == 1, F.col("_n").cast("int")).otherwise(F.col("_bucket") - 1)
+    places = F.when(key.eqNullSafe(F.col("_edge")) & (turn == 0), F.array(place(F.col("_bucket"), 0, turn), place(before, 1, F.lit(0)))).otherwise(F.array(place(F.col("_bucket"), 0, turn)))
+    bucket = F.when(F.col("_p.turn") == 0, F.struct(F.col("_p.bucket"), F.lit(0).cast("long").alias("tie"), F.col("_p.turn")))
+    bucket = bucket.otherwise(F.struct(F.col("_p.bucket"), F.col("_tie").alias("tie"), F.col("_p.turn")))
+    out = dealt.select("doc_id", "text", "_order", "_tie", F.explode(places).alias("_p"))
+    out = out.select("doc_id", "text", "_order", bucket.alias("_bucket"), F.col("_p.copy").alias("_copy"), "_tie")
+    return out.withColumn("next_text", F.coalesce(F.lead("text").over(neighbours()), F.when(F.col("_bucket.turn") > 0, F.col("text"))))
+
+
 def neighbours():
     return Window.partitionBy("_bucket").orderBy("_copy", "_order", "_tie")
 
@@ -145,5 +183,5 @@ def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     # A copy only lends its text and fingerprint to the row before it.
     rows = rows.select("doc_id", "_bucket", "_copy", "_order", "_tie", n.cast("long").alias("n_chars"), "text", F.when(F.col("_copy") == 0, edited).otherwise("").alias("edited"))
     rows = rows.select("doc_id", "_bucket", "_copy", "_order", "_tie", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), fingerprint(F.col("text")).alias("own"), fingerprint(F.col("edited")).alias("other"))
-    rows = rows.withColumn("following", F.lead("own").over(neighbours())).where("_copy = 0")
+    rows = rows.withColumn("following", F.coalesce(F.lead("own").over(neighbours()), "own")).where("_copy = 0")
     return rows.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("own")).alias("fingerprint"), as_text(F.col("other")).alias("edited_fingerprint"), likeness(F.col("own"), F.col("other")).alias("near_edited"), likeness(F.col("own"), F.col("following")).alias("near_next"))

@@ -70,3 +70,23 @@ def test_messy(spark, tmp_path):
         assert 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
     alone = run(spark, tmp_path, spark.createDataFrame(rows(["a b c d e f g"]), SCHEMA))
     assert len(alone) == 1 and alone[0].near_next == 1.0
+
+
+def test_hot_ids_are_split(spark, tmp_path, monkeypatch):
+    """A third of the rows without id, most of them equal, and one repeated id: as in one window over all rows."""
+    rng = random.Random(5)
+    text = lambda: " ".join(rng.choices("abcdefgh", k=rng.randint(0, 12)))
+    docs = [(i, text()) for i in range(0, 900, 3)] + [(303, text()) for _ in range(150)] + [(None, text()) for _ in range(120)] + [(None, "so it goes on and on")] * 130 + [(450, "same old text")] * 100
+    df = spark.createDataFrame([(d, t, "en", "s", len(t)) for d, t in docs], SCHEMA).repartition(5)
+    tie = {t: h for t, h in spark.createDataFrame([(t,) for t in {t for _, t in docs}], "t string").select("t", F.xxhash64("t")).collect()}
+    docs = sorted(docs, key=lambda r: (r[0] is None, r[0] or 0, tie[r[1]]))
+    want = sorted((d is None, d or 0, len(t), edited([(0, t), (1, docs[(k + 1) % len(docs)][1])])[0][1]) for k, (d, t) in enumerate(docs))
+    for size in (5, 20, 100):
+        monkeypatch.setattr(P, "BUCKET", size)
+        got = run(spark, tmp_path, df)
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.n_chars, r.edited_sha256) for r in got) == want
+    df = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    monkeypatch.setattr(P, "BUCKET", 20)
+    _, hot = P.buckets(df.select(F.coalesce("doc_id", F.lit(P._LAST)).alias("_order")))
+    sizes = [r["count"] for r in P.with_next(df.select("doc_id", "text")).groupBy("_bucket").count().collect()]
+    assert hot.keys() == {303, 450, P._LAST} and max(sizes) <= 110
