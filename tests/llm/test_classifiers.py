@@ -21,7 +21,7 @@ def area(score, y):
     return ((a[:, None] > b).mean() + (a[:, None] == b).mean() / 2) if len(a) and len(b) else 1.0
 
 
-@pytest.mark.parametrize(("query", "label", "least"), [(quality.op3_quality, "quality", 0.95), (toxicity.op8_toxicity, "toxic", 0.6)])
+@pytest.mark.parametrize(("query", "label", "least"), [(quality.op3_quality, "quality", 0.95), (toxicity.op8_toxicity, "toxic", 0.85)])
 def test_held_out(spark, sf_dir, query, label, least):
     marks = {r.doc_id: r[label] for r in spark.read.parquet(f"{TABLES}/labels.parquet").collect()}
     out = query(spark, TABLES).collect()
