@@ -14,7 +14,7 @@ STATUSES = ("bad_date", "bad_crop", "bad_cloud_cap", "no_items", "no_candidates"
 
 def manifest(requests: DataFrame, items: DataFrame) -> DataFrame:
     """The picked scene of each request with bands, projection, links and crop box, and its error if any."""
-    chosen = scenes.resolved(scenes.described(scenes.pick(scenes.found_items(requests, items)), items))
+    chosen = scenes.resolved(scenes.described(scenes.select_scenes(requests, items), items))
     return chosen.withColumns({"box": crop_box(F.col("bbox"), F.col("crop_fraction")), "scene_error": scenes.scene_error()})
 
 
@@ -60,7 +60,7 @@ def report(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataF
 def status(requests: DataFrame, items: DataFrame, grid: DataFrame, pixels: DataFrame) -> DataFrame:
     """request_id and the first check that fails, in the order a single run would meet them. The search is tallied once, and all that is known
     of its requests is one narrow table, a row each; it meets the requests in one aggregation by request_id."""
-    tallied = scenes.picked(scenes.tally(scenes.found_items(requests, items)))
+    tallied = scenes.picked(scenes.tallied(requests, items))
     chosen = scenes.resolved(scenes.described(tallied, items, "left")).withColumn("scene_error", F.when(F.col("scene_id").isNotNull(), scenes.scene_error()))
     framed = raster.windows(chosen.join(raster.matched_grids(grid), "raster_id", "left").withColumn("fraction", F.col("crop_fraction")))
     crop = F.when(F.col("scene_error").isNull() & F.col("width").isNotNull(), F.struct("raster_id", "window")).alias("crop")

@@ -38,8 +38,8 @@ def _default_work(spark: SparkSession, d: str) -> DataFrame:
     return raster.windows(g).select("raster_id", "window")
 
 
-def _found(spark: SparkSession, d: str) -> DataFrame:
-    return scenes.found_items(derived.requests(spark, d), derived.items(spark, d))
+def _search(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return derived.requests(spark, d), derived.items(spark, d)
 
 
 @query
@@ -214,13 +214,13 @@ def valid_pixels(spark, d):
 
 @query
 def request_candidates(spark, d):
-    return scenes.candidates(_found(spark, d)).select("request_id", "scene_id", _r("cloud_cover"))
+    return scenes.found_candidates(*_search(spark, d)).select("request_id", "scene_id", _r("cloud_cover"))
 
 
 @query
 def requests_unmatched(spark, d):
     req = derived.requests(spark, d)
-    n = scenes.counts(req, scenes.found_items(req, derived.items(spark, d)))
+    n = scenes.counts(req, derived.items(spark, d))
     valid = scenes.checked(req).where("error is null").select("request_id")
     missing = n.join(valid, "request_id", "left_semi").where("n_candidates = 0")
     return missing.select("request_id", F.when(F.col("n_items") == 0, "no_items").otherwise("no_candidates").alias("status"))
@@ -267,8 +267,7 @@ def crop_tilings(spark, d):
 
 @query
 def candidate_counts(spark, d):
-    req = derived.requests(spark, d)
-    return scenes.counts(req, scenes.found_items(req, derived.items(spark, d)))
+    return scenes.counts(*_search(spark, d))
 
 
 @query
@@ -285,18 +284,18 @@ def ndvi_percentiles_scaled(spark, d):
 
 @query
 def select_scene(spark, d):
-    return scenes.pick(_found(spark, d)).select("request_id", "scene_id", _r("cloud_cover"), "reason")
+    return scenes.select_scenes(*_search(spark, d)).select("request_id", "scene_id", _r("cloud_cover"), "reason")
 
 
 @query
 def capped_candidates(spark, d):
-    return scenes.capped(_found(spark, d), 3).select("request_id", "scene_id", "place")
+    return scenes.capped(*_search(spark, d), 3).select("request_id", "scene_id", "place")
 
 
 @query
 def earliest_candidates(spark, d):
     """The cap over all requests together."""
-    return scenes.first_items(_found(spark, d), 50).select("request_id", "scene_id", _r("cloud_cover"))
+    return scenes.first_found(*_search(spark, d), 50).select("request_id", "scene_id", _r("cloud_cover"))
 
 
 @query
