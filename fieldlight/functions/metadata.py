@@ -42,15 +42,22 @@ def tile_head(tile: Column) -> Column:
     return F.regexp_extract(tile, r"^[^%\\]*", 0)
 
 
-def tile_keys(scene_id: Column, length: Column) -> Column:
-    """The texts of so many characters that stand where the id pattern has the tile: behind a T, with one character at least between
-    it and S2 and one behind the text. For a tile of that length without wildcards, an equi-join on these keys is the pattern, which need not
-    be tested again."""
-    pattern = F.concat(F.lit("(?s)(?=T(.{"), length.cast("string"), F.lit("}).)"))
-    found = F.array_distinct(F.regexp_extract_all(F.substring(scene_id, 4, 1 << 30), pattern, F.lit(1)))
+def tile_tails(scene_id: Column, most: Column) -> Column:
+    """The texts, of `most` characters at most, that stand where the id pattern has the tile: behind a T, with one character at least
+    between it and S2. The pattern is the same for every row as long as `most` is, so that it is compiled once."""
+    pattern = F.concat(F.lit("(?s)(?=T(.{1,"), most.cast("string"), F.lit("}))"))
+    found = F.regexp_extract_all(F.substring(scene_id, 4, 1 << 30), pattern, F.lit(1))
     return F.when(scene_id.startswith("S2"), found).otherwise(F.array().cast("array<string>"))
 
 
+def tile_keys(tails: Column, lengths: Column) -> Column:
+    """Structs (_length, _nth, _tile): for each of the lengths, so many first characters of those tile_tails() that have one more at least,
+    which the id pattern wants behind a tile; equal ones once. For a tile of that length without wildcards, an equi-join on these keys is the
+    pattern, which need not be tested again."""
+    of = lambda n: F.array_distinct(F.transform(F.filter(tails, lambda t: F.length(t) > n), lambda t: F.substring(t, F.lit(1), n)))
+    return F.flatten(F.transform(lengths, lambda n: F.transform(of(n), lambda t, nth: F.struct(n.alias("_length"), nth.alias("_nth"), t.alias("_tile")))))
+
+
 def asset_map(assets: Column) -> Column:
     """JSON object to map of VARIANT, NULL if it is no object."""
     return F.from_json(assets, "map<string,variant>")

@@ -50,10 +50,6 @@ def searched(requests: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFram
     it and compared by the id pattern afterwards. So no key holds more than the scenes of a tile and month, unless a request asks for
     more. Requests are looked up in the months that the catalogue has, however long they are."""
     at = F.col("datetime")
-    # Narrow tables that are read several times: three columns of the scenes, whose JSON is parsed once, and the valid requests. The scenes
-    # are dealt evenly, for they meet the searches where they lie.
-    scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"))
-    scenes = cut(scenes.repartition("scene_id", "datetime"), "scenes")
     valid = cut(checked(requests).where("error is null").select(*REQUEST_FIELDS, F.upper("tile").alias("_pattern"), "start_day", "end_day"), "requests")
     alike = ["_pattern", "start_day", "end_day", "max_cloud_cover"]
     tile = F.col("_pattern")
@@ -64,21 +60,27 @@ def searched(requests: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFram
     numbers = searches.select("search", *[F.col(c).alias(f"_{c}") for c in alike])
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in alike]
     asking = valid.join(numbers, same).select(*REQUEST_FIELDS, "search")
-    span = scenes.agg(F.struct(F.min(at.cast("date")).alias("first"), F.max(at.cast("date")).alias("last"))).scalar()  # one row
-    wanted = searches.withColumn("_month", F.explode(months(F.greatest("start_day", span["first"]), F.least("end_day", span["last"]))))
     others = searches.where(F.col("_length") != M.TILE_LENGTH).agg(F.collect_set("_length")).scalar()
     lengths = F.array_append(others, F.lit(M.TILE_LENGTH))
-    keyed = scenes.select(*SCENE_FIELDS, F.trunc(at, "month").alias("_month"), F.explode(lengths).alias("_length"))
-    keyed = keyed.withColumn("_keys", M.tile_keys(F.col("scene_id"), F.col("_length"))).select("*", F.posexplode("_keys").alias("_nth", "_tile"))
+    # The scenes as they are read several times: JSON and ids are parsed once. They are dealt evenly, for they meet the searches where they lie.
+    tails = M.tile_tails(F.col("scene_id"), F.array_max(lengths) + 1)
+    scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"), tails.alias("_tails"))
+    scenes = scenes.repartition("scene_id", "datetime").withColumn("_lengths", lengths)
+    scenes = cut(scenes.select(*SCENE_FIELDS, F.trunc(at, "month").alias("_month"), M.tile_keys(F.col("_tails"), F.col("_lengths")).alias("_keys")), "scenes")
+    span = scenes.agg(F.struct(F.min(at.cast("date")).alias("first"), F.max(at.cast("date")).alias("last"))).scalar()  # one row
+    wanted = searches.withColumn("_month", F.explode(months(F.greatest("start_day", span["first"]), F.least("end_day", span["last"]))))
+    keyed = scenes.select("*", F.inline("_keys"))
     wild = F.col("_head").contains("_")
-    dictionary = keyed.select("_length", F.col("_tile")).distinct()
+    dictionary = scenes.select("_keys").distinct().select(F.inline("_keys")).select("_length", "_tile").distinct()
     meant = wanted.where(wild).select("_head", "_length").distinct().join(dictionary, "_length").where(F.like("_tile", F.col("_head"))).drop("_length")
     named = wanted.where(~wild).withColumn("_tile", F.col("_head")).unionByName(wanted.join(meant, "_head"))
     # Few rows, a search and tile each, but costly to find; by their size as a table Spark broadcasts them.
-    named = cut(named, "named")
+    named = cut(named.withColumns({"_before": F.substring_index("_head", "_", 1), "_behind": F.substring_index("_head", "_", -1)}), "named")
     met = keyed.join(named, ["_length", "_tile", "_month"]).where(in_days(at, F.col("start_day"), F.col("end_day")))
-    # An id may hold several texts that a wildcard means; the scene counts by the first of them.
-    earlier = F.exists(F.slice("_keys", 1, F.col("_nth")), lambda k: F.like(k, F.col("_head")))
+    # An id may hold several texts that a wildcard means; the scene counts by the first of them. A pattern of its own for a row is compiled
+    # for that row, so the ends beside the wildcards are compared first.
+    like = lambda t: F.startswith(t, F.col("_before")) & F.endswith(t, F.col("_behind")) & F.like(t, F.col("_head"))
+    earlier = F.exists("_keys", lambda k: (k["_length"] == F.col("_length")) & (k["_nth"] < F.col("_nth")) & like(k["_tile"]))
     once = (~wild | (F.col("_nth") == 0) | ~earlier) & (F.col("_exact") | M.like_tile(F.col("scene_id"), F.col("_pattern")))
     return asking, met.where(once).select("search", "max_cloud_cover", *SCENE_FIELDS)
 

@@ -75,3 +75,18 @@ def test_picked_scenes_alone_are_joined_wide(spark, capsys):
     assert sorted((r.request_id, r.scene_id, r.raster_id) for r in out.collect()) == [(k, "S2A_x_T10STJ_5", 1) for k in range(9)]
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Window ") < plan.index("LeftSemi")
+
+
+def test_texts_behind_a_t_are_taken_once(spark):
+    """No regular expression stands between the stored scenes and their searches, but for patterns that need one; ids with several texts that
+    a wildcard means count once, and lengths that requests name are all met."""
+    ids = ["S2A_x_T10STJ_T11STJ_1", "S2A_x_T10STJ_T10STJ_2", "S2A_T10ST", "S2A_x_T10STJ", "S2T10STJ_4", "S1A_x_T10STJ_5", "S2A_xTT_TT10STJTT_6"]
+    items = spark.createDataFrame([(i, "sentinel-2-l2a", None, dt.datetime(2024, 5, 2, 11), "{}", "{}", None, k) for k, i in enumerate(ids)], tables.ITEMS)
+    tiles = ["10STJ", "1_STJ", "____J", "10ST", "1", "", "_", "T10STJ", "%STJ", "1%J", "11STJ", "10STJ_T11STJ"]
+    requests = spark.createDataFrame([(k, t, "2024-05-01", "2024-05-28", 0.12, None, None) for k, t in enumerate(tiles)], REQUEST)
+    asking, met = scenes.searched(requests, items)
+    pattern = F.concat(F.lit("S2%_T"), F.col("asked"), F.lit("_%"))
+    want = requests.select("request_id", F.col("tile").alias("asked")).join(items, F.like("scene_id", pattern)).select("request_id", "scene_id")
+    same(scenes.spread(asking, met).select("request_id", "scene_id"), want)
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp" not in plan and "split" not in plan
