@@ -74,7 +74,8 @@ def upsert(rows: DataFrame, path: str, folders: list[str], keys: list[str], sort
         rest = there.join(touched, folders, "left_semi").join(rows.select(*folders, *keys).distinct(), [*folders, *keys], "left_anti")
         # Written before the folders it is read from are replaced.
         merged = cut(rows.unionByName(rest), "merged")
-        dealt = merged.repartition(*folders, *([F.col(keys[0])] if split is None else [split]))
+        # By ranges, so that a task writes neighbouring folders, not a file in each of them.
+        dealt = merged.repartitionByRange(*folders, *([F.col(keys[0])] if split is None else [split]))
         replace_folders(dealt.sortWithinPartitions(*folders, *sort), path, folders)
 
 
@@ -134,8 +135,9 @@ def newest(items: DataFrame) -> DataFrame:
 
 
 def by_days(rows: DataFrame) -> DataFrame:
-    """A month's scenes in files by day, so that filters on days skip files and row groups."""
-    return rows.repartition("month", F.to_date("datetime")).sortWithinPartitions("month", "datetime", "scene_id")
+    """A month's scenes in files by ranges of time, so that filters on days skip files and row groups. A task writes neighbouring months, so
+    there are no more files than tasks and months together. rows are read twice, so they should be a table."""
+    return rows.repartitionByRange("month", "datetime", "scene_id").sortWithinPartitions("month", "datetime", "scene_id")
 
 
 def merge_catalog(items: DataFrame, path: str) -> None:
@@ -162,7 +164,8 @@ def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 def write_catalog(items: DataFrame, path: str) -> None:
     """A catalogue of these items alone, in folders by month, sorted by time within its files."""
     rows = items.select(*ITEMS.fieldNames(), F.lit(None).cast("timestamp_ntz").alias("updated"), F.date_format("datetime", "yyyy-MM").alias("month"))
-    by_days(rows).write.mode("overwrite").partitionBy("month").parquet(path)
+    with scope(rows.sparkSession):
+        by_days(cut(rows, "catalogue-rows")).write.mode("overwrite").partitionBy("month").parquet(path)
 
 
 def search_catalog(spark: SparkSession, path: str, start: str, end: str, names: tuple[str, ...] = COLLECTIONS, fmt: str = "parquet") -> DataFrame:

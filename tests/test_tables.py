@@ -299,3 +299,23 @@ def test_merged_sketches_are_near(spark):
     assert max(len(x.sketch) for x in parts.collect()) < 20_000
     few = summary.sketched_percentiles(summary.sketches(spark.createDataFrame([(1, 0.5), (1, 0.25), (2, None)], "scene int, ndvi float"), ["scene"]), ["scene"]).collect()
     assert [(x.scene, x.n_valid, x.p10, x.p90) for x in few] == [(1, 2, 0.25, 0.5)]
+
+
+def test_files_do_not_multiply_with_tasks(spark, tmp_path):
+    """A task writes neighbouring folders: no more files than tasks and folders together."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    day = lambda k: dt.datetime(2024, 1, 1, 11) + dt.timedelta(days=k)
+    rows = spark.createDataFrame([(f"S{k}", None, None, day(k), "{}", "{}", None, k, day(k), f"{day(k):%Y-%m}") for k in range(200)], tables.CATALOG)
+    pixels = rows.select(F.col("scene_id").alias("label"), F.lit(0).alias("row"), F.lit(0).alias("col"), F.lit(0.5).cast("float").alias("ndvi"), F.lit("T1").alias("tile"), "month")
+    try:
+        for n, v in zip(names, ("8", "false"), strict=True):
+            spark.conf.set(n, v)
+        tables.merge_catalog(rows, f"{tmp_path}/catalogue")
+        tables.write_raster(pixels, f"{tmp_path}/rasters")
+    finally:
+        for n, v in zip(names, before, strict=True):
+            spark.conf.set(n, v)
+    assert tables.read_catalog(spark, f"{tmp_path}/catalogue").count() == tables.read_raster(spark, f"{tmp_path}/rasters").count() == 200
+    assert len(glob.glob(f"{tmp_path}/catalogue/month=*/*.parquet")) <= 8 + 7
+    assert len(glob.glob(f"{tmp_path}/rasters/tile=*/month=*/*.parquet")) <= 8 + 7
