@@ -62,11 +62,13 @@ def searched(requests: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFram
     asking = valid.join(numbers, same).select(*REQUEST_FIELDS, "search")
     others = searches.where(F.col("_length") != M.TILE_LENGTH).agg(F.collect_set("_length")).scalar()
     lengths = F.array_append(others, F.lit(M.TILE_LENGTH))
-    # The scenes as they are read several times: JSON and ids are parsed once. They are dealt evenly, for they meet the searches where they lie.
-    tails = M.tile_tails(F.col("scene_id"), F.array_max(lengths) + 1)
-    scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"), tails.alias("_tails"))
-    scenes = scenes.repartition("scene_id", "datetime").withColumn("_lengths", lengths)
-    scenes = cut(scenes.select(*SCENE_FIELDS, F.trunc(at, "month").alias("_month"), M.tile_keys(F.col("_tails"), F.col("_lengths")).alias("_keys")), "scenes")
+    # The scenes as they are read several times: JSON and ids are parsed once. They are dealt evenly, for they meet the searches where they lie;
+    # only what a search needs of them is shuffled, and the texts behind each T are taken afterwards.
+    scenes = in_collections(items).select("scene_id", "datetime", M.cloud_cover(F.col("properties")).alias("cloud_cover"))
+    scenes = scenes.repartition("scene_id", "datetime").withColumns({"_lengths": lengths, "_tails": M.tile_tails(F.col("scene_id"), F.array_max(lengths) + 1)})
+    # The test refers to the texts a second time, so that they are not written out in their place, once a length.
+    keys = F.when(F.size("_tails") > 0, M.tile_keys(F.col("_tails"), F.col("_lengths")))
+    scenes = cut(scenes.select(*SCENE_FIELDS, F.trunc(at, "month").alias("_month"), keys.alias("_keys")), "scenes")
     span = scenes.agg(F.struct(F.min(at.cast("date")).alias("first"), F.max(at.cast("date")).alias("last"))).scalar()  # one row
     wanted = searches.withColumn("_month", F.explode(months(F.greatest("start_day", span["first"]), F.least("end_day", span["last"]))))
     keyed = scenes.select("*", F.inline("_keys"))
@@ -97,10 +99,11 @@ def found_items(requests: DataFrame, items: DataFrame) -> DataFrame:
     return spread(*searched(requests, items))
 
 
-def found_candidates(requests: DataFrame, items: DataFrame) -> DataFrame:
-    """candidates() of found_items(); scenes over a search's cap meet no request."""
+def found_candidates(requests: DataFrame, items: DataFrame, **shown: Column) -> DataFrame:
+    """candidates() of found_items(); scenes over a search's cap meet no request. Columns named by `shown` replace the scenes' own; they are
+    made once a search and scene, not once a pair."""
     asking, met = searched(requests, items)
-    return spread(asking, candidates(met))
+    return spread(asking, candidates(met).withColumns(shown))
 
 
 def described(found: DataFrame, items: DataFrame, how: str = "inner") -> DataFrame:

@@ -90,3 +90,12 @@ def test_texts_behind_a_t_are_taken_once(spark):
     same(scenes.spread(asking, met).select("request_id", "scene_id"), want)
     plan = met._jdf.queryExecution().optimizedPlan().toString()
     assert "regexp" not in plan and "split" not in plan
+
+
+def test_texts_behind_a_t_are_not_shuffled(spark, tables_of, monkeypatch):
+    """The scenes are dealt out before the texts are taken from their ids, and they are taken by one expression."""
+    plans, cut = {}, scenes.cut
+    monkeypatch.setattr(scenes, "cut", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and cut(df, name))
+    scenes.searched(*tables_of)
+    above, below = plans["scenes"].split("RepartitionByExpression", 1)
+    assert above.count("regexp_extract_all") == 1 and "regexp" not in below and "get_json_object" in below
