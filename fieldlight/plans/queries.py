@@ -214,7 +214,7 @@ def valid_pixels(spark, d):
 
 @query
 def request_candidates(spark, d):
-    return scenes.found_candidates(*_search(spark, d)).select("request_id", "scene_id", _r("cloud_cover"))
+    return scenes.found_candidates(*_search(spark, d), cloud_cover=_r("cloud_cover")).select("request_id", "scene_id", "cloud_cover")
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldlight.operators import scenes
+from fieldlight.plans.queries import queries
 from fieldlight.sources import tables
 
 REQUEST = "request_id long, tile string, start_date string, end_date string, crop_fraction double, max_cloud_cover double, preferred_scene_id string"
@@ -99,3 +100,13 @@ def test_texts_behind_a_t_are_not_shuffled(spark, tables_of, monkeypatch):
     scenes.searched(*tables_of)
     above, below = plans["scenes"].split("RepartitionByExpression", 1)
     assert above.count("regexp_extract_all") == 1 and "regexp" not in below and "get_json_object" in below
+
+
+def test_a_pair_costs_no_expression(spark, tables_of, sf_dir):
+    """What request_candidates shows of a scene is made before its requests take it over."""
+    plan = queries()["request_candidates"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("round(")
+    requests, items = tables_of
+    name = F.concat(F.col("scene_id"), F.lit("!")).alias("scene_id")
+    got = scenes.found_candidates(requests, items, scene_id=name)
+    same(got, scenes.found_candidates(requests, items).withColumn("scene_id", name))
