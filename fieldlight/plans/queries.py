@@ -39,7 +39,7 @@ def _default_work(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _search(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    return derived.requests(spark, d), derived.items(spark, d)
+    return derived.search(spark, d)
 
 
 @query
@@ -131,14 +131,14 @@ def raster_files(spark, d):
 
 
 def _rasters(spark: SparkSession, d: str) -> DataFrame:
-    return pipelines.rasters(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
+    return pipelines.rasters(*_search(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
 
 
 @query
 def summary_files(spark, d):
     """Through files: summaries of the picked scenes' windows, written in two overlapping steps and read back."""
     path = staging.scratch(spark, "summaries")
-    rows = staging.cut(pipelines.summaries(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d)), "summaries")
+    rows = staging.cut(pipelines.summaries(*_search(spark, d), derived.grid(spark, d), derived.pixels(spark, d)), "summaries")
     for part in (F.col("month") < "1996-07", F.col("month") > "1996-02"):
         tables.write_summary(rows.where(part), path, tables.SUMMARY_KEYS, ("month",))
     s = tables.read_summary(spark, path)
@@ -219,8 +219,8 @@ def request_candidates(spark, d):
 
 @query
 def requests_unmatched(spark, d):
-    req = derived.requests(spark, d)
-    n = scenes.counts(req, derived.items(spark, d))
+    req, it = _search(spark, d)
+    n = scenes.counts(req, it)
     valid = scenes.checked(req).where("error is null").select("request_id")
     missing = n.join(valid, "request_id", "left_semi").where("n_candidates = 0")
     return missing.select("request_id", F.when(F.col("n_items") == 0, "no_items").otherwise("no_candidates").alias("status"))
@@ -359,12 +359,12 @@ def ndvi_map(spark, d):
 
 @query
 def request_status(spark, d):
-    return pipelines.status(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
+    return pipelines.status(*_search(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
 
 
 @query
 def scene_manifest(spark, d):
-    m = pipelines.manifest(derived.requests(spark, d), derived.items(spark, d))
+    m = pipelines.manifest(*_search(spark, d))
     return m.select(
         "request_id", "scene_id", "raster_id", F.col("bands.red_key").alias("red_key"), F.col("bands.nir_key").alias("nir_key"), F.col("projection.epsg").alias("epsg"), "red_href", "nir_href",
         _r("box.west", "west"), _r("box.south", "south"), _r("box.east", "east"), _r("box.north", "north"), "scene_error",
@@ -373,5 +373,5 @@ def scene_manifest(spark, d):
 
 @query
 def ndvi_report(spark, d):
-    r = pipelines.report(derived.requests(spark, d), derived.items(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
+    r = pipelines.report(*_search(spark, d), derived.grid(spark, d), derived.pixels(spark, d))
     return r.select("request_id", "raster_id", "n_pixels", "n_valid", *[_r(c) for c in ("low", "p10", "p50", "p90", "high", "mean")])

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fieldlight.sources.staging import cut
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -18,10 +20,26 @@ def _pick(key: Column, n: int, cases: dict[tuple[int, ...], Column], other: Colu
     return out.otherwise(other)
 
 
-def items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A scene catalogue: an order is a scene, its customer's nation the tile."""
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order with its customer's nation."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     rows = orders.join(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), orders["o_custkey"] == F.col("c_custkey"))
+    return rows.select("o_orderkey", "o_orderdate", "c_nationkey")
+
+
+def search(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """requests() and items(), which both read one join of orders and customers. It is written, three numbers a row, so that a search that
+    reads the catalogue several times shuffles the orders once; sorted, so that what is written and what is shuffled of it is small."""
+    placed = cut(_placed(spark, sf_dir).sortWithinPartitions("o_orderdate", "c_nationkey", "o_orderkey"), "placed")
+    return _requests(spark, sf_dir, placed), _items(spark, sf_dir, placed)
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scene catalogue: an order is a scene, its customer's nation the tile."""
+    return _items(spark, sf_dir, _placed(spark, sf_dir))
+
+
+def _items(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     rasters = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
     k, n, d = F.col("o_orderkey"), F.col("c_nationkey"), F.col("o_orderdate")
     tile = F.concat((n + 10).cast("string"), F.lit("STJ"))
@@ -102,6 +120,10 @@ def tiled_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A request per customer, for its nation's tile and one of 80 months. Some name a tile by a wildcard or by its first
     four characters, for which the id pattern stands as well."""
+    return _requests(spark, sf_dir, _placed(spark, sf_dir))
+
+
+def _requests(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     ident, n = F.col("c_custkey"), F.col("c_nationkey")
     m = (ident % 80).cast("int")
     own = F.concat((n + 10).cast("string"), F.lit("STJ"))
@@ -113,7 +135,7 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ident % 101 == 0, "bad").otherwise(F.concat(month, F.lit("-28"))).alias("end_date"), F.when(ident % 89 == 0, 0.0).when(ident % 5 == 0, 0.5).otherwise(0.12).alias("crop_fraction"),
         F.when(ident % 97 == 0, 150.0).when(ident % 7 == 0, None).otherwise(10.0).alias("max_cloud_cover"), own.alias("_tile"), month.alias("_month"),
     )
-    best = items(spark, sf_dir).groupBy(F.col("tile").alias("_tile"), F.date_format("datetime", "yyyy-MM").alias("_month")).agg(F.max("scene_id").alias("_last"))
+    best = _items(spark, sf_dir, rows).groupBy(F.col("tile").alias("_tile"), F.date_format("datetime", "yyyy-MM").alias("_month")).agg(F.max("scene_id").alias("_last"))
     preferred = F.when(F.col("request_id") % 3 == 0, F.col("_last")).when(F.col("request_id") % 3 == 1, "none")
     return base.join(best, ["_tile", "_month"], "left").withColumn("preferred_scene_id", preferred).drop("_tile", "_month", "_last")
 

@@ -31,6 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
     return named
 
 
+#: Whether a finished execution's shuffle files are removed at once.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 #: Paths made in the innermost open scope.
 _made: ContextVar[list[str] | None] = ContextVar("made", default=None)
 
@@ -64,8 +66,14 @@ def scope(spark: SparkSession) -> Iterator[None]:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: the lineage ends there, what follows may read it often,
-    and a lost executor costs no recomputation of what lies before."""
+    and a lost executor costs no recomputation of what lies before. What was shuffled for it is of no more use then and
+    is removed from the executors' disks, where it would lie until the driver collects garbage."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
