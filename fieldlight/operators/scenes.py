@@ -82,7 +82,11 @@ def searched(requests: DataFrame, items: DataFrame) -> tuple[DataFrame, DataFram
     # An id may hold several texts that a wildcard means; the scene counts by the first of them. A pattern of its own for a row is compiled
     # for that row, so the ends beside the wildcards are compared first.
     like = lambda t: F.startswith(t, F.col("_before")) & F.endswith(t, F.col("_behind")) & F.like(t, F.col("_head"))
-    earlier = F.exists("_keys", lambda k: (k["_length"] == F.col("_length")) & (k["_nth"] < F.col("_nth")) & like(k["_tile"]))
+    # Looking through a scene's texts is costly, so it is left out where nothing before this text begins or ends like the wildcard.
+    place = F.position(F.concat(F.lit("T"), F.col("_tile")), "scene_id", F.lit(4))
+    begins = F.position(F.concat(F.lit("T"), F.col("_before")), "scene_id", F.lit(4)) < place
+    ends = F.position("_behind", "scene_id", F.lit(4)) <= place + F.col("_length") - F.length("_behind")
+    earlier = begins & ends & F.exists("_keys", lambda k: (k["_length"] == F.col("_length")) & (k["_nth"] < F.col("_nth")) & like(k["_tile"]))
     once = (~wild | (F.col("_nth") == 0) | ~earlier) & (F.col("_exact") | M.like_tile(F.col("scene_id"), F.col("_pattern")))
     return asking, met.where(once).select("search", "max_cloud_cover", *SCENE_FIELDS)
 

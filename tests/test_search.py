@@ -110,3 +110,20 @@ def test_a_pair_costs_no_expression(spark, tables_of, sf_dir):
     name = F.concat(F.col("scene_id"), F.lit("!")).alias("scene_id")
     got = scenes.found_candidates(requests, items, scene_id=name)
     same(got, scenes.found_candidates(requests, items).withColumn("scene_id", name))
+
+
+def test_wildcards_look_through_few_texts(spark):
+    """Whatever ids and wildcards there are, each scene counts once where the id pattern holds; and a scene's texts are looked through only
+    behind tests of places, which most wildcards fail."""
+    rng = random.Random(8)
+    some = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    ids = sorted({f"S2A{some('TTSJ1_', rng.randint(1, 3))}_T{some('TTSJ1_', rng.randint(0, 12))}" for _ in range(300)})
+    items = spark.createDataFrame([(i, "sentinel-2-l2a", None, dt.datetime(2024, 5, 2, 11), "{}", "{}", None, k) for k, i in enumerate(ids)], tables.ITEMS)
+    tiles = sorted({some("TSJ1__", rng.randint(1, 5)) for _ in range(150)})
+    requests = spark.createDataFrame([(k, t, "2024-05-01", "2024-05-28", 0.12, None, None) for k, t in enumerate(tiles)], REQUEST)
+    asking, met = scenes.searched(requests, items)
+    pattern = F.concat(F.lit("S2%_T"), F.col("asked"), F.lit("_%"))
+    want = requests.select("request_id", F.col("tile").alias("asked")).join(items, F.like("scene_id", pattern)).select("request_id", "scene_id")
+    same(scenes.spread(asking, met).select("request_id", "scene_id"), want)
+    plan = met._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("exists(_keys") == 1 and "position(" in plan.split("exists(_keys")[0]
