@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from fieldlight.plans.queries import queries
 from fieldlight.sources import derived, staging
 
 
@@ -41,3 +42,9 @@ def test_a_search_joins_orders_once(spark, sf_dir, monkeypatch):
         assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
         plan = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
         assert "o_custkey" in plan(want) and "o_custkey" not in plan(got)
+
+
+def test_a_manifest_does_not_join_orders_again(spark, sf_dir):
+    """The wide columns of picked scenes come from the join that their search has written."""
+    plan = queries()["scene_manifest"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
+    assert "o_orderkey" in plan and "o_custkey" not in plan
