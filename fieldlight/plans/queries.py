@@ -56,12 +56,12 @@ def catalog_search(spark, d):
     return tables.search_catalog(spark, path, *DAYS).select("scene_id", "collection", F.date_format("datetime", "yyyy-MM-dd HH:mm:ss").alias("seen"), "raster_id")
 
 
-def _dump(spark: SparkSession, d: str, batch: int) -> str:
-    """A dump of item texts, a line each, some of them cut off."""
-    path, rows = staging.scratch(spark, "dump"), derived.item_versions(spark, d).where(F.col("batch") == batch)
+def _dump(versions: DataFrame, batch: int) -> str:
+    """A dump of item texts, a line each, some of them cut off; packed, in files of which a task reads one each."""
+    path, rows = staging.scratch(versions.sparkSession, "dump"), versions.where(F.col("batch") == batch)
     whole = tables.dump_items(rows.where("not broken"))
     cut_off = rows.where("broken").select(F.concat(F.lit('{"type":"Feature","id":"'), "scene_id", F.lit('","properties":{')).alias("value"))
-    whole.unionByName(cut_off).write.text(path)
+    whole.unionByName(cut_off).write.option("compression", "gzip").option("maxRecordsPerFile", 500_000).text(path)
     return path
 
 
@@ -69,8 +69,11 @@ def _dump(spark: SparkSession, d: str, batch: int) -> str:
 def catalog_merge(spark, d):
     """Through files: two dumps of items are merged into one catalogue, which keeps each scene's newest version."""
     path = staging.scratch(spark, "catalogue")
-    for batch in (0, 1, 0):  # a batch that comes again changes nothing
-        tables.merge_catalog(tables.read_items(spark, _dump(spark, d, batch)), path)
+    with staging.scope(spark):
+        versions = derived.item_versions(spark, d)
+        for batch in (0, 1, 0):  # a batch that comes again changes nothing
+            with staging.scope(spark):
+                tables.merge_catalog(tables.read_items(spark, _dump(versions, batch)), path)
     it = scenes.resolved(tables.read_catalog(spark, path))
     seen = lambda c, name: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(name)
     return it.select("scene_id", "collection", "tile", seen("datetime", "seen"), seen("updated", "changed"), _r(M.cloud_cover(F.col("properties")), "cloud_cover"), F.col("projection.epsg").alias("epsg"), "red_href", F.size("bbox").alias("n_box"), "raster_id")
@@ -79,7 +82,7 @@ def catalog_merge(spark, d):
 @query
 def catalog_corrupt(spark, d):
     """Through files: the lines of a dump that are no items."""
-    return tables.read_items(spark, _dump(spark, d, 1)).where("corrupt is not null").select("corrupt")
+    return tables.read_items(spark, _dump(derived.item_versions(spark, d), 1)).where("corrupt is not null").select("corrupt")
 
 
 @query

@@ -27,10 +27,14 @@ def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", "o_orderdate", "c_nationkey")
 
 
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cut(_placed(spark, sf_dir).sortWithinPartitions("o_orderdate", "c_nationkey", "o_orderkey"), "placed")
+
+
 def search(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """requests() and items(), which both read one join of orders and customers. It is written, three numbers a row, so that a search that
     reads the catalogue several times shuffles the orders once; sorted, so that what is written and what is shuffled of it is small."""
-    placed = cut(_placed(spark, sf_dir).sortWithinPartitions("o_orderdate", "c_nationkey", "o_orderkey"), "placed")
+    placed = _written(spark, sf_dir)
     return _requests(spark, sf_dir, placed), _items(spark, sf_dir, placed)
 
 
@@ -39,7 +43,8 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _items(spark, sf_dir, _placed(spark, sf_dir))
 
 
-def _items(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
+def _items(spark: SparkSession, sf_dir: str, rows: DataFrame, **also: Column) -> DataFrame:
+    """items() of these orders; also: more columns, made of theirs."""
     rasters = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
     k, n, d = F.col("o_orderkey"), F.col("c_nationkey"), F.col("o_orderdate")
     tile = F.concat((n + 10).cast("string"), F.lit("STJ"))
@@ -74,16 +79,17 @@ def _items(spark: SparkSession, sf_dir: str, rows: DataFrame) -> DataFrame:
     return rows.select(
         scene.alias("scene_id"), F.when(k % 20 == 0, "sentinel-2-l1c").otherwise("sentinel-2-l2a").alias("collection"), tile.alias("tile"), (d + F.expr("interval 11 hours")).alias("datetime"),
         wrap(F.concat_ws(",", cloud, proj)).alias("properties"), wrap(assets).alias("assets"), bbox.alias("bbox"), (k % rasters).alias("raster_id"),
+        *[c.alias(name) for name, c in also.items()],
     )
 
 
 def item_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """items() as a catalogue changes: `batch` (0 or 1), and `broken`, which the last versions of some scenes are. Every fourth scene has an
     earlier version too, which comes in the other batch."""
-    k = F.right("scene_id", F.lit(10)).cast("long")
-    last = items(spark, sf_dir).withColumns({"updated": F.col("datetime") + F.expr("interval 2 days"), "batch": k % 2, "broken": k % 17 == 0})
-    first = items(spark, sf_dir).where(k % 4 == 0).withColumns({"updated": F.col("datetime") + F.expr("interval 1 day"), "batch": 1 - k % 2, "broken": F.lit(False), "properties": F.lit('{"cloudCover":77}')})
-    return last.unionByName(first)
+    k, placed = F.col("o_orderkey"), _written(spark, sf_dir)
+    last = _items(spark, sf_dir, placed, updated=F.col("o_orderdate") + F.expr("interval 59 hours"), batch=k % 2, broken=k % 17 == 0)
+    first = _items(spark, sf_dir, placed.where(k % 4 == 0), updated=F.col("o_orderdate") + F.expr("interval 35 hours"), batch=1 - k % 2, broken=F.lit(False))
+    return last.unionByName(first.withColumn("properties", F.lit('{"cloudCover":77}')))
 
 
 def pixels(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,16 +64,23 @@ def scope(spark: SparkSession) -> Iterator[None]:
             remove(spark, path)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: the lineage ends there, what follows may read it often,
-    and a lost executor costs no recomputation of what lies before. What was shuffled for it is of no more use then and
-    is removed from the executors' disks, where it would lie until the driver collects garbage."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
+@contextmanager
+def cleaned(spark: SparkSession) -> Iterator[None]:
+    """What is shuffled for the writes inside is removed from the executors' disks as soon as each is done, where it would lie until the driver
+    collects garbage."""
     before = spark.conf.get(CLEANUP, None)
     spark.conf.set(CLEANUP, "true")
     try:
-        df.write.option("compression", "zstd").parquet(path)
+        yield
     finally:
         spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
+
+
+def cut(df: DataFrame, name: str) -> DataFrame:
+    """Write df to the shared folder and read it back: the lineage ends there, what follows may read it often,
+    and a lost executor costs no recomputation of what lies before. What was shuffled for it is of no more use then."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    with cleaned(spark):
+        df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,12 +6,12 @@ others alone: new rows take the place of old ones of the same key, so that a rer
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldlight.operators.scenes import COLLECTIONS, in_collections
-from fieldlight.sources.staging import cut, remove, scope
+from fieldlight.sources.staging import cleaned, cut, remove, scope
 
 #: One row per scene; properties and assets stay JSON text until an operator asks for a field.
 ITEMS = T.StructType(
@@ -33,6 +33,8 @@ SUMMARIES = "scene_id string, col_off int, row_off int, width int, height int, n
 #: What tells summaries of picked scenes apart.
 SUMMARY_KEYS = ("scene_id", "col_off", "row_off", "width", "height")
 BUCKETS = 16
+#: Rows of a catalogue that are merged at once, unless a month has more.
+MERGE_ROWS = 4_000_000
 BLOCKS = "raster_id long, band string, row0 int, col0 int, row1 int, col1 int, h int, w int, values array<float>, z long"
 
 
@@ -58,7 +60,8 @@ def stored_columns(spark: SparkSession, path: str) -> list[str]:
 
 def replace_folders(rows: DataFrame, path: str, folders: list[str]) -> None:
     """Writes the folders that rows belong to, whole, and no other."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*folders).parquet(path)
+    with cleaned(rows.sparkSession):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*folders).parquet(path)
 
 
 def upsert(rows: DataFrame, path: str, folders: list[str], keys: list[str], sort: list[str], split: Column | None = None) -> None:
@@ -126,12 +129,35 @@ def dump_items(items: DataFrame) -> DataFrame:
     return items.select(F.to_json(item).alias("value"))
 
 
-def newest(items: DataFrame) -> DataFrame:
-    """Of each scene_id the version that was changed last; of equally new ones the greatest as text. Versions without that time come before
-    all others."""
-    order = F.struct("updated", "datetime", "properties", "assets", "collection", "raster_id")
-    best = items.groupBy("scene_id").agg(F.max_by(F.struct(*CATALOG.fieldNames()), order).alias("s"))
-    return best.select("s.*")
+def superseded(rows: DataFrame, there: DataFrame) -> DataFrame:
+    """scene_id, month, datetime: where versions of a scene lie that has a newer one at another time, for the scenes of rows, of which `there` holds one version
+    each. Versions are compared by their ids' hashes and times alone; only scenes that have several times, few if any, are looked at by id."""
+    key = F.xxhash64("scene_id").alias("_key")
+    at = F.coalesce("datetime", F.lit("0001-01-01").cast("timestamp_ntz"))
+    times = rows.groupBy(key).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
+    met = there.select(key, at.alias("_at")).join(times, "_key").where("_at < _low or _at > _high")
+    several = times.where("_low < _high").select("_key").union(met.select("_key")).distinct()
+    names = ["scene_id", "month", "datetime"]
+    versions = cut(rows.unionByName(there).select(*names, "updated", key).join(several, "_key", "left_semi").drop("_key"), "versions")
+    last = versions.groupBy("scene_id").agg(F.max(F.struct("updated", "datetime", "month")).alias("_last"))
+    stays = F.col("datetime").eqNullSafe(F.col("_last.datetime")) & F.col("month").eqNullSafe(F.col("_last.month"))
+    return versions.join(last, "scene_id").where(~stays).select(*names).distinct()
+
+
+def without(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """rows (scenes) but for those of a scene, month and time in gone."""
+    g = gone.select(*[F.col(c).alias(f"_{c}") for c in gone.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in gone.columns]
+    return rows.join(g, same, "left_anti")
+
+
+def newest(rows: DataFrame) -> DataFrame:
+    """by_days() of the version of each scene that was changed last; of equally new ones the greatest as text. Versions without a time of change come before
+    all others. All versions of a scene have one time, so that they meet where the ranges of time put them."""
+    place = ["month", "datetime", "scene_id"]
+    order = [F.col(c).desc_nulls_last() for c in ("updated", "properties", "assets", "collection", "raster_id")]
+    nth = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
+    return rows.repartitionByRange(*place).withColumn("_nth", nth).where("_nth = 1").drop("_nth").sortWithinPartitions(*place)
 
 
 def by_days(rows: DataFrame) -> DataFrame:
@@ -140,20 +166,40 @@ def by_days(rows: DataFrame) -> DataFrame:
     return rows.repartitionByRange("month", "datetime", "scene_id").sortWithinPartitions("month", "datetime", "scene_id")
 
 
-def merge_catalog(items: DataFrame, path: str) -> None:
-    """Adds items (CATALOG columns) to the catalogue at path, of which it keeps the newest version of each scene. Of the old files only the
-    folders are read whole that hold one of the new scenes or are to hold it; the others stay as they are."""
-    with scope(items.sparkSession):
+def rounds(sizes: dict[str | None, int], most: int) -> list[list[str | None]]:
+    """Neighbouring months of up to `most` rows together, or one month of more."""
+    out: list[list[str | None]] = []
+    for month in sorted(sizes, key=lambda m: m or ""):
+        if not out or sum(sizes[m] for m in out[-1]) + sizes[month] > most:
+            out.append([])
+        out[-1].append(month)
+    return out
+
+
+def merge_catalog(items: DataFrame, path: str, most: int = MERGE_ROWS) -> None:
+    """Adds items (CATALOG columns; the month is that of datetime) to the catalogue at path, of which it keeps the newest version of each scene. Of the old
+    files only the folders are read whole that hold one of the new scenes at another time or are to hold one; the others stay as they are. Months
+    are merged and replaced some at a time, up to `most` rows, so that what is shuffled at once does not grow with the catalogue. A merge
+    that was cut off between two of them is mended by running it again."""
+    spark = items.sparkSession
+    with scope(spark), cleaned(spark):
         rows = cut(items.where("scene_id is not null").select(*CATALOG.fieldNames()), "new-items")
-        there = stored(rows.sparkSession, path, CATALOG)
-        # A scene whose time has changed moves to another folder.
-        moved = there.select("scene_id", "month").join(rows.select("scene_id").distinct(), "scene_id", "left_semi").select("month")
-        touched = cut(rows.select("month").union(moved).distinct(), "touched")
-        merged = cut(newest(rows.unionByName(there.join(touched, "month", "left_semi"))), "merged")
-        replace_folders(by_days(merged), path, ["month"])
+        there = stored(spark, path, CATALOG)
+        # A scene whose time has changed moves, and leaves its old folder.
+        gone = cut(superseded(rows, there), "superseded")
+        lost = {r["month"] for r in gone.select("month").distinct().collect()}
+        within = lambda df, months: df.where(F.col("month").isin([m for m in months if m is not None]) | (F.col("month").isNull() if None in months else F.lit(False)))
+        sizes = dict.fromkeys(lost, 0) | {r["month"]: r["count"] for r in rows.groupBy("month").count().collect()}
+        for r in within(there, sizes).groupBy("month").count().collect():
+            sizes[r["month"]] += r["count"]
+        left = {r["month"] for r in without(within(rows.unionByName(there), lost), gone).select("month").distinct().collect()} if lost else set()
+        for months in rounds(sizes, most):
+            both = within(rows, months).unionByName(within(there, months))
+            # Tasks end before a folder is replaced, so it may be read as it is merged.
+            replace_folders(newest(without(both, gone) if lost else both), path, ["month"])
         # A folder that has lost its last scene is not among the rows; there are few, if any.
-        for left in touched.join(merged.select("month").distinct(), "month", "left_anti").collect():
-            remove(rows.sparkSession, f"{path}/month={left['month']}")
+        for month in lost - left:
+            remove(spark, f"{path}/month={'__HIVE_DEFAULT_PARTITION__' if month is None else month}")
 
 
 def read_catalog(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -1,10 +1,12 @@
 """What lies on disk between the steps: nothing that was shuffled for a table that is written, and one join of orders and customers a search."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from fieldlight.plans.queries import queries
-from fieldlight.sources import derived, staging
+from fieldlight.sources import derived, staging, tables
 
 
 def shuffled(spark):
@@ -48,3 +50,16 @@ def test_a_manifest_does_not_join_orders_again(spark, sf_dir):
     """The wide columns of picked scenes come from the join that their search has written."""
     plan = queries()["scene_manifest"](spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString()
     assert "o_orderkey" in plan and "o_custkey" not in plan
+
+
+def test_a_merge_leaves_the_catalogue_alone(spark, sf_dir, monkeypatch):
+    """Of a merge through files neither dumps nor what was shuffled is left, and a dump lies packed."""
+    made, sizes, scratch, merge = [], [], staging.scratch, tables.merge_catalog
+    monkeypatch.setattr(staging, "scratch", lambda spark, name: made.append(scratch(spark, name)) or made[-1])
+    monkeypatch.setattr(tables, "merge_catalog", lambda items, path: sizes.append([os.path.getsize(f.removeprefix("file://")) for f in items.inputFiles()]) or merge(items, path))
+    before = shuffled(spark)
+    result = queries()["catalog_merge"](spark, sf_dir)
+    assert not shuffled(spark) - before
+    left = [os.path.basename(p) for p in made if os.path.isdir(p.removeprefix("file://"))]
+    assert len(made) > 4 and [p.split("-")[0] for p in left] == ["catalogue"]
+    assert len(sizes) == 3 and max(map(sum, sizes)) < 100 * result.count()

@@ -84,6 +84,21 @@ def test_merge_keeps_the_newest_and_other_months(spark, tmp_path):
     assert glob.glob(f"{path}/month=2024-03") == []
 
 
+def test_merge_in_rounds(spark, tmp_path, monkeypatch):
+    """Months are merged some at a time, and scenes that change their months between rounds are neither lost nor there twice."""
+    assert tables.rounds({"b": 3, None: 1, "a": 2, "c": 9, "d": 0, "e": 1}, 4) == [[None, "a"], ["b"], ["c"], ["d", "e"]]
+    rng, path, known, most = random.Random(7), str(tmp_path / "c"), {}, 12
+    written, replace = [], tables.replace_folders
+    monkeypatch.setattr(tables, "replace_folders", lambda rows, *a: written.append({r.month: r["count"] for r in rows.groupBy("month").count().collect()}) or replace(rows, *a))
+    for batch in range(3):
+        rows = [(f"s{rng.randrange(30)}", f"2024-{rng.randrange(1, 7):02}-{rng.randrange(1, 3):02}", rng.choice([None, "2024-07-01", "2024-07-02"]), f"{batch}.{k % 3}") for k in range(40)]
+        tables.merge_catalog(catalog(spark, rows), path, most)
+        for i, day, changed, text in rows:
+            known[i] = max(known.get(i, ("", "", "")), (changed or "", day, text))
+        assert content(spark, path) == sorted((i, day, text, day[:7]) for i, (_, day, text) in known.items())
+    assert len(written) >= 9 and all(sum(w.values()) <= most or len(w) == 1 for w in written)
+
+
 def pixels(spark, rows):
     return spark.createDataFrame(rows, "label string, tile string, month string, row int, col int, ndvi float")
 
