@@ -57,11 +57,11 @@ def catalog_search(spark, d):
 
 
 def _dump(versions: DataFrame, batch: int) -> str:
-    """A dump of item texts, a line each, some of them cut off; packed, in files of which a task reads one each."""
+    """A dump of item texts, a line each, some of them cut off; packed lightly, in files that tasks share evenly."""
     path, rows = staging.scratch(versions.sparkSession, "dump"), versions.where(F.col("batch") == batch)
     whole = tables.dump_items(rows.where("not broken"))
     cut_off = rows.where("broken").select(F.concat(F.lit('{"type":"Feature","id":"'), "scene_id", F.lit('","properties":{')).alias("value"))
-    whole.unionByName(cut_off).write.option("compression", "gzip").option("maxRecordsPerFile", 500_000).text(path)
+    whole.unionByName(cut_off).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 100_000).text(path)
     return path
 
 
@@ -71,9 +71,11 @@ def catalog_merge(spark, d):
     path = staging.scratch(spark, "catalogue")
     with staging.scope(spark):
         versions = derived.item_versions(spark, d)
-        for batch in (0, 1, 0):  # a batch that comes again changes nothing
-            with staging.scope(spark):
-                tables.merge_catalog(tables.read_items(spark, _dump(versions, batch)), path)
+        first = _dump(versions, 0)
+        tables.merge_catalog(tables.read_items(spark, first), path)
+        with staging.scope(spark):
+            tables.merge_catalog(tables.read_items(spark, _dump(versions, 1)), path)
+        tables.merge_catalog(tables.read_items(spark, first), path)  # a batch that comes again changes nothing
     it = scenes.resolved(tables.read_catalog(spark, path))
     seen = lambda c, name: F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(name)
     return it.select("scene_id", "collection", "tile", seen("datetime", "seen"), seen("updated", "changed"), _r(M.cloud_cover(F.col("properties")), "cloud_cover"), F.col("projection.epsg").alias("epsg"), "red_href", F.size("bbox").alias("n_box"), "raster_id")

@@ -89,6 +89,12 @@ def _field(item: Column, path: str, kind: str = "string") -> Column:
     return F.try_variant_get(item, path, kind)
 
 
+def _json(item: Column, path: str) -> Column:
+    """What stands at the path as JSON text; an object's text is taken as it stands in the item, others are copied out of it first."""
+    is_object = _field(item, path, "struct<_:variant>").isNotNull()
+    return F.when(is_object, _field(item, path)).otherwise(F.to_json(_field(item, path, "variant")))
+
+
 def parse_items(dump: DataFrame, text: str = "value") -> DataFrame:
     """CATALOG rows and `corrupt` from a column of JSON texts as a catalogue's search returns them: an item (a feature with id, properties,
     nested assets, bbox), or a page of items under `features`. Texts that are no such thing have no scene_id and stand in
@@ -105,7 +111,7 @@ def parse_items(dump: DataFrame, text: str = "value") -> DataFrame:
     good = scene.isNotNull() & time.isNotNull()
     return each.select(
         F.when(good, scene).alias("scene_id"), _field(i, "$.collection").alias("collection"), F.upper(F.nullif(F.regexp_extract(scene, "_T([0-9]{2}[A-Za-z]{3})_", 1), F.lit(""))).alias("tile"), time.alias("datetime"),
-        F.to_json(_field(i, "$.properties", "variant")).alias("properties"), F.to_json(_field(i, "$.assets", "variant")).alias("assets"), _field(i, "$.bbox", "array<double>").alias("bbox"),
+        _json(i, "$.properties").alias("properties"), _json(i, "$.assets").alias("assets"), _field(i, "$.bbox", "array<double>").alias("bbox"),
         _field(i, "$.properties.raster_id", "bigint").alias("raster_id"), at("$.properties.updated", "$.properties.created").alias("updated"), F.date_format(time, "yyyy-MM").alias("month"), F.when(~good, F.col("_text")).alias("corrupt"),
     )
 
