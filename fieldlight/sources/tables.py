@@ -5,6 +5,8 @@ others alone: new rows take the place of old ones of the same key, so that a rer
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,8 +35,8 @@ SUMMARIES = "scene_id string, col_off int, row_off int, width int, height int, n
 #: What tells summaries of picked scenes apart.
 SUMMARY_KEYS = ("scene_id", "col_off", "row_off", "width", "height")
 BUCKETS = 16
-#: Rows of a catalogue that are merged at once, unless a month has more.
-MERGE_ROWS = 4_000_000
+#: Rows of a catalogue that are merged at once, unless a month has more; of ids and times alone, twice as many.
+MERGE_ROWS = 2_000_000
 BLOCKS = "raster_id long, band string, row0 int, col0 int, row1 int, col1 int, h int, w int, values array<float>, z long"
 
 
@@ -135,11 +137,13 @@ def dump_items(items: DataFrame) -> DataFrame:
     return items.select(F.to_json(item).alias("value"))
 
 
-def superseded(rows: DataFrame, there: DataFrame) -> DataFrame:
+def superseded(rows: DataFrame, there: DataFrame, part: int = 0, parts: int = 1) -> DataFrame:
     """scene_id, month, datetime: where versions of a scene lie that has a newer one at another time, for the scenes of rows, of which `there` holds one version
-    each. Versions are compared by their ids' hashes and times alone; only scenes that have several times, few if any, are looked at by id."""
+    each. Versions are compared by their ids' hashes and times alone; only scenes that have several times, few if any, are looked at by id. part: of
+    so many parts of the scenes, by hash, the one that is looked at."""
     key = F.xxhash64("scene_id").alias("_key")
     at = F.coalesce("datetime", F.lit("0001-01-01").cast("timestamp_ntz"))
+    rows, there = (df.where(F.pmod(key, F.lit(parts)) == part) for df in (rows, there))
     times = rows.groupBy(key).agg(F.min(at).alias("_low"), F.max(at).alias("_high"))
     met = there.select(key, at.alias("_at")).join(times, "_key").where("_at < _low or _at > _high")
     several = times.where("_low < _high").select("_key").union(met.select("_key")).distinct()
@@ -192,7 +196,8 @@ def merge_catalog(items: DataFrame, path: str, most: int = MERGE_ROWS) -> None:
         rows = cut(items.where("scene_id is not null").select(*CATALOG.fieldNames()), "new-items")
         there = stored(spark, path, CATALOG)
         # A scene whose time has changed moves, and leaves its old folder.
-        gone = cut(superseded(rows, there), "superseded")
+        parts = 1 + (rows.count() + there.count()) // (2 * most)
+        gone = reduce(DataFrame.unionByName, [cut(superseded(rows, there, k, parts), "superseded") for k in range(parts)])
         lost = {r["month"] for r in gone.select("month").distinct().collect()}
         within = lambda df, months: df.where(F.col("month").isin([m for m in months if m is not None]) | (F.col("month").isNull() if None in months else F.lit(False)))
         sizes = dict.fromkeys(lost, 0) | {r["month"]: r["count"] for r in rows.groupBy("month").count().collect()}
